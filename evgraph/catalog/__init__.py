@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from evgraph.catalog import graph
+from evgraph.catalog import graph, ownership
 from evgraph.catalog.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "graph"]
+__all__ = ["ORACLES", "QUERIES", "graph", "ownership"]
