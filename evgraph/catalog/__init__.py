@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from evgraph.catalog import documents, forecast, graph, identity, ownership
+from evgraph.catalog import answers, documents, forecast, graph, identity, ownership
 from evgraph.catalog.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "documents", "forecast", "graph", "identity", "ownership"]
+__all__ = ["ORACLES", "QUERIES", "answers", "documents", "forecast", "graph", "identity", "ownership"]
