@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Identifier patterns by kind.
@@ -31,6 +33,12 @@ WORD_PATTERN = "[a-z0-9]+"
 PIECE_PATTERN = r"(?:\A[ \t\n\r\f]+)?[^ \t\n\r\f]+[ \t\n\r\f]*"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once per row. A column used inside a higher-order
+    function's lambda may otherwise be computed again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -52,16 +60,15 @@ def found(text: Column, patterns: dict[str, str]) -> Column:
 def headings(text: Column) -> Column:
     """Array of (line_no, path) per heading. ``#`` opens a section, deeper marks a
     sub-section whose path starts with the section's heading."""
-    marks = F.filter(
-        F.transform(
-            lines(text),
-            lambda line, i: F.struct(
-                i.alias("line_no"),
-                F.length(F.regexp_extract(line, r"^(#+) ", 1)).alias("level"),
-                F.regexp_replace(line, r"^#+ +", "").alias("title"),
-            ),
+    numbered = F.transform(lines(text), lambda line, i: F.struct(i.alias("line_no"), line.alias("line")))
+    marked = F.filter(numbered, lambda x: x["line"].rlike("^#+ "))
+    marks = F.transform(
+        marked,
+        lambda x: F.struct(
+            x["line_no"].alias("line_no"),
+            F.length(F.regexp_extract(x["line"], r"^(#+) ", 1)).alias("level"),
+            F.regexp_replace(x["line"], r"^#+ +", "").alias("title"),
         ),
-        lambda m: m["level"] > 0,
     )
 
     def with_path(mark: Column, i: Column, every: Column) -> Column:
@@ -72,7 +79,23 @@ def headings(text: Column) -> Column:
             F.when(mark["level"] == 1, mark["title"]).otherwise(F.concat_ws(" > ", section, mark["title"])).alias("path"),
         )
 
-    return F.transform(marks, lambda m, i: with_path(m, i, marks))
+    return let(marks, lambda every: F.transform(every, lambda m, i: with_path(m, i, every)))
+
+
+def term_counts(text: Column) -> Column:
+    """Array of (term, tf) of the distinct words, counted as run lengths of the sorted
+    words, so that counting needs no shuffle."""
+    def runs(ordered: Column) -> Column:
+        terms = F.array_distinct(ordered)
+        starts = let(terms, lambda ts: F.transform(
+            ts, lambda term: F.struct(term.alias("term"), F.array_position(ordered, term).alias("at"))
+        ))
+        return let(starts, lambda every: F.transform(every, lambda x, i: F.struct(
+            x["term"].alias("term"),
+            (F.coalesce(F.get(every, i + 1)["at"], F.size(ordered) + 1) - x["at"]).alias("tf"),
+        )))
+
+    return let(F.sort_array(words(text)), runs)
 
 
 def newlines(text: Column) -> Column:

@@ -35,14 +35,14 @@ def build_manifest(retrievals: DataFrame) -> DataFrame:
 
 def revisions(retrievals: DataFrame) -> DataFrame:
     """Retrievals with a revision number that grows only when the content hash changes.
-    A URL's history is cut by month, so a URL retrieved without end spreads over tasks."""
-    order, month = ["retrieved_at", "doc_id"], F.date_trunc("month", "retrieved_at")
+    A URL's history is cut by day, so a URL retrieved without end spreads over tasks."""
+    order, day = ["retrieved_at", "doc_id"], F.to_date("retrieved_at")
     light = retrievals.select("url", "doc_id", "retrieved_at", F.sha2("text", 256).alias("sha256"))
-    compared = with_previous(light, ["url"], order, "sha256", month, "_previous")
+    compared = with_previous(light, ["url"], order, "sha256", day, "_previous")
     compared = compared.withColumn(
         "changed", F.coalesce(F.col("sha256") != F.col("_previous"), F.lit(True))
     ).withColumn("_step", F.col("changed").cast("int"))
-    return with_running_sum(compared, ["url"], order, "_step", month, "revision").drop("_previous", "_step")
+    return with_running_sum(compared, ["url"], order, "_step", day, "revision").drop("_previous", "_step")
 
 
 def access_report(retrievals: DataFrame) -> DataFrame:
@@ -61,19 +61,22 @@ def enumerate_links(pages: DataFrame) -> DataFrame:
     path = F.substr(bare, F.length(root) + 1)
     folder = F.coalesce(F.nullif(F.regexp_replace(path, "[^/]*$", ""), F.lit("")), F.lit("/"))
     hrefs = F.array_distinct(F.regexp_extract_all("html", F.lit(r"""href\s*=\s*["']([^"'#]+)"""), F.lit(1)))
-    href = F.col("href")
-    link = (
-        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract("url", "^([A-Za-z]+:)", 1), href))
-        .when(href.startswith("/"), F.concat("root", href))
-        .otherwise(F.concat("root", "folder", F.regexp_replace(href, r"^(\./)+", "")))
-    )
+    hrefs = F.filter(hrefs, lambda href: ~href.rlike("^(mailto|javascript|tel|data):"))
+
+    def resolved(href):
+        link = (
+            F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+            .when(href.startswith("//"), F.concat(F.regexp_extract("url", "^([A-Za-z]+:)", 1), href))
+            .when(href.startswith("/"), F.concat("_root", href))
+            .otherwise(F.concat("_root", "_folder", F.regexp_replace(href, r"^(\./)+", "")))
+        )
+        return F.replace(link, F.lit("&amp;"), F.lit("&"))
+
+    based = pages.select("page_id", "url", root.alias("_root"), folder.alias("_folder"), hrefs.alias("_hrefs"))
     return (
-        pages.select("page_id", "url", root.alias("root"), folder.alias("folder"), F.explode(hrefs).alias("href"))
-        .where(~href.rlike("^(mailto|javascript|tel|data):"))
-        .select("page_id", F.replace(link, F.lit("&amp;"), F.lit("&")).alias("link"))
+        based.select("page_id", F.explode(F.array_distinct(F.transform("_hrefs", resolved))).alias("link"))
         .groupBy("link")
-        .agg(F.min("page_id").alias("discovered_on"), F.countDistinct("page_id").alias("n_pages"))
+        .agg(F.min("page_id").alias("discovered_on"), F.count(F.lit(1)).alias("n_pages"))
         .withColumn("is_document", F.col("link").rlike(r"(?i)\.(pdf|xlsx?|docx?|csv|zip)([?#]|$)"))
     )
 
@@ -81,13 +84,16 @@ def enumerate_links(pages: DataFrame) -> DataFrame:
 def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
     """Numbered pages, empty ones kept. Form feeds separate pages where a text has
     them; other texts are paged by line count."""
-    all_lines = tx.lines(F.col("text"))
     by_feed = F.split("text", "\f", -1)
-    last = F.floor((F.size(all_lines) - 1) / lines_per_page).cast("int")
-    by_count = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda p: F.array_join(F.slice(all_lines, p * lines_per_page + 1, F.lit(lines_per_page)), "\n"),
-    )
+
+    def by_lines(all_lines):
+        last = F.floor((F.size(all_lines) - 1) / lines_per_page).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda p: F.array_join(F.slice(all_lines, p * lines_per_page + 1, F.lit(lines_per_page)), "\n"),
+        )
+
+    by_count = tx.let(tx.lines(F.col("text")), by_lines)
     cut = F.when(F.contains("text", F.lit("\f")), by_feed).otherwise(by_count)
     numbered = documents.select("doc_id", F.contains("text", F.lit("\f")).alias("_fed"), F.posexplode(cut).alias("_p", "text"))
     first = F.when(~F.col("_fed"), F.col("_p") * lines_per_page)
@@ -99,25 +105,29 @@ def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
 
 def section_path(documents: DataFrame) -> DataFrame:
     """Every line with the path of the heading in force; null before the first one."""
-    all_lines, marks = tx.lines(F.col("text")), F.col("_marks")
-    opening = F.array(
-        F.struct(F.lit(0).alias("line_no"), F.lit(None).cast("string").alias("path"))
-    )
-    prepared = documents.select("doc_id", all_lines.alias("_lines"), tx.headings(F.col("text")).alias("_marks"))
-    starts = F.when(F.coalesce(F.try_element_at(marks, F.lit(1))["line_no"], F.lit(-1)) == 0, marks).otherwise(
-        F.concat(opening, marks)
+    opening = F.array(F.struct(F.lit(0).alias("line_no"), F.lit(None).cast("string").alias("path")))
+
+    def opened(marks):
+        first = F.coalesce(F.get(marks, F.lit(0))["line_no"], F.lit(-1))
+        return F.when(first == 0, marks).otherwise(F.concat(opening, marks))
+
+    def cut(all_lines, starts):
+        def section(start, i):
+            stop = F.coalesce(F.get(starts, i + 1)["line_no"], F.size(all_lines))
+            return F.struct(
+                start["line_no"].alias("first"), start["path"].alias("path"),
+                F.slice(all_lines, start["line_no"] + 1, stop - start["line_no"]).alias("lines"),
+            )
+
+        return F.transform(starts, section)
+
+    sections = tx.let(
+        tx.lines(F.col("text")),
+        lambda all_lines: tx.let(
+            tx.let(tx.headings(F.col("text")), opened), lambda starts: cut(all_lines, starts)
+        ),
     )
-    prepared = prepared.select("doc_id", "_lines", starts.alias("_starts"))
-
-    def section(start, i):
-        stop = F.coalesce(F.try_element_at("_starts", i + 2)["line_no"], F.size("_lines"))
-        return F.struct(
-            start["line_no"].alias("first"), start["path"].alias("path"),
-            F.slice("_lines", start["line_no"] + 1, stop - start["line_no"]).alias("lines"),
-        )
-
-    sections = prepared.select("doc_id", F.explode(F.transform("_starts", section)).alias("s"))
-    return sections.select(
+    return documents.select("doc_id", F.explode(sections).alias("s")).select(
         "doc_id", F.col("s.first").alias("_first"), F.col("s.path").alias("section_path"),
         F.posexplode("s.lines").alias("_i", "line"),
     ).select("doc_id", (F.col("_first") + F.col("_i")).alias("line_no"), "line", "section_path")
@@ -126,33 +136,39 @@ def section_path(documents: DataFrame) -> DataFrame:
 def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5) -> DataFrame:
     """Chunks of ``budget`` words that join back to the exact text, each with its line
     and page range, section path, word count, content hash and extraction version."""
-    pieces, size = F.col("_pieces"), F.size("_pieces")
-    texts = F.when(size == 0, F.array("text")).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.greatest(size, F.lit(1)) - 1) / budget).cast("int")),
-            lambda k: F.array_join(F.slice(pieces, k * budget + 1, F.lit(budget)), ""),
+    def cut(pieces):
+        last = F.floor((F.size(pieces) - 1) / budget).cast("int")
+        whole = F.struct(F.lit(0).alias("tokens"), F.col("text").alias("text"))
+        parts = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda k: F.struct(
+                F.least(F.lit(budget), F.size(pieces) - k * budget).alias("tokens"),
+                F.array_join(F.slice(pieces, k * budget + 1, F.lit(budget)), "").alias("text"),
+            ),
         )
-    )
-    cut = documents.select(
-        "doc_id", "text", tx.headings(F.col("text")).alias("_marks"),
-        F.regexp_extract_all("text", F.lit(tx.PIECE_PATTERN), F.lit(0)).alias("_pieces"),
-    ).select("doc_id", "_marks", size.alias("_size"), texts.alias("_texts"))
-    breaks = F.transform("_texts", tx.newlines)
-
-    def described(text, k):
-        start = F.aggregate(F.slice("_breaks", F.lit(1), k), F.lit(0), lambda a, b: a + b)
-        in_force = F.filter("_marks", lambda m: m["line_no"] <= start)
-        return F.struct(
-            k.alias("chunk_no"), start.alias("start_line"),
-            (start + tx.newlines(F.regexp_replace(text, r"[ \t\n\r\f]+\z", ""))).alias("end_line"),
-            F.try_element_at(in_force, F.lit(-1))["path"].alias("section_path"),
-            F.least(F.lit(budget), F.col("_size") - k * budget).alias("token_count"),
-            text.alias("text"),
-        )
-
-    rows = cut.select("doc_id", "_marks", "_size", "_texts", breaks.alias("_breaks")).select(
-        "doc_id", F.inline(F.transform("_texts", described))
-    )
+        return F.when(F.size(pieces) == 0, F.array(whole)).otherwise(parts)
+
+    def described(parts, marks, breaks):
+        def one(part, k):
+            start = F.aggregate(F.slice(breaks, F.lit(1), k), F.lit(0), lambda a, b: a + b)
+            body = F.regexp_replace(part["text"], r"[ \t\n\r\f]+\z", "")
+            return tx.let(start, lambda line: F.struct(
+                k.alias("chunk_no"), line.alias("start_line"), (line + tx.newlines(body)).alias("end_line"),
+                F.try_element_at(F.filter(marks, lambda m: m["line_no"] <= line), F.lit(-1))["path"].alias("section_path"),
+                part["tokens"].alias("token_count"), part["text"].alias("text"),
+            ))
+
+        return F.transform(parts, one)
+
+    pieces = F.regexp_extract_all("text", F.lit(tx.PIECE_PATTERN), F.lit(0))
+    chunks = tx.let(tx.let(pieces, cut), lambda parts: tx.let(
+        tx.headings(F.col("text")),
+        lambda marks: tx.let(
+            F.transform(parts, lambda part: tx.newlines(part["text"])),
+            lambda breaks: described(parts, marks, breaks),
+        ),
+    ))
+    rows = documents.select("doc_id", F.inline(chunks))
     page = lambda line: (F.floor(F.col(line) / lines_per_page) + 1).alias(line.replace("line", "page"))
     return rows.select(
         local_id("chunk", "doc_id", "chunk_no", F.lit(EXTRACTION_VERSION)).alias("chunk_id"), "doc_id", "chunk_no",

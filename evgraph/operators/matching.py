@@ -4,45 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from evgraph.functions.text import words
+from evgraph.functions.text import term_counts
 
 TERM_SCALE = 6
 
 
-def _term_counts(texts: DataFrame, key: list[str]) -> DataFrame:
-    return (
-        texts.select(*key, F.explode(words(F.col("text"))).alias("term"))
-        .groupBy(*key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-
-
 def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
     """The k offices whose best passage is closest to each need by TF-IDF cosine.
 
     ``needs``: need, text. ``passages``: office, passage_id, text. Terms meet in an
     equality join, so a need is compared only with passages that share a term; a term
-    in every passage weighs nothing and is left out. The best passage of an office is
-    an aggregate and the rank limit runs before the last shuffle.
+    in every passage weighs nothing and is left out. Words are counted inside the
+    passage's row. The best passage of an office is an aggregate and the rank limit
+    runs before the last shuffle.
     """
     key = ["office", "passage_id"]
-    counts = _term_counts(passages, key)
+    terms = passages.select(*key, F.inline(term_counts(F.col("text"))))
     total = passages.agg(F.count(F.lit(1))).scalar()
     idf = (
-        counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
         .withColumn("idf", F.log(total / F.col("_df")))
         .where("idf > 0")
-        .select("term", "idf")
     )
-    weighted = counts.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    lengths = weighted.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_plen"))
-    asked = _term_counts(needs, ["need"]).join(idf, "term").select("need", "term", (F.col("tf") * F.col("idf")).alias("qw"))
+    asked = needs.select("need", F.inline(term_counts(F.col("text")))).join(idf, "term").select(
+        "need", "term", (F.col("tf") * F.col("idf")).alias("qw")
+    )
     asked_lengths = asked.groupBy("need").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("_qlen"))
-    dots = weighted.select(*key, "term", "w").join(asked, "term").groupBy("need", *key).agg(
-        F.sum(F.col("w") * F.col("qw")).alias("_dot")
+    wanted = asked.select("term").distinct().withColumn("_asked", F.lit(True))
+    weighted = terms.join(idf.join(wanted, "term", "left").select("term", "idf", "_asked"), "term").withColumn(
+        "w", F.col("tf") * F.col("idf")
     )
-    scored = dots.join(lengths, key).join(asked_lengths, "need").withColumn(
-        "score", F.round(F.col("_dot") / (F.col("_plen") * F.col("_qlen")), TERM_SCALE)
+    # one row per passage: its length over all terms, and the few terms a need asks for
+    met = weighted.groupBy(*key).agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_plen"),
+        F.collect_list(F.when(F.col("_asked"), F.struct("term", "w"))).alias("_met"),
+    ).where(F.size("_met") > 0)
+    scored = (
+        met.select(*key, "_plen", F.inline("_met"))
+        .join(asked, "term")
+        .groupBy("need", *key, "_plen")
+        .agg(F.sum(F.col("w") * F.col("qw")).alias("_dot"))
+        .join(asked_lengths, "need")
+        .withColumn("score", F.round(F.col("_dot") / (F.col("_plen") * F.col("_qlen")), TERM_SCALE))
     )
     best = F.max(F.struct("score", (-F.col("passage_id")).alias("neg"))).alias("_best")
     per_office = scored.groupBy("need", "office").agg(best).select(

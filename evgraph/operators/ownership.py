@@ -92,14 +92,14 @@ def roles(assertions: DataFrame) -> DataFrame:
     """One row per opportunity with each role apart: how many offices hold it, and the
     office where it is only one. Holders are deduplicated before the pivot."""
     held = assertions.select("opp", "role", "office").distinct()
-    per_role = held.groupBy("opp", "role").agg(F.count(F.lit(1)).alias("n"), F.min("office").alias("_office"))
-    wide = per_role.groupBy("opp").pivot("role", list(OPPORTUNITY_ROLES)).agg(
-        F.max("n").alias("n"), F.max(F.when(F.col("n") == 1, F.col("_office"))).alias("office")
+    per_role = {r: F.col("role") == r for r in OPPORTUNITY_ROLES}
+    wide = held.groupBy("opp").agg(
+        *[F.count_if(holds).alias(f"{r}_n") for r, holds in per_role.items()],
+        *[F.min(F.when(holds, F.col("office"))).alias(f"_{r}") for r, holds in per_role.items()],
     )
     return wide.select(
-        "opp",
-        *[F.coalesce(f"{r}_n", F.lit(0)).alias(f"{r}_n") for r in OPPORTUNITY_ROLES],
-        *[f"{r}_office" for r in OPPORTUNITY_ROLES],
+        "opp", *[f"{r}_n" for r in OPPORTUNITY_ROLES],
+        *[F.when(F.col(f"{r}_n") == 1, F.col(f"_{r}")).alias(f"{r}_office") for r in OPPORTUNITY_ROLES],
     )
 
 
@@ -163,26 +163,20 @@ def contradictions(assertions: DataFrame) -> DataFrame:
     those that end by its start; both are running counts over days, and a claim has at
     most one row per calendar day in the windows.
     """
-    claim = ["subject", "predicate"]
-    spans = merged_validity(assertions)
-    per_day = (
-        spans.select(*claim, F.col("valid_from").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("e"))
-        .unionByName(spans.select(*claim, F.col("valid_to").alias("day"), F.lit(0).alias("s"), F.lit(1).alias("e")))
-        .groupBy(*claim, "day")
-        .agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
-    )
+    claim, span = ["subject", "predicate"], ["object", "valid_from", "valid_to"]
+    ends = merged_validity(assertions).select(*claim, *span, F.inline(F.array(
+        F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("e")),
+        F.struct(F.col("valid_to").alias("day"), F.lit(0).alias("s"), F.lit(1).alias("e")),
+    )))
+    per_day = ends.groupBy(*claim, "day").agg(F.sum("s").alias("_s"), F.sum("e").alias("_e"))
     up_to = Window.partitionBy(*claim).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     counts = per_day.select(
         *claim, "day",
-        (F.sum("s").over(up_to) - F.col("s")).alias("started_before"),
-        F.sum("e").over(up_to).alias("ended_by"),
+        (F.sum("_s").over(up_to) - F.col("_s")).alias("started_before"),
+        F.sum("_e").over(up_to).alias("ended_by"),
     )
-    at_start = counts.select(*claim, F.col("day").alias("valid_from"), "ended_by")
-    at_end = counts.select(*claim, F.col("day").alias("valid_to"), "started_before")
-    return (
-        spans.join(at_start, [*claim, "valid_from"])
-        .join(at_end, [*claim, "valid_to"])
-        .withColumn("n_conflicts", F.col("started_before") - F.col("ended_by") - 1)
-        .where("n_conflicts > 0")
-        .select(*claim, "object", "valid_from", "valid_to", "n_conflicts")
+    counted = ends.join(counts, [*claim, "day"]).groupBy(*claim, *span).agg(
+        (F.sum(F.when(F.col("e") == 1, F.col("started_before"))) - F.sum(F.when(F.col("s") == 1, F.col("ended_by"))) - 1)
+        .alias("n_conflicts")
     )
+    return counted.where("n_conflicts > 0")

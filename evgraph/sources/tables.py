@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables whose rows are expensive to work on, with the key that spreads them.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
 
 class Tables:
     """Reads ``<folder>/<name>.parquet`` on attribute access; nothing is cached."""
@@ -14,4 +17,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table, TEXT_TABLES[name]) if name in TEXT_TABLES else table
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """A table in fewer partitions than there are cores is spread over them, so that
+    row-wise text work does not run in one task. Larger inputs stay as they are read."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
