@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from evgraph.session import checkpointed
+from evgraph.session import checkpointed, written
 
 
 def local_id(kind: str, *keys: Column | str) -> Column:
@@ -62,7 +62,7 @@ def ancestry(parents: DataFrame, max_depth: int = 8) -> DataFrame:
     the many leaves are attached to finished paths in one join at the end. What leads
     to no root within ``max_depth`` (a cycle, say) comes back with a null path.
     """
-    links = parents.select("child", "parent").distinct()
+    links = written(parents.select("child", "parent").distinct(), "links")
     inner_nodes = links.select(F.col("parent").alias("child")).distinct()
     inner = checkpointed(links.join(inner_nodes, "child", "left_semi"))
     leaves = links.join(inner_nodes, "child", "left_anti")

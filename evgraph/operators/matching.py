@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.functions.text import term_counts
+from evgraph.session import written
 
 TERM_SCALE = 6
 
@@ -15,25 +16,23 @@ def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
     ``needs``: need, text. ``passages``: office, passage_id, text. Terms meet in an
     equality join, so a need is compared only with passages that share a term; a term
     in every passage weighs nothing and is left out. Words are counted inside the
-    passage's row. The best passage of an office is an aggregate and the rank limit
-    runs before the last shuffle.
+    passage's row, once, into a written table; the written term tables have known
+    sizes, so small ones are broadcast and large ones are not. The best passage of an
+    office is an aggregate and the rank limit runs before the last shuffle.
     """
     key = ["office", "passage_id"]
-    terms = passages.select(*key, F.inline(term_counts(F.col("text"))))
-    total = passages.agg(F.count(F.lit(1))).scalar()
-    idf = (
-        terms.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-        .withColumn("idf", F.log(total / F.col("_df")))
-        .where("idf > 0")
-    )
-    asked = needs.select("need", F.inline(term_counts(F.col("text")))).join(idf, "term").select(
-        "need", "term", (F.col("tf") * F.col("idf")).alias("qw")
+    counted = written(passages.select(*key, term_counts(F.col("text")).alias("_terms")), "passage-terms")
+    terms = counted.select(*key, F.inline("_terms"))
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    idf = terms.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).select(
+        "term", F.log(total / F.col("_df")).alias("idf")
     )
+    idf = written(idf.where("idf > 0"), "term-weights")
+    asked = needs.select("need", F.inline(term_counts(F.col("text")))).join(idf, "term")
+    asked = written(asked.select("need", "term", (F.col("tf") * F.col("idf")).alias("qw")), "asked-terms")
     asked_lengths = asked.groupBy("need").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("_qlen"))
     wanted = asked.select("term").distinct().withColumn("_asked", F.lit(True))
-    weighted = terms.join(idf.join(wanted, "term", "left").select("term", "idf", "_asked"), "term").withColumn(
-        "w", F.col("tf") * F.col("idf")
-    )
+    weighted = terms.join(idf, "term").join(wanted, "term", "left").withColumn("w", F.col("tf") * F.col("idf"))
     # one row per passage: its length over all terms, and the few terms a need asks for
     met = weighted.groupBy(*key).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_plen"),

@@ -1,7 +1,8 @@
 """Assembled answers: an opportunity's owner, and an office's outlook.
 
 Every part is cut to its few best rows per answer before it is joined, so an answer
-stays small however much evidence stands behind it.
+stays small however much evidence stands behind it. The evidence or events every part
+reads are written to the shared folder once.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.operators import forecast, identity, ownership, people
+from evgraph.session import written
 
 
 def unknowns(**slots: Column) -> Column:
@@ -29,6 +31,7 @@ def answer_opportunity(
 ) -> DataFrame:
     """One row per opportunity: owner or abstention, path, contracting office apart,
     contacts, alternatives, confidence, cited documents, counterevidence, unknowns."""
+    evidence = written(evidence, "evidence")
     base = ownership.resolve(opps, evidence, versions, as_of)
     paths = identity.ancestry(parents).where(F.col("entity").startswith("office:")).select(
         F.regexp_replace("entity", "^office:", "").cast("long").alias("office"), "path"
@@ -70,6 +73,7 @@ def answer_office(
 ) -> DataFrame:
     """One row per office: history, budget signals, ranked needs, predictions,
     champions, size of the engagement plan, unknowns."""
+    events = written(events, "procurements")
     history = events.where(F.col("event_at") <= F.lit(cutoff).cast("date")).groupBy("office").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"), F.max("event_at").alias("last_event_at")
     )

@@ -59,3 +59,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for tables handed between jobs."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared folder: computed once however often it is
+    read, pruned by column, of known size to the optimizer, and not lost with an executor."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
