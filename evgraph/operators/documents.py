@@ -217,7 +217,8 @@ def money(texts: DataFrame, *place: str) -> DataFrame:
 def facts(documents: DataFrame) -> DataFrame:
     """Identifiers found in each line, with a deterministic fact id."""
     by_line = documents.select("doc_id", F.posexplode(tx.lines(F.col("text"))).alias("line_no", "text"))
-    return extract_ids(by_line, "doc_id", "line_no").distinct().select(
+    found = F.array_distinct(tx.found(F.col("text"), tx.IDENTIFIER_PATTERNS))
+    return by_line.select("doc_id", "line_no", F.inline(found)).select(
         local_id("fact", "doc_id", "line_no", "kind", "value").alias("fact_id"), "doc_id", "line_no", "kind", "value"
     )
 

@@ -55,11 +55,14 @@ def gate_report(metrics: DataFrame) -> DataFrame:
     gates = limits.join(metrics.select("metric", "value"), "metric", "left").select(
         "metric", "value", "comparison", "threshold", F.coalesce(ok, F.lit(False)).alias("passed")
     )
-    overall = gates.agg(F.bool_and("passed").alias("passed")).select(
+    # the gates are a fixed handful, so one small array holds them and the overall row
+    row = F.struct(*gates.columns)
+    overall = F.struct(
         F.lit("overall").alias("metric"), F.lit(None).cast("double").alias("value"),
-        F.lit(None).cast("string").alias("comparison"), F.lit(None).cast("double").alias("threshold"), "passed",
+        F.lit(None).cast("string").alias("comparison"), F.lit(None).cast("double").alias("threshold"),
+        F.bool_and("passed").alias("passed"),
     )
-    return gates.unionByName(overall)
+    return gates.agg(F.array_append(F.collect_list(row), overall).alias("_rows")).select(F.inline("_rows"))
 
 
 def gold_class_coverage(gold: DataFrame) -> DataFrame:

@@ -35,22 +35,27 @@ def procurement_profile(events: DataFrame) -> DataFrame:
     )
 
 
-def _most_frequent(events: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    counted = events.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+def _most_frequent(counted: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    per_value = counted.groupBy(*keys, column).agg(F.sum("_n").alias("_n"))
     first = F.min(F.struct((-F.col("_n")).alias("neg"), F.col(column).alias("v")))
-    return counted.groupBy(*keys).agg(first.alias("_f"), F.sum("_n").alias("n_events")).select(
+    return per_value.groupBy(*keys).agg(first.alias("_f"), F.sum("_n").alias("n_events")).select(
         *keys, F.col("_f.v").alias(column), (-F.col("_f.neg")).alias(f"n_{column}"), "n_events"
     )
 
 
 def likely_pathway(events: DataFrame, keys: Sequence[str] = ("office",)) -> DataFrame:
-    """The most frequent method and contracting office; ties go to the smaller value."""
-    method = _most_frequent(events, keys, "method")
-    contracting = _most_frequent(events, keys, "contracting").drop("n_events")
+    """The most frequent method and contracting office; ties go to the smaller value.
+    Both come from one count per (method, contracting)."""
+    counted = events.groupBy(*keys, "method", "contracting").agg(F.count(F.lit(1)).alias("_n"))
+    method = _most_frequent(counted, keys, "method")
+    contracting = _most_frequent(counted, keys, "contracting").drop("n_events")
     return method.join(contracting, list(keys))
 
 
-def recurrence(events: DataFrame, min_gaps: int = 3) -> DataFrame:
+MIN_GAPS = 3
+
+
+def recurrence(events: DataFrame, min_gaps: int = MIN_GAPS) -> DataFrame:
     """Gap statistics between the days an office bought for a program, and the next
     expected window. Events collapse to days, which bounds the window by the calendar."""
     key = ["office", "program"]
@@ -116,23 +121,31 @@ def need_signals(events: DataFrame, cutoff) -> DataFrame:
     at = F.lit(cutoff).cast("date")
     age = F.date_diff(at, "event_at")
     recent, before = age < 365, (age >= 365) & (age < 730)
+    key = ["office", "program"]
     zero = F.lit(0).cast("decimal(18,2)")
-    per_need = known.groupBy("office", "program").agg(
+    # days first: the gap between them then needs a window of calendar length only
+    daily = known.groupBy(*key, "event_at").agg(
+        F.sum("value").alias("value"),
+        F.count_if(F.col("status") == "O").alias("open"),
+        F.count_if(F.col("flag") == "R").alias("returned"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    earlier = F.lag("event_at").over(Window.partitionBy(*key).orderBy("event_at"))
+    joined = daily.withColumn("_gap", earlier.isNotNull()).groupBy(*key).agg(
         F.coalesce(F.sum(F.when(recent, F.col("value"))), zero).alias("_now"),
         F.coalesce(F.sum(F.when(before, F.col("value"))), zero).alias("_then"),
-        F.count_if(F.col("status") == "O").alias("_open"),
-        F.count_if(F.col("flag") == "R").alias("_returned"),
-        F.count(F.lit(1)).alias("n_events"),
+        F.sum("open").alias("_open"),
+        F.sum("returned").alias("_returned"),
+        F.sum("n").alias("n_events"),
         F.min("event_at").alias("first_at"),
         F.max("event_at").alias("last_at"),
         F.sum("value").alias("total_value"),
+        F.count_if("_gap").alias("_gaps"),
     )
-    recurring = recurrence(known).select("office", "program", F.lit(True).alias("_recurs"))
-    joined = per_need.join(recurring, ["office", "program"], "left")
     flags = {
         "funded": (F.col("_then") > 0) & (F.col("_now") > F.col("_then")),
         "forecast": F.col("_open") > 0,
-        "recurring": F.coalesce("_recurs", F.lit(False)),
+        "recurring": F.col("_gaps") >= MIN_GAPS,
         "emerging": F.date_diff(at, "first_at") < 365,
     }
     against = {

@@ -25,15 +25,11 @@ def crosswalk(identifiers: DataFrame) -> DataFrame:
     a third of all records still costs one row per record. The raw value is kept.
     """
     rows = identifiers.withColumn("value_norm", normalised_identifier(F.col("value_raw")))
-    members = rows.groupBy("kind", "value_norm", "source", "entity").agg(F.count(F.lit(1)).alias("_n"))
-    links = members.groupBy("kind", "value_norm").agg(
-        F.sum("_n").alias("n_records"),
-        F.count(F.lit(1)).alias("_members"),
-        F.max(F.struct("source")).alias("_hi"),
-        F.min(F.struct("source")).alias("_lo"),
+    per_source = rows.groupBy("kind", "value_norm", "source").agg(F.count(F.lit(1)).alias("_n"))
+    links = per_source.groupBy("kind", "value_norm").agg(
+        F.sum("_n").alias("n_records"), (F.count(F.lit(1)) > 1).alias("across_sources")
     ).select(
-        F.col("kind").alias("_kind"), F.col("value_norm").alias("_norm"), "n_records",
-        (F.col("_hi") != F.col("_lo")).alias("across_sources"),
+        F.col("kind").alias("_kind"), F.col("value_norm").alias("_norm"), "n_records", "across_sources",
         local_id("link", "kind", "value_norm").alias("link_id"),
     )
     return rows.join(

@@ -29,8 +29,10 @@ def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
     )
     idf = written(idf.where("idf > 0"), "term-weights")
     asked = needs.select("need", F.inline(term_counts(F.col("text")))).join(idf, "term")
-    asked = written(asked.select("need", "term", (F.col("tf") * F.col("idf")).alias("qw")), "asked-terms")
-    asked_lengths = asked.groupBy("need").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("_qlen"))
+    asked = asked.select("need", "term", (F.col("tf") * F.col("idf")).alias("qw"))
+    length = asked.groupBy("need").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("_qlen"))
+    asked = asked.join(length, "need").select("need", "term", (F.col("qw") / F.col("_qlen")).alias("qw"))
+    asked = written(asked, "asked-terms")
     wanted = asked.select("term").distinct().withColumn("_asked", F.lit(True))
     weighted = terms.join(idf, "term").join(wanted, "term", "left").withColumn("w", F.col("tf") * F.col("idf"))
     # one row per passage: its length over all terms, and the few terms a need asks for
@@ -43,8 +45,7 @@ def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
         .join(asked, "term")
         .groupBy("need", *key, "_plen")
         .agg(F.sum(F.col("w") * F.col("qw")).alias("_dot"))
-        .join(asked_lengths, "need")
-        .withColumn("score", F.round(F.col("_dot") / (F.col("_plen") * F.col("_qlen")), TERM_SCALE))
+        .withColumn("score", F.round(F.col("_dot") / F.col("_plen"), TERM_SCALE))
     )
     best = F.max(F.struct("score", (-F.col("passage_id")).alias("neg"))).alias("_best")
     per_office = scored.groupBy("need", "office").agg(best).select(

@@ -9,16 +9,18 @@ TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
 
 
 class Tables:
-    """Reads ``<folder>/<name>.parquet`` on attribute access; nothing is cached."""
+    """``<folder>/<name>.parquet`` by attribute; files are listed once per table."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder, self._read = spark, folder.rstrip("/"), {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return spread(table, TEXT_TABLES[name]) if name in TEXT_TABLES else table
+        if name not in self._read:
+            table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._read[name] = spread(table, TEXT_TABLES[name]) if name in TEXT_TABLES else table
+        return self._read[name]
 
 
 def spread(table: DataFrame, key: str) -> DataFrame:
