@@ -14,6 +14,13 @@ def is_missing(col: Column) -> Column:
     return col.isNull() | (col == "")
 
 
+def number(col: Column) -> Column:
+    """Text as a number, true and false as one and zero; null where it is neither."""
+    text = F.lower(F.trim(col))
+    value = F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
+    return F.when(~F.isnan(value), value)
+
+
 def nested(record: str, field: str, default=None) -> Column:
     """A field of a nested record, or the default where record or field is absent."""
     value = F.col(f"{record}.{field}")
@@ -21,14 +28,14 @@ def nested(record: str, field: str, default=None) -> Column:
 
 
 def to_confidence(col: Column) -> Column:
-    """Text to a number: unparsable, absent and NaN give 0.0, true and false give 1 and 0."""
-    text = F.lower(F.trim(col))
-    number = (
-        F.when(text == "true", F.lit(1.0))
-        .when(text == "false", F.lit(0.0))
-        .otherwise(text.try_cast("double"))
-    )
-    return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
+    """A confidence as a number; absent, unparsable and NaN give 0.0."""
+    return F.coalesce(number(col), F.lit(0.0))
+
+
+def is_gap(field: str, col: Column) -> Column:
+    """Whether an evidence field counts as missing. A confidence that is no number
+    scores nothing, so it is reported like an absent one."""
+    return is_missing(col) | number(col).isNull() if field == "confidence" else is_missing(col)
 
 
 def has_valid_type(col: Column) -> Column:
