@@ -30,6 +30,13 @@ def query(name: str, *tables: str, sql: str | None = None, recursive: bool = Fal
     return keep
 
 
+# Positions and lengths that are INT in Spark and BIGINT in the checking engine.
+WIDE = set(
+    "rank need_rank page_no line_no first_line last_line start_line end_line token_count fiscal_year year score"
+    " timing_error_days size_bytes distance n_terms n_hits notice_to_award_days oldest_days".split()
+)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Dates as text, decimals as doubles, arrays of text joined: values both engines
     print alike."""
@@ -42,6 +49,8 @@ def plain(df: DataFrame) -> DataFrame:
             col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(field.dataType, T.DecimalType):
             col = col.cast("double")
+        elif isinstance(field.dataType, T.IntegerType) and field.name in WIDE:
+            col = col.cast("long")
         elif isinstance(field.dataType, T.ArrayType):
             col = F.array_join(col.cast("array<string>"), ",")
         columns.append(col.alias(field.name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from evgraph.catalog.base import query
-from evgraph.catalog.ownership import AS_OF, resolved
+from evgraph.catalog.ownership import resolved
 from evgraph.catalog.sql import fragment
 from evgraph.operators import evaluation, forecast, ownership, people
 from evgraph.session import written

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from evgraph.catalog.base import query
 from evgraph.catalog.sql import fragment
-from evgraph.operators import ownership, temporal
+from evgraph.operators import lineage, ownership, temporal
 from evgraph.sources import derived
 from evgraph.sources.tables import Tables
 
@@ -34,14 +34,23 @@ def resolution_sql(source: str) -> str:
 fragment("known_evidence", "SELECT * FROM evidence WHERE available_at <= published_at", "evidence")
 fragment("resolved_all", resolution_sql("evidence"), "evidence", "live_office")
 fragment("resolved_asof", resolution_sql("known_evidence"), "known_evidence", "live_office")
-fragment("candidate", """
+fragment("dated_evidence", f"SELECT * FROM evidence WHERE available_at <= DATE '{AS_OF}'", "evidence")
+fragment("resolved_dated", resolution_sql("dated_evidence"), "dated_evidence", "live_office")
+
+
+def candidate_sql(source: str) -> str:
+    return f"""
   SELECT opp, office, count(*) FILTER (kind IN ('explicit_owner','office_code','poc_context')) AS n_decisive,
     max(confidence) AS best_confidence, count(*) AS n_evidence,
     array_to_string(list_sort(list(DISTINCT kind)), ',') AS kinds,
     row_number() OVER (PARTITION BY opp ORDER BY
       count(*) FILTER (kind IN ('explicit_owner','office_code','poc_context')) DESC, max(confidence) DESC,
       count(*) DESC, office) AS rank
-  FROM evidence WHERE NOT refutes GROUP BY opp, office""", "evidence")
+  FROM {source} WHERE NOT refutes GROUP BY opp, office"""
+
+
+fragment("candidate", candidate_sql("evidence"), "evidence")
+fragment("candidate_dated", candidate_sql("dated_evidence"), "dated_evidence")
 
 
 def resolved(t: Tables, known_only: bool) -> DataFrame:
@@ -266,9 +275,7 @@ def staleness(t: Tables) -> DataFrame:
       FROM evidence e LEFT JOIN documents d ON e.doc_id = d.doc_id GROUP BY kind""",
 )
 def evidence_coverage(t: Tables) -> DataFrame:
-    from evgraph.operators.lineage import coverage
-
-    return coverage(derived.evidence(t), t.documents.select("doc_id"))
+    return lineage.coverage(derived.evidence(t), t.documents.select("doc_id"))
 
 
 @query(
@@ -277,6 +284,4 @@ def evidence_coverage(t: Tables) -> DataFrame:
         "WHERE EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = e.doc_id AND d.doc_id % 11 <= 5)",
 )
 def citation_guard(t: Tables) -> DataFrame:
-    from evgraph.operators.lineage import guard
-
-    return guard(derived.evidence(t), derived.retrievals(t)).select("opp", "office", "kind", "doc_id")
+    return lineage.guard(derived.evidence(t), derived.retrievals(t)).select("opp", "office", "kind", "doc_id")

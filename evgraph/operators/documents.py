@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from evgraph.functions import text as tx
 from evgraph.operators.identity import local_id
 from evgraph.operators.ordered import with_previous, with_running_sum
+from evgraph.session import written
 
 EXTRACTION_VERSION = "v1"
 
@@ -37,7 +38,8 @@ def revisions(retrievals: DataFrame) -> DataFrame:
     """Retrievals with a revision number that grows only when the content hash changes.
     A URL's history is cut by day, so a URL retrieved without end spreads over tasks."""
     order, day = ["retrieved_at", "doc_id"], F.to_date("retrieved_at")
-    light = retrievals.select("url", "doc_id", "retrieved_at", F.sha2("text", 256).alias("sha256"))
+    # hashed once: the ordered passes below read the light table several times
+    light = written(retrievals.select("url", "doc_id", "retrieved_at", F.sha2("text", 256).alias("sha256")), "hashes")
     compared = with_previous(light, ["url"], order, "sha256", day, "_previous")
     compared = compared.withColumn(
         "changed", F.coalesce(F.col("sha256") != F.col("_previous"), F.lit(True))

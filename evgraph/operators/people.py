@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from evgraph.operators.temporal import asof
 from evgraph.schema import ROLE_RULES
 
 
@@ -56,7 +57,7 @@ def champions(signals: DataFrame, as_of, stale_days: int = 10) -> DataFrame:
 
     Each kind of signal counts once. A title alone, however senior, recommends nobody.
     """
-    kinds = signals.groupBy("person", "office", "signal").agg(
+    kinds = asof(signals, "observed_at", as_of).groupBy("person", "office", "signal").agg(
         F.max("observed_at").alias("last_seen"), F.count(F.lit(1)).alias("n")
     )
     table = F.create_map(*[F.lit(x) for pair in CHAMPION_WEIGHTS.items() for x in pair])

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from evgraph.operators import forecast, identity, ownership, people
+from evgraph.operators import forecast, identity, lineage, ownership, people
+from evgraph.operators.temporal import asof
 from evgraph.session import written
 
 
@@ -27,11 +28,15 @@ def _first_k(df: DataFrame, by: str, order: list, k: int, item: Column, name: st
 
 
 def answer_opportunity(
-    opps: DataFrame, evidence: DataFrame, versions: DataFrame, parents: DataFrame, contacts: DataFrame, as_of
+    opps: DataFrame, evidence: DataFrame, versions: DataFrame, parents: DataFrame, contacts: DataFrame,
+    manifest: DataFrame, as_of,
 ) -> DataFrame:
     """One row per opportunity: owner or abstention, path, contracting office apart,
-    contacts, alternatives, confidence, cited documents, counterevidence, unknowns."""
-    evidence = written(evidence, "evidence")
+    contacts, alternatives, confidence, cited documents, counterevidence, unknowns.
+
+    Only evidence available at ``as_of`` counts, and only retrieved documents are cited.
+    """
+    evidence = written(asof(evidence, "available_at", as_of), "evidence")
     base = ownership.resolve(opps, evidence, versions, as_of)
     paths = identity.ancestry(parents).where(F.col("entity").startswith("office:")).select(
         F.regexp_replace("entity", "^office:", "").cast("long").alias("office"), "path"
@@ -46,7 +51,7 @@ def answer_opportunity(
         F.max("confidence").alias("confidence")
     )
     cited = _first_k(
-        support, "opp", [F.desc("confidence"), "doc_id", "kind", "office"], 3, F.concat_ws(":", "kind", "doc_id"), "cited"
+        lineage.guard(support, manifest), "opp", [F.desc("confidence"), "doc_id", "kind", "office"], 3, F.concat_ws(":", "kind", "doc_id"), "cited"
     )
     reachable = _first_k(
         people.rank_contacts(contacts, 1), "office", ["category"], 6, F.concat_ws(":", "category", "person"), "contacts"
@@ -74,7 +79,7 @@ def answer_office(
     """One row per office: history, budget signals, ranked needs, predictions,
     champions, size of the engagement plan, unknowns."""
     events = written(events, "procurements")
-    history = events.where(F.col("event_at") <= F.lit(cutoff).cast("date")).groupBy("office").agg(
+    history = asof(events, "event_at", cutoff).groupBy("office").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"), F.max("event_at").alias("last_event_at")
     )
     last_year = F.year(F.lit(cutoff).cast("date")) - 1

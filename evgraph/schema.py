@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Node types.
 NODE_TYPES = (
     "agency",
@@ -62,9 +60,6 @@ SOURCE_STAGES = (
     "award",
 )
 
-# Retrieval outcomes recorded for every document.
-ACCESS_STATUSES = ("retrieved", "authenticated", "expired", "missing", "blocked", "manual")
-
 # Contact categories: first matching pattern on the lower-cased raw title wins.
 ROLE_RULES = (
     ("small business", "small_business"),
@@ -96,5 +91,3 @@ GATES = (
     ("multi_collapsed", "<=", 0.0),
     ("legacy_force_mapped", "<=", 0.0),
 )
-
-EVIDENCE = T.StructType([T.StructField(name, T.StringType()) for name in EVIDENCE_FIELDS])

@@ -392,3 +392,41 @@ def test_coverage_and_guard_agree(tables):
     known = tables.documents.select("doc_id")
     total = lineage.coverage(evidence, known).agg(F.sum("n_uncovered").alias("n")).first().n
     assert total == lineage.uncovered(evidence, known).count()
+
+
+def test_answer_by_hand(spark):
+    from evgraph.plans.answers import answer_opportunity
+
+    opps, evidence, versions = hand_made(spark)
+    d = dt.date
+    evidence = evidence.withColumn("available_at", F.lit(d(2019, 1, 1))).withColumn("doc_id", F.col("office"))
+    late = evidence.where("opp = 7 or opp = 1").limit(1).select(
+        F.lit(7).cast("long").alias("opp"), F.lit(10).cast("long").alias("office"), F.lit("explicit_owner").alias("kind"),
+        "c", F.lit(False).alias("refutes"), "confidence", F.lit(d(2021, 1, 1)).alias("available_at"),
+        F.lit(10).cast("long").alias("doc_id"),
+    )
+    parents = spark.createDataFrame([("office:10", "pf:1"), ("pf:1", "agency:1"), ("office:12", "pf:1")], "child string, parent string")
+    contacts = spark.createDataFrame(
+        [(10, "technical", 5, "Engineer", d(2019, 1, 1)), (10, "technical", 6, "Engineer", d(2019, 5, 1)), (10, "contracting", 7, "Officer", d(2018, 1, 1))],
+        "office long, category string, person long, raw_title string, observed_at date",
+    )
+    manifest = spark.createDataFrame([(10, "retrieved"), (12, "blocked")], "doc_id long, status string")
+    opps = opps.withColumn("contracting", F.lit(99).cast("long"))
+    got = {r.opp: r for r in answer_opportunity(
+        opps, evidence.unionByName(late), versions, parents, contacts, manifest, "2020-01-01"
+    ).collect()}
+    one, six, seven = got[1], got[6], got[7]
+    assert (one.office, one.contracting, one.path) == (10, 99, ["office:10", "pf:1", "agency:1"])
+    assert one.contacts == ["contracting:7", "technical:6"] and one.alternatives == [11]
+    assert one.cited == ["explicit_owner:10"] and one.unknowns == []
+    assert (six.office, six.cited, six.n_counterevidence) == (12, None, 1) and six.unknowns == ["contacts", "evidence"]
+    assert (seven.resolution, seven.office) == ("abstain", None) and "owner" in seven.unknowns
+    assert got[2].resolution == "multi_program" and sorted(got[2].alternatives) == [10, 12]
+
+
+def test_clean_graph_joins_do_not_shuffle_edges(tables):
+    from evgraph.operators import validation
+
+    plan = validation.dangling_edges(derived.nodes(tables), derived.edges(tables))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in text
