@@ -71,15 +71,67 @@ def headings(text: Column) -> Column:
         ),
     )
 
-    def with_path(mark: Column, i: Column, every: Column) -> Column:
-        above = F.filter(F.slice(every, F.lit(1), i), lambda m: m["level"] == 1)
-        section = F.try_element_at(above, F.lit(-1))["title"]
-        return F.struct(
-            mark["line_no"].alias("line_no"),
-            F.when(mark["level"] == 1, mark["title"]).otherwise(F.concat_ws(" > ", section, mark["title"])).alias("path"),
-        )
-
-    return let(marks, lambda every: F.transform(every, lambda m, i: with_path(m, i, every)))
+    def titled(part: Column) -> Column:
+        top = F.get(part, F.lit(0))
+        section = F.when(top["level"] == 1, top["title"])
+        return F.transform(part, lambda m: F.struct(
+            m["line_no"].alias("line_no"),
+            F.when(m["level"] == 1, m["title"]).otherwise(F.concat_ws(" > ", section, m["title"])).alias("path"),
+        ))
+
+    def by_section(every: Column) -> Column:
+        at = F.transform(every, lambda m, i: F.when(m["level"] == 1, i))
+        return let(F.array_union(F.array(F.lit(0)), F.array_compact(at)), lambda starts: F.flatten(
+            F.transform(starts, lambda s, j: let(
+                F.slice(every, s + 1, F.coalesce(F.get(starts, j + 1), F.size(every)) - s), titled
+            ))
+        ))
+
+    return let(marks, by_section)
+
+
+BLOCK = 128
+
+
+def _blocks(values: Column, summary: Callable[[Column], Column]) -> Column:
+    """``summary`` of each run of BLOCK values."""
+    count = F.ceil(F.size(values) / BLOCK).cast("int")
+    return F.when(count > 0, F.transform(
+        F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))),
+        lambda b: summary(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))),
+    )).otherwise(F.array().cast("array<int>"))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, b: a + b)
+
+
+def with_prefix_sums(values: Column, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``body`` of a function from k to the sum of the first k values. Whole blocks are
+    summed once, so a long text costs far less than its square."""
+    def sums(block_totals: Column) -> Callable[[Column], Column]:
+        def before(k: Column) -> Column:
+            block = F.floor(k / BLOCK).cast("int")
+            rest = F.slice(values, block * BLOCK + 1, k - block * BLOCK)
+            return _total(F.slice(block_totals, F.lit(1), block)) + _total(rest)
+
+        return before
+
+    return let(_blocks(values, _total), lambda totals: body(sums(totals)))
+
+
+def with_heading_at(marks: Column, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``body`` of a function from a line number to the path of the heading in force."""
+    def lookup(first_lines: Column) -> Callable[[Column], Column]:
+        def at(line: Column) -> Column:
+            block = F.size(F.filter(first_lines, lambda first: first <= line)) - 1
+            inside = F.slice(marks, F.greatest(block, F.lit(0)) * BLOCK + 1, F.lit(BLOCK))
+            return F.try_element_at(F.filter(inside, lambda m: m["line_no"] <= line), F.lit(-1))["path"]
+
+        return at
+
+    firsts = _blocks(marks, lambda block: F.get(block, F.lit(0))["line_no"])
+    return let(firsts, lambda lines_of: body(lookup(lines_of)))
 
 
 def term_counts(text: Column) -> Column:

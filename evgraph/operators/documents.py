@@ -150,24 +150,24 @@ def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5) -> D
         )
         return F.when(F.size(pieces) == 0, F.array(whole)).otherwise(parts)
 
-    def described(parts, marks, breaks):
+    def described(parts, line_before, heading_at):
         def one(part, k):
-            start = F.aggregate(F.slice(breaks, F.lit(1), k), F.lit(0), lambda a, b: a + b)
             body = F.regexp_replace(part["text"], r"[ \t\n\r\f]+\z", "")
-            return tx.let(start, lambda line: F.struct(
+            return tx.let(line_before(k), lambda line: F.struct(
                 k.alias("chunk_no"), line.alias("start_line"), (line + tx.newlines(body)).alias("end_line"),
-                F.try_element_at(F.filter(marks, lambda m: m["line_no"] <= line), F.lit(-1))["path"].alias("section_path"),
-                part["tokens"].alias("token_count"), part["text"].alias("text"),
+                heading_at(line).alias("section_path"), part["tokens"].alias("token_count"), part["text"].alias("text"),
             ))
 
         return F.transform(parts, one)
 
     pieces = F.regexp_extract_all("text", F.lit(tx.PIECE_PATTERN), F.lit(0))
     chunks = tx.let(tx.let(pieces, cut), lambda parts: tx.let(
-        tx.headings(F.col("text")),
-        lambda marks: tx.let(
-            F.transform(parts, lambda part: tx.newlines(part["text"])),
-            lambda breaks: described(parts, marks, breaks),
+        F.transform(parts, lambda part: tx.newlines(part["text"])),
+        lambda breaks: tx.let(
+            tx.headings(F.col("text")),
+            lambda marks: tx.with_prefix_sums(breaks, lambda line_before: tx.with_heading_at(
+                marks, lambda heading_at: described(parts, line_before, heading_at)
+            )),
         ),
     ))
     rows = documents.select("doc_id", F.inline(chunks))

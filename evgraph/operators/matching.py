@@ -93,7 +93,7 @@ def match_vectors(needs: DataFrame, profiles: DataFrame, k: int = 3, in_memory:
     the k best of those are the k best overall.
     """
     needs = _with_length(needs.select("need", "embedding"), "embedding", "_len").where("_len > 0")
-    profiles = _with_length(profiles, "profile", "plen").where("plen > 0")
+    profiles = written(_with_length(profiles, "profile", "plen").where("plen > 0"), "profiles")
     packed = F.array_sort(F.collect_list(F.struct("office", "profile", "plen")))
     n = profiles.count()
     if n <= in_memory:

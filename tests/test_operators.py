@@ -430,3 +430,32 @@ def test_clean_graph_joins_do_not_shuffle_edges(tables):
     plan = validation.dangling_edges(derived.nodes(tables), derived.edges(tables))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in text
+
+
+def test_long_texts_keep_lines_and_sections(spark):
+    """More chunks and headings than one block holds, against plain Python."""
+    rng = random.Random(2)
+    lines, marks = [], []
+    for i in range(1500):
+        level = rng.choice([0, 0, 1, 2])
+        lines.append(("#" * level + " " if level else "") + " ".join(f"w{i}" for _ in range(rng.randint(1, 4))))
+    text = "\n".join(lines)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    section, paths = None, []
+    current = None
+    for line in lines:
+        if line.startswith("# "):
+            section = current = line[2:]
+        elif line.startswith("## "):
+            current = f"{section} > {line[3:]}" if section else line[3:]
+        paths.append(current)
+    got = [(r.line, r.section_path) for r in docs.section_path(df).orderBy("line_no").collect()]
+    assert got == list(zip(lines, paths))
+    chunks = docs.chunk(df, 7).orderBy("chunk_no").collect()
+    assert len(chunks) > 300 and "".join(c.text for c in chunks) == text
+    position = 0
+    for c in chunks:
+        line = text.count("\n", 0, position)
+        assert (c.start_line, c.end_line) == (line, line + c.text.rstrip().count("\n"))
+        assert c.section_path == paths[line]
+        position += len(c.text)
