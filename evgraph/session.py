@@ -38,7 +38,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach; a local one only in local mode."""
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    setting = "spark.checkpoint.dir"
+    configured = spark.conf.get(setting, None) or sc.getConf().get(setting) or sc.getCheckpointDir()
     if configured:
         return configured
     if not sc.master.startswith("local"):
@@ -49,16 +50,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and cut its lineage."""
-    sc = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if not sc.getCheckpointDir():
+    sc, folder = df.sparkSession.sparkContext, shared_dir(df.sparkSession).rstrip("/").removeprefix("file:")
+    if not (sc.getCheckpointDir() or "").removeprefix("file:").startswith(folder):
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for tables handed between jobs."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for tables handed between jobs. They lie in
+    one folder per application, which is deleted when the application ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/evgraph-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
