@@ -1,0 +1,28 @@
+"""Row numbers over a whole table, without bringing its rows together."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from evgraph.session import written
+
+_INSIDE = (1 << 33) - 1  # the lower bits of monotonically_increasing_id count inside a partition
+
+
+def numbered(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """``rows`` with ``name``, their place from 0 in the given order, as a written table.
+
+    Rows are range-partitioned and numbered inside their partition; the only thing brought
+    together is one count for each partition."""
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    local = written(sorted_rows.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(_INSIDE))
+    counts = local.groupBy(part.alias("_part")).agg((F.max(inside) + 1).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
+    return (
+        local.withColumn("_part", part)
+        .join(counts, "_part")
+        .withColumn(name, F.col("_before") + inside)
+        .select(*[F.col(f"`{c}`") for c in rows.columns], name)
+    )
