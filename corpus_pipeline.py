@@ -5,24 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evgraph.llm import langid, mixing, packing, token_counts
-from evgraph.session import tune, written
+from evgraph.llm.steps import prepared
+from evgraph.session import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language stays unclear, go."""
-    tune(spark)
+    prepared(spark)
     return langid.reject_unknown(docs)
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by target weight: documents go, stay, or stay more than once."""
-    tune(spark)
+    prepared(spark)
     return mixing.resample(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
-    tune(spark)
+    prepared(spark)
     return packing.pack(docs, token_counts.vocabulary("word_bpe_49k.json"), 4096)
 
 
@@ -38,7 +39,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the whole ``documents`` table."""
-    docs = tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = prepared(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evgraph.llm import langid, mixing, packing, token_counts, url_filter
-from evgraph.session import tune
+from evgraph.llm import fingerprints, langid, mixing, packing, quality, token_counts, url_filter
+from evgraph.llm.steps import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +18,7 @@ def query(table: str):
 
     def keep(fn: Callable[[DataFrame], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(tune(spark).read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+            return fn(prepared(spark).read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[fn.__name__] = run
@@ -27,12 +27,24 @@ def query(table: str):
     return keep
 
 
+@query("documents")
+def op1_fingerprints(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprints.edited_pairs(docs)
+
+
 @query("documents")
 def op4_best_fit_packing(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place in a sequence of 4096 tokens."""
     return packing.pack(docs, token_counts.vocabulary("word_bpe_49k.json"), 4096)
 
 
+@query("documents")
+def op5_quality_rules(docs: DataFrame) -> DataFrame:
+    """Base counts and the verdict on every document."""
+    return quality.judge(docs)
+
+
 @query("documents")
 def op7_mixing(docs: DataFrame) -> DataFrame:
     """Words that the mix takes of every document."""

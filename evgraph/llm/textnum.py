@@ -21,6 +21,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -83,7 +84,7 @@ class Words:
         self.row = np.searchsorted(offsets, self.start, side="right") - 1
         self.count = np.bincount(self.row, minlength=self.rows) if len(self.row) else np.zeros(self.rows, np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(self.count)])
-        self._prefix = None
+        self._prefix = self._hashes = None
 
     def prefix(self) -> np.ndarray:
         if self._prefix is None:
@@ -99,27 +100,32 @@ class Words:
         return mix(value + (end - start).astype(np.uint64))
 
     def hashes(self) -> np.ndarray:
-        return self.hash_ranges(self.start, self.end)
+        if self._hashes is None:
+            self._hashes = self.hash_ranges(self.start, self.end)
+        return self._hashes
 
-    def shingles(self, width: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """(row, hash) of every window of ``width`` words, in order. With ``short``, a row
-        of fewer words gives its whole sequence as one shingle."""
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the first word, hash) of every window of ``width`` words of a row, in order."""
         words = self.hashes()
-        factor = np.uint64(0xD6E8FEB86659FD93)
         n = max(0, len(words) - width + 1)
-        inside = self.row[:n] == self.row[width - 1 : width - 1 + n]
+        first = np.flatnonzero(self.row[:n] == self.row[width - 1 : width - 1 + n])
         value = np.zeros(n, np.uint64)
         for j in range(width):
-            value = value * factor + words[j : j + n]
-        row, value = self.row[:n][inside], mix(value[inside] + np.uint64(width))
-        if not short:
-            return row, value
+            value = value * _FACTOR + words[j : j + n]
+        return first, mix(value[first] + np.uint64(width))
+
+    def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, hash) of every window of ``width`` words, in order of rows; a row of fewer
+        words gives its whole sequence as one shingle."""
+        first, value = self.windows(width)
+        row = self.row[first]
         few = np.flatnonzero((self.count > 0) & (self.count < width))
         if len(few):
+            words = self.hashes()
             whole = np.zeros(len(few), np.uint64)
             for j in range(width - 1):
                 more = self.count[few] > j
-                whole[more] = whole[more] * factor + words[self.bounds[few[more]] + j]
+                whole[more] = whole[more] * _FACTOR + words[self.bounds[few[more]] + j]
             row = np.concatenate([row, few])
             value = np.concatenate([value, mix(whole + self.count[few].astype(np.uint64))])
             order = np.argsort(row, kind="stable")
