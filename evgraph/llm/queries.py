@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evgraph.llm import fingerprints, langid, mixing, packing, quality, token_counts, url_filter
+from evgraph.llm import fingerprints, jaccard_join, langid, line_dedup, mixing, packing, quality, token_counts, url_filter
 from evgraph.llm.steps import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,18 @@ def op1_fingerprints(docs: DataFrame) -> DataFrame:
     return fingerprints.edited_pairs(docs)
 
 
+@query("documents")
+def op2_jaccard_join(docs: DataFrame) -> DataFrame:
+    """Component of every document under links of 0.9 by sets of three words."""
+    return jaccard_join.classes(docs)
+
+
+@query("documents")
+def op3_line_dedup(docs: DataFrame) -> DataFrame:
+    """Lines of every document, those that repeat an earlier one, and what stays."""
+    return line_dedup.report(docs)
+
+
 @query("documents")
 def op4_best_fit_packing(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place in a sequence of 4096 tokens."""
