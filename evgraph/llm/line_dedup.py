@@ -55,10 +55,8 @@ def segment(length: Column, i: int, most: int) -> tuple[Column, Column]:
     parts = most + 1
     size = F.floor(length / parts)
     longer = length - size * parts  # so many segments, the last ones, hold one character more
-    before = F.greatest(F.lit(0), longer - (parts - (i - 1)) + 0)
     extra_before = F.greatest(F.lit(0), F.lit(i - 1) - (parts - longer))
     own = size + F.when(F.lit(i) > parts - longer, 1).otherwise(0)
-    del before
     return (size * (i - 1) + extra_before).cast("int"), own.cast("int")
 
 
@@ -105,8 +103,6 @@ def candidates(lines: DataFrame, most: int) -> DataFrame:
         texts = rows.select(F.col("line_id").alias("_l"), F.col("tag").alias("_t"), "x") if level else lines.select(F.col("line_id").alias("_l"), F.col("line").alias("x"))
         crowded = crowded.select("line_id", "key", "at", "size").distinct()
         joined = crowded.join(texts, F.col("line_id") == F.col("_l"))
-        if level:
-            joined = joined.where(F.lit(True))
         left = F.concat(F.substr("x", F.lit(1), F.col("at")), F.lit("\x01"), F.substr("x", F.col("at") + F.col("size") + 1))
         rows = written(joined.select("line_id", left.alias("x"), F.col("key").alias("tag")), f"crowd-{level}")
     return written(pairs.distinct(), "pairs")
@@ -137,7 +133,7 @@ def within(a: Column, b: Column, most: int) -> Column:
     # before any character of b, the first i of a are dropped with i edits: diagonal -i
     start = F.struct(*[F.lit(sum(1 << (most - i) for i in range(e + 1))).alias(f"r{e}") for e in range(most + 1)])
     end = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)
-    bit = F.shiftright(end[f"r{most}"], F.greatest(n - m + most, F.lit(0))).bitwiseAND(F.lit(1)) == 1
+    bit = F.getbit(end[f"r{most}"], F.least(F.greatest(n - m + most, F.lit(0)), F.lit(width - 1))) == 1
     return F.when(F.abs(n - m) > most, False).when((m == 0) | (n == 0), F.greatest(m, n) <= most).otherwise(bit)
 
 
