@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evgraph.llm import fingerprints, jaccard_join, langid, line_dedup, mixing, packing, quality, token_counts, url_filter
+from evgraph.llm import fingerprints, jaccard_join, langid, line_dedup, mixing, packing, quality, repeat_index, token_counts, url_filter
 from evgraph.llm.steps import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op5_quality_rules(docs: DataFrame) -> DataFrame:
     return quality.judge(docs)
 
 
+@query("documents")
+def op6_repeat_index(docs: DataFrame) -> DataFrame:
+    """Bytes of every document that repeat passages of earlier ones, and the hash of what stays."""
+    return repeat_index.report(docs)
+
+
 @query("documents")
 def op7_mixing(docs: DataFrame) -> DataFrame:
     """Words that the mix takes of every document."""
