@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evgraph.llm import langid, mixing, packing, token_counts
+from evgraph.llm import jaccard_join, langid, line_dedup, mixing, packing, token_counts
 from evgraph.llm.steps import prepared
 from evgraph.session import written
 
@@ -15,6 +15,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.reject_unknown(docs)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines within two edits of an earlier line go, and documents that keep no word."""
+    prepared(spark)
+    return line_dedup.dedup(docs)
+
+
+def jaccard_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five words a shingle, a similarity of 0.8 or more."""
+    prepared(spark)
+    return jaccard_join.one_of_each(docs)
+
+
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by target weight: documents go, stay, or stay more than once."""
     prepared(spark)
@@ -29,6 +41,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("language ID", language_id),
+    ("line dedup", line_dedup_stage),
+    ("n-gram Jaccard join", jaccard_join_stage),
     ("mixing sources to target weights", mixing_weights),
     ("best-fit packing", best_fit_packing),
 ]
