@@ -134,7 +134,7 @@ fragment("path_edge", """
   SELECT 'solicitation:' || l_orderkey AS src, 'office:' || l_suppkey AS dst,
     CAST(round(1 - l_discount, 2) AS DECIMAL(4,2)) AS confidence FROM lineitem WHERE l_linenumber = 1
   UNION ALL SELECT 'office:' || l_suppkey, 'program:' || l_partkey, CAST(round(1 - l_discount, 2) AS DECIMAL(4,2))
-    FROM lineitem WHERE l_linenumber = 2 AND l_quantity >= 45
+    FROM lineitem WHERE l_linenumber = 2
   UNION ALL SELECT 'program:' || p_partkey, 'company:' || p_brand, CAST(0.90 AS DECIMAL(4,2)) FROM part""")
 
 fragment("name_record", """

@@ -51,12 +51,13 @@ def identifier_conflicts(identifiers: DataFrame) -> DataFrame:
     return shared.unionByName(several)
 
 
-def ancestry(parents: DataFrame, max_depth: int = 8) -> DataFrame:
+def ancestry(parents: DataFrame) -> DataFrame:
     """The path from each entity to its root: entity, path, depth, root.
 
     Only entities that are themselves parents take part in the level-by-level walk;
-    the many leaves are attached to finished paths in one join at the end. What leads
-    to no root within ``max_depth`` (a cycle, say) comes back with a null path.
+    the many leaves are attached to finished paths in one join at the end. The walk goes on until
+    nothing new is reached, however long the chains; a path never meets an entity twice, so cycles
+    end it. What leads to no root, being on a cycle or under one, comes back with a null path.
     """
     links = written(parents.select("child", "parent").distinct(), "links")
     inner_nodes = links.select(F.col("parent").alias("child")).distinct()
@@ -79,9 +80,9 @@ def ancestry(parents: DataFrame, max_depth: int = 8) -> DataFrame:
             (F.col("depth") + 1).alias("depth"), "root",
         )
 
-    for _ in range(max_depth - 1):
+    while True:
         step = attached(inner, frontier, "inner")
-        frontier = checkpointed(step.where(~F.array_contains(F.slice("path", 2, max_depth), F.col("entity"))))
+        frontier = checkpointed(step.where(~F.array_contains(F.slice("path", F.lit(2), F.size("path")), F.col("entity"))))
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)

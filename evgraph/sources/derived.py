@@ -198,7 +198,7 @@ def path_edges(t: Tables) -> DataFrame:
         F.lit("solicitation").alias("src_type"), key("solicitation", "l_orderkey").alias("src"),
         F.lit("office").alias("dst_type"), key("office", "l_suppkey").alias("dst"), confidence.alias("confidence"),
     )
-    owned = line.where((F.col("l_linenumber") == 2) & (F.col("l_quantity") >= 45)).select(
+    owned = line.where(F.col("l_linenumber") == 2).select(
         F.lit("office").alias("src_type"), key("office", "l_suppkey").alias("src"),
         F.lit("program").alias("dst_type"), key("program", "l_partkey").alias("dst"), confidence.alias("confidence"),
     )
