@@ -112,18 +112,18 @@ def of_fitting_size(n: str, m: str, percent: int) -> Column:
     return (100 * F.least(n, m)) >= percent * F.greatest(n, m)
 
 
-def regions(sets: DataFrame, percent: int) -> DataFrame:
-    """(pivot, uid, n, c) of every region with two sets or more; c is the region's size."""
+def regions(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(pivot, uid, n, c) of every region with two of ``reps`` (uid) or more; c is the region's size."""
     window = F.slice("shingles", F.lit(1), window_size(F.col("n"), percent))
-    rows = sets.select(F.explode(window).alias("pivot"), "uid", "n")
+    rows = sets.select(F.explode(window).alias("pivot"), "uid", "n").join(reps, "uid", "left_semi")
     counts = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     return written(rows.join(counts, "pivot"), "regions")
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, label) of the sets' components under links of similarity ``percent`` / 100 or more."""
+def links(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(id, label) of the components of ``reps`` under links of similarity ``percent`` / 100 or more."""
     radius = 1 - percent / 100
-    cells = regions(sets, percent)
+    cells = regions(sets, reps, percent)
     few = cells.where(F.col("c") <= SMALL)
     a = few.select("pivot", F.col("uid").alias("a"), F.col("n").alias("_n"))
     b = few.select("pivot", F.col("uid").alias("b"), F.col("n").alias("_m"))
@@ -168,8 +168,7 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90, key: str = "doc_
     some = found.where("n > 0")
     smallest = F.min(F.struct(F.col("key").isNull().alias("null"), "key")).alias("first")
     same = written(some.groupBy("h1", "h2").agg(smallest, F.min("uid").alias("rep")), "classes")
-    sets = written(found.join(same.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", "n", "shingles"), "distinct")
-    labels = written(links(sets, percent), "labels")
+    labels = written(links(some, same.select(F.col("rep").alias("uid")), percent), "labels")
     labelled = same.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     labelled = written(labelled, "labelled")
     least = labelled.groupBy("label").agg(F.min("first").alias("least"))
