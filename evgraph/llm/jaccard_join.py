@@ -115,7 +115,7 @@ def of_fitting_size(n: str, m: str, percent: int) -> Column:
 def regions(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(pivot, uid, n, c) of every region with two of ``reps`` (uid) or more; c is the region's size."""
     window = F.slice("shingles", F.lit(1), window_size(F.col("n"), percent))
-    rows = sets.select(F.explode(window).alias("pivot"), "uid", "n").join(reps, "uid", "left_semi")
+    rows = sets.select(F.explode(window).alias("pivot"), "uid", "n").join(reps, "uid")  # a semi join would move the arrays
     counts = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     return written(rows.join(counts, "pivot"), "regions")
 
