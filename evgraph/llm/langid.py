@@ -116,9 +116,11 @@ def fit(labelled: DataFrame, per_language: int = 500, sample_chars: int = 3000,
     return Model(languages, places, logs, penalty)
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, key: str = "doc_id", keep: tuple[str, ...] = (), names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
     """``keep`` columns, lang_pred and score (the winner's share of the probability, with the
-    evidence of a text tempered to its square root) for every row."""
+    evidence of a text tempered to its square root) for every row; ``names`` are the two columns' names."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample's size
     columns = list(keep) or [key]
@@ -151,12 +153,12 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", keep: tuple[str,
                 scores.append(float(1.0 / share.sum()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                names=[*columns, "lang_pred", "score"],
+                names=[*columns, *names],
             )
 
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
     return docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias("_text")).mapInArrow(
-        run, ", ".join([*kinds, "lang_pred string", "score double"])
+        run, ", ".join([*kinds, f"`{names[0]}` string", f"`{names[1]}` double"])
     )
 
 
@@ -170,8 +172,9 @@ def reject_unknown(docs: DataFrame, least: float = 0.6, **settings) -> DataFrame
     """The rows, with all their columns, whose language is known with a score of ``least``."""
     model = fit(docs.select("doc_id", "text", "lang"), **settings)
     columns = docs.columns
+    names = tuple("_" * (1 + max(map(len, columns))) + c for c in ("lang_pred", "score"))  # longer than any given name
     return (
-        predict(docs, model, keep=tuple(columns))
-        .where((F.col("lang_pred") != UND) & (F.col("score") >= least))
+        predict(docs, model, keep=tuple(columns), names=names)
+        .where((F.col(names[0]) != UND) & (F.col(names[1]) >= least))
         .select(*[F.col(f"`{c}`") for c in columns])
     )
