@@ -1,69 +1,49 @@
 """Quality rules: counts of a text, and the perplexity of an n-gram model of its language.
 
-The model reads characters in 32 classes (letters a to z, white space, digits, other letters,
-punctuation, symbols), four at a time, so a language has at most 2**20 n-grams however large the
-corpus is: that bounds what is brought together and broadcast. Languages share 16 models by
-a hash of their name. Spark counts the n-grams of all texts; modified Kneser-Ney smoothing
-turns the counts into probabilities, kept as arrays sorted by n-gram hash. A language's band lies
-around the quartiles of its documents' log perplexities, and documents outside it are rejected.
+The model reads UTF-16 code units, A-Z lower-cased, four at a time: four units are one exact 64-bit
+number, and the set of n-grams grows with the corpus. Languages share 16 models by a hash of their
+name. Spark counts the n-grams of all texts and applies modified Kneser-Ney smoothing by
+aggregates and joins; the entries are kept in arrays sorted by hash. Up to ``MOST_ENTRIES`` of
+them, checked by a count, are broadcast; a larger model stays a table and is joined with the
+n-grams of each text, with equal results. A language's band lies around the quartiles of
+its documents' log perplexities, and documents outside it are rejected.
 
 Edge cases: a null or empty text has no words, so it fails the base rules, and its
 perplexity is null; null languages are one language; repeated rows count as often as they occur;
 a language with one document keeps it; the empty table gives the empty table; further
-columns are left out of ``judge`` and kept by ``keep_good``.
+columns are left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from evgraph.llm.textnum import Words, mix, slices
+from evgraph.llm.textnum import Words, lowered, mix, slices
 from evgraph.session import written
 
-CLASS_BITS, ORDER, SLOTS = 5, 4, 16
-GRAMS = 1 << (CLASS_BITS * ORDER)
+UNIT_BITS, ORDER, SLOTS = 16, 4, 16
+MOST_ENTRIES = 4_000_000  # of 12 bytes each
 SYMBOLS = "#*$%&|<>"
-_classes: list[np.ndarray] = []
-_tables: dict[tuple, np.ndarray] = {}
-
-
-def classes() -> np.ndarray:
-    """The class of every code point: 1-26 a-z, 27 white space, 28 digits, 29 other letters,
-    30 punctuation, 31 the rest; 0 stands before a text."""
-    if not _classes:
-        table = np.full(0x110000, 31, np.uint8)
-        for point in range(0x110000):
-            c = chr(point)
-            if c.isalpha():
-                table[point] = 29
-            elif c.isspace():
-                table[point] = 27
-            elif c.isdigit():
-                table[point] = 28
-        for c in ".,;:!?'\"()-":
-            table[ord(c)] = 30
-        for i in range(26):
-            table[ord("a") + i] = table[ord("A") + i] = i + 1
-        _classes.append(table)
-    return _classes[0]
+UNIFORM = -float(np.log(1 << UNIT_BITS))
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each character, and the rows' offsets in characters."""
-    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
-    begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    """The n-gram that ends at each code unit, and the rows' offsets in units; 0 stands before a text."""
+    units = np.frombuffer(lowered(data).tobytes().decode("utf-8", "replace").encode("utf-16-le"), np.uint16)
+    begins = np.concatenate([[0], np.cumsum(((data & 0xC0) != 0x80).astype(np.int64) + (data >= 0xF0))])
     bounds = begins[offsets]
-    kind = classes()[points].astype(np.int32)
-    place = np.arange(len(kind)) - np.repeat(bounds[:-1], np.diff(bounds))
-    gram = kind.copy()
+    unit = units.astype(np.uint64)
+    place = np.arange(len(unit)) - np.repeat(bounds[:-1], np.diff(bounds))
+    gram = unit.copy()
     for back in range(1, ORDER):
-        before = np.zeros_like(kind)
-        before[back:] = kind[:-back]
+        before = np.zeros_like(unit)
+        before[back:] = unit[:-back]
         before[place < back] = 0
-        gram |= before << (CLASS_BITS * back)
-    return gram, bounds
+        gram |= before << np.uint64(UNIT_BITS * back)
+    return gram.view(np.int64), bounds
 
 
 def slot_of(lang: Column) -> Column:
@@ -71,132 +51,143 @@ def slot_of(lang: Column) -> Column:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(slot, gram, n) of all texts."""
+    """(slot, gram, n) of all texts, counted in each slice before the shuffle."""
 
     def run(batches):
-        totals: dict[int, np.ndarray] = {}
         for batch in batches:
             slot = batch.column(0).to_numpy()
             for a, b, data, offsets in slices(batch.column(1)):
                 gram, bounds = grams(data, offsets)
                 owner = np.repeat(slot[a:b], np.diff(bounds))
-                for s in np.unique(slot[a:b]).tolist():
-                    found = np.bincount(gram[owner == s], minlength=GRAMS)
-                    totals[s] = totals[s] + found if s in totals else found
-        for s, found in totals.items():
-            seen = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(seen), s, np.int32)), pa.array(seen.astype(np.int32)), pa.array(found[seen])],
-                names=["slot", "gram", "n"],
-            )
+                for s in np.unique(owner).tolist():
+                    place, own = pd.factorize(gram[owner == s])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), s, np.int32)), pa.array(own), pa.array(np.bincount(place).astype(np.int64))],
+                        names=["slot", "gram", "n"],
+                    )
 
     return (
         docs.select(slot_of(F.col("lang")).alias("slot"), F.col("text").cast("string"))
-        .mapInArrow(run, "slot int, gram int, n long")
+        .mapInArrow(run, "slot int, gram long, n long")
         .groupBy("slot", "gram")
         .agg(F.sum("n").alias("n"))
     )
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What counts 0, 1, 2 and 3 or more lose, from the numbers of n-grams seen 1 to 4 times."""
-    n = np.bincount(np.minimum(counts[counts > 0], 5), minlength=6).astype(float)
-    if n[1] == 0 or n[2] == 0:
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n[1] / (n[1] + 2 * n[2])
-    lost = [0.0] + [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else 0.5 for k in (1, 2, 3)]
-    return np.clip(lost, [0, 0.05, 0.05, 0.05], [0, 0.95, 1.9, 2.8])
-
-
-def smooth(counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(probability of each n-gram's last class, weight left to the shorter context) for the
-    orders 1 to ``ORDER``: modified Kneser-Ney, interpolated."""
-    width = 1 << CLASS_BITS
-    levels = [counts]
-    for _ in range(ORDER - 1):  # in how many contexts a shorter n-gram occurs
-        levels.append((levels[-1].reshape(width, -1) > 0).sum(axis=0))
-    lower, out = np.full(width, 1 / width), []
-    for level in reversed(levels):
-        lost = discounts(level)
-        by_context = level.reshape(-1, width)
-        total = by_context.sum(axis=1).astype(float)
-        taken = lost[np.minimum(by_context, 3)]
-        left = np.where(total > 0, taken.sum(axis=1) / np.maximum(total, 1), 1.0)
-        share = np.where(total[:, None] > 0, (by_context - taken) / np.maximum(total, 1)[:, None], 0.0)
-        shorter = (np.tile(lower, width) if level.size > width else lower).reshape(-1, width)
-        lower = (share + left[:, None] * shorter).reshape(-1)
-        out.append((lower, left))
-    return out
-
-
-def gram_hash(slot: int, order: int, gram: np.ndarray) -> np.ndarray:
-    return mix(gram.astype(np.uint64) + np.uint64((slot * 8 + order) << 32))
+def last_units(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << (UNIT_BITS * order)) - 1)) if order < ORDER else gram
+
+
+def context_of(gram: Column) -> Column:
+    return F.shiftrightunsigned(gram, UNIT_BITS)
+
+
+def discounts(level: DataFrame) -> DataFrame:
+    """(slot, units, d1, d2, d3): what counts 1, 2 and 3 or more lose, from the numbers of n-grams
+    seen 1 to 4 times. One row a slot."""
+    seen = [F.count_if(F.col("n") == k).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)]
+    tally = level.groupBy("slot").agg(F.count(F.lit(1)).alias("units"), *seen)
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+
+    def lost(k: int, most: float) -> Column:
+        exact = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{k}") > 0)
+        return F.when(usable, F.greatest(F.lit(0.05), F.least(F.lit(most), exact))).otherwise(0.5).alias(f"d{k}")
+
+    return tally.select("slot", "units", lost(1, 0.95), lost(2, 1.9), lost(3, 2.8))
+
+
+def smoothed(level: DataFrame, shorter: DataFrame | None, order: int) -> DataFrame:
+    """(slot, gram, p, context, rest): interpolated modified Kneser-Ney of one order; ``rest`` is the
+    weight that the context leaves to the next shorter order."""
+    n = F.col("n")
+    lost = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
+    rows = level.join(F.broadcast(discounts(level)), "slot")  # at most SLOTS rows
+    rows = rows.select("slot", "gram", "n", "units", lost.alias("d"), context_of(F.col("gram")).alias("context"))
+    contexts = rows.groupBy("slot", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
+    rows = rows.join(contexts, ["slot", "context"])
+    share, rest = (n - F.col("d")) / F.col("total"), F.col("taken") / F.col("total")
+    if shorter is None:
+        rows = rows.withColumn("rest", rest / (F.col("units") + 1))  # of a unit never seen
+        return rows.select("slot", "gram", (share + F.col("rest")).alias("p"), "context", "rest")
+    lower = shorter.select("slot", F.col("gram").alias("suffix"), F.col("p").alias("q"))
+    rows = rows.withColumn("suffix", last_units(F.col("gram"), order - 1)).join(lower, ["slot", "suffix"])
+    return rows.select("slot", "gram", (share + rest * F.col("q")).alias("p"), "context", rest.alias("rest"))
+
+
+def fit(docs: DataFrame) -> DataFrame:
+    """(slot, kind, gram, value) of all texts: kind k holds the log probabilities of the n-grams of order k,
+    kind ``ORDER`` + k the log weights of their contexts."""
+    levels = {ORDER: written(gram_counts(docs), "grams")}
+    for order in range(ORDER - 1, 0, -1):  # in how many contexts a shorter n-gram occurs
+        suffix = last_units(F.col("gram"), order).alias("gram")
+        longer = levels[order + 1].select("slot", suffix)
+        levels[order] = written(longer.groupBy("slot", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+    entries, shorter = None, None
+    for order in range(1, ORDER + 1):
+        shorter = written(smoothed(levels[order], shorter, order), "smoothed")
+        own = shorter.select("slot", F.lit(order).alias("kind"), "gram", F.log("p").cast("float").alias("value"))
+        contexts = shorter.groupBy("slot", "context").agg(F.max("rest").alias("rest"))
+        contexts = contexts.select("slot", F.lit(ORDER + order), "context", F.log("rest").cast("float"))
+        both = own.union(contexts)
+        entries = both if entries is None else entries.union(both)
+    return written(entries, "model")
 
 
 class Model:
-    """Log probabilities of the seen n-grams and log weights of the seen contexts, in arrays
-    sorted by hash."""
-
-    def __init__(self, counts: dict[int, np.ndarray]):
-        keys, values, context_keys, weights = [], [], [], []
-        for slot, found in counts.items():
-            level = found
-            seen = [found]
-            for _ in range(ORDER - 1):
-                level = (level.reshape(1 << CLASS_BITS, -1) > 0).sum(axis=0)
-                seen.append(level)
-            for order, (p, left) in enumerate(smooth(found), 1):
-                own = np.flatnonzero(seen[ORDER - order]) if order > 1 else np.arange(1 << CLASS_BITS)
-                keys.append(gram_hash(slot, order, own))
-                values.append(np.log(p[own]))
-                contexts = np.flatnonzero(left < 1.0) if order > 1 else np.zeros(0, np.int64)
-                context_keys.append(gram_hash(slot, order, contexts))
-                weights.append(np.log(np.maximum(left[contexts], 1e-12)))
-        self.keys, self.values = self._sorted(keys, values)
-        self.context_keys, self.weights = self._sorted(context_keys, weights)
-        self.name = (len(self.keys), float(self.values.sum()), float(self.weights.sum()))
+    """The entries in one array sorted by hash."""
 
-    @staticmethod
-    def _sorted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        key = np.concatenate([*keys, np.zeros(0, np.uint64)])
-        value = np.concatenate([*values, np.zeros(0)]).astype(np.float32)
+    def __init__(self, slot: np.ndarray, kind: np.ndarray, gram: np.ndarray, value: np.ndarray):
+        key = self.hashed(slot, kind, gram)
         order = np.argsort(key)
-        return key[order], value[order]
+        self.keys, self.values = key[order], value[order]
 
     @staticmethod
-    def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(keys, wanted)
-        hit = at < len(keys)
-        hit[hit] = keys[at[hit]] == wanted[hit]
-        out = np.full(len(wanted), np.nan, np.float32)
-        out[hit] = values[at[hit]]
+    def hashed(slot, kind, gram: np.ndarray) -> np.ndarray:
+        salt = mix(np.atleast_1d(np.asarray(slot, np.uint64) * np.uint64(16) + np.asarray(kind, np.uint64)))
+        return mix(gram.view(np.uint64) ^ salt)
+
+    def find(self, slot: int, kind: int, gram: np.ndarray) -> np.ndarray:
+        wanted = self.hashed(slot, kind, gram)
+        at = np.searchsorted(self.keys, wanted)
+        hit = at < len(self.keys)
+        hit[hit] = self.keys[at[hit]] == wanted[hit]
+        out = np.full(len(wanted), np.nan)
+        out[hit] = self.values[at[hit]]
         return out
 
-    def table(self, slot: int) -> np.ndarray:
-        """Log probability of every n-gram of full order, read from the sorted arrays once."""
-        if (slot, self.name) not in _tables:
-            if len(_tables) >= SLOTS:
-                _tables.clear()
-            width, lower = 1 << CLASS_BITS, None
-            for order in range(1, ORDER + 1):
-                own = self._find(self.keys, self.values, gram_hash(slot, order, np.arange(width**order)))
-                if order > 1:
-                    left = self._find(self.context_keys, self.weights, gram_hash(slot, order, np.arange(width ** (order - 1))))
-                    back = np.nan_to_num(left, nan=0.0).repeat(width) + np.tile(lower, width)
-                    own = np.where(np.isnan(own), back, own)
-                lower = np.nan_to_num(own, nan=-np.log(width))
-            _tables[slot, self.name] = lower.astype(np.float32)
-        return _tables[slot, self.name]
-
-
-def fit(docs: DataFrame) -> Model:
-    """The model of all texts; at most ``SLOTS`` * 2**20 counts reach the driver."""
-    rows = gram_counts(docs).toArrow()
-    slot, gram, n = (rows.column(c).to_numpy() for c in ("slot", "gram", "n"))
-    counts = {}
-    for s in np.unique(slot).tolist():
-        counts[s] = np.bincount(gram[slot == s], weights=n[slot == s], minlength=GRAMS).astype(np.int64)
-    return Model(counts)
+    def logs(self, slot: int, gram: np.ndarray) -> np.ndarray:
+        """Log probability of each n-gram's last unit; n-grams never seen back off."""
+        out, weight = np.full(len(gram), np.nan), np.zeros(len(gram))
+        for order in range(ORDER, 0, -1):
+            at = np.flatnonzero(np.isnan(out))
+            own = gram[at] & np.int64((1 << (UNIT_BITS * order)) - 1) if order < ORDER else gram[at]
+            out[at] = weight[at] + self.find(slot, order, own)
+            context = (own.view(np.uint64) >> np.uint64(UNIT_BITS)).view(np.int64)
+            weight[at] += np.nan_to_num(self.find(slot, ORDER + order, context), nan=UNIFORM if order == 1 else 0.0)
+        return np.where(np.isnan(out), weight, out)
+
+
+def in_arrays(entries: DataFrame) -> Model:
+    rows = entries.toArrow()
+    return Model(*(rows.column(c).to_numpy() for c in ("slot", "kind", "gram", "value")))
+
+
+def joined_logs(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """``rows`` (slot, gram and more) with ``log``, as ``Model.logs`` gives it, by joins."""
+    rows = rows.withColumn("log", F.lit(None).cast("double")).withColumn("weight", F.lit(0.0))
+
+    def value(kind: int) -> DataFrame:
+        return entries.where(F.col("kind") == kind).select(F.col("slot").alias("_s"), F.col("gram").alias("_g"), F.col("value").alias("_v"))
+
+    for order in range(ORDER, 0, -1):
+        own = last_units(F.col("gram"), order)
+        rows = rows.join(value(order), (F.col("slot") == F.col("_s")) & (own == F.col("_g")), "left")
+        rows = rows.withColumn("log", F.coalesce("log", F.col("weight") + F.col("_v"))).drop("_s", "_g", "_v")
+        rows = rows.join(value(ORDER + order), (F.col("slot") == F.col("_s")) & (context_of(own) == F.col("_g")), "left")
+        left = F.coalesce("_v", F.lit(UNIFORM if order == 1 else 0.0))
+        rows = rows.withColumn("weight", F.col("weight") + left).drop("_s", "_g", "_v")
+    return rows.withColumn("log", F.coalesce("log", "weight")).drop("weight")
 
 
 _SYMBOL = np.zeros(256, bool)
@@ -256,23 +247,27 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measured(docs: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` columns, the base counts, and ``log_perplexity`` (null for an empty text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see the module's text
+def measured(docs: DataFrame, keep: tuple[str, ...], model: Model | None) -> DataFrame:
+    """``keep`` columns, the base counts, and ``log_perplexity`` (null for an empty text or without a model)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST_ENTRIES at most
 
     def run(batches):
+        model = shared.value
         for batch in batches:
             slot = batch.column(batch.num_columns - 2).to_numpy()
             parts: dict[str, list[np.ndarray]] = {c: [] for c in (*COUNTS, "log_perplexity")}
             for a, b, data, offsets in slices(batch.column(batch.num_columns - 1)):
                 for c, found in base_counts(data, offsets).items():
                     parts[c].append(found)
+                if model is None:
+                    parts["log_perplexity"].append(np.full(b - a, np.nan))
+                    continue
                 gram, bounds = grams(data, offsets)
                 owner = np.repeat(slot[a:b], np.diff(bounds))
                 log = np.zeros(len(gram))
-                for s in np.unique(slot[a:b]).tolist():
-                    own = owner == s
-                    log[own] = shared.value.table(s)[gram[own]]
+                for s in np.unique(owner).tolist():
+                    place, own = pd.factorize(gram[owner == s])
+                    log[owner == s] = model.logs(s, own)[place]
                 size = np.diff(bounds)
                 parts["log_perplexity"].append(np.where(size > 0, -sums(log, bounds) / np.maximum(size, 1), np.nan))
             arrays = [pa.array(np.concatenate([np.zeros(0, np.int64), *parts[c]]).astype(np.int64)) for c in COUNTS]
@@ -287,6 +282,44 @@ def measured(docs: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
     ).mapInArrow(run, ", ".join([*kinds, *(f"{c} long" for c in COUNTS), "log_perplexity double"]))
 
 
+def text_key() -> list[Column]:
+    """128 bits that stand for a text and its slot: equal ones have equal perplexities."""
+    slot = slot_of(F.col("lang"))
+    return [F.xxhash64(F.lit(i), slot, F.col("text").cast("string")).alias(f"_key{i}") for i in (0, 1)]
+
+
+def joined_perplexities(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """(_key0, _key1, _log) of every text that is not empty, by joins with the whole model."""
+
+    def run(batches):
+        for batch in batches:
+            slot = batch.column(2).to_numpy()
+            for a, b, data, offsets in slices(batch.column(3)):
+                gram, bounds = grams(data, offsets)
+                for i in range(a, b):
+                    place, own = pd.factorize(gram[bounds[i - a] : bounds[i - a + 1]])
+                    same = [pa.repeat(batch.column(j)[i], len(own)) for j in (0, 1)]
+                    arrays = [*same, pa.array(np.full(len(own), slot[i], np.int32)), pa.array(own), pa.array(np.bincount(place).astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["_key0", "_key1", "slot", "gram", "n"])
+
+    texts = docs.select(*text_key(), slot_of(F.col("lang")).alias("slot"), F.col("text").cast("string"))
+    rows = texts.mapInArrow(run, "_key0 long, _key1 long, slot int, gram long, n long")
+    mean = -F.sum(F.col("n") * F.col("log")) / F.sum("n")
+    return joined_logs(rows, entries).groupBy("_key0", "_key1").agg(mean.alias("_log"))
+
+
+def scores(docs: DataFrame, keep: tuple[str, ...], most_entries: int = MOST_ENTRIES) -> DataFrame:
+    """``keep`` columns, base counts and ``log_perplexity`` under the model of all texts."""
+    entries = fit(docs)
+    if entries.count() <= most_entries:
+        return measured(docs, keep, in_arrays(entries))
+    names = ("_key0", "_key1")
+    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "lang", "text"))], *text_key())
+    rows = measured(docs, (*keep, *names), None).drop("log_perplexity")
+    logs = joined_perplexities(docs, entries).withColumnRenamed("_log", "log_perplexity")
+    return rows.join(logs, list(names), "left").drop(*names)
+
+
 def bands(scored: DataFrame, width: float, least: float) -> DataFrame:
     """(_lang, low, high): ``width`` quartile distances, ``least`` at least, around the quartiles of
     the log perplexities of a language's documents that pass the base rules."""
@@ -297,10 +330,10 @@ def bands(scored: DataFrame, width: float, least: float) -> DataFrame:
     return written(found.select("_lang", (low - slack).alias("low"), (high + slack).alias("high")), "bands")
 
 
-def judge(docs: DataFrame, width: float = 3.0, least: float = 0.05) -> DataFrame:
+def judge(docs: DataFrame, width: float = 3.0, least: float = 0.05, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = measured(docs, fit(docs), ("doc_id", "lang")).withColumn("base_failed", failed)
+    scored = scores(docs, ("doc_id", "lang"), most_entries).withColumn("base_failed", failed)
     scored = written(scored, "scored")
     lines = bands(scored, width, least)
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))

@@ -35,6 +35,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return _LOWER[data]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
