@@ -15,11 +15,14 @@ from evgraph.sources import derived
 from evgraph.sources.tables import Tables
 
 fragment("answer", """
-  SELECT r.opp, r.resolution, r.office, r.n_offices,
+  SELECT r.opp, r.resolution, r.office, r.n_offices, own.owners,
     CASE WHEN r.office IS NOT NULL THEN 'office:' || r.office || ',subagency:' || s.s_nationkey || ',agency:' || n.n_regionkey
       END AS path, o.o_custkey AS contracting, c.contacts, k.alternatives, CAST(w.confidence AS DOUBLE) AS confidence,
     d.cited, coalesce(w.n_counter, 0) AS n_counterevidence
   FROM resolved_dated r JOIN orders o ON o.o_orderkey = r.opp
+  LEFT JOIN (SELECT opp, string_agg(office, ',' ORDER BY office) AS owners FROM (SELECT DISTINCT opp, office
+      FROM dated_evidence WHERE kind IN ('explicit_owner','office_code','poc_context') AND NOT refutes) GROUP BY opp) own
+    ON own.opp = r.opp
   LEFT JOIN supplier s ON s.s_suppkey = r.office LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
   LEFT JOIN (SELECT opp, max(confidence) FILTER (kind IN ('explicit_owner','office_code','poc_context') AND NOT refutes)
       AS confidence, count(*) FILTER (refutes) AS n_counter FROM dated_evidence GROUP BY opp) w ON w.opp = r.opp

@@ -48,7 +48,20 @@ def role_weight(col: Column, weights: Mapping[str, float] = ROLE_WEIGHTS) -> Col
 
 
 def round3(col: Column) -> Column:
-    return F.round(col, 3)
+    """To three places by the number's exact binary value; exact ties go to the even digit.
+
+    ``125 * x`` is compared with ``(2 * m + 1) / 16``, which lies halfway between m and m + 1
+    thousandths: x is split into two parts whose products with 125 are exact."""
+    x = F.abs(col)
+    wide = x * 134217729.0  # 2**27 + 1
+    high = wide - (wide - x)
+    low = x - high
+    m = F.floor(x * 1000.0).cast("double")
+    past = (high * 125.0 - (2.0 * m + 1.0) / 16.0) + low * 125.0
+    up = (past > 0) | ((past == 0) & (m % 2 == 1))
+    rounded = (m + F.when(up, 1.0).otherwise(0.0)) / 1000.0
+    # from 2**42 on a double holds no fourth place worth rounding
+    return F.when(x < float(1 << 42), F.when(col < 0, -rounded).otherwise(rounded)).otherwise(col)
 
 
 def shown(col: Column) -> Column:

@@ -247,14 +247,17 @@ def source_registry(raw: DataFrame) -> DataFrame:
 
 
 def stage_coverage(registry: DataFrame, stages: tuple[str, ...], families: list[str]) -> DataFrame:
-    """Per stage, sources per family; stages without a source are kept and marked."""
+    """Per stage, sources per family and all sources, of whatever family; stages without a
+    source are kept and marked."""
     spark = registry.sparkSession
     every = spark.createDataFrame([(s,) for s in stages], "stage string")
-    wide = registry.groupBy("stage").pivot("family", families).agg(F.countDistinct("source_id"))
+    wide = registry.groupBy("stage").agg(
+        *[F.countDistinct(F.when(F.col("family") == f, F.col("source_id"))).alias(f) for f in families],
+        F.countDistinct("source_id").alias("n_sources"),
+    )
     counted = every.join(wide, "stage", "left").select(
-        "stage", *[F.coalesce(f, F.lit(0)).alias(f) for f in families]
+        "stage", *[F.coalesce(c, F.lit(0)).alias(c) for c in (*families, "n_sources")]
     )
-    total = sum((F.col(f) for f in families), F.lit(0))
-    return counted.withColumn("n_sources", total).withColumn(
+    return counted.withColumn(
         "coverage", F.when(F.col("n_sources") == 0, "none").otherwise("covered")
     )

@@ -10,8 +10,14 @@ from evgraph.session import checkpointed, written
 
 
 def local_id(kind: str, *keys: Column | str) -> Column:
-    """A deterministic id from a kind and its natural key."""
-    return F.sha2(F.concat_ws("|", F.lit(kind), *[F.col(k) if isinstance(k, str) else k for k in keys]), 256)
+    """A deterministic id from a kind and its natural key. Separators inside a part are
+    escaped and a null part has a mark of its own, so different keys never read alike."""
+
+    def part(key: Column) -> Column:
+        text = F.replace(key.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+    return F.sha2(F.concat_ws("|", F.lit(kind), *[part(F.col(k) if isinstance(k, str) else k) for k in keys]), 256)
 
 
 def normalised_identifier(raw: Column) -> Column:

@@ -84,36 +84,28 @@ def _closest(profiles: Column, k: int) -> Column:
     return F.slice(F.array_sort(scored), 1, k)
 
 
-def match_vectors(needs: DataFrame, profiles: DataFrame, k: int = 3, in_memory: int = 2_000) -> DataFrame:
+def match_vectors(needs: DataFrame, profiles: DataFrame, k: int = 3, block: int = 1_000) -> DataFrame:
     """The k offices closest to each need by cosine: need, embedding against office, profile.
 
-    Profiles are counted first. Up to ``in_memory`` they travel as one constant array
-    and each need is ranked inside its row, k rows out, no shuffle. Beyond it they are
-    cut into blocks of that size; each need meets every block, keeps k per block, and
-    the k best of those are the k best overall.
+    Profiles are dealt into blocks of about ``block``; each need meets every block, keeps k
+    per block, and the k best of those are the k best overall. Only the number of profiles
+    reaches the driver.
     """
     needs = _with_length(needs.select("need", "embedding"), "embedding", "_len").where("_len > 0")
     profiles = written(_with_length(profiles, "profile", "plen").where("plen > 0"), "profiles")
     packed = F.array_sort(F.collect_list(F.struct("office", "profile", "plen")))
-    n = profiles.count()
-    if n <= in_memory:
-        near = needs.withColumn("_profiles", profiles.agg(packed).scalar()).withColumn(
-            "_near", _closest(F.col("_profiles"), k)
-        )
-    else:
-        blocks, spread = -(-2 * n // in_memory), 32
-        grouped = profiles.withColumn("_block", F.pmod(F.xxhash64("office"), F.lit(blocks))).groupBy("_block").agg(
-            packed.alias("_profiles")
-        ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        sent = needs.withColumn("_salt", F.pmod(F.xxhash64("need"), F.lit(spread)).cast("int")).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        ).withColumn("_block", F.col("_block").cast("long"))
-        near = sent.join(grouped, ["_block", "_salt"]).withColumn("_near", _closest(F.col("_profiles"), k))
-    rows = near.select("need", F.posexplode("_near").alias("_i", "c"))
-    if n > in_memory:
-        order = Window.partitionBy("need").orderBy("c")
-        rows = rows.withColumn("_i", F.row_number().over(order) - 1).where(F.col("_i") < k)
+    blocks, salts = max(1, -(-profiles.count() // block)), 32
+    grouped = profiles.withColumn("_block", F.pmod(F.xxhash64("office"), F.lit(blocks).cast("long"))).groupBy("_block").agg(
+        packed.alias("_profiles")
+    ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    sent = needs.withColumn("_salt", F.pmod(F.xxhash64("need"), F.lit(salts)).cast("int")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    ).withColumn("_block", F.col("_block").cast("long"))
+    near = sent.join(grouped, ["_block", "_salt"]).withColumn("_near", _closest(F.col("_profiles"), k))
+    rows = near.select("need", F.explode("_near").alias("c"))
+    order = Window.partitionBy("need").orderBy("c")
+    rows = rows.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= k)
     return rows.select(
-        "need", F.col("c.office").alias("office"), (-F.col("c.neg")).alias("score"), (F.col("_i") + 1).alias("rank"),
+        "need", F.col("c.office").alias("office"), (-F.col("c.neg")).alias("score"), F.col("_i").alias("rank"),
         F.lit("candidate").alias("label"),
     )

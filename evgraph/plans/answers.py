@@ -29,10 +29,13 @@ def _first_k(df: DataFrame, by: str, order: list, k: int, item: Column, name: st
 
 def answer_opportunity(
     opps: DataFrame, evidence: DataFrame, versions: DataFrame, parents: DataFrame, contacts: DataFrame,
-    manifest: DataFrame, as_of,
+    manifest: DataFrame, as_of, n_alternatives: int = 3, n_cited: int = 3, n_contacts: int = 6,
 ) -> DataFrame:
-    """One row per opportunity: owner or abstention, path, contracting office apart,
-    contacts, alternatives, confidence, cited documents, counterevidence, unknowns.
+    """One row per opportunity: owner or abstention, every owning office, path, contracting
+    office apart, contacts, alternatives, confidence, cited documents, counterevidence, unknowns.
+
+    ``owners`` is never cut. The other lists show the first few, as many as asked for;
+    ``ownership.candidates`` and ``lineage.guard`` give them in full.
 
     Only evidence available at ``as_of`` counts, and only retrieved documents are cited.
     """
@@ -45,23 +48,24 @@ def answer_opportunity(
         F.max(F.when(F.col("kind").isin(*ownership.DECISIVE_KINDS) & ~F.col("refutes"), F.col("confidence"))).alias("confidence"),
         F.count_if("refutes").alias("n_counterevidence"),
     )
-    ranked = ownership.candidates(evidence, 3)
-    alternatives = _first_k(ranked, "opp", ["rank"], 3, F.col("office"), "candidates")
+    owners = ownership.owner_offices(evidence).groupBy("opp").agg(F.array_sort(F.collect_list("office")).alias("owners"))
+    ranked = ownership.candidates(evidence, n_alternatives)
+    alternatives = _first_k(ranked, "opp", ["rank"], n_alternatives, F.col("office"), "candidates")
     support = ownership.decisive(evidence).where(~F.col("refutes")).groupBy("opp", "office", "kind", "doc_id").agg(
         F.max("confidence").alias("confidence")
     )
     cited = _first_k(
-        lineage.guard(support, manifest), "opp", [F.desc("confidence"), "doc_id", "kind", "office"], 3, F.concat_ws(":", "kind", "doc_id"), "cited"
+        lineage.guard(support, manifest), "opp", [F.desc("confidence"), "doc_id", "kind", "office"], n_cited, F.concat_ws(":", "kind", "doc_id"), "cited"
     )
     reachable = _first_k(
-        people.rank_contacts(contacts, 1), "office", ["category"], 6, F.concat_ws(":", "category", "person"), "contacts"
+        people.rank_contacts(contacts, 1), "office", ["category"], n_contacts, F.concat_ws(":", "category", "person"), "contacts"
     )
     joined = (
-        base.join(weighed, "opp", "left").join(alternatives, "opp", "left").join(cited, "opp", "left")
+        base.join(weighed, "opp", "left").join(owners, "opp", "left").join(alternatives, "opp", "left").join(cited, "opp", "left")
         .join(paths, "office", "left").join(reachable, "office", "left")
     )
     return joined.select(
-        "opp", "resolution", "office", "n_offices", "path", "contracting", "contacts",
+        "opp", "resolution", "office", "n_offices", "owners", "path", "contracting", "contacts",
         F.when(F.col("office").isNull(), F.col("candidates")).otherwise(
             F.array_remove("candidates", F.col("office"))
         ).alias("alternatives"),
@@ -74,7 +78,8 @@ def answer_opportunity(
 
 
 def answer_office(
-    offices: DataFrame, events: DataFrame, budget: DataFrame, observations: DataFrame, cutoff, as_of, years
+    offices: DataFrame, events: DataFrame, budget: DataFrame, observations: DataFrame, cutoff, as_of, years,
+    n_needs: int = 5, n_champions: int = 3,
 ) -> DataFrame:
     """One row per office: history, budget signals, ranked needs, predictions,
     champions, size of the engagement plan, unknowns."""
@@ -88,13 +93,13 @@ def answer_office(
         F.count_if(F.col("change").isin("growth", "new_start")).alias("n_budget_up"),
         F.count_if(F.col("change").isin("cut", "termination")).alias("n_budget_down"),
     )
-    ranked = forecast.rank_needs(forecast.need_signals(events, cutoff), 5)
-    needs = _first_k(ranked, "office", ["rank"], 5, F.concat_ws(":", "program", "need_class"), "needs")
+    ranked = forecast.rank_needs(forecast.need_signals(events, cutoff), n_needs)
+    needs = _first_k(ranked, "office", ["rank"], n_needs, F.concat_ws(":", "program", "need_class"), "needs")
     predicted = forecast.predicted_notices(events, cutoff).groupBy("office").agg(
         F.count(F.lit(1)).alias("n_predictions"), F.min("window_start").alias("next_window_start")
     )
     backers = _first_k(
-        people.champions(observations, as_of), "office", [F.desc("score"), "person"], 3, F.col("person"), "champions"
+        people.champions(observations, as_of), "office", [F.desc("score"), "person"], n_champions, F.col("person"), "champions"
     )
     contacts = people.rank_contacts(people.categorise(observations), 1)
     plan = forecast.engagement_plan(ranked, contacts).groupBy("office").agg(F.count(F.lit(1)).alias("n_actions"))

@@ -1,6 +1,7 @@
 """Graph semantics on literal documents, edge by edge."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,6 +179,15 @@ def test_weights_as_table_equal_weights_as_mapping(spark, tables):
     assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
 
 
+def test_rounding_is_exact_with_ties_to_even(spark):
+    rng = random.Random(5)
+    values = [i / 16000 for i in range(0, 40000, 7)] + [i / 10000 for i in range(20011)] + [i / 16 for i in range(64)]
+    values += [rng.uniform(-5, 5) for _ in range(5000)] + [rng.uniform(0, 1e12) for _ in range(500)]
+    values += [0.5 * 0.125, 4.0 * 0.123125, -0.0625, 0.0, 1e300, 5e-324, float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", round3(F.col("v")).alias("r"))
+    assert [(r.v, r.r) for r in df.collect() if r.r != round(r.v, 3)] == []
+
+
 def test_rounding_and_coercion_columns(spark):
     df = spark.createDataFrame([("1e-1",), ("inf",)], "c string")
     assert [r.v for r in df.select(round3(to_confidence(F.col("c"))).alias("v")).collect()] == [0.1, float("inf")]

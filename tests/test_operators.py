@@ -331,12 +331,12 @@ def test_role_gap_opens_a_new_interval(spark):
     ]
 
 
-def test_vector_match_in_blocks_equals_in_memory(spark, tables):
+def test_vector_match_in_many_blocks_equals_one(spark, tables):
     vectors = tables.embeddings
     profiles = vectors.select(F.col("vec_id").alias("office"), F.transform("embedding", lambda x: x.cast("double")).alias("profile")).where("office % 5 = 0")
     needs = vectors.select(F.col("vec_id").alias("need"), "embedding")
     whole = matching.match_vectors(needs, profiles, 4)
-    blocks = matching.match_vectors(needs, profiles, 4, in_memory=20)
+    blocks = matching.match_vectors(needs, profiles, 4, block=10)
     assert same(whole, blocks) and whole.count() == 4 * needs.count()
 
 
@@ -385,6 +385,23 @@ def test_stage_coverage_keeps_uncovered_stages(tables):
     registry = docs.source_registry(derived.registry_raw(tables))
     table = docs.stage_coverage(registry, SOURCE_STAGES, ["budget", "forecasts"])
     assert rows(table.where("coverage = 'none'"), "stage") == [("congressional",)] or table.count() == 8
+    strange = registry.limit(1).select(F.lit(-1).cast(registry.schema["source_id"].dataType).alias("source_id"), F.lit("other").alias("family"), F.lit(SOURCE_STAGES[0]).alias("stage"))
+    row = docs.stage_coverage(strange, SOURCE_STAGES, ["budget"]).where(F.col("stage") == SOURCE_STAGES[0]).first()
+    assert (row.budget, row.n_sources, row.coverage) == (0, 1, "covered")
+
+
+def test_different_keys_have_different_ids(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("x", "\\N"), ("\\", "|x"), ("\\|", "x"), ("a\\", "x"), ("", "x")]
+    df = spark.createDataFrame(keys, "a string, b string").select(identity.local_id("k", "a", "b").alias("id"))
+    assert df.distinct().count() == len(keys)
+
+
+def test_multi_program_answer_names_every_owner(spark):
+    from evgraph.operators import ownership
+
+    rows_ = [(1, office, "explicit_owner", False) for office in (9, 3, 5, 1, 7, 8)] + [(1, 2, "explicit_owner", True)]
+    evidence = spark.createDataFrame(rows_, "opp long, office long, kind string, refutes boolean")
+    assert rows(ownership.owner_offices(evidence), "office") == [(1,), (3,), (5,), (7,), (8,), (9,)]
 
 
 def test_coverage_and_guard_agree(tables):
@@ -422,6 +439,7 @@ def test_answer_by_hand(spark):
     assert (six.office, six.cited, six.n_counterevidence) == (12, None, 1) and six.unknowns == ["contacts", "evidence"]
     assert (seven.resolution, seven.office) == ("abstain", None) and "owner" in seven.unknowns
     assert got[2].resolution == "multi_program" and sorted(got[2].alternatives) == [10, 12]
+    assert got[2].owners == [10, 12] and one.owners == [10] and seven.owners is None
 
 
 def test_clean_graph_joins_do_not_shuffle_edges(tables):
