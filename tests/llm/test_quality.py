@@ -4,6 +4,7 @@ import collections
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,32 @@ def test_gibberish_is_rejected_and_prose_kept(spark, folder):
     assert good and sum(r.kept for r in good) >= 0.95 * len(good)
 
 
+def test_copies_of_one_text_change_no_verdict(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text")
+    before = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+    one = docs.where(F.col("doc_id").isin([i for i, kept in before.items() if kept])).orderBy("doc_id").limit(1)
+    copies = one.drop("doc_id").crossJoin(spark.range(10**6, 10**6 + len(before) // 2).withColumnRenamed("id", "doc_id"))
+    rows = quality.judge(docs.unionByName(copies)).collect()
+    assert len(rows) == len(before) + len(before) // 2
+    assert {r.doc_id: r.kept for r in rows if r.doc_id < 10**6} == before
+    assert all(r.kept for r in rows if r.doc_id >= 10**6)
+
+
+def test_model_of_distinct_texts(spark):
+    """``once`` is the model of the texts without their copies, by the arrays and by joins."""
+    texts = ["the cat sat on the mat", "a dog ran", "the dog sat"]
+    docs = spark.createDataFrame([("xx", t) for t in texts + texts[1:2] * 5], "lang string, text string")
+    entries, p = quality.fit(docs), kneser_ney(texts)
+    seen = {tuple(units(s)[i : i + 4]) for s in texts for i in range(len(units(s)) - 3)}
+    grams = {sum(u << (16 * (3 - j)) for j, u in enumerate(g)): p(g) for g in seen}
+    slot = docs.select(quality.slot_of(F.col("lang"))).first()[0]
+    rows = spark.createDataFrame([(slot, n) for n in grams], "slot int, gram long")
+    model = quality.in_arrays(entries)
+    for r in quality.joined_logs(rows, entries).collect():
+        assert math.exp(r.log_once) == pytest.approx(grams[r.gram], rel=1e-5)
+        assert math.exp(model.logs(slot, np.array([r.gram]), once=True)[0]) == pytest.approx(grams[r.gram], rel=1e-5)
+
+
 def test_odd_tables(given, empty):
     assert quality.judge(empty).count() == 0
     nulls = given.where("doc_id < 3").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in given.schema])
