@@ -1,4 +1,5 @@
-"""Line dedup: a line goes when an earlier line of the corpus is within ``most`` edits of it.
+"""Line dedup: a line goes when an earlier line of the corpus equals it or, from ``near`` characters on,
+is within ``most`` edits of it.
 
 Lines are ordered by (doc_id, place). Equal lines collapse to their first occurrence; distinct ones
 meet by segments: a line cut into ``most`` + 1 even segments keeps one of them whole under
@@ -8,7 +9,8 @@ them all: those lines look again with what is left of them beside the segment, w
 ``most`` edits too. Pairs are verified by a banded edit distance that steps over the characters
 with one bit vector per number of edits, a bit for each diagonal.
 
-Only lines of at least ``least`` characters take part; white space lines and shorter ones stay.
+Exact repeats go at any length from ``least`` characters; lines of spaces alone stay. Under two edits all lines of two
+characters are alike, so the edits are counted only between two lines of at least ``near`` characters.
 
 Edge cases: a null text stays null and has no line; null ids come last in order; rows equal in
 id and text are one document and keep the same lines; ties of id are ordered by a hash of
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.session import written
 
-MOST, LEAST = 2, 20
+MOST, LEAST, NEAR = 2, 1, 20
 CROWD, LEVELS = 32, 4  # lines that share a segment are paired up to this number, else look again
 
 
@@ -147,12 +149,13 @@ def later_lines(lines: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
     return near.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("line_id")).distinct()
 
 
-def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFrame:
+def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """(_id, _doc, _gone): places of the lines that go, one row per document that loses some."""
     found = occurrences(docs, least)
     places = written(found.select("doc_id", "_doc", "pos", *line_key()), "places")
     lines = distinct_lines(found)
-    late = later_lines(lines, candidates(lines, most), most)
+    long = lines.where(F.length("line") >= near)
+    late = later_lines(long, candidates(long, most), most)
     firsts = lines.join(late.withColumn("late", F.lit(True)), "line_id", "left").select("h1", "h2", "first", "late")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_doc") == F.col("first._doc")) & (F.col("pos") == F.col("first.pos"))
     gone = places.join(firsts, ["h1", "h2"]).where(~own | F.col("late"))
@@ -161,9 +164,9 @@ def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST) -> Data
     )
 
 
-def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFrame:
+def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """``docs`` with ``_lines`` (array of lines), ``_gone`` (places that go, or null) and ``_kept`` (text)."""
-    gone = removed_lines(docs, most, least)
+    gone = removed_lines(docs, most, least, near)
     joined = docs.withColumn("_key", document_key()).join(
         gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_doc")), "left"
     )
@@ -172,9 +175,9 @@ def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFram
     return joined.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
 
 
-def report(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFrame:
+def report(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """doc_id, number of lines, number of those that go, hash of what stays."""
-    rows = with_kept(docs.select("doc_id", "text"), most, least)
+    rows = with_kept(docs.select("doc_id", "text"), most, least, near)
     return rows.select(
         "doc_id",
         F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
@@ -183,10 +186,10 @@ def report(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame, most: int = MOST, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """The rows without the lines that go; ``n_chars``, if present, is that of the new text.
     A document that had words and keeps none goes."""
-    rows = with_kept(docs, most, least)
+    rows = with_kept(docs, most, least, near)
     empty = F.col("_gone").isNotNull() & (F.length(F.btrim("_kept", F.lit(" \t\n\x0b\f\r"))) == 0)
     changed = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
     columns = [changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]

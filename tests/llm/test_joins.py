@@ -191,6 +191,14 @@ def test_lines_equal_brute_force(docs, texts, crowd, monkeypatch):
     assert found == wanted
 
 
+def test_short_lines_go_when_repeated_exactly(spark):
+    texts = ["Les.\na b\n \n日本語の文。", "Les.\na c\n \n日本語の文。\nLes", "\n\na c", "x" * 20, "x" * 19 + "y", "x" * 19]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()}
+    # "a c" is one edit from "a b" and stays: the edits are counted from 20 characters on
+    assert kept == {0: texts[0], 1: "a c\n \nLes", 3: texts[3], 5: texts[5]}
+
+
 @pytest.mark.parametrize("operator", [jaccard_join.classes, line_dedup.report, repeat_index.report, line_dedup.dedup, jaccard_join.one_of_each])
 def test_empty_table(empty, operator):
     assert operator(empty).collect() == []
