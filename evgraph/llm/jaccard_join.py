@@ -178,11 +178,21 @@ def classes(docs: DataFrame, width: int = 3, percent: int = 90, key: str = "doc_
     return linked.unionByName(alone).drop("uid")
 
 
+def row_hash(key: str) -> list[Column]:
+    """128 bits that stand for a row's key and text; nulls differ from each other and from every value."""
+    key, text = F.col(f"`{key}`"), F.col("text").cast("string")
+    return [F.xxhash64(F.lit(i), key.isNull(), key, text.isNull(), text).alias(f"_h{i}") for i in (0, 1)]
+
+
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """The rows whose key is the smallest of its component; of rows with that key, one."""
-    found = classes(docs, width, percent, key)
-    # rows without a class of their own (null keys) stay
-    ids = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_key")).distinct()
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.join(ids, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-    return kept.select(*columns)
+    """One row of each component, that of the smallest key; of rows with that key, the one whose key and text
+    have the smallest hash. Rows equal in key and text are one document, also those without a word."""
+    hashes = row_hash(key)
+    row = F.struct(F.col(f"`{key}`").isNull().alias("null"), F.col(f"`{key}`").alias("key"), *hashes)
+    found = classes(docs.select(row.alias("_row"), "text"), width, percent, "_row")
+    first = found.where(F.col("_row") == F.col("component_id")).select("_row._h0", "_row._h1").distinct()
+    # equal rows meet in each task before the shuffle; the join then reads the same partitions
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.groupBy(*hashes).agg(F.min_by(columns, rest).alias("_r"))
+    return rows.join(first, ["_h0", "_h1"], "left_semi").select(*[F.col(f"_r.`{c}`").alias(c) for c in docs.columns])

@@ -84,6 +84,23 @@ def test_null_and_repeated_ids(spark):
     assert found == sorted([(None, 4), (4, 4), (4, 4), (None, None), (7, 7)], key=str)
 
 
+def test_one_of_each_leaves_one_row_of_a_component(spark):
+    long = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    rows = [
+        (4, long[0]), (4, long[0]), (9, long[0]),  # repeated rows and a copy
+        (1, long[1]), (5, long[1] + " x"), (5, long[2]),  # the first of id 5 is a near copy, the second is not
+        (None, long[0]), (None, long[3]), (None, long[3]), (None, long[3] + " x"),
+        (6, ""), (6, ""), (7, ""), (8, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.one_of_each(docs).collect()
+    nulls = [r.text for r in found if r.doc_id is None]
+    assert len(nulls) == 1 and nulls[0].startswith(long[3])
+    assert sorted((r.doc_id, r.text or "") for r in found if r.doc_id is not None) == [
+        (1, long[1]), (4, long[0]), (5, long[2]), (6, ""), (7, ""), (8, "")
+    ]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(5, 5)]
     rows = dict(components(spark.createDataFrame(pairs, "a long, b long")).collect())
