@@ -9,6 +9,8 @@ n-grams of each text, with equal results. ``perplexity`` counts every row's n-gr
 reads a second value, of a model that counts each distinct text once. Both models share all orders but
 the longest, whose counts alone depend on copies. A language's band lies around the quartiles of the
 second value over its distinct texts, and documents outside it are rejected, copies with the rest.
+So are documents whose share of symbols in the characters of their words lies above such a band: symbols between
+words leave the n-grams of a text as likely as prose.
 
 Edge cases: a null or empty text has no words, so it fails the base rules, and its
 perplexity is null; null languages are one language; repeated rows count as often as they occur in
@@ -356,15 +358,23 @@ def scores(docs: DataFrame, keep: tuple[str, ...], most_entries: int = MOST_ENTR
     return rows.join(joined_perplexities(docs, entries), list(names), "left")
 
 
+def symbol_share() -> Column:
+    return F.when(F.col("word_chars") > 0, F.col("n_symbols") / F.col("word_chars"))
+
+
 def bands(scored: DataFrame, width: float, least: float) -> DataFrame:
-    """(_lang, low, high): ``width`` quartile distances, ``least`` at least, around the quartiles of the
-    log perplexities of a language's distinct texts that pass the base rules."""
-    quartile = F.percentile_approx("log_once", [0.25, 0.75], 10_000)
-    texts = scored.where("not base_failed").groupBy("lang", "_key0", "_key1").agg(F.max("log_once").alias("log_once"))
-    found = texts.groupBy(F.col("lang").alias("_lang")).agg(quartile.alias("q"))
-    low, high = F.col("q")[0], F.col("q")[1]
-    slack = F.greatest((high - low) * width, F.lit(least))
-    return written(found.select("_lang", (low - slack).alias("low"), (high + slack).alias("high")), "bands")
+    """(_lang, low, high, most_symbols): ``width`` quartile distances, ``least`` at least, around the quartiles of the
+    log perplexities, and above those of the symbol shares, of a language's distinct texts that pass the base rules."""
+    texts = scored.where("not base_failed").groupBy("lang", "_key0", "_key1")
+    texts = texts.agg(F.max("log_once").alias("log_once"), F.max(symbol_share()).alias("symbols"))
+    quartiles = [F.percentile_approx(c, [0.25, 0.75], 10_000).alias(q) for c, q in (("log_once", "q"), ("symbols", "s"))]
+    found = texts.groupBy(F.col("lang").alias("_lang")).agg(*quartiles)
+
+    def slack(q: str) -> Column:
+        return F.greatest((F.col(q)[1] - F.col(q)[0]) * width, F.lit(least))
+
+    ends = {"low": F.col("q")[0] - slack("q"), "high": F.col("q")[1] + slack("q"), "most_symbols": F.col("s")[1] + slack("s")}
+    return written(found.select("_lang", *[end.alias(name) for name, end in ends.items()]), "bands")
 
 
 def judge(docs: DataFrame, width: float = 3.0, least: float = 0.05, most_entries: int = MOST_ENTRIES) -> DataFrame:
@@ -373,7 +383,7 @@ def judge(docs: DataFrame, width: float = 3.0, least: float = 0.05, most_entries
     scored = scores(docs, ("doc_id", "lang"), most_entries).withColumn("base_failed", failed)
     scored = written(scored, "scored")
     lines = bands(scored, width, least)
-    inside = F.col("log_once").between(F.col("low"), F.col("high"))
+    inside = F.col("log_once").between(F.col("low"), F.col("high")) & (symbol_share() <= F.col("most_symbols"))
     return scored.join(lines, F.col("lang").eqNullSafe(F.col("_lang")), "left").select(
         "doc_id", *COUNTS, "base_failed", F.coalesce(~F.col("base_failed") & inside, F.lit(False)).alias("kept"),
         F.exp("log_perplexity").alias("perplexity"),

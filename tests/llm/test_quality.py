@@ -72,6 +72,14 @@ def log_perplexity(p, text):
     return -sum(logs) / len(logs)
 
 
+def test_labelled_bad_documents_are_rejected(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = quality.judge(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id").where("not base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert bad and sum(bad) <= 0.1 * len(bad)
+    assert sum(good) >= 0.95 * len(good)
+
+
 @pytest.fixture(scope="module")
 def given(docs):
     return docs.withColumn("lang", F.lit("xx")).withColumn("kept", F.lit(1)).withColumn("n_words", F.lit("x"))
