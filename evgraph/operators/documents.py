@@ -85,7 +85,8 @@ def enumerate_links(pages: DataFrame) -> DataFrame:
 
 def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
     """Numbered pages, empty ones kept. Form feeds separate pages where a text has
-    them; other texts are paged by line count."""
+    them; other texts are paged by line count. Lines are those of the whole text, so a line
+    that holds a form feed lies on both pages."""
     by_feed = F.split("text", "\f", -1)
 
     def by_lines(all_lines):
@@ -96,13 +97,22 @@ def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
         )
 
     by_count = tx.let(tx.lines(F.col("text")), by_lines)
-    cut = F.when(F.contains("text", F.lit("\f")), by_feed).otherwise(by_count)
-    numbered = documents.select("doc_id", F.contains("text", F.lit("\f")).alias("_fed"), F.posexplode(cut).alias("_p", "text"))
-    first = F.when(~F.col("_fed"), F.col("_p") * lines_per_page)
-    return numbered.select(
-        "doc_id", (F.col("_p") + 1).alias("page_no"), first.alias("first_line"),
-        (first + tx.newlines(F.col("text"))).alias("last_line"), "text",
-    )
+    fed = F.contains("text", F.lit("\f"))
+    cut = F.when(fed, by_feed).otherwise(by_count)
+
+    def numbered(parts, breaks_before):
+        def one(part, p):
+            first = F.when(fed, breaks_before(p)).otherwise(p * lines_per_page)
+            return F.struct(
+                (p + 1).alias("page_no"), first.alias("first_line"), (first + tx.newlines(part)).alias("last_line"), part.alias("text")
+            )
+
+        return F.transform(parts, one)
+
+    numbered_pages = tx.let(cut, lambda parts: tx.let(
+        F.transform(parts, tx.newlines), lambda breaks: tx.with_prefix_sums(breaks, lambda before: numbered(parts, before))
+    ))
+    return documents.select("doc_id", F.inline(numbered_pages))
 
 
 def section_path(documents: DataFrame) -> DataFrame:

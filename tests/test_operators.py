@@ -236,6 +236,17 @@ def test_predictions_ignore_everything_after_the_cutoff(tables):
     assert same(before, cut) and before.count() > 0
 
 
+def test_every_fact_of_a_text_with_form_feeds_reaches_its_page(spark):
+    text = "zero\none\n\ftwo\nthree\n\f\ffour\nfive"
+    df = spark.createDataFrame([(0, text), (1, "a\nb\nc\nd\ne\nf")], "doc_id long, text string")
+    got = {(r.doc_id, r.page_no): (r.first_line, r.last_line) for r in docs.pages(df).collect()}
+    assert got == {(0, 1): (0, 2), (0, 2): (2, 4), (0, 3): (4, 4), (0, 4): (4, 5), (1, 1): (0, 4), (1, 2): (5, 5)}
+    facts = spark.createDataFrame([(f"f{i}", 0, i) for i in range(6)], "fact_id string, doc_id long, line_no int")
+    claims = facts.selectExpr("concat('a', fact_id) AS assertion_id", "fact_id")
+    traced = {(r.line_no, r.page_no) for r in lineage.trace(claims, facts, docs.chunk(df, 100), docs.pages(df)).collect()}
+    assert traced == {(0, 1), (1, 1), (2, 1), (2, 2), (3, 2), (4, 2), (4, 3), (4, 4), (5, 4)}
+
+
 def test_pages_and_chunks_give_the_text_back(spark):
     texts = ["", "   \n ", "one", "\n\n lead and trail \n\n", "a\fb\n\n\fc", "\n".join(f"# h{i}\nw {i}  x" for i in range(300)), "é ü\tñ " * 900]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
