@@ -93,12 +93,9 @@ def office_answer(t: Tables) -> DataFrame:
     )
 
 
-PASSAGE_BASE = 1_000_000
-
-
 @query(
     "need_match_text", "chunk_text",
-    sql=f""", passage AS (SELECT d.source AS office, c.doc_id * {PASSAGE_BASE} + c.chunk_no AS passage_id, c.text
+    sql=""", passage AS (SELECT d.source AS office, {'doc_id': c.doc_id, 'chunk_no': c.chunk_no} AS passage_id, c.text
         FROM chunk_text c JOIN documents d USING (doc_id)),
       tf AS (SELECT office, passage_id, term, count(*) AS tf FROM (SELECT office, passage_id,
         unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM passage) GROUP BY ALL),
@@ -114,17 +111,16 @@ PASSAGE_BASE = 1_000_000
       best AS (SELECT need, office, score, passage_id FROM scored
         QUALIFY row_number() OVER (PARTITION BY need, office ORDER BY score DESC, passage_id) = 1),
       top AS (SELECT *, row_number() OVER (PARTITION BY need ORDER BY score DESC, office) AS rank FROM best)
-      SELECT need, t.office, score, rank, passage_id, p.text AS passage, 'candidate' AS label
+      SELECT need, t.office, score, rank, passage_id.doc_id AS doc_id, passage_id.chunk_no AS chunk_no, p.text AS passage,
+        'candidate' AS label
       FROM top t JOIN passage p USING (passage_id) WHERE rank <= 3""",
 )
 def need_match_text(t: Tables) -> DataFrame:
     """Each benchmark text as a need against every chunk; a source stands for an office."""
-    chunks = docs.chunk(derived.marked_documents(t)).select("doc_id", "chunk_no", "text")
-    sources = t.documents.select("doc_id", F.col("source").alias("office"))
-    passages = chunks.join(sources, "doc_id").select(
-        "office", (F.col("doc_id") * PASSAGE_BASE + F.col("chunk_no")).alias("passage_id"), "text"
-    )
-    return matching.match_need(t.benchmark.select(F.col("item_id").alias("need"), "text"), passages, 3)
+    chunks = docs.chunk(derived.marked_documents(t, "source"), also=("source",))
+    passages = chunks.select(F.col("source").alias("office"), F.struct("doc_id", "chunk_no").alias("passage_id"), "text")
+    found = matching.match_need(t.benchmark.select(F.col("item_id").alias("need"), "text"), passages, 3)
+    return found.select("need", "office", "score", "rank", "passage_id.doc_id", "passage_id.chunk_no", "passage", "label")
 
 
 @query(

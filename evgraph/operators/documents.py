@@ -145,9 +145,10 @@ def section_path(documents: DataFrame) -> DataFrame:
     ).select("doc_id", (F.col("_first") + F.col("_i")).alias("line_no"), "line", "section_path")
 
 
-def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5) -> DataFrame:
+def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5, also: tuple[str, ...] = ()) -> DataFrame:
     """Chunks of ``budget`` words that join back to the exact text, each with its line
-    and page range, section path, word count, content hash and extraction version."""
+    and page range, section path, word count, content hash and extraction version; columns of
+    ``also`` are those of the document."""
     def cut(pieces):
         last = F.floor((F.size(pieces) - 1) / budget).cast("int")
         whole = F.struct(F.lit(0).alias("tokens"), F.col("text").alias("text"))
@@ -180,12 +181,12 @@ def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5) -> D
             )),
         ),
     ))
-    rows = documents.select("doc_id", F.inline(chunks))
+    rows = documents.select("doc_id", *also, F.inline(chunks))
     page = lambda line: (F.floor(F.col(line) / lines_per_page) + 1).alias(line.replace("line", "page"))
     return rows.select(
         local_id("chunk", "doc_id", "chunk_no", F.lit(EXTRACTION_VERSION)).alias("chunk_id"), "doc_id", "chunk_no",
         "start_line", "end_line", page("start_line"), page("end_line"), "section_path", "token_count",
-        F.sha2("text", 256).alias("content_hash"), F.lit(EXTRACTION_VERSION).alias("version"), "text",
+        F.sha2("text", 256).alias("content_hash"), F.lit(EXTRACTION_VERSION).alias("version"), "text", *also,
     )
 
 

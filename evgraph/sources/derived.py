@@ -341,8 +341,8 @@ def retrievals(t: Tables) -> DataFrame:
     )
 
 
-def marked_documents(t: Tables) -> DataFrame:
-    """Documents with planted headings and, in every fifth, a line of identifiers.
+def marked_documents(t: Tables, *also: str) -> DataFrame:
+    """Documents with planted headings and, in every fifth, a line of identifiers; columns of ``also`` are kept.
 
     Every tenth line becomes a heading, and the line midway between two a sub-heading.
     """
@@ -365,7 +365,7 @@ def marked_documents(t: Tables) -> DataFrame:
         .when(i % 10 == 5, F.concat(F.lit("## "), line))
         .otherwise(line),
     )
-    return t.documents.select("doc_id", F.array_join(headed, "\n").alias("text"))
+    return t.documents.select("doc_id", *also, F.array_join(headed, "\n").alias("text"))
 
 
 def registry_raw(t: Tables) -> DataFrame:

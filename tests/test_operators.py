@@ -342,13 +342,77 @@ def test_role_gap_opens_a_new_interval(spark):
     ]
 
 
-def test_vector_match_in_many_blocks_equals_one(spark, tables):
+def plain_nearest(needs, profiles, k):
+    """(need, rank, office, score) by comparing every pair."""
+    import numpy as np
+
+    rows = []
+    for need, v in needs:
+        v = np.asarray(v, float)
+        ranked = sorted((-round(float(v @ p / (np.linalg.norm(v) * np.linalg.norm(p))), 6), o) for o, p in profiles if np.any(p))
+        rows += [(need, i + 1, o, -s) for i, (s, o) in enumerate(ranked[:k])] if np.any(v) else []
+    return sorted(rows)
+
+
+def clustered(seed, groups, size, dim, spread):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(groups, dim))
+    return [(centres[i % groups] + spread * rng.normal(size=dim)).round(3).tolist() for i in range(groups * size)]
+
+
+@pytest.mark.parametrize("block", [5, 1000])
+def test_nearest_vectors_equal_a_comparison_of_all_pairs(spark, block):
+    """On clustered vectors, less than half of the pairs are compared."""
+    from evgraph.operators import vector_index
+
+    vectors = clustered(2, 12, 25, 8, 0.2)
+    profiles = list(enumerate(vectors[:240])) + [(900, [0.0] * 8), (901, vectors[3]), (902, vectors[3])]
+    needs = [(1000 + i, v) for i, v in enumerate(vectors[240:])] + [(2000, [0.0] * 8), (2001, vectors[3]), (2002, [-x for x in vectors[3]])]
+    given = spark.createDataFrame(profiles, "office long, profile array<double>")
+    asked = spark.createDataFrame(needs, "need long, embedding array<float>")
+    got = rows(matching.match_vectors(asked, given, 4, block), "need", "rank", "office", "score")
+    exact = [(n, [float(x) for x in r.embedding]) for n, r in zip([n for n, _ in needs], asked.collect())]
+    assert got == plain_nearest(exact, profiles, 4)
+    compared = vector_index.nearest(asked, given, 4, block).agg(F.sum("n_compared")).first()[0]
+    assert compared < 0.5 * len(needs) * len(profiles)
+
+
+def test_nearest_vectors_of_unrelated_and_missing_profiles(spark, tables):
     vectors = tables.embeddings
     profiles = vectors.select(F.col("vec_id").alias("office"), F.transform("embedding", lambda x: x.cast("double")).alias("profile")).where("office % 5 = 0")
-    needs = vectors.select(F.col("vec_id").alias("need"), "embedding")
-    whole = matching.match_vectors(needs, profiles, 4)
-    blocks = matching.match_vectors(needs, profiles, 4, block=10)
-    assert same(whole, blocks) and whole.count() == 4 * needs.count()
+    needs = vectors.where("vec_id % 4 = 1").select(F.col("vec_id").alias("need"), "embedding")
+    got = rows(matching.match_vectors(needs, profiles, 4, 10), "need", "rank", "office", "score")
+    assert got == plain_nearest([(r.need, r.embedding) for r in needs.collect()], [(r.office, r.profile) for r in profiles.collect()], 4)
+    assert matching.match_vectors(needs, profiles.limit(0), 4).count() == 0
+    assert rows(matching.match_vectors(needs, profiles.where("office = 5"), 4), "office") == [(5,)] * needs.count()
+
+
+def test_text_match_opens_few_pairs_and_loses_none(spark):
+    """Passages of common words with a few rare ones: the lists of the common words stay closed."""
+    import random
+
+    rng = random.Random(3)
+    common, rare = [f"c{i}" for i in range(30)], [f"r{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(common, k=25) + rng.sample(rare, 4)) for _ in range(1200)]
+    wanted = [" ".join(rng.choices(common, k=6) + rng.sample(texts[i].split()[25:], 3)) for i in range(0, 1200, 40)]
+    passages = spark.createDataFrame([(f"o{i % 9}", i, x) for i, x in enumerate(texts)], "office string, passage_id long, text string")
+    needs = spark.createDataFrame(list(enumerate(wanted)), "need long, text string")
+    counted = passages.select("office", "passage_id", matching.term_counts(F.col("text")).alias("_terms"))
+    idf = matching.inverse_frequency(counted.select(F.inline("_terms")), len(texts))
+    asked = matching.asked_terms(needs, idf)
+    forward = matching.forward_index(counted, idf, asked)
+    weights = asked.groupBy("need").agg(F.map_from_entries(F.collect_list(F.struct("term", "qw"))).alias("_weights"))
+    every = needs.select("need").join(forward.select("passage_id"), F.lit(True))
+    whole = matching.best_passages(matching.scored_pairs(every, forward, weights))
+    best = {}
+    for need, score, office, passage in sorted(((r.need, -r.score, r.office, r.passage_id) for r in whole.collect())):
+        best.setdefault(need, []).append((need, len(best.get(need, [])) + 1, office, passage, -score))
+    got = rows(matching.match_need(needs, passages, 3), "need", "rank", "office", "passage_id", "score")
+    assert got == sorted(x for found in best.values() for x in found[:3])
+    pairs = matching.candidate_pairs(asked, matching.posting_lists(forward), forward, weights, 3)
+    assert pairs.count() < 0.2 * len(texts) * len(wanted)
 
 
 def test_text_match_equals_brute_force(spark):
