@@ -9,7 +9,7 @@ from evgraph.catalog.sql import fragment
 from evgraph.operators import documents as docs, lineage
 from evgraph.operators.identity import local_id
 from evgraph.schema import SOURCE_STAGES
-from evgraph.session import scratch_path
+from evgraph.session import scratch_path, written
 from evgraph.sources import derived
 from evgraph.sources.graph_json import export_jsonl
 from evgraph.sources.tables import Tables
@@ -111,10 +111,18 @@ fragment("chunk_text", """
   SELECT doc_id, CAST(i // 200 AS INTEGER) AS chunk_no, count(*) AS token_count, string_agg(piece, '' ORDER BY i) AS text
   FROM piece GROUP BY ALL""", "piece")
 fragment("chunk_span", r"""
-  SELECT *, start_line + length(body) - length(replace(body, chr(10), '')) AS end_line FROM (
-    SELECT *, regexp_replace(text, '[ \t\n\r\f]+\z', '') AS body,
-      CAST(coalesce(sum(length(text) - length(replace(text, chr(10), ''))) OVER (PARTITION BY doc_id ORDER BY chunk_no
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line FROM chunk_text)""", "chunk_text")
+  SELECT *, CASE WHEN fed THEN feeds_before + 1 ELSE start_line // 5 + 1 END AS start_page,
+    CASE WHEN fed THEN end_feeds + 1 ELSE end_line // 5 + 1 END AS end_page, start_char + length(text) AS end_char FROM (
+    SELECT *, start_line + length(body) - length(replace(body, chr(10), '')) AS end_line,
+      feeds_before + length(body) - length(replace(body, chr(12), '')) AS end_feeds FROM (
+      SELECT *, regexp_replace(text, '[ \t\n\r\f]+\z', '') AS body,
+        bool_or(contains(text, chr(12))) OVER (PARTITION BY doc_id) AS fed,
+        CAST(coalesce(sum(length(text) - length(replace(text, chr(10), ''))) OVER before, 0) AS BIGINT) AS start_line,
+        CAST(coalesce(sum(length(text) - length(replace(text, chr(12), ''))) OVER before, 0) AS BIGINT) AS feeds_before,
+        CAST(coalesce(sum(length(text)) OVER before, 0) AS BIGINT) AS start_char
+      FROM chunk_text
+      WINDOW before AS (PARTITION BY doc_id ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))""",
+  "chunk_text")
 
 
 @query(
@@ -129,7 +137,7 @@ def section_path(t: Tables) -> DataFrame:
 @query(
     "chunking", "chunk_span", "section",
     sql="""SELECT sha256(concat_ws('|', 'chunk', c.doc_id, chunk_no, 'v1')) AS chunk_id, c.doc_id, chunk_no, start_line,
-      end_line, start_line // 5 + 1 AS start_page, end_line // 5 + 1 AS end_page, token_count,
+      end_line, start_page, end_page, start_char, end_char, token_count,
       sha256(text) AS content_hash, 'v1' AS version, s.path AS section_path
       FROM chunk_span c ASOF LEFT JOIN section s ON c.doc_id = s.doc_id AND c.start_line >= s.line_no""",
 )
@@ -172,10 +180,8 @@ def money_normalisation(t: Tables) -> DataFrame:
 
 
 @query(
-    "page_segmentation", "page", "lines",
-    sql="""SELECT doc_id, page_no, min(line_no) AS first_line, max(line_no) AS last_line,
-      string_agg(line, chr(10) ORDER BY line_no) AS text
-      FROM (SELECT *, line_no // 5 + 1 AS page_no FROM lines) GROUP BY doc_id, page_no""",
+    "page_segmentation", "page",
+    sql="SELECT doc_id, page_no, first_line, last_line, start_char, end_char, text FROM page",
 )
 def page_segmentation(t: Tables) -> DataFrame:
     return docs.pages(derived.marked_documents(t))
@@ -194,22 +200,28 @@ def chunk_reconstruction(t: Tables) -> DataFrame:
 
 
 fragment("fact", r"""
-  SELECT DISTINCT sha256(concat_ws('|', 'fact', doc_id, line_no, kind, value)) AS fact_id, doc_id, line_no, kind, value FROM (
-    SELECT doc_id, line_no, kind, unnest(regexp_extract_all(line, pattern)) AS value FROM lines,
+  SELECT sha256(concat_ws('|', 'fact', doc_id, line_no, kind, value)) AS fact_id, doc_id, line_no, kind, value,
+    CAST(min(line_start + coalesce(list_sum(list_transform(between[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(vals[1:i - 1], lambda x: length(x))), 0)) AS BIGINT) AS start_char
+  FROM (SELECT doc_id, line_no, line_start, kind, vals, between, unnest(range(1, len(vals) + 1)) AS i, unnest(vals) AS value
+    FROM (SELECT doc_id, line_no, line_start, kind, regexp_extract_all(line, pattern) AS vals,
+        regexp_split_to_array(line, pattern) AS between FROM lines,
       (VALUES ('office_code', '\b(?:PMW|PMA|PMS|PEO)[ -]?[0-9]{3}\b'), ('program_element', '\b[0-9]{7}[A-Z]\b'),
-        ('notice', '\b[A-Z][0-9]{5}-[0-9]{2}-[A-Z]-[0-9]{4}\b'), ('fiscal_year', '\bFY ?[0-9]{4}\b')) AS p(kind, pattern))""",
+        ('notice', '\b[A-Z][0-9]{5}-[0-9]{2}-[A-Z]-[0-9]{4}\b'), ('fiscal_year', '\bFY ?[0-9]{4}\b')) AS p(kind, pattern)))
+  GROUP BY doc_id, line_no, kind, value""",
   "lines")
 
 
 @query(
-    "evidence_lineage", "fact", "chunk_span",
-    sql="""SELECT sha256(concat_ws('|', 'assertion', fact_id)) AS assertion_id, fact_id, f.doc_id, line_no, chunk_no,
-      sha256(c.text) AS content_hash, line_no // 5 + 1 AS page_no
-      FROM fact f JOIN chunk_span c ON c.doc_id = f.doc_id AND line_no BETWEEN start_line AND end_line""",
+    "evidence_lineage", "fact", "chunk_span", "page",
+    sql="""SELECT sha256(concat_ws('|', 'assertion', fact_id)) AS assertion_id, fact_id, f.doc_id, line_no, f.start_char,
+      chunk_no, sha256(c.text) AS content_hash, page_no
+      FROM fact f JOIN chunk_span c ON c.doc_id = f.doc_id AND f.start_char >= c.start_char AND f.start_char < c.end_char
+      JOIN page p ON p.doc_id = f.doc_id AND f.start_char >= p.start_char AND f.start_char < p.end_char""",
 )
 def evidence_lineage(t: Tables) -> DataFrame:
     marked = derived.marked_documents(t)
-    facts = docs.facts(marked)
+    facts = written(docs.facts(marked), "facts")
     assertions = facts.select(local_id("assertion", "fact_id").alias("assertion_id"), "fact_id")
     return lineage.trace(assertions, facts, docs.chunk(marked), docs.pages(marked))
 

@@ -185,19 +185,30 @@ fragment("marked", """
       CASE WHEN doc_id % 5 = 0 THEN text || chr(10) || 'Office PMW-' || (100 + doc_id % 90)
         || ' element 0' || lpad(CAST(doc_id % 1000000 AS VARCHAR), 6, '0') || 'N notice N'
         || lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') || '-24-R-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0')
+        || CASE WHEN doc_id % 7 = 2 THEN chr(12) ELSE '' END
         || ' FY' || (1995 + doc_id % 7) || ' amount $' || (1 + doc_id % 900) || '.5 '
         || ['K','M','B','in thousands'][doc_id % 4 + 1] ELSE text END, chr(10)),
-      lambda line, i: CASE WHEN (i - 1) % 10 = 0 THEN '# ' || line WHEN (i - 1) % 10 = 5 THEN '## ' || line
-        ELSE line END), chr(10)) AS text
+      lambda line, i: CASE WHEN (i - 1) % 10 = 0 THEN '# ' WHEN (i - 1) % 10 = 5 THEN '## ' ELSE '' END || line
+        || CASE WHEN doc_id % 7 = 2 AND (i - 1) % 4 = 3 THEN chr(12) ELSE '' END), chr(10)) AS text
   FROM documents""")
 
 fragment("lines", """
-  SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM marked)""", "marked")
+  SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_start
+  FROM (SELECT doc_id, contains(text, chr(12)) AS fed, unnest(range(len(ls))) AS line_no, unnest(ls) AS line
+    FROM (SELECT *, string_split(text, chr(10)) AS ls FROM marked))""", "marked")
 
 fragment("page", """
-  SELECT doc_id, line_no // 5 + 1 AS page_no, string_agg(line, chr(10) ORDER BY line_no) AS text
-  FROM lines GROUP BY ALL""", "lines")
+  SELECT *, start_char + length(text) AS end_char, first_line + nl AS last_line FROM (
+    SELECT doc_id, page_no, text, nl, CAST(coalesce(sum(length(text) + 1) OVER before, 0) AS BIGINT) AS start_char,
+      CAST(CASE WHEN fed THEN coalesce(sum(nl) OVER before, 0) ELSE (page_no - 1) * 5 END AS BIGINT) AS first_line
+    FROM (SELECT *, length(text) - length(replace(text, chr(10), '')) AS nl FROM (
+      SELECT doc_id, true AS fed, unnest(range(1, len(ps) + 1)) AS page_no, unnest(ps) AS text
+        FROM (SELECT doc_id, string_split(text, chr(12)) AS ps FROM marked WHERE contains(text, chr(12)))
+      UNION ALL SELECT doc_id, false, line_no // 5 + 1, string_agg(line, chr(10) ORDER BY line_no)
+        FROM lines WHERE NOT fed GROUP BY ALL))
+    WINDOW before AS (PARTITION BY doc_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+  "lines", "marked")
 
 fragment("registry", """
   SELECT source AS source_id, ['budget','forecasts','notices','awards','directory','doctrine'][n % 6 + 1] AS family,

@@ -57,6 +57,26 @@ def found(text: Column, patterns: dict[str, str]) -> Column:
     return F.concat(*hits)
 
 
+def found_at(text: Column, patterns: dict[str, str]) -> Column:
+    """Array of (kind, value, at) of the distinct matches of every pattern, ``at`` being the characters before the
+    first of equal ones. What lies between matches gives their places."""
+    def placed(kind: str, pattern: str) -> Column:
+        def located(values: Column, between: Column) -> Column:
+            steps = F.transform(values, lambda v, i: F.length(v) + F.length(F.get(between, i)))
+            return with_prefix_sums(steps, lambda before: F.transform(values, lambda v, i: F.struct(
+                F.lit(kind).alias("kind"), v.alias("value"), (before(i) + F.length(F.get(between, i))).alias("at"))))
+
+        return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda values: let(
+            F.split(text, pattern, -1), lambda between: located(values, between)
+        ))
+
+    def first_of_equals(hits: Column) -> Column:
+        same = lambda h, e: (h["kind"] == e["kind"]) & (h["value"] == e["value"])
+        return F.filter(hits, lambda h, i: (i == 0) | ~same(h, F.get(hits, i - 1)))
+
+    return let(F.array_sort(F.concat(*[placed(kind, pattern) for kind, pattern in patterns.items()])), first_of_equals)
+
+
 def headings(text: Column) -> Column:
     """Array of (line_no, path) per heading. ``#`` opens a section, deeper marks a
     sub-section whose path starts with the section's heading."""
@@ -154,6 +174,10 @@ def newlines(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
+def feeds(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\f"), F.lit("")))
+
+
 def money_amount(match: Column) -> Column:
     """A money match as dollars; null when the number does not fit."""
     number = F.replace(F.regexp_extract(match, r"([0-9][0-9,]*(?:\.[0-9]+)?)", 1), F.lit(","), F.lit(""))

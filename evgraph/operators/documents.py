@@ -86,7 +86,8 @@ def enumerate_links(pages: DataFrame) -> DataFrame:
 def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
     """Numbered pages, empty ones kept. Form feeds separate pages where a text has
     them; other texts are paged by line count. Lines are those of the whole text, so a line
-    that holds a form feed lies on both pages."""
+    that holds a form feed lies on both pages; every character but the separators lies on one, from ``start_char``
+    up to ``end_char``."""
     by_feed = F.split("text", "\f", -1)
 
     def by_lines(all_lines):
@@ -100,17 +101,21 @@ def pages(documents: DataFrame, lines_per_page: int = 5) -> DataFrame:
     fed = F.contains("text", F.lit("\f"))
     cut = F.when(fed, by_feed).otherwise(by_count)
 
-    def numbered(parts, breaks_before):
+    def numbered(parts, breaks_before, chars_before):
         def one(part, p):
-            first = F.when(fed, breaks_before(p)).otherwise(p * lines_per_page)
+            first, start = F.when(fed, breaks_before(p)).otherwise(p * lines_per_page), chars_before(p)
             return F.struct(
-                (p + 1).alias("page_no"), first.alias("first_line"), (first + tx.newlines(part)).alias("last_line"), part.alias("text")
+                (p + 1).alias("page_no"), first.alias("first_line"), (first + tx.newlines(part)).alias("last_line"),
+                start.alias("start_char"), (start + F.length(part)).alias("end_char"), part.alias("text"),
             )
 
         return F.transform(parts, one)
 
-    numbered_pages = tx.let(cut, lambda parts: tx.let(
-        F.transform(parts, tx.newlines), lambda breaks: tx.with_prefix_sums(breaks, lambda before: numbered(parts, before))
+    def sums(parts, measure, body):
+        return tx.let(F.transform(parts, measure), lambda values: tx.with_prefix_sums(values, body))
+
+    numbered_pages = tx.let(cut, lambda parts: sums(
+        parts, tx.newlines, lambda breaks: sums(parts, lambda part: F.length(part) + 1, lambda chars: numbered(parts, breaks, chars))
     ))
     return documents.select("doc_id", F.inline(numbered_pages))
 
@@ -146,8 +151,8 @@ def section_path(documents: DataFrame) -> DataFrame:
 
 
 def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5, also: tuple[str, ...] = ()) -> DataFrame:
-    """Chunks of ``budget`` words that join back to the exact text, each with its line
-    and page range, section path, word count, content hash and extraction version; columns of
+    """Chunks of ``budget`` words that join back to the exact text, each with its range of
+    lines, pages and characters, section path, word count, content hash and extraction version; columns of
     ``also`` are those of the document."""
     def cut(pieces):
         last = F.floor((F.size(pieces) - 1) / budget).cast("int")
@@ -161,31 +166,36 @@ def chunk(documents: DataFrame, budget: int = 200, lines_per_page: int = 5, also
         )
         return F.when(F.size(pieces) == 0, F.array(whole)).otherwise(parts)
 
-    def described(parts, line_before, heading_at):
+    def described(parts, line_before, feed_before, char_before, heading_at):
         def one(part, k):
             body = F.regexp_replace(part["text"], r"[ \t\n\r\f]+\z", "")
-            return tx.let(line_before(k), lambda line: F.struct(
-                k.alias("chunk_no"), line.alias("start_line"), (line + tx.newlines(body)).alias("end_line"),
-                heading_at(line).alias("section_path"), part["tokens"].alias("token_count"), part["text"].alias("text"),
+            page = lambda line, feeds: F.when(fed, feeds + 1).otherwise(F.floor(line / lines_per_page) + 1)
+            return tx.let(F.struct(line_before(k).alias("line"), feed_before(k).alias("feeds"), char_before(k).alias("char")), lambda at: F.struct(
+                k.alias("chunk_no"), at["line"].alias("start_line"), (at["line"] + tx.newlines(body)).alias("end_line"),
+                page(at["line"], at["feeds"]).alias("start_page"),
+                page(at["line"] + tx.newlines(body), at["feeds"] + tx.feeds(body)).alias("end_page"),
+                at["char"].alias("start_char"), (at["char"] + F.length(part["text"])).alias("end_char"),
+                heading_at(at["line"]).alias("section_path"), part["tokens"].alias("token_count"), part["text"].alias("text"),
             ))
 
         return F.transform(parts, one)
 
+    def sums(parts, measure, body):
+        return tx.let(F.transform(parts, lambda part: measure(part["text"])), lambda values: tx.with_prefix_sums(values, body))
+
+    fed = F.contains("text", F.lit("\f"))
     pieces = F.regexp_extract_all("text", F.lit(tx.PIECE_PATTERN), F.lit(0))
-    chunks = tx.let(tx.let(pieces, cut), lambda parts: tx.let(
-        F.transform(parts, lambda part: tx.newlines(part["text"])),
-        lambda breaks: tx.let(
-            tx.headings(F.col("text")),
-            lambda marks: tx.with_prefix_sums(breaks, lambda line_before: tx.with_heading_at(
-                marks, lambda heading_at: described(parts, line_before, heading_at)
-            )),
-        ),
-    ))
+    chunks = tx.let(tx.let(pieces, cut), lambda parts: tx.let(tx.headings(F.col("text")), lambda marks: sums(
+        parts, tx.newlines, lambda line_before: sums(parts, tx.feeds, lambda feed_before: sums(
+            parts, F.length, lambda char_before: tx.with_heading_at(
+                marks, lambda heading_at: described(parts, line_before, feed_before, char_before, heading_at)
+            )
+        ))
+    )))
     rows = documents.select("doc_id", *also, F.inline(chunks))
-    page = lambda line: (F.floor(F.col(line) / lines_per_page) + 1).alias(line.replace("line", "page"))
     return rows.select(
         local_id("chunk", "doc_id", "chunk_no", F.lit(EXTRACTION_VERSION)).alias("chunk_id"), "doc_id", "chunk_no",
-        "start_line", "end_line", page("start_line"), page("end_line"), "section_path", "token_count",
+        "start_line", "end_line", "start_page", "end_page", "start_char", "end_char", "section_path", "token_count",
         F.sha2("text", 256).alias("content_hash"), F.lit(EXTRACTION_VERSION).alias("version"), "text", *also,
     )
 
@@ -228,11 +238,18 @@ def money(texts: DataFrame, *place: str) -> DataFrame:
 
 
 def facts(documents: DataFrame) -> DataFrame:
-    """Identifiers found in each line, with a deterministic fact id."""
-    by_line = documents.select("doc_id", F.posexplode(tx.lines(F.col("text"))).alias("line_no", "text"))
-    found = F.array_distinct(tx.found(F.col("text"), tx.IDENTIFIER_PATTERNS))
-    return by_line.select("doc_id", "line_no", F.inline(found)).select(
-        local_id("fact", "doc_id", "line_no", "kind", "value").alias("fact_id"), "doc_id", "line_no", "kind", "value"
+    """Identifiers found in each line, each once, with a deterministic fact id and the characters it spans."""
+    def started(all_lines):
+        return tx.let(F.transform(all_lines, lambda line: F.length(line) + 1), lambda sizes: tx.with_prefix_sums(
+            sizes, lambda before: F.transform(all_lines, lambda line, i: F.struct(i.alias("line_no"), before(i).alias("start"), line.alias("text")))
+        ))
+
+    by_line = documents.select("doc_id", F.inline(tx.let(tx.lines(F.col("text")), started)))
+    hits = by_line.select("doc_id", "line_no", "start", F.inline(tx.found_at(F.col("text"), tx.IDENTIFIER_PATTERNS)))
+    start = F.col("start") + F.col("at")
+    return hits.select(
+        local_id("fact", "doc_id", "line_no", "kind", "value").alias("fact_id"), "doc_id", "line_no", "kind", "value",
+        start.alias("start_char"), (start + F.length("value")).alias("end_char"),
     )
 
 

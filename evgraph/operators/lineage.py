@@ -28,20 +28,28 @@ def uncovered(claims: DataFrame, documents: DataFrame) -> DataFrame:
     return claims.join(documents.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-def trace(assertions: DataFrame, facts: DataFrame, chunks: DataFrame, pages: DataFrame) -> DataFrame:
-    """One row per assertion, fact, chunk and page on the way from claim to page.
-
-    A fact meets the chunks of its own document only, and those that hold its line.
-    """
-    f = facts.select("fact_id", "doc_id", "line_no")
-    c = chunks.select("doc_id", "chunk_no", "start_line", "end_line", "content_hash")
-    p = pages.select("doc_id", "page_no", "first_line", "last_line")
-    return (
-        assertions.select("assertion_id", "fact_id")
-        .join(f, "fact_id")
-        .join(c, "doc_id")
-        .where(F.col("line_no").between(F.col("start_line"), F.col("end_line")))
-        .join(p, "doc_id")
-        .where(F.col("line_no").between(F.col("first_line"), F.col("last_line")))
-        .select("assertion_id", "fact_id", "doc_id", "line_no", "chunk_no", "content_hash", "page_no")
+SPAN = 4096  # characters of a bucket
+
+
+def bucketed(spans: DataFrame, width: int, *columns: str) -> DataFrame:
+    """doc_id, bucket, start and end of every bucket of ``width`` characters that a span (start_char, end_char) meets."""
+    start = F.floor(F.col("start_char") / width)
+    last = F.floor(F.greatest(F.col("end_char") - 1, F.col("start_char")) / width)
+    return spans.select(
+        "doc_id", F.explode(F.sequence(start, last)).alias("bucket"), F.col("start_char").alias("_start"),
+        F.col("end_char").alias("_end"), *columns,
     )
+
+
+def trace(assertions: DataFrame, facts: DataFrame, chunks: DataFrame, pages: DataFrame, width: int = SPAN) -> DataFrame:
+    """One row per assertion and fact, with the chunk and the page its first character lies in.
+
+    Characters lie in one chunk and on one page, so a fact has one of each, also where a line is shared by two.
+    Facts meet spans by document and bucket of ``width`` characters, so a long document spreads over many keys
+    and a fact is compared with the few spans of its bucket."""
+    f = facts.select("fact_id", "doc_id", "line_no", "start_char").withColumn("bucket", F.floor(F.col("start_char") / width))
+    inside = (F.col("start_char") >= F.col("_start")) & (F.col("start_char") < F.col("_end"))
+    met = assertions.select("assertion_id", "fact_id").join(f, "fact_id")
+    for spans in (bucketed(chunks, width, "chunk_no", "content_hash"), bucketed(pages, width, "page_no")):
+        met = met.join(spans, ["doc_id", "bucket"]).where(inside).drop("_start", "_end")
+    return met.select("assertion_id", "fact_id", "doc_id", "line_no", "start_char", "chunk_no", "content_hash", "page_no")

@@ -99,11 +99,12 @@ def candidate_pairs(asked: DataFrame, postings: DataFrame, forward: DataFrame, w
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     lists = written(lists.withColumn("_first", before < 4 * k), "lists")
     first = lists.where("_first").select("need", "term", "level").join(postings, ["term", "level"]).select("need", "passage_id").distinct()
+    first = written(first, "pairs")  # of known size, so that a few pairs don't make the passages move
     rank = F.row_number().over(Window.partitionBy("need").orderBy(F.desc("score"), "office"))
     found = best_passages(scored_pairs(first, forward, weights)).withColumn("_r", rank).where(F.col("_r") <= k)
     kth = found.groupBy("need").agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - SLACK).otherwise(0.0).alias("t"))
-    thresholds = written(asked.select("need").distinct().join(kth, "need", "left").select("need", F.coalesce("t", F.lit(0.0)).alias("t")), "thresholds")
-    opened = written(open_lists(lists.drop("_first"), thresholds), "open-lists")
+    thresholds = asked.select("need").distinct().join(kth, "need", "left").select("need", F.coalesce("t", F.lit(0.0)).alias("t"))
+    opened = open_lists(lists.drop("_first"), thresholds)
     met = opened.join(postings, ["term", "level"])
     gains = met.groupBy("need", "passage_id").agg(
         F.sum(F.col("qw") * F.col("impact") - F.col("cut")).alias("_over"), F.first("cuts").alias("cuts"), F.first("t").alias("t")

@@ -344,7 +344,8 @@ def retrievals(t: Tables) -> DataFrame:
 def marked_documents(t: Tables, *also: str) -> DataFrame:
     """Documents with planted headings and, in every fifth, a line of identifiers; columns of ``also`` are kept.
 
-    Every tenth line becomes a heading, and the line midway between two a sub-heading.
+    Every tenth line becomes a heading, and the line midway between two a sub-heading. In every seventh document
+    every fourth line ends in a form feed, and one splits the line of identifiers.
     """
     d = F.col("doc_id")
 
@@ -355,16 +356,13 @@ def marked_documents(t: Tables, *also: str) -> DataFrame:
     marker = F.concat(
         F.lit("\nOffice PMW-"), (100 + d % 90).cast("string"),
         F.lit(" element 0"), pad(d % 1000000, 6), F.lit("N notice N"), pad(d % 100000, 5), F.lit("-24-R-"),
-        pad(d % 10000, 4), F.lit(" FY"), (1995 + d % 7).cast("string"), F.lit(" amount $"),
+        pad(d % 10000, 4), F.when(d % 7 == 2, F.lit("\f")).otherwise(F.lit("")), F.lit(" FY"), (1995 + d % 7).cast("string"), F.lit(" amount $"),
         (1 + d % 900).cast("string"), F.lit(".5 "), unit,
     )
     text = F.when(d % 5 == 0, F.concat("text", marker)).otherwise(F.col("text"))
-    headed = F.transform(
-        F.split(text, "\n", -1),
-        lambda line, i: F.when(i % 10 == 0, F.concat(F.lit("# "), line))
-        .when(i % 10 == 5, F.concat(F.lit("## "), line))
-        .otherwise(line),
-    )
+    mark = lambda i: F.when(i % 10 == 0, F.lit("# ")).when(i % 10 == 5, F.lit("## ")).otherwise(F.lit(""))
+    end = lambda i: F.when((d % 7 == 2) & (i % 4 == 3), F.lit("\f")).otherwise(F.lit(""))
+    headed = F.transform(F.split(text, "\n", -1), lambda line, i: F.concat(mark(i), line, end(i)))
     return t.documents.select("doc_id", *also, F.array_join(headed, "\n").alias("text"))
 
 

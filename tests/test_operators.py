@@ -10,6 +10,7 @@ from pyspark.sql import Window, functions as F
 from evgraph.catalog.ownership import AS_OF
 from evgraph.operators import (
     documents as docs, evaluation, forecast, identity, lineage, matching, ordered, ownership, people, temporal,
+    vector_index,
 )
 from evgraph.sources import derived
 
@@ -241,10 +242,35 @@ def test_every_fact_of_a_text_with_form_feeds_reaches_its_page(spark):
     df = spark.createDataFrame([(0, text), (1, "a\nb\nc\nd\ne\nf")], "doc_id long, text string")
     got = {(r.doc_id, r.page_no): (r.first_line, r.last_line) for r in docs.pages(df).collect()}
     assert got == {(0, 1): (0, 2), (0, 2): (2, 4), (0, 3): (4, 4), (0, 4): (4, 5), (1, 1): (0, 4), (1, 2): (5, 5)}
-    facts = spark.createDataFrame([(f"f{i}", 0, i) for i in range(6)], "fact_id string, doc_id long, line_no int")
+    spans = {(r.doc_id, r.page_no): (r.start_char, r.end_char) for r in docs.pages(df).collect()}
+    assert all(text[a:b] == p for (d, n), (a, b) in spans.items() for p in [text.split("\f")[n - 1]] if d == 0)
+    at = [i for i, c in enumerate(text) if c not in "\f"]
+    facts = spark.createDataFrame([(f"f{i}", 0, text[:i].count("\n"), i) for i in at], "fact_id string, doc_id long, line_no int, start_char int")
     claims = facts.selectExpr("concat('a', fact_id) AS assertion_id", "fact_id")
-    traced = {(r.line_no, r.page_no) for r in lineage.trace(claims, facts, docs.chunk(df, 100), docs.pages(df)).collect()}
-    assert traced == {(0, 1), (1, 1), (2, 1), (2, 2), (3, 2), (4, 2), (4, 3), (4, 4), (5, 4)}
+    for width in (4, 4096):
+        traced = lineage.trace(claims, facts, docs.chunk(df, 2), docs.pages(df), width).collect()
+        assert sorted(r.start_char for r in traced) == at  # one row each, also on lines of two pages
+        assert all(r.page_no == text[: r.start_char].count("\f") + 1 for r in traced)
+        chunks = {r.chunk_no: r for r in docs.chunk(df, 2).where("doc_id = 0").collect()}
+        assert all(chunks[r.chunk_no].start_char <= r.start_char < chunks[r.chunk_no].end_char for r in traced)
+
+
+def test_a_line_shared_by_two_chunks_and_two_pages_gives_one_row_a_fact(spark):
+    text = "intro\nsee PMW 101 and\fPMW-102 then 0101234N, PMW 101 again FY1999"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    facts = docs.facts(df)
+    found = {(r.kind, r.value): (r.start_char, r.end_char) for r in facts.collect()}
+    assert all(text[a:b] == value and text.index(value) == a for (_, value), (a, b) in found.items()) and len(found) == 4
+    claims = facts.select(identity.local_id("assertion", "fact_id").alias("assertion_id"), "fact_id")
+    got = {r.start_char: (r.page_no, r.chunk_no) for r in lineage.trace(claims, facts, docs.chunk(df, 3), docs.pages(df)).collect()}
+    assert got == {text.index("PMW 101"): (1, 0), text.index("PMW-102"): (2, 1), text.index("0101234N"): (2, 2), text.index("FY1999"): (2, 3)}
+
+
+def test_chunks_know_the_pages_between_form_feeds(spark):
+    text = "a b\fc d\n\n\f\fe f g"
+    df = spark.createDataFrame([(1, text), (2, "\n" * 6 + "x\ny"), (3, "")], "doc_id long, text string")
+    got = rows(docs.chunk(df, 2), "doc_id", "chunk_no", "start_page", "end_page")
+    assert got == [(1, 0, 1, 1), (1, 1, 2, 2), (1, 2, 4, 4), (1, 3, 4, 4), (2, 0, 1, 2), (3, 0, 1, 1)]
 
 
 def test_pages_and_chunks_give_the_text_back(spark):
@@ -349,8 +375,10 @@ def plain_nearest(needs, profiles, k):
     rows = []
     for need, v in needs:
         v = np.asarray(v, float)
+        if not np.any(v):
+            continue
         ranked = sorted((-round(float(v @ p / (np.linalg.norm(v) * np.linalg.norm(p))), 6), o) for o, p in profiles if np.any(p))
-        rows += [(need, i + 1, o, -s) for i, (s, o) in enumerate(ranked[:k])] if np.any(v) else []
+        rows += [(need, i + 1, o, -s) for i, (s, o) in enumerate(ranked[:k])]
     return sorted(rows)
 
 
@@ -365,8 +393,6 @@ def clustered(seed, groups, size, dim, spread):
 @pytest.mark.parametrize("block", [5, 1000])
 def test_nearest_vectors_equal_a_comparison_of_all_pairs(spark, block):
     """On clustered vectors, less than half of the pairs are compared."""
-    from evgraph.operators import vector_index
-
     vectors = clustered(2, 12, 25, 8, 0.2)
     profiles = list(enumerate(vectors[:240])) + [(900, [0.0] * 8), (901, vectors[3]), (902, vectors[3])]
     needs = [(1000 + i, v) for i, v in enumerate(vectors[240:])] + [(2000, [0.0] * 8), (2001, vectors[3]), (2002, [-x for x in vectors[3]])]
