@@ -32,7 +32,7 @@ def query(name: str, *tables: str, sql: str | None = None, recursive: bool = Fal
 
 # Positions and lengths that are INT in Spark and BIGINT in the checking engine.
 WIDE = set(
-    "rank need_rank page_no line_no first_line last_line start_line end_line start_char end_char token_count fiscal_year year score"
+    "rank need_rank seq page_no line_no first_line last_line start_line end_line start_char end_char token_count fiscal_year year score"
     " timing_error_days size_bytes distance n_terms n_hits notice_to_award_days oldest_days".split()
 )
 

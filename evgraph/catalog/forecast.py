@@ -185,9 +185,12 @@ fragment("scope_term", """
     FROM (SELECT office, program, unnest(string_split(scope, ' ')) AS term FROM known_procurement)
     GROUP BY office, program, term) WHERE r <= 3 GROUP BY office, program""", "known_procurement")
 fragment("predicted", f"""
-  SELECT office, program, 'v1' AS version, '{CUTOFF}' AS cutoff, window_start, window_end, method, contracting,
+  SELECT office, program, 'v1' AS version, '{CUTOFF}' AS cutoff,
+    last_at + CAST(floor(mean_days * n_steps - stddev_days + 0.5) AS INTEGER) AS window_start,
+    last_at + CAST(floor(mean_days * n_steps + stddev_days + 0.5) AS INTEGER) AS window_end, method, contracting,
     scope_terms, n_gaps
-  FROM recurrence_known JOIN pathway_known USING (office, program) JOIN scope_term USING (office, program)""",
+  FROM (SELECT *, greatest(1, CAST(ceil((DATE '{CUTOFF}' - last_at - 0.5::DOUBLE - stddev_days) / mean_days) AS INTEGER)) AS n_steps
+    FROM recurrence_known) JOIN pathway_known USING (office, program) JOIN scope_term USING (office, program)""",
   "recurrence_known", "pathway_known", "scope_term")
 
 
@@ -200,20 +203,48 @@ def predicted_notice(t: Tables) -> DataFrame:
     return forecast.predicted_notices(procurements(t), CUTOFF)
 
 
+fragment("purchase_day", """
+  SELECT *, event_at - lag(event_at) OVER (PARTITION BY office, program ORDER BY event_at) AS gap FROM (
+    SELECT office, program, event_at, contracting, method FROM procurement
+    QUALIFY row_number() OVER (PARTITION BY office, program, event_at ORDER BY contracting, method) = 1)""", "procurement")
+fragment("origin", """
+  SELECT *, s / n_gaps AS mean, sqrt((CAST(sq AS DOUBLE) - CAST(s * s AS DOUBLE) / n_gaps) / (n_gaps - 1)) AS spread FROM (
+    SELECT office, program, event_at AS cutoff, count(gap) OVER so_far AS n_gaps, sum(gap) OVER so_far AS s,
+      sum(gap * gap) OVER so_far AS sq FROM purchase_day
+    WINDOW so_far AS (PARTITION BY office, program ORDER BY event_at))
+  WHERE n_gaps >= 3 AND cutoff + 365 <= (SELECT max(event_at) FROM procurement)""", "purchase_day", "procurement")
+
+
+def likely_sql(column: str) -> str:
+    return f"""SELECT office, program, cutoff, {column} AS likely_{column} FROM (
+        SELECT o.office, o.program, o.cutoff, p.{column}, count(*) AS n
+        FROM origin o JOIN procurement p ON p.office = o.office AND p.program = o.program AND p.event_at <= o.cutoff GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY office, program, cutoff ORDER BY n DESC, {column}) = 1"""
+
+
 @query(
-    "backtest", "procurement", "predicted",
-    sql=f"""SELECT office, program, CASE WHEN window_start IS NULL THEN 'missed' WHEN actual_at IS NULL THEN 'false_positive'
-        WHEN actual_at BETWEEN window_start AND window_end THEN 'correct' ELSE 'mistimed' END AS outcome,
-      CASE WHEN actual_at < window_start THEN actual_at - window_start WHEN actual_at > window_end THEN actual_at - window_end
-        WHEN window_start IS NOT NULL AND actual_at IS NOT NULL THEN 0 END AS timing_error_days,
-      p.contracting = a.contracting AS contracting_correct, p.method = a.method AS method_correct
-      FROM predicted p FULL JOIN (SELECT office, program, event_at AS actual_at, contracting, method FROM procurement
-        WHERE event_at > DATE '{CUTOFF}' QUALIFY row_number() OVER (PARTITION BY office, program
-          ORDER BY event_at, contracting, method) = 1) a USING (office, program)""",
+    "backtest", "origin", "purchase_day", "procurement",
+    sql=f""", likely AS (SELECT * FROM ({likely_sql('method')}) JOIN ({likely_sql('contracting')}) USING (office, program, cutoff)),
+      expected AS (SELECT office, program, cutoff, seq, cutoff + CAST(floor(mean * seq - spread + 0.5) AS INTEGER) AS window_start,
+          cutoff + CAST(floor(mean * seq + spread + 0.5) AS INTEGER) AS window_end
+        FROM (SELECT *, unnest(range(1, CAST(floor(365.0::DOUBLE / mean) AS BIGINT) + 1)) AS seq FROM origin)),
+      actual AS (SELECT o.office, o.program, o.cutoff, d.event_at AS actual_at, d.contracting, d.method,
+          row_number() OVER (PARTITION BY o.office, o.program, o.cutoff ORDER BY d.event_at) AS seq
+        FROM origin o JOIN purchase_day d ON d.office = o.office AND d.program = o.program AND d.event_at > o.cutoff
+          AND d.event_at <= o.cutoff + 365)
+      SELECT office, program, strftime(cutoff, '%Y-%m-%d') AS cutoff, seq,
+        CASE WHEN window_start IS NULL THEN 'missed' WHEN actual_at IS NULL THEN 'false_positive'
+          WHEN actual_at BETWEEN window_start AND window_end THEN 'correct' ELSE 'mistimed' END AS outcome,
+        strftime(window_start, '%Y-%m-%d') AS window_start, strftime(window_end, '%Y-%m-%d') AS window_end,
+        strftime(actual_at, '%Y-%m-%d') AS actual_at,
+        CASE WHEN actual_at < window_start THEN actual_at - window_start WHEN actual_at > window_end THEN actual_at - window_end
+          WHEN window_start IS NOT NULL AND actual_at IS NOT NULL THEN 0 END AS timing_error_days,
+        CASE WHEN window_start IS NOT NULL THEN likely_contracting = a.contracting END AS contracting_correct,
+        CASE WHEN window_start IS NOT NULL THEN likely_method = a.method END AS method_correct
+      FROM (expected FULL JOIN actual a USING (office, program, cutoff, seq)) JOIN likely USING (office, program, cutoff)""",
 )
 def backtest(t: Tables) -> DataFrame:
-    events = procurements(t)
-    return forecast.backtest(forecast.predicted_notices(events, CUTOFF), events, CUTOFF)
+    return forecast.backtest(procurements(t))
 
 
 @query(

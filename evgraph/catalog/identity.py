@@ -114,18 +114,23 @@ def ancestry_path(t: Tables) -> DataFrame:
 
 @query(
     "buyer_paths", "path_edge",
-    sql="""SELECT start, path, CAST(score AS DOUBLE) AS score, rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY start ORDER BY score DESC, path) AS rank FROM (
-        SELECT a.src AS start, a.src || '>' || b.src || '>' || c.src || '>' || c.dst AS path,
-          a.confidence * b.confidence * c.confidence AS score
-        FROM (SELECT src, dst, max(confidence) AS confidence FROM path_edge GROUP BY ALL) a
-        JOIN (SELECT src, dst, max(confidence) AS confidence FROM path_edge GROUP BY ALL) b ON a.dst = b.src
-        JOIN (SELECT src, dst, max(confidence) AS confidence FROM path_edge GROUP BY ALL) c ON b.dst = c.src
-        WHERE a.src LIKE 'solicitation:%' AND a.confidence > 0 AND b.confidence > 0 AND c.confidence > 0))
-      WHERE rank <= 3""",
+    sql=""", step AS (SELECT *, dst LIKE 'contracting:%' AS ends FROM path_edge),
+      two AS (SELECT a.src AS start, a.src || '>' || a.dst AS path, a.dst AS node, a.confidence AS score FROM step a
+        WHERE a.src LIKE 'solicitation:%' AND NOT a.ends),
+      three AS (SELECT start, path || '>' || b.dst AS path, b.dst AS node, score * b.confidence AS score
+        FROM two JOIN step b ON b.src = node AND NOT b.ends),
+      buyer AS (SELECT src, dst, confidence FROM step WHERE ends
+        QUALIFY row_number() OVER (PARTITION BY src ORDER BY confidence DESC, dst) <= 3),
+      found AS (
+        SELECT src AS start, src || '>' || dst AS path, CAST(confidence AS DECIMAL(12,6)) AS score, 1 AS n_hops FROM buyer
+          WHERE src LIKE 'solicitation:%'
+        UNION ALL SELECT start, path || '>' || dst, score * confidence, 2 FROM two JOIN buyer ON src = node
+        UNION ALL SELECT start, path || '>' || dst, score * confidence, 3 FROM three JOIN buyer ON src = node)
+      SELECT start, path, CAST(score AS DOUBLE) AS score, n_hops, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY start ORDER BY score DESC, n_hops, path) AS rank FROM found) WHERE rank <= 3""",
 )
 def buyer_paths(t: Tables) -> DataFrame:
-    return identity.buyer_paths(derived.path_edges(t), ["solicitation", "office", "program", "company"], 3)
+    return identity.buyer_paths(derived.path_edges(t), ["solicitation"], ["contracting_office"], 3, 3)
 
 
 fragment("norm_name", """
@@ -148,11 +153,20 @@ def entity_resolution(t: Tables) -> DataFrame:
     sql=""", reach AS (
         SELECT block, norm, norm AS other FROM norm_name
         UNION SELECT r.block, r.norm, CASE WHEN p.name_a = r.other THEN p.name_b ELSE p.name_a END
-        FROM reach r JOIN name_pair p ON p.block = r.block AND p.decision = 'match' AND r.other IN (p.name_a, p.name_b))
-      SELECT n.record, n.source, n.name, n.block, min(r.other) AS cluster
+        FROM reach r JOIN name_pair p ON p.block = r.block AND p.decision = 'match' AND r.other IN (p.name_a, p.name_b)),
+      wide AS (
+        SELECT block, norm, norm AS other FROM norm_name
+        UNION SELECT r.block, r.norm, CASE WHEN p.name_a = r.other THEN p.name_b ELSE p.name_a END
+        FROM wide r JOIN name_pair p ON p.block = r.block AND r.other IN (p.name_a, p.name_b)),
+      grouped AS (SELECT block, norm, min(other) AS review_group FROM wide GROUP BY ALL),
+      waiting AS (SELECT DISTINCT g.block, review_group FROM grouped g JOIN name_pair p ON p.block = g.block
+        AND p.name_a = g.norm AND p.decision = 'review')
+      SELECT n.record, n.source, n.name, n.block, min(r.other) AS cluster, any_value(w.review_group) AS review_group
       FROM name_record n JOIN reach r ON r.block = n.block
         AND r.norm = regexp_replace(lower(n.name), '[^a-z0-9]', '', 'g')
-      GROUP BY ALL""",
+      JOIN grouped g ON g.block = r.block AND g.norm = r.norm
+      LEFT JOIN waiting w ON w.block = g.block AND w.review_group = g.review_group
+      GROUP BY n.record, n.source, n.name, n.block""",
 )
 def entity_clusters(t: Tables) -> DataFrame:
     return identity.resolve_entities(derived.name_records(t))

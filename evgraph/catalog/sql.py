@@ -131,11 +131,14 @@ fragment("org_parent", """
   UNION ALL SELECT DISTINCT 'award:' || l_orderkey || '-' || l_linenumber, 'office:' || l_suppkey FROM lineitem""")
 
 fragment("path_edge", """
-  SELECT 'solicitation:' || l_orderkey AS src, 'office:' || l_suppkey AS dst,
-    CAST(round(1 - l_discount, 2) AS DECIMAL(4,2)) AS confidence FROM lineitem WHERE l_linenumber = 1
-  UNION ALL SELECT 'office:' || l_suppkey, 'program:' || l_partkey, CAST(round(1 - l_discount, 2) AS DECIMAL(4,2))
-    FROM lineitem WHERE l_linenumber = 2
-  UNION ALL SELECT 'program:' || p_partkey, 'company:' || p_brand, CAST(0.90 AS DECIMAL(4,2)) FROM part""")
+  SELECT src, dst, max(confidence) AS confidence FROM (
+    SELECT CASE WHEN l_linenumber IN (1, 2, 6) THEN 'solicitation:' || l_orderkey WHEN l_linenumber IN (3, 4)
+        THEN 'office:' || l_suppkey ELSE 'program:' || l_partkey END AS src,
+      CASE WHEN l_linenumber IN (1, 2, 5) THEN 'office:' || l_suppkey WHEN l_linenumber IN (3, 6) THEN 'program:' || l_partkey
+        ELSE 'contracting:' || o_custkey END AS dst,
+      CAST(round(1 - l_discount, 2) AS DECIMAL(4,2)) AS confidence
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+  WHERE confidence > 0 GROUP BY src, dst""")
 
 fragment("name_record", """
   SELECT 'a:' || s_suppkey AS record, 'registry' AS source, s_name AS name, s_nationkey AS block FROM supplier

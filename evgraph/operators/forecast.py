@@ -191,6 +191,19 @@ def engagement_plan(needs: DataFrame, contacts: DataFrame) -> DataFrame:
     )
 
 
+def next_window(stats: DataFrame, cutoff) -> DataFrame:
+    """``recurrence`` rows with the first expected window that does not end before the cutoff: whole mean
+    gaps after the last event, so nothing is predicted for a time already past. ``n_steps`` counts the gaps."""
+    past = F.date_diff(F.lit(cutoff).cast("date"), "last_at") - 0.5 - F.col("stddev_days")
+    rolled = stats.withColumn("n_steps", F.greatest(F.lit(1), F.ceil(past / F.col("mean_days"))).cast("int"))
+    center = F.col("mean_days") * F.col("n_steps")
+
+    def day(offset):
+        return F.date_add("last_at", F.floor(offset + 0.5).cast("int"))
+
+    return rolled.withColumn("window_start", day(center - F.col("stddev_days"))).withColumn("window_end", day(center + F.col("stddev_days")))
+
+
 def predicted_notices(events: DataFrame, cutoff, n_terms: int = 3, version: str = "v1") -> DataFrame:
     """A versioned, time-bounded prediction per recurring (office, program), made from
     events up to the cutoff: window, pathway, contracting office and scope terms."""
@@ -210,7 +223,7 @@ def predicted_notices(events: DataFrame, cutoff, n_terms: int = 3, version: str
         .select(*key, F.transform("_t", lambda x: x["term"]).alias("scope_terms"))
     )
     return (
-        recurrence(known)
+        next_window(recurrence(known), cutoff)
         .join(likely_pathway(known, key), key)
         .join(scope, key)
         .select(
@@ -220,18 +233,79 @@ def predicted_notices(events: DataFrame, cutoff, n_terms: int = 3, version: str
     )
 
 
-def backtest(predictions: DataFrame, events: DataFrame, cutoff) -> DataFrame:
-    """Predictions against the first procurement after the cutoff. Both sides hold one
-    row per (office, program) before the outer join."""
+HORIZON = 365
+
+
+def _mode_so_far(events: DataFrame, column: str) -> DataFrame:
+    """office, program, event_at and the most frequent value of the key up to that day, ties to the smaller one.
+
+    A value's count is highest when it last occurs, so the best of the counts reached so far is the mode. Both
+    windows run over rows reduced to one per calendar day."""
     key = ["office", "program"]
-    actual = (
-        events.where(F.col("event_at") > F.lit(cutoff).cast("date"))
-        .groupBy(*key)
-        .agg(F.min(F.struct("event_at", "contracting", "method")).alias("_first"))
-        .select(*key, F.col("_first.event_at").alias("actual_at"), F.col("_first.contracting").alias("actual_contracting"),
-                F.col("_first.method").alias("actual_method"))
+    daily = events.groupBy(*key, "event_at", column).agg(F.count(F.lit(1)).alias("_n"))
+    by_value = Window.partitionBy(*key, column).orderBy("event_at").rowsBetween(Window.unboundedPreceding, 0)
+    counted = daily.withColumn("_best", F.struct((-F.sum("_n").over(by_value)).alias("neg"), F.col(column).alias("v")))
+    per_day = counted.groupBy(*key, "event_at").agg(F.min("_best").alias("_best"))
+    by_day = Window.partitionBy(*key).orderBy("event_at").rowsBetween(Window.unboundedPreceding, 0)
+    return per_day.select(*key, "event_at", F.min("_best").over(by_day)["v"].alias(f"likely_{column}"))
+
+
+def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int = MIN_GAPS) -> DataFrame:
+    """What would have been predicted on each day an office bought for a program: office, program, cutoff (that
+    day), the pathway most frequent so far, the windows of all purchases expected within the horizon, and the purchases
+    that followed within it.
+
+    Windows, pathway and statistics are running states of the days up to the cutoff; later days are
+    labels alone. Purchases collapse to days, which bounds every window by the calendar."""
+    key = ["office", "program"]
+    days = events.groupBy(*key, "event_at").agg(F.min(F.struct("contracting", "method")).alias("_first"))
+    in_order = Window.partitionBy(*key).orderBy("event_at")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    number = F.unix_date("event_at")
+    later = Window.partitionBy(*key).orderBy("_day").rangeBetween(1, horizon)
+    gap = F.date_diff("event_at", F.lag("event_at").over(in_order))
+    rows = days.withColumn("_day", number).withColumn("_gap", gap)
+    rows = rows.withColumns({
+        "n_gaps": F.count("_gap").over(so_far), "_sum": F.sum("_gap").over(so_far), "_sq": F.sum(F.col("_gap") * F.col("_gap")).over(so_far),
+        "actual": F.collect_list(F.struct(F.col("event_at").alias("at"), "_first.contracting", "_first.method")).over(later),
+    }).where(F.col("n_gaps") >= min_gaps)
+    mean = F.col("_sum") / F.col("n_gaps")
+    spread = F.sqrt((F.col("_sq") - F.col("_sum") * F.col("_sum") / F.col("n_gaps")) / (F.col("n_gaps") - 1))
+    rows = rows.withColumn("_mean", mean).withColumn("_spread", spread)
+    expected = F.floor(F.lit(float(horizon)) / F.col("_mean")).cast("int")
+
+    def day(offset):
+        return F.date_add("event_at", F.floor(offset + 0.5).cast("int"))
+
+    windows = F.transform(F.sequence(F.lit(1), expected), lambda m: F.struct(
+        day(F.col("_mean") * m - F.col("_spread")).alias("start"), day(F.col("_mean") * m + F.col("_spread")).alias("end")
+    ))
+    none = F.array().cast("array<struct<start:date,end:date>>")
+    rows = rows.withColumn("expected", F.when(expected >= 1, windows).otherwise(none))
+    for column in ("method", "contracting"):
+        rows = rows.join(_mode_so_far(events, column), [*key, "event_at"])
+    return rows.select(
+        *key, F.col("event_at").alias("cutoff"), "n_gaps", "likely_method", "likely_contracting", "expected", "actual"
+    )
+
+
+def backtest(events: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """Predictions from a rolling origin against what followed: every day an office bought for a program is a cutoff, if
+    the whole horizon after it has been observed.
+
+    Expected windows and later purchases are both in order of time, and the n-th of one is assigned to the n-th of
+    the other, so each stands for one: ``correct`` inside the window, ``mistimed`` outside it with the
+    days it missed by; windows left over are false positives, purchases left over missed."""
+    last = events.agg(F.max("event_at")).first()[0]
+    judged = rolling_predictions(events.where("event_at is not null"), horizon).where(F.date_add("cutoff", horizon) <= F.lit(last))
+    both = judged.select(
+        "office", "program", "cutoff", "likely_method", "likely_contracting", F.posexplode(F.arrays_zip("expected", "actual")).alias("_i", "p")
+    )
+    both = both.select(
+        "office", "program", "cutoff", (F.col("_i") + 1).alias("seq"), F.col("p.expected.start").alias("window_start"),
+        F.col("p.expected.end").alias("window_end"), F.col("p.actual.at").alias("actual_at"), "likely_method", "likely_contracting",
+        F.col("p.actual.contracting").alias("_contracting"), F.col("p.actual.method").alias("_method"),
     )
-    both = predictions.select(*key, "window_start", "window_end", "method", "contracting").join(actual, key, "full")
     predicted, happened = F.col("window_start").isNotNull(), F.col("actual_at").isNotNull()
     inside = F.col("actual_at").between(F.col("window_start"), F.col("window_end"))
     outcome = (
@@ -243,7 +317,7 @@ def backtest(predictions: DataFrame, events: DataFrame, cutoff) -> DataFrame:
         .when(inside, 0)
     )
     return both.select(
-        *key, outcome.alias("outcome"), error.alias("timing_error_days"),
-        (F.col("contracting") == F.col("actual_contracting")).alias("contracting_correct"),
-        (F.col("method") == F.col("actual_method")).alias("method_correct"),
+        "office", "program", "cutoff", "seq", outcome.alias("outcome"), "window_start", "window_end", "actual_at",
+        error.alias("timing_error_days"), F.when(predicted, F.col("likely_contracting") == F.col("_contracting")).alias("contracting_correct"),
+        F.when(predicted, F.col("likely_method") == F.col("_method")).alias("method_correct"),
     )

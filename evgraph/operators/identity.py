@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from evgraph.operators.components import components
 from evgraph.session import checkpointed, written
 
 
@@ -100,36 +101,65 @@ def ancestry(parents: DataFrame) -> DataFrame:
     return found.unionByName(attached(leaves, found, "left")).unionByName(rootless)
 
 
-def buyer_paths(edges: DataFrame, layers: Sequence[str], k: int = 3) -> DataFrame:
-    """The k best paths from each node of the first layer through to the last, scored by
-    the product of edge confidences.
+def _reach(inner: DataFrame, ends: DataFrame, hops: int) -> list[DataFrame]:
+    """For 1 to ``hops`` hops, (node, reach): the best product of confidences on the way to an end from each node
+    in at most that many hops. Walks may repeat a node, so it bounds what a simple path can reach from above."""
+    first = written(ends.groupBy(F.col("src").alias("node")).agg(F.max("confidence").alias("reach")), "reach")
+    found = [first]
+    for _ in range(hops - 1):
+        up = found[-1].select(F.col("node").alias("_via"), F.col("reach").alias("_r"))
+        longer = inner.join(up, F.col("dst") == F.col("_via")).select(F.col("src").alias("node"), (F.col("confidence") * F.col("_r")).cast(SCORE).alias("reach"))
+        both = longer.unionByName(first.select("node", F.col("reach").cast(SCORE).alias("reach")))
+        found.append(written(both.groupBy("node").agg(F.max("reach").alias("reach")), "reach"))
+    return found
 
-    Worked from the last layer back, keeping the k best continuations of every node. A
-    path's score is its first edge times the score of its continuation, so no path
-    outside a node's k best continuations can be among the k best of a node before it:
-    the cut is exact, and a hub is expanded k times instead of once per path. Paths
-    cannot cycle because every hop moves to the next layer. Confidences must be
-    decimals; zero-confidence edges support nothing and form no path.
+
+SCORE = "decimal(24,12)"
+
+
+def buyer_paths(edges: DataFrame, starts: Sequence[str], buyers: Sequence[str], k: int = 3, max_hops: int = 3) -> DataFrame:
+    """The k best simple paths from each node of a start type to a node of a buyer type, of at most ``max_hops`` edges
+    in whatever order of types, scored by the product of edge confidences. Of equal scores the shorter path comes
+    first, then the smaller one.
+
+    Paths grow from their starts one hop a round. A buyer ends a path, so at each node a path needs only the node's k
+    best edges to buyers. A path goes on only to nodes it has not met, and only where the best way on from there
+    (``_reach``) could still beat the start's k-th best path; longer paths lose ties, so equal is not enough. Confidences
+    must be decimals; edges without a positive one support nothing and form no path.
     """
+    best_edge = edges.where(F.col("confidence") > 0).groupBy("src_type", "src", "dst_type", "dst").agg(F.max("confidence").alias("confidence"))
+    hops = written(best_edge, "hops")
+    ends, inner = hops.where(F.col("dst_type").isin(*buyers)), hops.where(~F.col("dst_type").isin(*buyers) & ~F.col("src_type").isin(*buyers))
+    ends = ends.where(~F.col("src_type").isin(*buyers))
+    order = Window.partitionBy("src").orderBy(F.desc("confidence"), "dst")
+    last = ends.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+    last = written(last.select(F.col("src").alias("_n"), F.col("dst").alias("_d"), F.col("confidence").alias("_c")), "last-hops")
+    steps = inner.select(F.col("src").alias("_n"), F.col("dst").alias("_d"), F.col("confidence").alias("_c"))
+    reach = _reach(inner, ends, max_hops - 1) if max_hops > 1 else []
+    rank = F.row_number().over(Window.partitionBy("start").orderBy(F.desc("score"), "n_hops", "path"))
+    begun = hops.where(F.col("src_type").isin(*starts)).select(F.col("src").alias("start")).distinct()
+    frontier = begun.select("start", F.col("start").alias("node"), F.array("start").alias("met"), F.lit(1).cast(SCORE).alias("score"))
     best = None
-    for src_type, dst_type in reversed(list(zip(layers, layers[1:]))):
-        hop = (
-            edges.where((F.col("src_type") == src_type) & (F.col("dst_type") == dst_type) & (F.col("confidence") > 0))
-            .groupBy("src", "dst")
-            .agg(F.max("confidence").alias("confidence"))
+    for n in range(1, max_hops + 1):
+        score = (F.col("score") * F.col("_c")).cast(SCORE)
+        ended = frontier.join(last, F.col("node") == F.col("_n")).select(
+            "start", score.alias("score"), F.lit(n).alias("n_hops"), F.array_join(F.array_append("met", F.col("_d")), ">").alias("path")
         )
-        if best is None:
-            step = hop.select(
-                "src", F.col("confidence").alias("score"), F.concat_ws(">", "src", "dst").alias("path")
-            )
-        else:
-            rest = best.select(F.col("src").alias("_via"), F.col("score").alias("_s"), F.col("path").alias("_p"))
-            step = hop.join(rest, F.col("dst") == F.col("_via")).select(
-                "src", (F.col("confidence") * F.col("_s")).alias("score"), F.concat_ws(">", "src", "_p").alias("path")
-            )
-        order = Window.partitionBy("src").orderBy(F.desc("score"), "path")
-        best = step.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select(F.col("src").alias("start"), "path", F.round("score", 6).alias("score"), "rank")
+        ended = ended if best is None else best.drop("rank").unionByName(ended)
+        best = written(ended.withColumn("rank", rank).where(F.col("rank") <= k), "paths")
+        if n == max_hops:
+            break
+        kth = best.where(F.col("rank") == k).select(F.col("start").alias("_s"), F.col("score").alias("_kth"))
+        onward = reach[max_hops - n - 1].select(F.col("node").alias("_to"), "reach")
+        ways = steps.join(onward, F.col("_d") == F.col("_to")).select("_n", "_d", "_c", (F.col("_c") * F.col("reach")).cast(SCORE).alias("_way"))
+        grown = frontier.join(kth, F.col("start") == F.col("_s"), "left").join(
+            ways, (F.col("node") == F.col("_n")) & (F.col("_kth").isNull() | ((F.col("score") * F.col("_way")).cast(SCORE) > F.col("_kth")))
+        )
+        grown = grown.where(~F.array_contains("met", F.col("_d")))
+        frontier = written(grown.select("start", F.col("_d").alias("node"), F.array_append("met", F.col("_d")).alias("met"), score.alias("score")), "frontier")
+        if frontier.isEmpty():
+            break
+    return best.select("start", "path", F.round("score", 6).alias("score"), "n_hops", "rank")
 
 
 def normalised_name(name: Column) -> Column:
@@ -165,32 +195,26 @@ def matching_names(records: DataFrame) -> DataFrame:
     )
 
 
+def _clusters(pairs: DataFrame, name: str) -> DataFrame:
+    """(block, norm, ``name``): the smallest name linked with each by ``pairs`` (block, name_a, name_b)."""
+    node = lambda c: F.struct("block", F.col(c).alias("norm"))
+    labels, _ = components(pairs.select(node("name_a").alias("a"), node("name_b").alias("b")))
+    return labels.select("id.block", "id.norm", F.col("label.norm").alias(name))
+
+
 def resolve_entities(records: DataFrame) -> DataFrame:
-    """Each record with its cluster: names linked by ``match`` decisions.
+    """Each record with its cluster, the smallest name linked with its own by ``match`` decisions, and the
+    review group it waits in: the smallest name that matches and undecided pairs together lead to, null
+    where no pair of the group is undecided.
 
-    The smallest name spreads over the links until nothing changes; every round is
-    checkpointed. Only distinct names take part, so copies of one name cost nothing.
+    Components take a number of rounds that grows with the logarithm of the longest chain. Only distinct names take
+    part, so copies of one name cost nothing.
     """
-    matches = matching_names(records).where("decision = 'match'").select("block", "name_a", "name_b")
-    links = checkpointed(
-        matches.select("block", F.col("name_a").alias("norm"), F.col("name_b").alias("other")).unionByName(
-            matches.select("block", F.col("name_b").alias("norm"), F.col("name_a").alias("other"))
-        )
-    )
+    pairs = written(matching_names(records).select("block", "name_a", "name_b", "decision"), "name-pairs")
     named = records.withColumn("norm", normalised_name(F.col("name")))
-    labels = checkpointed(named.select("block", "norm", F.col("norm").alias("cluster")).distinct())
-    while True:
-        offered = (
-            links.join(labels.select("block", F.col("norm").alias("other"), F.col("cluster").alias("_c")), ["block", "other"])
-            .groupBy("block", "norm")
-            .agg(F.min("_c").alias("_best"))
-        )
-        spread = labels.join(offered, ["block", "norm"], "left").select(
-            "block", "norm", F.least("cluster", "_best").alias("cluster"),
-            (F.coalesce("_best", "cluster") < F.col("cluster")).alias("_moved"),
-        )
-        spread = checkpointed(spread)
-        labels = spread.drop("_moved")
-        if spread.where("_moved").isEmpty():
-            break
-    return named.join(labels, ["block", "norm"]).select("record", "source", "name", "block", "cluster")
+    groups = _clusters(pairs, "review_group")
+    undecided = pairs.where("decision = 'review'").select("block", F.col("name_a").alias("norm")).distinct()
+    waiting = groups.join(undecided, ["block", "norm"], "left_semi").select("block", "review_group").distinct()
+    groups = groups.join(waiting, ["block", "review_group"], "left_semi").select("block", "norm", "review_group")
+    found = named.join(_clusters(pairs.where("decision = 'match'"), "cluster"), ["block", "norm"], "left").join(groups, ["block", "norm"], "left")
+    return found.select("record", "source", "name", "block", F.coalesce("cluster", "norm").alias("cluster"), "review_group")

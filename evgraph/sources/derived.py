@@ -191,23 +191,34 @@ def org_parents(t: Tables) -> DataFrame:
 
 
 def path_edges(t: Tables) -> DataFrame:
-    """solicitation -> office -> program -> company, with exact decimal confidence."""
+    """One edge per line, by its number, with exact decimal confidence: solicitations lead to offices and, skipping
+    them, to programs; offices to programs and back; both to the contracting office of the order, the buyer."""
     confidence = F.round(1 - F.col("l_discount"), 2).cast("decimal(4,2)")
-    line = t.lineitem
-    notices = line.where(F.col("l_linenumber") == 1).select(
-        F.lit("solicitation").alias("src_type"), key("solicitation", "l_orderkey").alias("src"),
-        F.lit("office").alias("dst_type"), key("office", "l_suppkey").alias("dst"), confidence.alias("confidence"),
-    )
-    owned = line.where(F.col("l_linenumber") == 2).select(
-        F.lit("office").alias("src_type"), key("office", "l_suppkey").alias("src"),
-        F.lit("program").alias("dst_type"), key("program", "l_partkey").alias("dst"), confidence.alias("confidence"),
-    )
-    vendors = t.part.select(
-        F.lit("program").alias("src_type"), key("program", "p_partkey").alias("src"),
-        F.lit("company").alias("dst_type"), key("company", "p_brand").alias("dst"),
-        F.lit("0.90").cast("decimal(4,2)").alias("confidence"),
+    ends = {
+        "solicitation": key("solicitation", "l_orderkey"), "office": key("office", "l_suppkey"),
+        "program": key("program", "l_partkey"), "contracting_office": key("contracting", "o_custkey"),
+    }
+    # The types an edge joins, by line number.
+    kinds = {
+        1: ("solicitation", "office"), 2: ("solicitation", "office"), 3: ("office", "program"), 4: ("office", "contracting_office"),
+        5: ("program", "office"), 6: ("solicitation", "program"), 7: ("program", "contracting_office"),
+    }
+
+    def joined(lines: DataFrame, numbers: list[int]) -> DataFrame:
+        def pick(value):
+            cases = [F.when(F.col("l_linenumber") == n, value(kinds[n])) for n in numbers]
+            return F.coalesce(*cases)
+
+        return lines.where(F.col("l_linenumber").isin(*numbers)).select(
+            pick(lambda k: F.lit(k[0])).alias("src_type"), pick(lambda k: ends[k[0]]).alias("src"),
+            pick(lambda k: F.lit(k[1])).alias("dst_type"), pick(lambda k: ends[k[1]]).alias("dst"), confidence.alias("confidence"),
+        )
+
+    bought = [n for n, k in kinds.items() if k[1] == "contracting_office"]
+    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return joined(t.lineitem, [n for n in kinds if n not in bought]).unionByName(
+        joined(t.lineitem.where(F.col("l_linenumber").isin(*bought)).join(buyers, "l_orderkey"), bought)
     )
-    return notices.unionByName(owned).unionByName(vendors)
 
 
 def name_records(t: Tables) -> DataFrame:
