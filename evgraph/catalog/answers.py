@@ -32,7 +32,7 @@ fragment("answer", """
       SELECT opp, kind, doc_id, row_number() OVER (PARTITION BY opp ORDER BY max(confidence) DESC, doc_id, kind, office) AS q
       FROM dated_evidence WHERE kind IN ('explicit_owner','office_code','poc_context') AND NOT refutes
         AND doc_id IN (SELECT doc_id FROM documents WHERE doc_id % 11 <= 5)
-      GROUP BY opp, office, kind, doc_id) WHERE q <= 3 GROUP BY opp) d ON d.opp = r.opp
+      GROUP BY opp, office, kind, doc_id) GROUP BY opp) d ON d.opp = r.opp
   LEFT JOIN (SELECT office, string_agg(category || ':' || person, ',' ORDER BY category) AS contacts FROM contact_rank
       WHERE rank = 1 GROUP BY office) c ON c.office = r.office""",
   "resolved_dated", "dated_evidence", "candidate_dated", "contact_rank")
@@ -61,7 +61,7 @@ def opportunity_answer(t: Tables) -> DataFrame:
 
 
 @query(
-    "office_answer", "known_procurement", "budget_long", "need", "predicted", "champion", "contact_rank",
+    "office_answer", "known_procurement", "budget_long", "budget_year", "need", "predicted", "champion", "contact_rank",
     sql=f"""SELECT s_suppkey AS office, coalesce(h.n_events, 0) AS n_events, CAST(h.total_value AS DOUBLE) AS total_value,
       strftime(h.last_at, '%Y-%m-%d') AS last_event_at, coalesce(b.up, 0) AS n_budget_up, coalesce(b.down, 0) AS n_budget_down,
       n.needs, coalesce(p.n, 0) AS n_predictions, strftime(p.w, '%Y-%m-%d') AS next_window_start, c.champions,
@@ -75,7 +75,7 @@ def opportunity_answer(t: Tables) -> DataFrame:
           count(*) FILTER ((pr > 0 AND cu = 0) OR (pr > 0 AND cu > 0 AND cu * 10 < pr * 9)) AS down
         FROM (SELECT office, element, y, coalesce(sum(amount) FILTER (fiscal_year = y - 1), 0) AS pr,
             coalesce(sum(amount) FILTER (fiscal_year = y), 0) AS cu
-          FROM budget_long, range(1996, 2000) AS years(y) GROUP BY ALL) GROUP BY office) b ON b.office = s_suppkey
+          FROM budget_long, budget_year WHERE y <= 1999 GROUP BY ALL) GROUP BY office) b ON b.office = s_suppkey
       LEFT JOIN (SELECT office, string_agg(program || ':' || need_class, ',' ORDER BY rank) AS needs FROM need
         WHERE rank <= 5 GROUP BY office) n ON n.office = s_suppkey
       LEFT JOIN (SELECT office, count(*) AS n, min(window_start) AS w FROM predicted GROUP BY office) p ON p.office = s_suppkey
@@ -86,10 +86,10 @@ def opportunity_answer(t: Tables) -> DataFrame:
         WHERE n.rank <= 5 GROUP BY n.office) a ON a.office = s_suppkey""",
 )
 def office_answer(t: Tables) -> DataFrame:
-    years = derived.FISCAL_YEARS
+    years = derived.fiscal_years(t)
     return answers.answer_office(
         t.supplier.select(F.col("s_suppkey").alias("office")), derived.procurements(t),
-        forecast.budget_long(derived.budget_wide(t), years), derived.contact_observations(t), CUTOFF, SEEN_AS_OF, years,
+        forecast.budget_long(derived.budget_wide(t, years), years), derived.contact_observations(t), CUTOFF, SEEN_AS_OF, years,
     )
 
 

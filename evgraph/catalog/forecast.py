@@ -103,11 +103,12 @@ def recurrence(t: Tables) -> DataFrame:
       CAST(amount * CASE unit WHEN 'K' THEN 1000 ELSE 1000000 END AS DOUBLE) AS dollars FROM budget_long""",
 )
 def budget_unpivot(t: Tables) -> DataFrame:
-    return forecast.budget_long(derived.budget_wide(t), derived.FISCAL_YEARS)
+    years = derived.fiscal_years(t)
+    return forecast.budget_long(derived.budget_wide(t, years), years)
 
 
 @query(
-    "budget_change", "budget_long",
+    "budget_change", "budget_long", "budget_year",
     sql="""SELECT *, CASE WHEN prior = 0 AND current > 0 THEN 'new_start' WHEN prior > 0 AND current = 0 THEN 'termination'
         WHEN prior = 0 AND current = 0 THEN 'none' WHEN current * 10 > prior * 11 THEN 'growth'
         WHEN current * 10 < prior * 9 THEN 'cut' ELSE 'steady' END AS change
@@ -115,11 +116,11 @@ def budget_unpivot(t: Tables) -> DataFrame:
           CAST(coalesce(sum(dollars) FILTER (fiscal_year = y - 1), 0) AS DOUBLE) AS prior,
           CAST(coalesce(sum(dollars) FILTER (fiscal_year = y), 0) AS DOUBLE) AS current
         FROM (SELECT *, amount * CASE unit WHEN 'K' THEN 1000 ELSE 1000000 END AS dollars FROM budget_long),
-          range(1996, 2002) AS years(y) GROUP BY ALL)""",
+          budget_year GROUP BY ALL)""",
 )
 def budget_change(t: Tables) -> DataFrame:
-    years = derived.FISCAL_YEARS
-    return forecast.budget_change(forecast.budget_long(derived.budget_wide(t), years), years[0], years[-1])
+    years = derived.fiscal_years(t)
+    return forecast.budget_change(forecast.budget_long(derived.budget_wide(t, years), years), years[0], years[-1])
 
 
 fragment("need_signal", f"""

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from evgraph.catalog.base import query
-from evgraph.functions.evidence import is_missing, nested, role_weight, round3, shown, to_confidence
+from evgraph.functions.evidence import is_missing, nested, role_weight, shown, to_confidence, with_round3
 from evgraph.operators import ranking, validation
 from evgraph.plans import report
 from evgraph.session import scratch_path
-from evgraph.sources import derived, graph_json
+from evgraph.sources import derived, graph_json, split_json
 from evgraph.sources.tables import Tables
 
 EVIDENCE = ["evidence.source_url", "evidence.observed_at", "evidence.confidence"]
@@ -57,6 +57,34 @@ def unnest_edges(t: Tables) -> DataFrame:
     return graph_json.edges(read_documents(t)).select("src", "dst", "type", *EVIDENCE)
 
 
+ITEMS_PER_DOCUMENT = 1_000_000
+
+
+def write_pretty_documents(t: Tables) -> str:
+    """All edges as pretty-printed documents of about a million edges, one per file."""
+    out, edges = scratch_path(t.spark, "pretty-documents"), derived.edges(t)
+    documents = -(-edges.count() // ITEMS_PER_DOCUMENT) + 1
+    evidence = F.struct(F.col("src").alias("from"), F.col("dst").alias("to"), "type", "evidence")
+    text = F.to_json(evidence, {"pretty": "true", "ignoreNullFields": "true"})
+    by = Window.partitionBy("document").orderBy("place", "text")
+    rows = edges.select(text.alias("text")).withColumn("place", F.xxhash64("text")).withColumn("document", F.pmod("place", F.lit(documents)))
+    comma = F.when(F.row_number().over(by) > 1, ",\n").otherwise("")
+    rows = rows.select("document", F.lit(1).alias("part"), F.concat(comma, F.col("text")).alias("value"))
+    ends = rows.select("document").distinct()
+    head = ends.select("document", F.lit(0).alias("part"), F.lit('{\n  "note": {"edges": [1, 2]},\n  "nodes": [ ],\n  "edges": [').alias("value"))
+    foot = ends.select("document", F.lit(2).alias("part"), F.lit("]\n}").alias("value"))
+    ordered = head.unionByName(rows).unionByName(foot).repartition(documents, "document")
+    ordered.sortWithinPartitions("document", "part", (F.substring("value", 1, 1) == ",")).select("document", "value").write.partitionBy("document").text(out)
+    return out
+
+
+@query("split_graph_json", "edges", sql="SELECT src, dst, type, source_url, observed_at, confidence FROM edges")
+def split_graph_json(t: Tables) -> DataFrame:
+    """Edges of pretty-printed documents whose lists are cut by many tasks."""
+    _, edges = split_json.read_split(t.spark, write_pretty_documents(t))
+    return edges.select("src", "dst", "type", *EVIDENCE)
+
+
 @query(
     "sink_graph", "nodes", "edges",
     sql="SELECT 'node' AS part, id AS a, name AS b, type, NULL AS confidence FROM nodes "
@@ -221,7 +249,7 @@ def score_product(t: Tables) -> DataFrame:
 @query("round3", "scored", sql="SELECT src, dst, type, round(weight * number, 3) AS rounded FROM scored")
 def rounded(t: Tables) -> DataFrame:
     product = role_weight(F.col("type")) * to_confidence(F.col("evidence.confidence"))
-    return derived.edges(t).select("src", "dst", "type", round3(product).alias("rounded"))
+    return with_round3(derived.edges(t).select("src", "dst", "type", product.alias("product")), "product", "rounded").drop("product")
 
 
 @query("gap_message", "gaps", sql="SELECT kind, message, count(*) AS n FROM gaps GROUP BY ALL")

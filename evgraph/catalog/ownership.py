@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from evgraph.catalog.base import query
 from evgraph.catalog.sql import fragment
 from evgraph.operators import lineage, ownership, temporal
+from evgraph.session import written
 from evgraph.sources import derived
 from evgraph.sources.tables import Tables
 
@@ -56,7 +57,7 @@ fragment("candidate_dated", candidate_sql("dated_evidence"), "dated_evidence")
 def resolved(t: Tables, known_only: bool) -> DataFrame:
     evidence = derived.evidence(t)
     if known_only:
-        evidence = temporal.asof(evidence, "available_at", F.col("published_at"))
+        evidence = temporal.asof(derived.dated_evidence(t), "available_at", F.col("published_at"))
     opps = derived.opportunities(t).select("opp", "published_at")
     return ownership.resolve(opps, evidence, derived.org_versions(t), AS_OF)
 
@@ -67,7 +68,7 @@ def resolved(t: Tables, known_only: bool) -> DataFrame:
         "strftime(published_at, '%Y-%m-%d') AS published_at FROM known_evidence",
 )
 def asof_snapshot(t: Tables) -> DataFrame:
-    known = temporal.asof(derived.evidence(t), "available_at", F.col("published_at"))
+    known = temporal.asof(derived.dated_evidence(t), "available_at", F.col("published_at"))
     return known.select("opp", "office", "kind", "available_at", "published_at")
 
 
@@ -136,7 +137,7 @@ def owner_guard(t: Tables) -> DataFrame:
 )
 def leakage_audit(t: Tables) -> DataFrame:
     """Late inputs by kind, before and after the as-of filter; after it there are none."""
-    evidence = derived.evidence(t)
+    evidence = derived.dated_evidence(t)
     known = temporal.asof(evidence, "available_at", F.col("published_at"))
     parts = [
         temporal.leaked(df, "available_at", F.col("published_at")).select(F.lit(name).alias("inputs"), "kind", "opp")
@@ -206,18 +207,23 @@ def superseding_evidence(t: Tables) -> DataFrame:
 
 
 @query(
-    "candidate_union", "evidence",
+    "candidate_union", "evidence", "platform", "platform_mention",
     sql="""SELECT opp, office, array_to_string(list_sort(list(DISTINCT kind)), ',') AS signals, count(*) AS n_signals,
       CAST(max(confidence) AS DOUBLE) AS best_confidence, false AS decisive
       FROM (SELECT opp, office, kind, confidence FROM evidence WHERE kind NOT IN ('explicit_owner','office_code','poc_context')
         UNION ALL SELECT opp, office, 'incumbent', NULL FROM evidence WHERE refutes
-        UNION ALL SELECT opp, office, 'awarding_office', NULL FROM evidence WHERE line_status = 'F')
+        UNION ALL SELECT opp, office, 'awarding_office', NULL FROM evidence WHERE line_status = 'F'
+        UNION ALL SELECT DISTINCT e.opp, p.office, 'platform_name', NULL FROM evidence e JOIN platform_mention m ON m.doc_id = e.doc_id
+          JOIN platform p ON array_to_string(regexp_extract_all(lower(p.name), '[a-z0-9]+'), ' ') = m.gram)
       GROUP BY opp, office""",
 )
 def candidate_union(t: Tables) -> DataFrame:
     evidence = derived.evidence(t)
+    named = ownership.named_platforms(
+        evidence.select("opp", "doc_id"), derived.platform_documents(t), written(derived.platforms(t), "platforms")
+    )
     return ownership.generate_candidates(
-        evidence, evidence.where("refutes"), evidence.where("line_status = 'F'")
+        evidence, evidence.where("refutes"), evidence.where("line_status = 'F'"), named
     )
 
 

@@ -107,7 +107,7 @@ fragment("assertion", """
     l_partkey AS subject, 'owned_by' AS predicate, l_suppkey AS object, CAST(l_shipdate AS DATE) AS valid_from,
     CAST(l_shipdate AS DATE) + 180 AS valid_to, CAST(round(1 - l_discount, 2) AS DECIMAL(4,2)) AS confidence,
     l_partkey AS doc_id
-  FROM lineitem WHERE l_linenumber = 2""")
+  FROM lineitem WHERE l_linenumber <= 3""")
 
 fragment("role_assertion", """
   SELECT l_orderkey AS opp, ['owner','owner','owner','program_management','funding','technical','award'][l_linenumber]
@@ -171,9 +171,12 @@ fragment("budget_long", """
     p_type || '-' || (l_suppkey % 3) AS project, CASE WHEN l_suppkey % 2 = 0 THEN 'K' ELSE 'M' END AS unit,
     year(l_shipdate) AS fiscal_year, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS amount
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE year(l_shipdate) BETWEEN 1995 AND 2001
   GROUP BY ALL""")
 
+fragment("budget_year", """
+  SELECT unnest(range(least(min(fiscal_year) + 1, max(fiscal_year)), max(fiscal_year) + 1)) AS y
+  FROM (SELECT year(l_shipdate) AS fiscal_year FROM lineitem)""")
+
 fragment("retrieval", """
   SELECT doc_id, 'https://' || source || '.example.invalid/' || (doc_id % 7) AS url,
     'https://' || source || '.example.invalid/' AS discovered_on,
@@ -213,6 +216,23 @@ fragment("page", """
     WINDOW before AS (PARTITION BY doc_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
   "lines", "marked")
 
+fragment("platform", """
+  SELECT DISTINCT name, office FROM (
+    SELECT l_suppkey AS office, unnest(CASE WHEN p_size >= 45 THEN [replace(p_brand, '#', ' ') || ' ' || p_name, p_name]
+      ELSE [replace(p_brand, '#', ' ') || ' ' || p_name] END) AS name
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber = 3)""")
+
+fragment("platform_mention", """
+  WITH ws AS (SELECT doc_id, regexp_extract_all(lower(text || coalesce(chr(10) || 'Support for the ' || p_brand || ', ' || upper(p_name)
+      || ' fleet.', '')), '[a-z0-9]+') AS w FROM documents LEFT JOIN part ON p_partkey = doc_id),
+    spelled AS (SELECT DISTINCT array_to_string(regexp_extract_all(lower(name), '[a-z0-9]+'), ' ') AS gram FROM platform),
+    every AS (SELECT doc_id, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS gram FROM (
+      SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos
+      FROM ws, (SELECT DISTINCT len(string_split(gram, ' ')) AS n FROM spelled))),
+    hit AS (SELECT * FROM every SEMI JOIN spelled USING (gram))
+  SELECT DISTINCT doc_id, gram FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit l WHERE l.doc_id = h.doc_id
+    AND l.n > h.n AND l.pos <= h.pos AND l.pos + l.n >= h.pos + h.n)""", "platform")
+
 fragment("registry", """
   SELECT source AS source_id, ['budget','forecasts','notices','awards','directory','doctrine'][n % 6 + 1] AS family,
     unnest([['organization','people'], ['agency_intent','planned'], ['active','people'], ['award','systems'],

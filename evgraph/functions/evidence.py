@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from evgraph.schema import DEFAULT_WEIGHT, NODE_TYPES, ROLE_WEIGHTS
 
@@ -47,21 +47,23 @@ def role_weight(col: Column, weights: Mapping[str, float] = ROLE_WEIGHTS) -> Col
     return F.coalesce(F.try_element_at(table, col), F.lit(DEFAULT_WEIGHT))
 
 
-def round3(col: Column) -> Column:
-    """To three places by the number's exact binary value; exact ties go to the even digit.
+def with_round3(df: DataFrame, value: str, name: str) -> DataFrame:
+    """``name``: the column ``value`` to three places by its exact binary value; exact ties go to the even digit.
 
     ``125 * x`` is compared with ``(2 * m + 1) / 16``, which lies halfway between m and m + 1
-    thousandths: x is split into two parts whose products with 125 are exact."""
-    x = F.abs(col)
-    wide = x * 134217729.0  # 2**27 + 1
-    high = wide - (wide - x)
-    low = x - high
-    m = F.floor(x * 1000.0).cast("double")
-    past = (high * 125.0 - (2.0 * m + 1.0) / 16.0) + low * 125.0
+    thousandths: x is split into two parts whose products with 125 are exact. Each step is a column of its own:
+    written as one expression, each would be there as often as later ones use it, and the generated code
+    would not compile."""
+    x, wide, high, m, past = (F.col(c) for c in ("_x", "_wide", "_high", "_m", "_past"))
+    steps = df.withColumn("_x", F.abs(F.col(value))).withColumn("_wide", x * 134217729.0)  # 2**27 + 1
+    steps = steps.withColumn("_high", wide - (wide - x)).withColumn("_m", F.floor(x * 1000.0).cast("double"))
+    steps = steps.withColumn("_past", (high * 125.0 - (2.0 * m + 1.0) / 16.0) + (x - high) * 125.0)
     up = (past > 0) | ((past == 0) & (m % 2 == 1))
-    rounded = (m + F.when(up, 1.0).otherwise(0.0)) / 1000.0
+    steps = steps.withColumn("_rounded", (m + F.when(up, 1.0).otherwise(0.0)) / 1000.0)
+    signed = F.when(F.col(value) < 0, -F.col("_rounded")).otherwise(F.col("_rounded"))
     # from 2**42 on a double holds no fourth place worth rounding
-    return F.when(x < float(1 << 42), F.when(col < 0, -rounded).otherwise(rounded)).otherwise(col)
+    rounded = F.when(x < float(1 << 42), signed).otherwise(F.col(value))
+    return steps.withColumn(name, rounded).drop("_x", "_wide", "_high", "_m", "_past", "_rounded")
 
 
 def shown(col: Column) -> Column:

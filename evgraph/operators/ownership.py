@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from evgraph.operators import mentions
 from evgraph.operators.temporal import current_offices
 from evgraph.schema import DECISIVE_KINDS, EVIDENCE_KINDS, OPPORTUNITY_ROLES
 
@@ -65,9 +66,22 @@ def candidates(evidence: DataFrame, k: int = 3) -> DataFrame:
     return per_office.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 
-def generate_candidates(evidence: DataFrame, incumbents: DataFrame, awarding: DataFrame) -> DataFrame:
-    """Offices proposed by signals that cannot establish ownership. ``incumbents`` and
-    ``awarding`` are (opp, office) frames; one row per opportunity and office."""
+def named_platforms(citations: DataFrame, texts: DataFrame, platforms: DataFrame) -> DataFrame:
+    """(opp, office) of the offices that hold a platform some document cited for the opportunity names.
+
+    ``citations``: opp, doc_id. ``texts``: doc_id, text. ``platforms``: name, office. Each document counts once however
+    often it names a platform, and a name inside a longer one is not its own mention."""
+    named = mentions.mentions(texts, platforms.select("name")).select("doc_id", "gram").distinct()
+    holders = platforms.select(mentions.spelled(F.col("name")).alias("gram"), "office").distinct()
+    by_document = named.join(holders, "gram").select("doc_id", "office").distinct()
+    return citations.distinct().join(by_document, "doc_id").select("opp", "office").distinct()
+
+
+def generate_candidates(
+    evidence: DataFrame, incumbents: DataFrame, awarding: DataFrame, named: DataFrame | None = None
+) -> DataFrame:
+    """Offices proposed by signals that cannot establish ownership. ``incumbents``,
+    ``awarding`` and ``named`` (by platform) are (opp, office) frames; one row per opportunity and office."""
     weak = [k for k, is_decisive in EVIDENCE_KINDS.items() if not is_decisive]
     none = F.lit(None).cast("decimal(4,2)")
     signals = (
@@ -76,6 +90,8 @@ def generate_candidates(evidence: DataFrame, incumbents: DataFrame, awarding: Da
         .unionByName(incumbents.select("opp", "office", F.lit("incumbent").alias("kind"), none.alias("confidence")))
         .unionByName(awarding.select("opp", "office", F.lit("awarding_office").alias("kind"), none.alias("confidence")))
     )
+    if named is not None:
+        signals = signals.unionByName(named.select("opp", "office", F.lit("platform_name").alias("kind"), none.alias("confidence")))
     return signals.groupBy("opp", "office").agg(
         F.array_sort(F.collect_set("kind")).alias("signals"),
         F.count(F.lit(1)).alias("n_signals"),

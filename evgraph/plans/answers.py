@@ -19,9 +19,10 @@ def unknowns(**slots: Column) -> Column:
     return F.array_compact(F.array(*[F.when(c.isNull(), name) for name, c in slots.items()]))
 
 
-def _first_k(df: DataFrame, by: str, order: list, k: int, item: Column, name: str) -> DataFrame:
-    """Per ``by``, its k first items as a small ordered array."""
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_r") <= k)
+def _first_k(df: DataFrame, by: str, order: list, k: int | None, item: Column, name: str) -> DataFrame:
+    """Per ``by``, its k first items, all where k is None, as an ordered array."""
+    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    ranked = ranked if k is None else ranked.where(F.col("_r") <= k)
     return ranked.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_r", item.alias("item")))).alias("_items")).select(
         by, F.transform("_items", lambda x: x["item"]).alias(name)
     )
@@ -29,13 +30,13 @@ def _first_k(df: DataFrame, by: str, order: list, k: int, item: Column, name: st
 
 def answer_opportunity(
     opps: DataFrame, evidence: DataFrame, versions: DataFrame, parents: DataFrame, contacts: DataFrame,
-    manifest: DataFrame, as_of, n_alternatives: int = 3, n_cited: int = 3, n_contacts: int = 6,
+    manifest: DataFrame, as_of, n_alternatives: int = 3, n_cited: int | None = None, n_contacts: int = 6,
 ) -> DataFrame:
     """One row per opportunity: owner or abstention, every owning office, path, contracting
     office apart, contacts, alternatives, confidence, cited documents, counterevidence, unknowns.
 
-    ``owners`` is never cut. The other lists show the first few, as many as asked for;
-    ``ownership.candidates`` and ``lineage.guard`` give them in full.
+    ``owners`` is never cut, and ``cited`` only where a number is asked for. The other lists show the first few;
+    ``ownership.candidates`` and ``people.rank_contacts`` give them in full.
 
     Only evidence available at ``as_of`` counts, and only retrieved documents are cited.
     """

@@ -6,6 +6,8 @@ planted by rule; FIXTURES.md lists the rules and the counts they must give.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evgraph.sources.tables import Tables
@@ -87,7 +89,7 @@ def opportunities(t: Tables) -> DataFrame:
 
 
 def evidence(t: Tables) -> DataFrame:
-    rows = t.lineitem.select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("opp"),
         F.col("l_suppkey").alias("office"),
         F.element_at(F.array(*[F.lit(k) for k in LINE_KINDS]), F.col("l_linenumber")).alias("kind"),
@@ -97,7 +99,11 @@ def evidence(t: Tables) -> DataFrame:
         F.col("l_partkey").alias("doc_id"),
         F.col("l_linestatus").alias("line_status"),
     )
-    return rows.join(opportunities(t).select("opp", "published_at"), "opp")
+
+
+def dated_evidence(t: Tables) -> DataFrame:
+    """Evidence with the date its opportunity was published; the only form that needs the join."""
+    return evidence(t).join(opportunities(t).select("opp", "published_at"), "opp")
 
 
 def org_versions(t: Tables) -> DataFrame:
@@ -117,12 +123,12 @@ def org_versions(t: Tables) -> DataFrame:
 
 
 def assertions(t: Tables) -> DataFrame:
-    """``program owned_by office`` from ownership lines, valid 180 days."""
+    """``program owned_by office`` from all ownership lines, those of decisive kinds, valid 180 days."""
     start = F.to_date("l_shipdate")
     natural = F.concat_ws(
         "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd")
     )
-    return t.lineitem.where(F.col("l_linenumber") == 2).select(
+    return t.lineitem.where(F.col("l_linenumber") <= 3).select(
         F.sha2(natural, 256).alias("id"),
         F.col("l_partkey").alias("subject"),
         F.lit("owned_by").alias("predicate"),
@@ -311,10 +317,14 @@ def stage_records(t: Tables) -> DataFrame:
     )
 
 
-FISCAL_YEARS = tuple(range(1995, 2002))
+def fiscal_years(t: Tables) -> tuple[int, ...]:
+    """Every year from the first to the last in which anything was shipped."""
+    year = F.year("l_shipdate")
+    span = t.lineitem.agg(F.min(year).alias("first"), F.max(year).alias("last")).first()
+    return tuple(range(span["first"], span["last"] + 1)) if span["first"] is not None else ()
 
 
-def budget_wide(t: Tables) -> DataFrame:
+def budget_wide(t: Tables, years: Sequence[int]) -> DataFrame:
     """One row per office and element, one column per fiscal year, amounts in units."""
     parts = t.part.select("p_partkey", "p_type")
     rows = t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -322,11 +332,11 @@ def budget_wide(t: Tables) -> DataFrame:
     office = F.col("office")
     return (
         rows.groupBy(F.col("l_suppkey").alias("office"), F.col("p_type").alias("element"))
-        .agg(*[F.sum(F.when(year == y, amount)).cast("decimal(20,2)").alias(f"fy{y}") for y in FISCAL_YEARS])
+        .agg(*[F.sum(F.when(year == y, amount)).cast("decimal(20,2)").alias(f"fy{y}") for y in years])
         .select(
             "office", F.concat(F.lit("approp-"), (office % 5).cast("string")).alias("appropriation"), "element",
             F.concat("element", F.lit("-"), (office % 3).cast("string")).alias("project"),
-            F.when(office % 2 == 0, "K").otherwise("M").alias("unit"), *[f"fy{y}" for y in FISCAL_YEARS],
+            F.when(office % 2 == 0, "K").otherwise("M").alias("unit"), *[f"fy{y}" for y in years],
         )
     )
 
@@ -352,6 +362,21 @@ def retrievals(t: Tables) -> DataFrame:
     )
 
 
+def platforms(t: Tables) -> DataFrame:
+    """name, office: platforms by the brand and name of a program, and general ones by the name alone where the
+    program is large, with the offices that hold such a program."""
+    parts = t.part.select("p_partkey", "p_size", "p_name", F.concat(F.replace("p_brand", F.lit("#"), F.lit(" ")), F.lit(" "), F.col("p_name")).alias("_long"))
+    holders = t.lineitem.where(F.col("l_linenumber") == 3).select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("office"))
+    names = F.array_compact(F.array(F.col("_long"), F.when(F.col("p_size") >= 45, F.col("p_name"))))
+    return holders.join(parts.select("p_partkey", F.explode(names).alias("name")), "p_partkey").select("name", "office").distinct()
+
+
+def platform_documents(t: Tables) -> DataFrame:
+    """Documents with a planted line that names the platform of the program of the same number."""
+    names = t.part.select(F.col("p_partkey").alias("doc_id"), F.concat(F.lit("\nSupport for the "), "p_brand", F.lit(", "), F.upper("p_name"), F.lit(" fleet.")).alias("_line"))
+    return t.documents.select("doc_id", "text").join(names, "doc_id", "left").select("doc_id", F.concat("text", F.coalesce("_line", F.lit(""))).alias("text"))
+
+
 def marked_documents(t: Tables, *also: str) -> DataFrame:
     """Documents with planted headings and, in every fifth, a line of identifiers; columns of ``also`` are kept.
 

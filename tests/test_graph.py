@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from evgraph.functions.evidence import round3, to_confidence
+from evgraph.functions.evidence import to_confidence, with_round3
 from evgraph.operators import ranking, validation
 from evgraph.plans import report
 from evgraph.sources import derived, graph_json
@@ -184,13 +184,14 @@ def test_rounding_is_exact_with_ties_to_even(spark):
     values = [i / 16000 for i in range(0, 40000, 7)] + [i / 10000 for i in range(20011)] + [i / 16 for i in range(64)]
     values += [rng.uniform(-5, 5) for _ in range(5000)] + [rng.uniform(0, 1e12) for _ in range(500)]
     values += [0.5 * 0.125, 4.0 * 0.123125, -0.0625, 0.0, 1e300, 5e-324, float("-inf")]
-    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", round3(F.col("v")).alias("r"))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    df = with_round3(df, "v", "r")
     assert [(r.v, r.r) for r in df.collect() if r.r != round(r.v, 3)] == []
 
 
 def test_rounding_and_coercion_columns(spark):
     df = spark.createDataFrame([("1e-1",), ("inf",)], "c string")
-    assert [r.v for r in df.select(round3(to_confidence(F.col("c"))).alias("v")).collect()] == [0.1, float("inf")]
+    assert [r.r for r in with_round3(df.select(to_confidence(F.col("c")).alias("v")), "v", "r").collect()] == [0.1, float("inf")]
 
 
 def test_report_writes_three_outputs_and_replaces_them(spark, tmp_path):
@@ -238,3 +239,53 @@ def test_partitioning_does_not_change_results(tables):
     plain = validation.gaps(nodes, edges)
     shuffled = validation.gaps(nodes.repartition(5, F.rand(1)), edges.repartition(11, F.rand(2)))
     assert plain.exceptAll(shuffled).isEmpty() and shuffled.exceptAll(plain).isEmpty()
+
+
+def tricky(n):
+    """A document whose strings look like structure."""
+    nodes = [{"id": f"n{i}", "type": 'a "quoted" }], {[', "name": "line\\n\\\\", "extra": {"nodes": [1, [2, {}]], "x": []}} for i in range(n)]
+    edges = [{"from": f"n{i}", "to": f"n{(i * 7) % n}", "type": ",:{", "evidence": {"source_url": "u,\"{", "confidence": i / 8}} for i in range(3 * n)]
+    return {"note": {"edges": [{"from": "no"}], "nodes": "no"}, "nodes": nodes, "count": n, "edges": edges, "tail": [1, 2]}
+
+
+@pytest.mark.parametrize("run_bits", [1, 12])
+def test_split_documents_equal_whole_ones(spark, tmp_path, monkeypatch, run_bits):
+    from evgraph.sources import split_json
+
+    monkeypatch.setattr(split_json, "RUN_BITS", run_bits)
+    (tmp_path / "two.json").write_text(json.dumps(tricky(40), indent=2))
+    (tmp_path / "wide.json").write_text(json.dumps(tricky(7), indent=None).replace('}, {', '},\n{').replace('"edges": [{"from": "n', '"edges":\n\n [{"from": "n'))
+    (tmp_path / "line.json").write_text(json.dumps(SAMPLE))
+    (tmp_path / "none.json").write_text('{\n"nodes": [\n],\n"other": 1}')
+    (tmp_path / "edges.json").write_text(json.dumps({"edges": tricky(3)["edges"]}, indent="\t"))
+    whole = graph_json.read_graph(spark, str(tmp_path), multi_line=True)
+    got = split_json.read_split(spark, str(tmp_path))
+    for mine, want, columns in ((got[0], graph_json.nodes(whole), ["id", "type", "name"]), (got[1], graph_json.edges(whole), ["src", "dst", "type", "evidence"])):
+        columns = ["doc", "pos", *columns, F.to_json("raw").alias("raw")]
+        assert sorted(map(str, mine.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    assert got[1].count() == 3 * 40 + 3 * 7 + 4 + 9
+
+
+def test_one_document_is_cut_by_many_tasks(spark, tmp_path):
+    from evgraph.sources import split_json
+
+    (tmp_path / "big.json").write_text(json.dumps(tricky(2000), indent=2))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4
+        nodes, edges = split_json.read_split(spark, str(tmp_path))
+        assert nodes.count() == 2000 and edges.count() == 6000
+        assert edges.where("src = concat('n', pos)").count() == 6000  # every edge starts at the node of its place
+        assert edges.agg(F.max("pos"), F.countDistinct("pos")).first()[:] == (5999, 6000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text", ['{"nodes": [', '{"nodes": [\n{"id": 1},\n{"id" 2}]}', '{"nodes": [{"id": "a}]}'])
+def test_documents_that_are_no_json_fail(spark, tmp_path, text):
+    from evgraph.sources import split_json
+
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception):
+        split_json.read_split(spark, str(tmp_path))[0].collect()

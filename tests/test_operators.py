@@ -63,29 +63,64 @@ def test_ancestry_with_cycle_and_depth(spark):
     assert {r.entity: r.path for r in deep} == {f"n{i:02d}": [f"n{j:02d}" for j in range(i, 13)] for i in range(13)}
 
 
-def test_paths_are_exact_through_a_hub(spark):
-    rng = random.Random(3)
-    layers = {"s": [f"s{i}" for i in range(6)], "o": ["hub", "o1", "o2"], "p": [f"p{i}" for i in range(12)], "c": ["c0", "c1"]}
-    names = list(layers)
-    edges = [
-        (a, src, b, dst, f"0.{rng.randint(0, 12):02d}")
-        for a, b in zip(names, names[1:]) for src in layers[a] for dst in layers[b] if rng.random() < 0.7 or dst == "hub"
-    ]
+def every_path(weight, kinds, starts, buyers, max_hops):
+    """All simple paths by depth-first search, best first: score, hops, path."""
+    found = {s: [] for s, kind in kinds.items() if kind in starts}
+
+    def walk(path, score):
+        for (src, dst), c in weight.items():
+            if src != path[-1] or dst in path or not c:
+                continue
+            if kinds[dst] in buyers:
+                found[path[0]].append((-score * c * 100 ** (max_hops - len(path)), len(path), ">".join([*path, dst])))
+            elif len(path) < max_hops:
+                walk([*path, dst], score * c)
+
+    for start in found:
+        walk([start], 1)
+    return {s: sorted(paths) for s, paths in found.items()}
+
+
+@pytest.mark.parametrize("seed,max_hops,k", [(3, 3, 4), (4, 4, 2), (5, 5, 3), (6, 1, 3)])
+def test_buyer_paths_equal_a_search_of_all_simple_paths(spark, seed, max_hops, k):
+    """Any order of layers, skipped ones, cycles, a hub, equal scores, edges without support."""
+    rng = random.Random(seed)
+    kinds = {**{f"s{i}": "solicitation" for i in range(5)}, **{f"o{i}": "office" for i in range(4)}, **{f"p{i}": "program" for i in range(6)}, "b0": "buyer", "b1": "buyer", "b2": "buyer"}
+    edges = []
+    for src in kinds:
+        for dst in kinds:
+            chance = 0.9 if "o0" in (src, dst) else 0.35
+            if src != dst and kinds[src] != "buyer" and kinds[dst] != "solicitation" and rng.random() < chance:
+                edges.append((kinds[src], src, kinds[dst], dst, f"0.{rng.choice([0, 50, 80, 90, 90, 99]):02d}"))
+    edges += [(*e[:4], "0.01") for e in edges[:5]]  # a weaker copy changes nothing
     df = spark.createDataFrame(edges, "src_type string, src string, dst_type string, dst string, c string")
     df = df.withColumn("confidence", F.col("c").cast("decimal(4,2)"))
-    got = rows(identity.buyer_paths(df, names, 4), "start", "rank", "path")
-    weight = {(src, dst): int(c[2:]) for _, src, _, dst, c in edges}
+    got = rows(identity.buyer_paths(df, ["solicitation"], ["buyer"], k, max_hops), "start", "rank", "n_hops", "path")
+    weight = {}
+    for _, src, _, dst, c in edges:
+        weight[src, dst] = max(weight.get((src, dst), 0), int(c[2:]))
     expected = []
-    for start in layers["s"]:
-        every = []
-        for path in itertools.product([start], layers["o"], layers["p"], layers["c"]):
-            parts = [weight.get(pair, 0) for pair in zip(path, path[1:])]
-            if all(parts):
-                every.append((-parts[0] * parts[1] * parts[2], ">".join(path)))
-        expected += [(start, i + 1, path) for i, (_, path) in enumerate(sorted(every)[:4])]
+    for start, paths in every_path(weight, kinds, {"solicitation"}, {"buyer"}, max_hops).items():
+        expected += [(start, i + 1, hops, path) for i, (_, hops, path) in enumerate(paths[:k])]
     assert got == sorted(expected)
 
 
+def test_a_long_chain_takes_few_rounds(spark):
+    from evgraph.operators.components import components
+
+    order = list(range(65))
+    random.Random(1).shuffle(order)
+    pairs = [(f"n{a:02d}", f"n{b:02d}") for a, b in zip(order, order[1:])] + [("x", "y"), ("y", "z"), ("z", "x"), ("w", "w"), ("x", "y")]
+    found, n = components(spark.createDataFrame(pairs, "a string, b string"))
+    labels = {r.id: r.label for r in found.collect()}
+    assert {labels[f"n{i:02d}"] for i in range(65)} == {"n00"} and {labels[c] for c in "xyz"} == {"x"} and labels["w"] == "w"
+    in_order, m = components(spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long"))
+    assert in_order.where("label = 0").count() == 65
+    assert n <= 8 and m <= 8
+    none, _ = components(spark.createDataFrame([], "a long, b long"))
+    assert none.count() == 0
+
+
 def edit_distance(a, b):
     previous = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -113,8 +148,21 @@ def test_name_pairs_equal_all_pairs(spark):
 def test_clusters_follow_chains_and_copies(spark):
     data = [("1", "abcd"), ("2", "abcde"), ("3", "abcdef"), ("4", "ABCDEF"), ("5", "abc-def"), ("6", "zzz"), ("7", "abcd9")]
     records = spark.createDataFrame([(r, "s", n, 0) for r, n in data], "record string, source string, name string, block int")
-    got = {r.record: r.cluster for r in identity.resolve_entities(records).collect()}
+    found = identity.resolve_entities(records).collect()
+    got = {r.record: r.cluster for r in found}
     assert got == {"1": "abcd", "2": "abcd", "3": "abcd", "4": "abcd", "5": "abcd", "6": "zzz", "7": "abcd9"}
+    # the cluster of 7 is a digit away from the others, so all wait for one decision; 6 waits for none
+    assert {r.record: r.review_group for r in found} == {**{str(i): "abcd" for i in (1, 2, 3, 4, 5, 7)}, "6": None}
+
+
+def test_names_that_match_wait_for_no_decision(spark):
+    data = [("1", "alpha 1"), ("2", "Alpha-1"), ("3", "alpha 1x"), ("4", "beta 2"), ("5", "beta 3"), ("6", "beta 33"), ("7", None)]
+    records = spark.createDataFrame([(r, "s", n, 0) for r, n in data], "record string, source string, name string, block int")
+    got = {r.record: (r.cluster, r.review_group) for r in identity.resolve_entities(records.where("name is not null")).collect()}
+    assert got == {
+        "1": ("alpha1", None), "2": ("alpha1", None), "3": ("alpha1", None),
+        "4": ("beta2", "beta2"), "5": ("beta3", "beta2"), "6": ("beta33", "beta2"),
+    }
 
 
 def assertions(spark, items):
@@ -194,7 +242,7 @@ def test_gates_pass_on_the_hand_made_gold_and_fail_on_a_naive_resolver(spark):
 
 
 def test_guards_are_empty_after_filtering_and_not_before(tables):
-    evidence = derived.evidence(tables)
+    evidence = derived.dated_evidence(tables)
     known = temporal.asof(evidence, "available_at", F.col("published_at"))
     late = F.col("published_at")
     assert temporal.leaked(known, "available_at", late).isEmpty()
@@ -206,7 +254,7 @@ def test_guards_are_empty_after_filtering_and_not_before(tables):
 
 def test_planted_resolution_counts(tables):
     opps, versions = derived.opportunities(tables), derived.org_versions(tables)
-    evidence = derived.evidence(tables)
+    evidence = derived.dated_evidence(tables)
 
     def counts(rows_known):
         got = ownership.resolve(opps, rows_known, versions, AS_OF).groupBy(
@@ -237,6 +285,98 @@ def test_predictions_ignore_everything_after_the_cutoff(tables):
     assert same(before, cut) and before.count() > 0
 
 
+def test_no_window_has_passed_at_the_cutoff(tables):
+    events = derived.procurements(tables)
+    for cutoff in ("1999-06-01", "2001-11-30"):
+        windows = forecast.predicted_notices(events, cutoff)
+        assert windows.count() > 0 and windows.where(F.col("window_end") < F.lit(cutoff).cast("date")).isEmpty()
+
+
+def plain_backtest(events, horizon, last):
+    """(key, cutoff, seq, outcome, error, contracting, method) by walking through each key's days."""
+    import math
+
+    rows = []
+    for key in {e[:2] for e in events}:
+        own = [e for e in events if e[:2] == key]
+        days = sorted({e[2] for e in own})
+        for i in range(3, len(days)):
+            cutoff = days[i]
+            if (last - cutoff).days < horizon:
+                continue
+            gaps = [(b - a).days for a, b in zip(days[:i], days[1 : i + 1])]
+            n, total, squares = len(gaps), sum(gaps), sum(g * g for g in gaps)
+            mean, spread = total / n, math.sqrt((squares - total * total / n) / (n - 1))
+            day = lambda x: cutoff + dt.timedelta(math.floor(x + 0.5))
+            windows = [(day(mean * m - spread), day(mean * m + spread)) for m in range(1, math.floor(horizon / mean) + 1)]
+            later = [d for d in days if cutoff < d <= cutoff + dt.timedelta(horizon)]
+            known = [e for e in own if e[2] <= cutoff]
+            mode = lambda j: min((-sum(e[j] == v for e in known), v) for v in {e[j] for e in known})[1]
+            for seq in range(max(len(windows), len(later))):
+                w = windows[seq] if seq < len(windows) else None
+                d = later[seq] if seq < len(later) else None
+                first = min(e[3:] for e in own if e[2] == d) if d else None
+                inside = w and d and w[0] <= d <= w[1]
+                outcome = "missed" if not w else "false_positive" if not d else "correct" if inside else "mistimed"
+                error = None if not (w and d) else 0 if inside else (d - (w[0] if d < w[0] else w[1])).days
+                right = [None, None] if not (w and d) else [mode(3) == first[0], mode(4) == first[1]]
+                rows.append((*key, cutoff, seq + 1, outcome, error, *right))
+    return sorted(rows, key=str)
+
+
+def test_backtest_equals_a_walk_through_the_days_and_leaks_nothing(spark):
+    rng = random.Random(8)
+    start = dt.date(2020, 1, 1)
+    events = []
+    for office, gap in ((1, 12), (2, 35), (3, 90), (4, 400)):
+        at = start
+        for _ in range(60):
+            at += dt.timedelta(rng.choice([0, 1, gap // 2, gap, gap, gap + 9, 2 * gap]))
+            events.append((office, "p", at, rng.randint(1, 3), rng.choice("xyz")))
+    schema = "office long, program string, event_at date, contracting long, method string"
+    df = spark.createDataFrame(events, schema)
+    columns = ["office", "program", "cutoff", "seq", "outcome", "timing_error_days", "contracting_correct", "method_correct"]
+    got = sorted([tuple(r[c] for c in columns) for r in forecast.backtest(df, 120).collect()], key=str)
+    assert got == plain_backtest(events, 120, max(e[2] for e in events))
+    assert {r[4] for r in got} == {"correct", "mistimed", "missed", "false_positive"}
+    # what is predicted on a day stays the same whatever comes after it
+    known = dt.date(2021, 3, 1)
+    predicted = ["office", "cutoff", "n_gaps", "likely_method", "likely_contracting", "expected"]
+    whole = forecast.rolling_predictions(df, 120).where(F.col("cutoff") <= F.lit(known))
+    cut = forecast.rolling_predictions(df.where(F.col("event_at") <= F.lit(known)), 120)
+    assert rows(whole.withColumn("expected", F.col("expected").cast("string")), *predicted) == rows(cut.withColumn("expected", F.col("expected").cast("string")), *predicted)
+    assert forecast.backtest(df.limit(0), 120).count() == 0
+
+
+def test_names_in_texts_longest_first(spark):
+    from evgraph.operators import mentions
+
+    texts = [
+        (1, "The Red-Widget and the brand 4 RED widget; red widget"), (2, "brand 4 red"), (3, ""), (4, None),
+        (5, "a b c d a b"), (6, "no name here"),
+    ]
+    names = [("red widget",), ("Brand 4 red widget",), ("brand 4",), ("Red  Widget!",), ("a b",), ("b c d",), ("",), (None,), ("a b c d a b c",)]
+    found = mentions.mentions(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(names, "name string"))
+    assert rows(found, "doc_id", "pos", "gram") == [
+        (1, 1, "red widget"), (1, 5, "brand 4 red widget"), (1, 9, "red widget"), (2, 0, "brand 4"), (5, 0, "a b"), (5, 1, "b c d"), (5, 4, "a b"),
+    ]
+    assert mentions.mentions(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([("!",)], "name string")).count() == 0
+
+
+def test_platform_names_propose_offices_and_never_decide(spark, tables):
+    citations = spark.createDataFrame([(1, 10), (1, 10), (2, 11), (3, 12)], "opp long, doc_id long")
+    texts = spark.createDataFrame([(10, "for the blue bolt"), (11, "Brand 2 Blue Bolt, twice: brand 2 blue bolt"), (12, "nothing")], "doc_id long, text string")
+    platforms = spark.createDataFrame([("blue bolt", 7), ("brand 2 blue bolt", 8), ("brand 2 blue bolt", 9)], "name string, office long")
+    assert rows(ownership.named_platforms(citations, texts, platforms), "opp", "office") == [(1, 7), (2, 8), (2, 9)]
+    evidence = derived.evidence(tables)
+    named = ownership.named_platforms(evidence.select("opp", "doc_id"), derived.platform_documents(tables), derived.platforms(tables))
+    found = ownership.generate_candidates(evidence, evidence.where("refutes"), evidence.where("line_status = 'F'"), named)
+    assert found.where(F.array_contains("signals", "platform_name")).count() == named.count() > 0
+    assert found.where("decisive").isEmpty()
+    owners = ownership.owner_offices(evidence.unionByName(named.select("opp", "office", F.lit("platform_name").alias("kind"), F.lit(False).alias("refutes")), allowMissingColumns=True))
+    assert same(owners, ownership.owner_offices(evidence))
+
+
 def test_every_fact_of_a_text_with_form_feeds_reaches_its_page(spark):
     text = "zero\none\n\ftwo\nthree\n\f\ffour\nfive"
     df = spark.createDataFrame([(0, text), (1, "a\nb\nc\nd\ne\nf")], "doc_id long, text string")

@@ -40,6 +40,29 @@ def test_plan_has_no_cross_product_and_no_python(spark, folder, name):
         assert operator not in plan
 
 
+COMPILED = ["stable_sort_desc", "rank_edges", "validate_graph", "round3", "candidate_union", "buyer_paths"]
+
+
+@pytest.mark.parametrize("name", COMPILED)
+def test_generated_code_compiles(spark, folder, name):
+    """Without the fallback to interpretation, code that does not compile is an error."""
+    settings = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["decisive_evidence", "candidate_owners", "candidate_union"])
+def test_evidence_is_read_without_its_opportunities(spark, folder, name):
+    plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "orders" not in plan and (name == "candidate_union" or "Join" not in plan)
+
+
 TOP_K = ["candidate_owners", "contact_ranking", "need_ranking", "buyer_paths", "need_match_text"]
 
 
