@@ -32,6 +32,7 @@ from evgraph.session import written
 
 LONGEST = 3
 BITMAP_BITS = 26
+SHARES = 16  # of a language's phrases, each ranked by itself first
 HELD = 1 << 21  # hashes a task keeps before it adds them up and sends them on
 
 _SEPARATORS = np.zeros(256, bool)
@@ -203,8 +204,12 @@ def scored(counted: DataFrame, least: int, percent: int, most: int | None) -> Da
     pair, triple = cut(1, "first", "last"), F.least(cut(1, "first", "tail"), cut(2, "head", "last"))
     found = found.withColumn("_cut", F.when(F.col("size") == 2, pair).otherwise(triple))
     found = found.select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long"))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    if most is not None:  # the best of each share first, so that a language's ranking reads a bounded number of rows
+        share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES)).alias("_share")
+        inside = F.row_number().over(Window.partitionBy("lang", "_share").orderBy(*order))
+        found = found.select("*", share).withColumn("_r", inside).where(F.col("_r") <= most).drop("_share", "_r")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if most is not None:
         ranked = ranked.where(F.col("rank") <= most)
-    return ranked.join(totals, F.col("lang") == F.col("_lang")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, F.col("lang") == F.col("_lang")).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
