@@ -23,11 +23,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-WORDS = re.compile(r"[^\W\d_]+")
+RUNS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 UND = "und"
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, Unicode category L. Runs that ``re`` finds may hold numbers that are no digits, such as
+    superscripts, fractions and Roman numerals; those are rare and cut there."""
+    runs = RUNS.findall(text)
+    if "".join(runs).isalpha():
+        return runs
+    return [word for run in runs for word in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 def held_out(key: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     """Whether a row is kept from training: its id's CRC decides."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -55,7 +64,7 @@ def _counted(batches):
     counts: dict[tuple[str, int], Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = Counter(WORDS.findall(text.lower()))
+            words = Counter(words_of(text.lower()))
             counts.setdefault((lang, 0), Counter()).update(words)
             for order in ORDERS:
                 grams = counts.setdefault((lang, order), Counter())
@@ -135,7 +144,7 @@ def predict(
                 known.clear()
                 rows.clear()
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                words = WORDS.findall(text.lower()) if text and model.languages else []
+                words = words_of(text.lower()) if text and model.languages else []
                 if not words:
                     languages.append(UND)
                     scores.append(0.0)
