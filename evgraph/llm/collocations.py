@@ -34,6 +34,8 @@ LONGEST = 3
 BITMAP_BITS = 26
 SHARES = 16  # of a language's phrases, each ranked by itself first
 HELD = 1 << 21  # hashes a task keeps before it adds them up and sends them on
+PHRASES = 1 << 18  # phrases a task keeps
+SLICE = 1 << 20  # bytes of texts worked on at once, which bounds the arrays over them
 
 _SEPARATORS = np.zeros(256, bool)
 _SEPARATORS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -93,7 +95,7 @@ def _rows(batches):
     """(pieces, number of each text's language, language names, language hashes) slice by slice."""
     for batch in batches:
         number, names, hashes = _languages(batch.column(0))
-        for a, b, data, offsets in slices(batch.column(1)):
+        for a, b, data, offsets in slices(batch.column(1), SLICE):
             yield Pieces(data, offsets), number[a:b], names, hashes
 
 
@@ -146,7 +148,7 @@ def counts(docs: DataFrame, least: int) -> DataFrame:
                 for i, c in zip(first[at].tolist(), n.tolist()):
                     key = names[number[pieces.text[i]]], size, pieces.phrase(i, size)
                     table[key] = table.get(key, 0) + c
-            if len(table) >= HELD // 4:
+            if len(table) >= PHRASES:
                 yield batch_of(table)
                 table = {}
         if table:

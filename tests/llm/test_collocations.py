@@ -69,6 +69,8 @@ def frame(spark, rows):
 @pytest.mark.parametrize("least,percent,most,held", [(10, 50, 2000, 1 << 21), (2, 80, 5, 64), (1, 101, 2000, 1 << 21)])
 def test_equals_plain_python(spark, monkeypatch, least, percent, most, held):
     monkeypatch.setattr(collocations, "HELD", held)
+    monkeypatch.setattr(collocations, "PHRASES", held)
+    monkeypatch.setattr(collocations, "SLICE", held)
     rows = made()
     got = sorted(tuple(r) for r in collocations.mine(frame(spark, rows), least, percent, most).collect())
     assert got == brute(rows, least, percent, most)
