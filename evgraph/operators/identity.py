@@ -146,9 +146,10 @@ def buyer_paths(edges: DataFrame, starts: Sequence[str], buyers: Sequence[str],
             "start", score.alias("score"), F.lit(n).alias("n_hops"), F.array_join(F.array_append("met", F.col("_d")), ">").alias("path")
         )
         ended = ended if best is None else best.drop("rank").unionByName(ended)
-        best = written(ended.withColumn("rank", rank).where(F.col("rank") <= k), "paths")
+        best = ended.withColumn("rank", rank).where(F.col("rank") <= k)
         if n == max_hops:
             break
+        best = written(best, "paths")
         kth = best.where(F.col("rank") == k).select(F.col("start").alias("_s"), F.col("score").alias("_kth"))
         onward = reach[max_hops - n - 1].select(F.col("node").alias("_to"), "reach")
         ways = steps.join(onward, F.col("_d") == F.col("_to")).select("_n", "_d", "_c", (F.col("_c") * F.col("reach")).cast(SCORE).alias("_way"))
