@@ -6,8 +6,9 @@ meet by segments: a line cut into ``most`` + 1 even segments keeps one of them w
 ``most`` edits, so every line looks, for every length that fits, for those segments at the places
 where the edits before and after can have moved them. Segments shared by many lines do not pair
 them all: those lines look again with what is left of them beside the segment, which is within
-``most`` edits too. Pairs are verified by a banded edit distance that steps over the characters
-with one bit vector per number of edits, a bit for each diagonal.
+``most`` edits too. Keys are counted before any line is joined with another: most belong to one line alone.
+Pairs are verified by a banded edit distance that steps over the characters with one bit vector per
+number of edits, a bit for each diagonal.
 
 Exact repeats go at any length from ``least`` characters; lines of spaces alone stay. Under two edits all lines of two
 characters are alike, so the edits are counted only between two lines of at least ``near`` characters.
@@ -15,13 +16,16 @@ characters are alike, so the edits are counted only between two lines of at leas
 Edge cases: a null text stays null and has no line; null ids come last in order; rows equal in
 id and text are one document and keep the same lines; ties of id are ordered by a hash of
 id and text; line ends are ``\\n`` alone; the empty table gives the empty table; further columns
-are kept by ``dedup`` and left out of ``report``.
+are kept by ``dedup``, whatever their names, and left out of ``report``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, functions as F
+
+from evgraph.functions.text import let
 from evgraph.session import written
 
 MOST, LEAST, NEAR = 2, 1, 20
@@ -39,102 +43,112 @@ def occurrences(docs: DataFrame, least: int) -> DataFrame:
 
 
 def line_key() -> list[Column]:
-    return [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]
+    return [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]  # 96 bits
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    """line_id, h1, h2, line and first occurrence of every distinct line, as a written table."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_doc", "pos", "line")).alias("first")
-    lines = found.groupBy(*line_key()).agg(first)
-    return written(
-        lines.select(F.monotonically_increasing_id().alias("line_id"), "h1", "h2", F.struct("first.n", "first.doc_id", "first._doc", "first.pos").alias("first"), F.col("first.line").alias("line")),
-        "lines",
+    """line_id, h1, h2, line, number and first of the occurrences of every distinct line, as a written table."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_doc", "pos")).alias("first")
+    lines = found.groupBy(*line_key()).agg(
+        first, F.any_value("line").alias("line"), F.count(F.lit(1)).alias("n")
     )
+    return written(lines.select(F.monotonically_increasing_id().alias("line_id"), "*"), "lines")
+
 
+def shifts(most: int) -> list[tuple[int, int, int]]:
+    """(characters by which the other line is shorter, segment from 1, shift of its place) that a line looks for."""
+    return [
+        (shorter, i, shift)
+        for shorter in range(most + 1)
+        for i in range(1, most + 2)
+        for shift in range(max(1 - i, shorter - (most + 1 - i)), min(i - 1, shorter + most + 1 - i) + 1)
+    ]
 
-def segment(length: Column, i: int, most: int) -> tuple[Column, Column]:
-    """(start, size) of segment ``i`` (from 1) of a line of ``length``: even, the last ones longer."""
+
+def looks(rows: DataFrame, most: int) -> DataFrame:
+    """(row, line_id, key, at, size, own): every segment that a text has (own) or looks for in texts up to ``most``
+    characters shorter; ``at`` is its place in this text. Segments are even, the last ones longer. Texts too short
+    to be cut meet under their tag."""
     parts = most + 1
-    size = F.floor(length / parts)
-    longer = length - size * parts  # so many segments, the last ones, hold one character more
-    extra_before = F.greatest(F.lit(0), F.lit(i - 1) - (parts - longer))
-    own = size + F.when(F.lit(i) > parts - longer, 1).otherwise(0)
-    return (size * (i - 1) + extra_before).cast("int"), own.cast("int")
-
-
-def looks(text: Column, most: int) -> Column:
-    """Array of struct(key, at, size, own) of every segment that a line has (own) or looks for in
-    lines up to ``most`` characters shorter. ``at`` is the place in this line."""
-    n, found = F.length(text), []
-    for shorter in range(most + 1):
-        for i in range(1, most + 2):
-            start, size = segment(n - shorter, i, most)
-            for shift in range(max(1 - i, shorter - (most + 1 - i)), min(i - 1, shorter + most + 1 - i) + 1):
-                at = start + shift
-                piece = F.substr(text, at + 1, size)
-                fits = (at >= 0) & (at + size <= n) & (size > 0)
-                key = F.xxhash64(F.lit(i), n - shorter, piece)
-                found.append(F.when(fits, F.struct(key.alias("key"), at.alias("at"), size.alias("size"), F.lit(shorter == 0 and shift == 0).alias("own"))))
-    return F.array_compact(F.array(*found))
+    kinds = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("shorter", "i", "shift"), kind)]) for kind in shifts(most)])
+    cut = rows.where(F.length("x") > most).select("*", F.length("x").alias("m"), F.inline(kinds))
+    cut = cut.withColumn("n", F.col("m") - F.col("shorter"))
+    cut = cut.withColumn("least", F.floor(F.col("n") / parts).cast("int"))
+    cut = cut.withColumn("plain", parts - (F.col("n") - F.col("least") * parts))  # so many segments are not longer
+    at = F.col("least") * (F.col("i") - 1) + F.greatest(F.lit(0), F.col("i") - 1 - F.col("plain")) + F.col("shift")
+    size = F.col("least") + (F.col("i") > F.col("plain")).cast("int")
+    cut = cut.withColumns({"at": at, "size": size})
+    cut = cut.where((F.col("size") > 0) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("m")))
+    key = F.xxhash64("tag", "i", "n", F.substr("x", F.col("at") + 1, F.col("size")))
+    own = (F.col("shorter") == 0) & (F.col("shift") == 0)
+    cut = cut.select("row", "line_id", key.alias("key"), "at", "size", own.alias("own"))
+    whole = [F.xxhash64("tag").alias("key"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(True).alias("own")]
+    return cut.unionByName(rows.where(F.length("x") <= most).select("row", "line_id", *whole))
 
 
 def candidates(lines: DataFrame, most: int) -> DataFrame:
-    """(a, b), a < b: pairs of line ids that share a segment, at every level of a crowd."""
-    rows = lines.select("line_id", F.col("line").alias("x"), F.lit(0).cast("long").alias("tag"))
-    pairs = None
+    """(a, b), a < b: pairs of line ids that share a segment, at every level of a crowd.
+
+    Keys are counted first, in each task before the shuffle, so a hot segment costs a row a task and the many keys
+    of one line alone end there. A key of two rows is a pair already; the rows of the others are looked up again."""
+    rows = lines.select(F.col("line_id").alias("row"), "line_id", F.col("line").alias("x"), F.lit(0).cast("long").alias("tag"))
+    pairs = []
     for level in range(LEVELS):
-        # a part shorter than the number of segments cannot be cut: its lines are paired as they are
-        short = F.length("x") <= most
-        whole = F.array(F.struct(F.lit(0).cast("long").alias("key"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(True).alias("own")))
-        seen = rows.select("line_id", "tag", F.explode(F.when(short, whole).otherwise(looks(F.col("x"), most))).alias("s"))
-        key = F.xxhash64("tag", "s.key") if level else F.col("s.key")
-        seen = seen.select("line_id", key.alias("key"), F.col("s.at").alias("at"), F.col("s.size").alias("size"), F.col("s.own").alias("own"))
-        crowd = Window.partitionBy("key")
-        met = seen.withColumn("n", F.count(F.lit(1)).over(crowd)).where("n > 1")
-        met = written(met, f"segments-{level}")
+        seen = looks(rows, most)
+        counted = seen.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.max("own").alias("own"), F.min("line_id").alias("a"), F.max("line_id").alias("b")
+        )
+        shared = written(counted.where("n > 1 AND own AND a < b").drop("own"), f"shared-{level}")
+        pairs.append(shared.where("n = 2").select("a", "b"))
+        met = written(seen.join(shared.where("n > 2").select("key", "n"), "key"), f"segments-{level}")
         last = level == LEVELS - 1
         few = met if last else met.where(F.col("n") <= CROWD)
         own = few.where("own").select("key", F.col("line_id").alias("i"))
         other = few.select("key", F.col("line_id").alias("j"))
-        found = own.join(other, "key").where("i != j").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
-        pairs = found if pairs is None else pairs.unionByName(found)
+        pairs.append(own.join(other, "key").where("i != j").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")))
         crowded = met.where(F.col("n") > CROWD)
         if last or crowded.isEmpty():
             break
-        # what is left of a line beside the shared segment, with a mark in its place
-        texts = rows.select(F.col("line_id").alias("_l"), F.col("tag").alias("_t"), "x") if level else lines.select(F.col("line_id").alias("_l"), F.col("line").alias("x"))
-        crowded = crowded.select("line_id", "key", "at", "size").distinct()
-        joined = crowded.join(texts, F.col("line_id") == F.col("_l"))
+        # what is left of a text beside the shared segment, with a mark in its place
+        crowded = crowded.join(rows.select("row", "x"), "row")
         left = F.concat(F.substr("x", F.lit(1), F.col("at")), F.lit("\x01"), F.substr("x", F.col("at") + F.col("size") + 1))
-        rows = written(joined.select("line_id", left.alias("x"), F.col("key").alias("tag")), f"crowd-{level}")
-    return written(pairs.distinct(), "pairs")
+        rest = crowded.select("line_id", left.alias("x"), F.col("key").alias("tag")).distinct()
+        rows = written(rest.select(F.monotonically_increasing_id().alias("row"), "*"), f"crowd-{level}")
+    return written(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
 
 
 def within(a: Column, b: Column, most: int) -> Column:
     """Whether two texts are within ``most`` edits of each other.
 
     Bit d of vector e says that the first j - d + ``most`` characters of ``a`` turn into the first j of ``b``
-    with at most e edits; each character of ``b`` moves all diagonals of the band at once."""
+    with at most e edits; each character of ``b`` moves all diagonals of the band at once. Characters are read
+    from arrays, and once no diagonal is left nothing more is compared."""
     width = 2 * most + 1
     full = (1 << width) - 1
     m, n = F.length(a), F.length(b)
-
-    def step(state: Column, j: Column) -> Column:
-        c = F.substr(b, j, F.lit(1))
-        hits = [F.when((j - (d - most) >= 1) & (F.substr(a, F.greatest(j - (d - most), F.lit(1)), F.lit(1)) == c), 1 << d).otherwise(0) for d in range(width)]
-        match = hits[0]
-        for h in hits[1:]:
-            match = match + h
-        old = [state[f"r{e}"] for e in range(most + 1)]
-        new = [old[0].bitwiseAND(match)]
-        for e in range(1, most + 1):
-            moved = old[e].bitwiseAND(match).bitwiseOR(old[e - 1]).bitwiseOR(F.shiftleft(old[e - 1], 1))
-            new.append(moved.bitwiseOR(F.shiftright(new[e - 1], 1)).bitwiseAND(F.lit(full)))
-        return F.struct(*[v.cast("int").alias(f"r{e}") for e, v in enumerate(new)])
+    edge = F.array_repeat(F.lit(""), 2 * most)  # equal to no character
 
     # before any character of b, the first i of a are dropped with i edits: diagonal -i
     start = F.struct(*[F.lit(sum(1 << (most - i) for i in range(e + 1))).alias(f"r{e}") for e in range(most + 1)])
-    end = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)
+
+    def walk(chars: Column) -> Column:
+        def step(state: Column, j: Column) -> Column:
+            c = F.get(chars["b"], j - 1)
+            hits = [F.when(F.get(chars["a"], j + (3 * most - 1 - d)) == c, 1 << d).otherwise(0) for d in range(width)]
+            old = [state[f"r{e}"] for e in range(most + 1)]
+
+            def moved(match: Column) -> Column:
+                new = [old[0].bitwiseAND(match)]
+                for e in range(1, most + 1):
+                    grown = old[e].bitwiseAND(match).bitwiseOR(old[e - 1]).bitwiseOR(F.shiftleft(old[e - 1], 1))
+                    new.append(grown.bitwiseOR(F.shiftright(new[e - 1], 1)).bitwiseAND(F.lit(full)))
+                return F.struct(*[v.cast("int").alias(f"r{e}") for e, v in enumerate(new)])
+
+            return F.when(old[most] == 0, state).otherwise(let(reduce(Column.__add__, hits), moved))
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)
+
+    end = let(F.struct(F.concat(edge, F.split(a, ""), edge).alias("a"), F.split(b, "").alias("b")), walk)
     bit = F.getbit(end[f"r{most}"], F.least(F.greatest(n - m + most, F.lit(0)), F.lit(width - 1))) == 1
     return F.when(F.abs(n - m) > most, False).when((m == 0) | (n == 0), F.greatest(m, n) <= most).otherwise(bit)
 
@@ -150,47 +164,58 @@ def later_lines(lines: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
-    """(_id, _doc, _gone): places of the lines that go, one row per document that loses some."""
+    """(doc_id, _doc, gone): sorted places of the lines that go, one row per document that loses some."""
     found = occurrences(docs, least)
-    places = written(found.select("doc_id", "_doc", "pos", *line_key()), "places")
     lines = distinct_lines(found)
     long = lines.where(F.length("line") >= near)
     late = later_lines(long, candidates(long, most), most)
-    firsts = lines.join(late.withColumn("late", F.lit(True)), "line_id", "left").select("h1", "h2", "first", "late")
+    # a line without an earlier one like it, found once, removes nothing
+    firsts = lines.select("line_id", "h1", "h2", "first", "n").join(late.withColumn("late", F.lit(True)), "line_id", "left")
+    firsts = written(firsts.where("late OR n > 1").select("h1", "h2", "first", "late"), "late")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_doc") == F.col("first._doc")) & (F.col("pos") == F.col("first.pos"))
+    places = found.select("doc_id", "_doc", "pos", *line_key())
     gone = places.join(firsts, ["h1", "h2"]).where(~own | F.col("late"))
-    return written(
-        gone.groupBy(F.col("doc_id").alias("_id"), "_doc").agg(F.sort_array(F.collect_set("pos")).alias("_gone")), "removed"
-    )
-
-
-def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
-    """``docs`` with ``_lines`` (array of lines), ``_gone`` (places that go, or null) and ``_kept`` (text)."""
-    gone = removed_lines(docs, most, least, near)
-    joined = docs.withColumn("_key", document_key()).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_doc")), "left"
+    return written(gone.groupBy("doc_id", "_doc").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "removed")
+
+
+def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name, which is longer than any given: a struct of ``n_lines``,
+    ``n_removed`` and ``text``, what stays."""
+    name = "_" * (1 + max(map(len, docs.columns))) + "kept"
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    gone = removed_lines(docs, most, least, near).select(F.struct("doc_id", "_doc", "gone").alias(name))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{name}.doc_id")) & (document_key() == F.col(f"{name}._doc"))
+    places = F.coalesce(F.col(f"{name}.gone"), F.array().cast("array<int>"))
+    lines = F.split("text", "\n")
+    # one flag a line: runs of lines that stay, a mark for each that goes
+    ends = F.concat(places, F.array(F.size(lines)))
+    starts = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + 1))
+    runs = F.transform(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda r: F.repeat(F.lit("1"), r["e"] - r["s"]))
+    flags = F.split(F.array_join(runs, "0"), "")
+    flagged = F.filter(F.arrays_zip(lines.alias("line"), flags.alias("flag")), lambda x: x["flag"] == "1")
+    text = F.array_join(F.transform(flagged, lambda x: x["line"]), "\n")
+    kept = F.struct(
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.size(places).cast("long").alias("n_removed"),
+        F.when(F.size(places) == 0, F.col("text")).otherwise(text).alias("text"),
     )
-    joined = joined.withColumn("_lines", F.split("text", "\n"))
-    stays = F.filter(F.col("_lines"), lambda line, i: ~F.array_contains(F.col("_gone"), i))
-    return joined.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")))
+    return docs.join(gone, same, "left").select(*columns, kept.alias(name)), name
 
 
 def report(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """doc_id, number of lines, number of those that go, hash of what stays."""
-    rows = with_kept(docs.select("doc_id", "text"), most, least, near)
+    rows, kept = with_kept(docs.select("doc_id", "text"), most, least, near)
     return rows.select(
-        "doc_id",
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+        "doc_id", f"{kept}.n_lines", f"{kept}.n_removed",
+        F.sha2(F.coalesce(F.col(f"{kept}.text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
 
 def dedup(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """The rows without the lines that go; ``n_chars``, if present, is that of the new text.
     A document that had words and keeps none goes."""
-    rows = with_kept(docs, most, least, near)
-    empty = F.col("_gone").isNotNull() & (F.length(F.btrim("_kept", F.lit(" \t\n\x0b\f\r"))) == 0)
-    changed = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
-    columns = [changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    return rows.where(~empty).select(*columns)
+    rows, kept = with_kept(docs, most, least, near)
+    text = F.col(f"{kept}.text")
+    empty = (F.col(f"{kept}.n_removed") > 0) & (F.length(F.btrim(text, F.lit(" \t\n\x0b\f\r"))) == 0)
+    changed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return rows.where(~F.coalesce(empty, F.lit(False))).select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

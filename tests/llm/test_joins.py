@@ -188,7 +188,7 @@ def test_band_equals_edit_distance(spark):
         assert near == (edits(a, b) <= 2), (a, b)
 
 
-@pytest.mark.parametrize("crowd", [32])
+@pytest.mark.parametrize("crowd", [2, 32])
 def test_lines_equal_brute_force(docs, texts, crowd, monkeypatch):
     monkeypatch.setattr(line_dedup, "CROWD", crowd)
     seen, wanted = [], {}
@@ -216,6 +216,16 @@ def test_short_lines_go_when_repeated_exactly(spark):
     assert kept == {0: texts[0], 1: "a c\n \nLes", 3: texts[3], 5: texts[5]}
 
 
+def test_clashing_column_names_and_many_removed_lines(spark):
+    text = "\n".join(["one line of some length"] * 40 + ["another one"] + ["\U0001F600" * 30, "\U0001F600" * 29 + "x", ""])
+    rows = [(1, text, 5, "a", "b", "c"), (2, "another one", 6, "d", "e", "f"), (3, None, 7, "g", "h", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, line_id long, _doc string, gone string, `odd.name` string")
+    found = line_dedup.dedup(docs)
+    assert found.columns == docs.columns
+    smile = "\U0001F600" * 30
+    assert sorted(map(tuple, found.collect())) == [(1, f"one line of some length\nanother one\n{smile}\n", 5, "a", "b", "c"), rows[2]]
+
+
 @pytest.mark.parametrize("operator", [jaccard_join.classes, line_dedup.report, repeat_index.report, line_dedup.dedup, jaccard_join.one_of_each])
 def test_empty_table(empty, operator):
     assert operator(empty).collect() == []
