@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from evgraph.catalog.base import query
-from evgraph.catalog.ownership import resolved
+from evgraph.catalog.ownership import AS_OF
 from evgraph.catalog.sql import fragment
 from evgraph.operators import evaluation, forecast, ownership, people
 from evgraph.session import written
@@ -323,21 +323,22 @@ fragment("metric", """
       FROM gold_case)""", "gold_case")
 
 
-def gold(t: Tables) -> DataFrame:
-    """Gold classes from all evidence; an opportunity whose decisive evidence is all
-    refuted is a hard negative."""
-    evidence = derived.evidence(t)
-    accused = ownership.decisive(evidence).select("opp").distinct().withColumn("_accused", F.lit(True))
-    status = F.col("resolution")
+def gold_cases(t: Tables) -> DataFrame:
+    """Gold classes from all evidence beside the answer at each opportunity's cutoff, in one pass; an opportunity
+    whose decisive evidence is all refuted is a hard negative."""
+    views = {"known": F.col("available_at") <= F.col("published_at"), "full": F.lit(True)}
+    opps = derived.opportunities(t).select("opp", "published_at")
+    answers = ownership.resolve_views(opps, derived.evidence(t), derived.org_versions(t), AS_OF, views)
+    status = F.col("full.resolution")
     gold_class = (
-        F.when((status == "abstain") & F.col("_accused"), "negative_non_target")
+        F.when((status == "abstain") & F.col("accused"), "negative_non_target")
         .when(status == "abstain", "abstain_insufficient_owner")
         .when(status == "single", "positive_single_program")
         .when(status == "legacy_review", "legacy_mapping_review")
         .otherwise("multi_program_support")
     )
-    return resolved(t, known_only=False).join(accused, "opp", "left").select(
-        "opp", gold_class.alias("gold_class"), F.col("office").alias("gold_office")
+    return answers.select(
+        "opp", "known.resolution", "known.office", gold_class.alias("gold_class"), F.col("full.office").alias("gold_office")
     )
 
 
@@ -345,7 +346,7 @@ def gold(t: Tables) -> DataFrame:
 def gold_metrics(t: Tables) -> DataFrame:
     """Answers at each opportunity's cutoff against classes from all evidence. This
     exercises the metrics; it does not measure the resolver's accuracy."""
-    return evaluation.gold_metrics(resolved(t, known_only=True), gold(t))
+    return evaluation.case_metrics(gold_cases(t))
 
 
 fragment("gate", """
@@ -361,7 +362,7 @@ fragment("gate", """
     sql="SELECT * FROM gate UNION ALL SELECT 'overall', NULL, NULL, NULL, bool_and(passed) FROM gate",
 )
 def gate_report(t: Tables) -> DataFrame:
-    return evaluation.gate_report(evaluation.gold_metrics(resolved(t, known_only=True), gold(t)))
+    return evaluation.gate_report(evaluation.case_metrics(gold_cases(t)))
 
 
 @query(
@@ -373,4 +374,4 @@ def gate_report(t: Tables) -> DataFrame:
       LEFT JOIN gold USING (gold_class) GROUP BY gold_class, min_cases, min_offices""",
 )
 def gold_class_coverage(t: Tables) -> DataFrame:
-    return evaluation.gold_class_coverage(gold(t))
+    return evaluation.gold_class_coverage(gold_cases(t))

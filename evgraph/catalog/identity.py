@@ -59,22 +59,21 @@ ORPHAN_SQL = " UNION ALL ".join(
 
 @query("natural_key_check", "nodes", "edges", sql=f"{DUPLICATE_SQL} UNION ALL {ORPHAN_SQL}")
 def natural_key_check(t: Tables) -> DataFrame:
-    nodes, edges = derived.nodes(t), derived.edges(t)
-    duplicates = validation.natural_key_report({
-        "nodes": (nodes, ["id"]),
-        "lineitem": (t.lineitem, ["l_orderkey", "l_linenumber"]),
-        "orders": (t.orders, ["o_orderkey"]),
-        "documents": (t.documents, ["doc_id"]),
-        "events": (t.events, ["event_id"]),
-    })
-    orphans = validation.orphan_report({
-        "lineitem.order": (t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-        "lineitem.document": (t.lineitem, "l_partkey", t.documents, "doc_id"),
-        "orders.customer": (t.orders, "o_custkey", t.customer, "c_custkey"),
-        "edges.src": (edges, "src", nodes, "id"),
-        "edges.dst": (edges, "dst", nodes, "id"),
-    })
-    return duplicates.unionByName(orphans)
+    return validation.key_audit(
+        {
+            "nodes": (derived.nodes(t), ["id"], {}),
+            "edges": (derived.edges(t), [], {"edges.src": ("src", "nodes"), "edges.dst": ("dst", "nodes")}),
+            "lineitem": (
+                t.lineitem, ["l_orderkey", "l_linenumber"],
+                {"lineitem.order": ("l_orderkey", "orders"), "lineitem.document": ("l_partkey", "documents")},
+            ),
+            "orders": (t.orders, ["o_orderkey"], {"orders.customer": ("o_custkey", "customer")}),
+            "customer": (t.customer, ["c_custkey"], {}),
+            "documents": (t.documents, ["doc_id"], {}),
+            "events": (t.events, ["event_id"], {}),
+        },
+        unique=["nodes", "lineitem", "orders", "documents", "events"],
+    )
 
 
 @query(

@@ -14,7 +14,12 @@ def gold_metrics(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     Every gold case counts; one without a prediction is an abstention.
     """
     p = predictions.select("opp", "resolution", "office")
-    cases = gold.join(p, "opp", "left").withColumn("resolution", F.coalesce("resolution", F.lit("abstain")))
+    return case_metrics(gold.join(p, "opp", "left"))
+
+
+def case_metrics(cases: DataFrame) -> DataFrame:
+    """``gold_metrics`` of cases that hold gold_class, gold_office, resolution and office in one row."""
+    cases = cases.withColumn("resolution", F.coalesce("resolution", F.lit("abstain")))
     of = F.col("gold_class")
     named = F.col("resolution").isin("single", "multi_program")
     single = F.col("resolution") == "single"

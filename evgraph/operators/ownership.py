@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.operators import mentions
 from evgraph.operators.temporal import current_offices
@@ -20,6 +20,11 @@ def owner_offices(evidence: DataFrame) -> DataFrame:
     return decisive(evidence).where(~F.col("refutes")).select("opp", "office").distinct()
 
 
+def resolution(n: Column, current: Column) -> Column:
+    """What follows from the number of owners and of those with an open version."""
+    return F.when(n == 0, "abstain").when(current == 0, "legacy_review").when(n == 1, "single").otherwise("multi_program")
+
+
 def resolve(opps: DataFrame, evidence: DataFrame, versions: DataFrame, as_of) -> DataFrame:
     """One row per opportunity: single, multi_program, legacy_review or abstain.
 
@@ -38,15 +43,47 @@ def resolve(opps: DataFrame, evidence: DataFrame, versions: DataFrame, as_of) ->
         )
     )
     n, current = F.coalesce("n_offices", F.lit(0)), F.coalesce("n_current", F.lit(0))
-    status = (
-        F.when(n == 0, "abstain").when(current == 0, "legacy_review").when(n == 1, "single").otherwise("multi_program")
-    )
+    status = resolution(n, current)
     return opps.join(per_opp, "opp", "left").select(
         *opps.columns, status.alias("resolution"), n.alias("n_offices"), current.alias("n_current"),
         F.when(status == "single", F.col("_office")).alias("office"),
     )
 
 
+def resolve_views(opps: DataFrame, evidence: DataFrame, versions: DataFrame, as_of, views: dict[str, Column]) -> DataFrame:
+    """``resolve`` for several views of the same evidence in one pass: one row per opportunity, with ``accused``
+    (it has decisive evidence, refuted or not) and, per view, a struct of resolution, n_offices, n_current and office.
+
+    A view is a condition over the columns of ``evidence`` and ``opps``. Opportunities meet their evidence once;
+    offices and opportunities are then grouped where that join has put them, without a further shuffle.
+    """
+    live = current_offices(versions, as_of).select("office", F.lit(True).alias("_live"))
+    rows = opps.join(decisive(evidence), "opp", "left")
+    per_office = rows.groupBy("opp", "office").agg(
+        F.max(F.col("kind").isNotNull()).alias("accused"),
+        *[F.max(F.coalesce(~F.col("refutes") & seen, F.lit(False))).alias(name) for name, seen in views.items()],
+    )
+    per_opp = per_office.join(live, "office", "left").groupBy("opp").agg(
+        F.max("accused").alias("accused"),
+        *[
+            F.struct(
+                F.count_if(F.col(name)).alias("n_offices"),
+                F.count_if(F.col(name) & F.col("_live")).alias("n_current"),
+                F.min(F.when(F.col(name), F.col("office"))).alias("office"),
+            ).alias(name)
+            for name in views
+        ],
+    )
+
+    def answer(name: str) -> Column:
+        n, current = F.col(f"{name}.n_offices"), F.col(f"{name}.n_current")
+        status = resolution(n, current)
+        owner = F.when(status == "single", F.col(f"{name}.office")).alias("office")
+        return F.struct(status.alias("resolution"), n.alias("n_offices"), current.alias("n_current"), owner).alias(name)
+
+    return per_opp.select("opp", "accused", *[answer(name) for name in views])
+
+
 def candidates(evidence: DataFrame, k: int = 3) -> DataFrame:
     """The k best owners per opportunity. Evidence is aggregated per office first and
     the rank limit cuts each task's rows before they are shuffled."""

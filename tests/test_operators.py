@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 from evgraph.catalog.ownership import AS_OF
 from evgraph.operators import (
     documents as docs, evaluation, forecast, identity, lineage, matching, ordered, ownership, people, temporal,
-    vector_index,
+    validation, vector_index,
 )
 from evgraph.sources import derived
 
@@ -224,6 +224,53 @@ def test_resolution_by_hand(spark):
     }
 
 
+def test_views_of_the_evidence_resolve_in_one_pass_like_each_alone(spark):
+    rows = [
+        (1, 10, "explicit_owner", False, 1), (1, 10, "explicit_owner", False, 9), (1, 11, "office_code", False, 9),
+        (2, 12, "explicit_owner", True, 1), (2, 13, "semantic", False, 1),  # accused, and nothing decisive left
+        (3, 14, "poc_context", False, 5), (3, 15, "explicit_owner", True, 1),  # 14 has no open version
+        (4, 10, "notice_prefix", False, 1), (9, 10, "explicit_owner", False, 1),  # 9 is no opportunity
+        (6, None, "explicit_owner", False, 2),
+    ]
+    evidence = spark.createDataFrame(rows, "opp long, office long, kind string, refutes boolean, day int")
+    opps = spark.createDataFrame([(i, 5) for i in range(1, 7)], "opp long, cutoff int")  # 5 has no evidence at all
+    versions = spark.createDataFrame(
+        [(o, 1, "v", dt.date(2000, 1, 1), dt.date(2001, 1, 1) if o == 14 else None) for o in (10, 11, 12, 13, 14, 15)],
+        "office long, version int, name string, valid_from date, valid_to date",
+    )
+    views = {"known": F.col("day") <= F.col("cutoff"), "full": F.lit(True)}
+    found = ownership.resolve_views(opps, evidence, versions, "2020-01-01", views)
+    got = {r.opp: r for r in found.collect()}
+    assert {i for i, r in got.items() if r.accused} == {1, 2, 3, 6}
+    for name, seen in (("known", evidence.where("day <= 5")), ("full", evidence)):
+        alone = ownership.resolve(opps.select("opp"), seen, versions, "2020-01-01").collect()
+        assert len(alone) == len(got) == 6
+        for r in alone:
+            assert tuple(got[r.opp][name]) == (r.resolution, r.n_offices, r.n_current, r.office), (name, r.opp)
+    assert got[1].known.resolution == "single" and got[1].full.resolution == "multi_program"
+    assert got[3].full.resolution == "legacy_review" and got[5].full.resolution == "abstain"
+
+
+def test_key_audit_counts_duplicates_and_orphans_in_one_grouping(spark):
+    parents = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "id string")
+    children = spark.createDataFrame([(1, 1, "a"), (1, 1, "x"), (1, 2, "x"), (2, 1, None), (3, 1, "y")], "k int, n int, ref string")
+    used = spark.createDataFrame([("b",), ("z",)], "ref string")
+    tables = {
+        "parents": (parents, ["id"], {}),
+        "children": (children, ["k", "n"], {"children.ref": ("ref", "parents")}),
+        "used": (used, [], {"used.ref": ("ref", "parents")}),
+    }
+    report = validation.key_audit(tables, ["parents", "children"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted(map(tuple, report.collect())) == [
+        ("children", "duplicate_key", 1, 1), ("children.ref", "orphan_reference", 3, 2),
+        ("parents", "duplicate_key", 3, 2), ("used.ref", "orphan_reference", 1, 1),
+    ]
+    nothing = {name: (df.where("false"), key, links) for name, (df, key, links) in tables.items()}
+    assert {(r.n_rows, r.n_keys) for r in validation.key_audit(nothing, ["parents", "children"]).collect()} == {(0, 0)}
+
+
 def test_gates_pass_on_the_hand_made_gold_and_fail_on_a_naive_resolver(spark):
     opps, evidence, versions = hand_made(spark)
     gold = spark.createDataFrame([
