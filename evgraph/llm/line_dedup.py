@@ -5,8 +5,8 @@ Lines are ordered by (doc_id, place). Equal lines collapse to their first occurr
 meet by segments: a line cut into ``most`` + 1 even segments keeps one of them whole under
 ``most`` edits, so every line looks, for every length that fits, for those segments at the places
 where the edits before and after can have moved them. Segments shared by many lines do not pair
-them all: those lines look again with what is left of them beside the segment, which is within
-``most`` edits too. Keys are counted before any line is joined with another: most belong to one line alone.
+them all: each is verified against the earliest of them, and where that leaves a line open, those lines
+look again with what is left of them beside the segment, which is within ``most`` edits too. Keys are counted before any line is joined with another: most belong to one line alone.
 Pairs are verified by a banded edit distance that steps over the characters with one bit vector per
 number of edits, a bit for each diagonal.
 
@@ -86,13 +86,26 @@ def looks(rows: DataFrame, most: int) -> DataFrame:
     return cut.unionByName(rows.where(F.length("x") <= most).select("row", "line_id", *whole))
 
 
-def candidates(lines: DataFrame, most: int) -> DataFrame:
-    """(a, b), a < b: pairs of line ids that share a segment, at every level of a crowd.
+def late_in_crowds(lines: DataFrame, crowded: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(line_id) of the lines within ``most`` edits of the earliest line of a crowd that they are in, and
+    (key) of the crowds that hold another line, beside the earliest one."""
+    members = crowded.select("key", "line_id").distinct().join(lines.select("line_id", "line", "first"), "line_id")
+    members = written(members, "members")
+    earliest = members.groupBy("key").agg(F.min_by(F.struct("line_id", "line"), "first").alias("e"))
+    met = members.join(earliest, "key").where(F.col("line_id") != F.col("e.line_id"))
+    met = written(met.select("key", "line_id", within(F.col("line"), F.col("e.line"), most).alias("late")), "met")
+    late = met.where("late").select("line_id").distinct()
+    return late, met.join(late, "line_id", "left_anti").select("key").distinct()
+
+
+def candidates(lines: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a < b: pairs of line ids that share a segment, at every level of a crowd, and (line_id) of lines
+    already known to have an earlier one like them, between which pairs may be missing.
 
     Keys are counted first, in each task before the shuffle, so a hot segment costs a row a task and the many keys
     of one line alone end there. A key of two rows is a pair already; the rows of the others are looked up again."""
     rows = lines.select(F.col("line_id").alias("row"), "line_id", F.col("line").alias("x"), F.lit(0).cast("long").alias("tag"))
-    pairs = []
+    pairs, late = [], [rows.where("false").select("line_id")]
     for level in range(LEVELS):
         seen = looks(rows, most)
         counted = seen.groupBy("key").agg(
@@ -109,12 +122,20 @@ def candidates(lines: DataFrame, most: int) -> DataFrame:
         crowded = met.where(F.col("n") > CROWD)
         if last or crowded.isEmpty():
             break
+        # every member meets the earliest one; a crowd that this settles is done
+        settled, unsettled = late_in_crowds(lines, crowded, most)
+        late.append(settled)
+        crowded = crowded.join(unsettled, "key", "left_semi")
         # what is left of a text beside the shared segment, with a mark in its place
         crowded = crowded.join(rows.select("row", "x"), "row")
         left = F.concat(F.substr("x", F.lit(1), F.col("at")), F.lit("\x01"), F.substr("x", F.col("at") + F.col("size") + 1))
         rest = crowded.select("line_id", left.alias("x"), F.col("key").alias("tag")).distinct()
         rows = written(rest.select(F.monotonically_increasing_id().alias("row"), "*"), f"crowd-{level}")
-    return written(reduce(DataFrame.unionByName, pairs).distinct(), "pairs")
+    late = written(reduce(DataFrame.unionByName, late).distinct(), "known-late")
+    pairs = reduce(DataFrame.unionByName, pairs).distinct()
+    for end in "a", "b":
+        pairs = pairs.join(late.select(F.col("line_id").alias(end), F.lit(True).alias(f"late_{end}")), end, "left")
+    return written(pairs.where("late_a IS NULL OR late_b IS NULL").select("a", "b"), "pairs"), late
 
 
 def within(a: Column, b: Column, most: int) -> Column:
@@ -168,7 +189,8 @@ def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST, near: i
     found = occurrences(docs, least)
     lines = distinct_lines(found)
     long = lines.where(F.length("line") >= near)
-    late = later_lines(long, candidates(long, most), most)
+    pairs, known = candidates(long, most)
+    late = later_lines(long, pairs, most).unionByName(known).distinct()
     # a line without an earlier one like it, found once, removes nothing
     firsts = lines.select("line_id", "h1", "h2", "first", "n").join(late.withColumn("late", F.lit(True)), "line_id", "left")
     firsts = written(firsts.where("late OR n > 1").select("h1", "h2", "first", "late"), "late")
