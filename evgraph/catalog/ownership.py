@@ -111,7 +111,7 @@ def latest_observation_asof(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", F.col("user_id").alias("person"), F.col("ts").alias("at"), "value", "event_type")
     return temporal.last_before(
         rows.where("event_type = 'purchase'"), rows.where("event_type = 'view'"), ["person"], "at", "event_id",
-        "value", F.to_date("at"),
+        "value",
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from evgraph.functions import text as tx
 from evgraph.operators.identity import local_id
-from evgraph.operators.ordered import with_previous, with_running_sum
+from evgraph.operators.ordered import ROWS, with_buckets, with_previous, with_running_sum
 from evgraph.session import written
 
 EXTRACTION_VERSION = "v1"
@@ -34,17 +34,19 @@ def build_manifest(retrievals: DataFrame) -> DataFrame:
     ).select("url", "_latest.*", "first_retrieved_at", "retrieved_at", "n_retrievals")
 
 
-def revisions(retrievals: DataFrame) -> DataFrame:
+def revisions(retrievals: DataFrame, rows: int = ROWS) -> DataFrame:
     """Retrievals with a revision number that grows only when the content hash changes.
-    A URL's history is cut by day, so a URL retrieved without end spreads over tasks."""
-    order, day = ["retrieved_at", "doc_id"], F.to_date("retrieved_at")
+    The history of a URL of more than ``rows`` retrievals is cut at its own quantiles, so it spreads over tasks
+    even where all of it lies in one day."""
+    order = ["retrieved_at", "doc_id"]
     # hashed once: the ordered passes below read the light table several times
     light = written(retrievals.select("url", "doc_id", "retrieved_at", F.sha2("text", 256).alias("sha256")), "hashes")
-    compared = with_previous(light, ["url"], order, "sha256", day, "_previous")
+    light = written(with_buckets(light, ["url"], order, "_part", rows), "parts")
+    compared = with_previous(light, ["url"], order, "sha256", F.col("_part"), "_previous")
     compared = compared.withColumn(
         "changed", F.coalesce(F.col("sha256") != F.col("_previous"), F.lit(True))
     ).withColumn("_step", F.col("changed").cast("int"))
-    return with_running_sum(compared, ["url"], order, "_step", day, "revision").drop("_previous", "_step")
+    return with_running_sum(compared, ["url"], order, "_step", F.col("_part"), "revision").drop("_previous", "_step", "_part")
 
 
 def access_report(retrievals: DataFrame) -> DataFrame:

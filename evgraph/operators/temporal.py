@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from evgraph.operators.ordered import with_last_known
+from evgraph.operators.ordered import ROWS, with_buckets, with_last_known
+from evgraph.session import written
 
 
 def asof(df: DataFrame, ts_col: str, cutoff) -> DataFrame:
@@ -57,10 +58,11 @@ def legacy(records: DataFrame, versions: DataFrame, as_of) -> DataFrame:
 
 
 def last_before(
-    events: DataFrame, observations: DataFrame, keys: list[str], at: str, event_id: str, value: str, bucket: Column
+    events: DataFrame, observations: DataFrame, keys: list[str], at: str, event_id: str, value: str, rows: int = ROWS
 ) -> DataFrame:
     """Each event with the most recent observation at or before it. Both sides go
-    through one ordered pass, so there is no range join. ``bucket`` cuts long histories."""
+    through one ordered pass, so there is no range join. Histories of more than ``rows`` rows are cut at
+    their own quantiles, so one key within one day spreads over tasks as well."""
     obs = observations.select(
         *keys, F.col(at), F.lit(0).alias("_side"), F.col(event_id).alias("_id"),
         F.struct(F.col(value).alias("value"), F.col(at).alias("at")).alias("_obs"),
@@ -69,7 +71,10 @@ def last_before(
         *keys, F.col(at), F.lit(1).alias("_side"), F.col(event_id).alias("_id"),
         F.lit(None).cast(obs.schema["_obs"].dataType).alias("_obs"),
     )
-    merged = with_last_known(obs.unionByName(ev), keys, [at, "_side", "_id"], "_obs", bucket, "_last")
+    order = [at, "_side", "_id"]
+    both = written(obs.unionByName(ev), "observations")  # counted, drawn from and ordered
+    merged = written(with_buckets(both, keys, order, "_part", rows), "parts")
+    merged = with_last_known(merged, keys, order, "_obs", F.col("_part"), "_last")
     return merged.where("_side = 1").select(
         *keys, F.col("_id").alias(event_id), at, F.col("_last.value").alias(f"last_{value}"),
         F.col("_last.at").alias("last_at"),

@@ -50,6 +50,44 @@ def test_last_known_equals_plain_window(hot):
     assert same(got.select("key", "at", "last"), hot.select("key", "at", F.last("label", True).over(w).alias("last")))
 
 
+def test_a_hot_key_of_one_moment_is_cut_evenly(spark):
+    """All rows of the hot key lie in one second, so only the second order column tells them apart; a null key
+    is hot too, and the others are not cut."""
+    data = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        F.lit(dt.datetime(2024, 1, 1)).alias("at"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("id"),
+    )
+    cut = ordered.with_buckets(data, ["key"], ["at", "id"], "part", 1000).cache()
+    assert cut.columns == ["key", "at", "id", "part"] and cut.count() == 30_000
+    sizes = {(r.key, r.part): r["count"] for r in cut.groupBy("key", "part").count().collect()}
+    for key in ("hot", None):
+        mine = [n for (k, _), n in sizes.items() if k == key]
+        assert len(mine) == 10 and max(mine) < 2500
+    assert all(part == 0 for key, part in sizes if key not in ("hot", None))
+    # bucket numbers never fall along the order
+    w = Window.partitionBy("key").orderBy("at", "id")
+    assert cut.withColumn("before", F.lag("part").over(w)).where("before > part").isEmpty()
+    one = spark.createDataFrame([("a", 1)] * 50, "key string, at long")  # rows that no order tells apart
+    assert {r.part for r in ordered.with_buckets(one, ["key"], ["at"], "part", 10).collect()} <= {0, 1}
+    assert ordered.with_buckets(one.limit(0), ["key"], ["at"], "part", 10).isEmpty()
+
+
+def test_cut_histories_answer_like_whole_ones(spark):
+    rng = random.Random(5)
+    day = dt.datetime(2024, 1, 1)
+    seen = [("u" if i % 3 else f"v{i % 7}", i, day + dt.timedelta(seconds=rng.randint(0, 40)), rng.choice("ab")) for i in range(900)]
+    df = spark.createDataFrame(seen, "url string, doc_id long, retrieved_at timestamp_ntz, text string")
+    assert same(docs.revisions(df, 20), docs.revisions(df))
+    schema = "event_id long, person string, at timestamp_ntz, value double"
+    obs = spark.createDataFrame([(i, u, at, float(i)) for u, i, at, _ in seen if i % 2], schema)
+    ev = spark.createDataFrame([(i, u, at, 0.0) for u, i, at, _ in seen if not i % 2], schema)
+    got = {r.event_id: r.last_value for r in temporal.last_before(ev, obs, ["person"], "at", "event_id", "value", 20).collect()}
+    for u, i, at, _ in seen:
+        if not i % 2:
+            known = [(a, j) for v, j, a, _ in seen if v == u and j % 2 and a <= at]
+            assert got[i] == (float(max(known)[1]) if known else None)
+
+
 def test_ancestry_with_cycle_and_depth(spark):
     links = [("a", "b"), ("b", "c"), ("leaf", "a"), ("x", "y"), ("y", "x"), ("under", "x"), ("two", "a"), ("two", "c")]
     found = identity.ancestry(spark.createDataFrame(links, "child string, parent string"))
@@ -519,7 +557,7 @@ def test_last_observation_at_the_same_moment_counts(spark):
     schema = "event_id long, person long, at timestamp_ntz, value double"
     obs = spark.createDataFrame([(1, 1, t, 1.0), (2, 1, t + dt.timedelta(days=3), 2.0)], schema)
     ev = spark.createDataFrame([(3, 1, t, 0.0), (4, 1, t + dt.timedelta(days=9), 0.0), (5, 2, t, 0.0)], schema)
-    got = temporal.last_before(ev, obs, ["person"], "at", "event_id", "value", F.to_date("at"))
+    got = temporal.last_before(ev, obs, ["person"], "at", "event_id", "value")
     assert rows(got.fillna(-1.0), "event_id", "last_value") == [(3, 1.0), (4, 2.0), (5, -1.0)]
 
 
