@@ -79,24 +79,39 @@ def access_status_report(t: Tables) -> DataFrame:
 @query(
     "link_enumeration",
     sql=r"""WITH hrefs AS (
-        SELECT page_id, url, regexp_extract(url, '^([A-Za-z]+://[^/?#]+)', 1) AS root,
-          unnest(regexp_extract_all(html, 'href\s*=\s*["'']([^"''#]+)', 1)) AS href FROM pages),
+        SELECT page_id, url, regexp_extract(url, '^([A-Za-z]+://[^/?#]+)', 1) AS root, regexp_replace(replace(trim(
+            unnest(regexp_extract_all(html || CASE WHEN page_id % 3 = 0 THEN '<a href=../d/./f' || page_id % 9 || '.pdf>u</a><A HREF = ''?p='
+              || page_id % 5 || '#x''>q</A><a href="../../../g/../h?d=../e">h</a>' ELSE '' END,
+              '(?i)[ \t\n\r\f"''/]href[ \t\n\r\f]*=[ \t\n\r\f]*("[^"]*"|''[^'']*''|[^ \t\n\r\f"''>]+)', 1)), '"'' '),
+            '&amp;', '&'), '#.*$', '') AS href FROM pages),
       based AS (
-        SELECT *, regexp_replace(substr(regexp_replace(url, '[?#].*$', ''), length(root) + 1), '[^/]*$', '') AS f FROM hrefs),
+        SELECT *, coalesce(nullif(substr(regexp_replace(url, '[?#].*$', ''), length(root) + 1), ''), '/') AS path,
+          regexp_extract(href, '^[^?]*') AS target FROM hrefs
+        WHERE href <> '' AND NOT regexp_matches(href, '(?i)^(mailto|javascript|tel|data):')),
+      aimed AS (
+        SELECT *, CASE WHEN href LIKE '/%' THEN target ELSE regexp_replace(path, '[^/]*$', '') || target END AS way FROM based),
       links AS (
-        SELECT page_id, replace(CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+        SELECT page_id, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
           WHEN href LIKE '//%' THEN regexp_extract(url, '^([A-Za-z]+:)', 1) || href
-          WHEN href LIKE '/%' THEN root || href
-          ELSE root || CASE WHEN f = '' THEN '/' ELSE f END || regexp_replace(href, '^(\./)+', '') END, '&amp;', '&') AS link
-        FROM based WHERE NOT regexp_matches(href, '^(mailto|javascript|tel|data):'))
+          WHEN href LIKE '?%' THEN root || path || href
+          ELSE root || list_reduce(string_split(way, '/')[2:], lambda done, step: CASE step WHEN '.' THEN done
+              WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || step END, '')
+            || CASE WHEN regexp_matches(way, '(^|/)[.][.]?$') THEN '/' ELSE '' END || substr(href, length(target) + 1) END AS link
+        FROM aimed)
       SELECT link, min(page_id) AS discovered_on, count(DISTINCT page_id) AS n_pages,
         regexp_matches(link, '(?i)\.(pdf|xlsx?|docx?|csv|zip)([?#]|$)') AS is_document
-      FROM links GROUP BY link""",
+      FROM links WHERE link IS NOT NULL GROUP BY link""",
 )
 def link_enumeration(t: Tables) -> DataFrame:
-    return docs.enumerate_links(t.pages)
+    return docs.enumerate_links(derived.link_pages(t))
 
 
+fragment("id_pattern", r"""
+  SELECT * FROM (VALUES ('office_code', '\b(?:PMW|PMA|PMS|PEO)[ -]?[0-9]{3}\b'), ('program_element', '\b[0-9]{7}[A-Z]\b'),
+    ('notice', '\b[A-Z][0-9]{5}-[0-9]{2}-[BQR]-[0-9]{4}\b'), ('contract', '\b[A-Z][0-9]{5}-[0-9]{2}-[CLP]-[0-9]{4}\b'),
+    ('vehicle', '\b[A-Z][0-9]{5}-[0-9]{2}-[ADG]-[0-9]{4}\b'), ('award', '\b[A-Z][0-9]{5}-[0-9]{2}-F-[0-9]{4}\b'),
+    ('activity_code', '\b[A-Z][0-9]{5}\b'), ('appropriation', '\b(?:RDT&E|O&M|MILCON|OPN|APN|SCN|WPN)\b'),
+    ('fiscal_year', '\bFY ?[0-9]{4}\b')) AS p(kind, pattern)""")
 fragment("heading", r"""
   SELECT doc_id, line_no, length(regexp_extract(line, '^(#+) ', 1)) AS level,
     regexp_replace(line, '^#+ +', '') AS title FROM lines WHERE regexp_matches(line, '^#+ ')""", "lines")
@@ -146,10 +161,9 @@ def chunking(t: Tables) -> DataFrame:
 
 
 @query(
-    "identifier_extraction", "page",
+    "identifier_extraction", "page", "id_pattern",
     sql=r"""SELECT doc_id, page_no, kind, unnest(regexp_extract_all(text, pattern)) AS value FROM page,
-      (VALUES ('office_code', '\b(?:PMW|PMA|PMS|PEO)[ -]?[0-9]{3}\b'), ('program_element', '\b[0-9]{7}[A-Z]\b'),
-        ('notice', '\b[A-Z][0-9]{5}-[0-9]{2}-[A-Z]-[0-9]{4}\b'), ('fiscal_year', '\bFY ?[0-9]{4}\b')) AS p(kind, pattern)""",
+      id_pattern""",
 )
 def identifier_extraction(t: Tables) -> DataFrame:
     return docs.extract_ids(docs.pages(derived.marked_documents(t)), "doc_id", "page_no")
@@ -206,10 +220,9 @@ fragment("fact", r"""
   FROM (SELECT doc_id, line_no, line_start, kind, vals, between, unnest(range(1, len(vals) + 1)) AS i, unnest(vals) AS value
     FROM (SELECT doc_id, line_no, line_start, kind, regexp_extract_all(line, pattern) AS vals,
         regexp_split_to_array(line, pattern) AS between FROM lines,
-      (VALUES ('office_code', '\b(?:PMW|PMA|PMS|PEO)[ -]?[0-9]{3}\b'), ('program_element', '\b[0-9]{7}[A-Z]\b'),
-        ('notice', '\b[A-Z][0-9]{5}-[0-9]{2}-[A-Z]-[0-9]{4}\b'), ('fiscal_year', '\bFY ?[0-9]{4}\b')) AS p(kind, pattern)))
+      id_pattern))
   GROUP BY doc_id, line_no, kind, value""",
-  "lines")
+  "lines", "id_pattern")
 
 
 @query(

@@ -170,6 +170,17 @@ def owner_resolution(t: Tables) -> DataFrame:
     return resolved(t, known_only=False)
 
 
+@query(
+    "resolved_owners", "resolved_all", "evidence", "live_office",
+    sql="""SELECT e.opp, e.office, e.office IN (SELECT office FROM live_office) AS is_current, count(*) AS n_claims,
+      CAST(max(confidence) AS DOUBLE) AS best_confidence, any_value(r.n_offices) AS n_offices, any_value(r.resolution) AS resolution
+      FROM evidence e JOIN resolved_all r ON r.opp = e.opp
+      WHERE kind IN ('explicit_owner','office_code','poc_context') AND NOT refutes GROUP BY e.opp, e.office""",
+)
+def resolved_owners(t: Tables) -> DataFrame:
+    return ownership.resolved_owners(derived.evidence(t), derived.org_versions(t), AS_OF)
+
+
 ROLE_SQL = ", ".join(
     f"count(DISTINCT office) FILTER (role = '{r}') AS {r}_n, CASE WHEN count(DISTINCT office) FILTER (role = '{r}') = 1 "
     f"THEN min(office) FILTER (role = '{r}') END AS {r}_office"
@@ -182,6 +193,16 @@ def role_separation(t: Tables) -> DataFrame:
     return ownership.roles(derived.role_assertions(t))
 
 
+@query(
+    "role_holders", "role_assertion",
+    sql="""SELECT opp, role, office, count(*) AS n_claims, any_value(n) AS n_holders FROM role_assertion a
+      JOIN (SELECT opp, role, count(DISTINCT office) AS n FROM role_assertion GROUP BY ALL) h USING (opp, role)
+      WHERE role IN ('owner', 'program_management', 'funding', 'technical', 'contracting', 'award') GROUP BY opp, role, office""",
+)
+def role_holders(t: Tables) -> DataFrame:
+    return ownership.role_holders(derived.role_assertions(t))
+
+
 @query(
     "candidate_owners", "candidate",
     sql="SELECT opp, office, n_decisive, CAST(best_confidence AS DOUBLE) AS best_confidence, n_evidence, kinds, rank "

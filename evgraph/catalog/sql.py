@@ -192,7 +192,8 @@ fragment("marked", """
         || ' element 0' || lpad(CAST(doc_id % 1000000 AS VARCHAR), 6, '0') || 'N notice N'
         || lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') || '-24-R-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0')
         || CASE WHEN doc_id % 7 = 2 THEN chr(12) ELSE '' END
-        || ' FY' || (1995 + doc_id % 7) || ' amount $' || (1 + doc_id % 900) || '.5 '
+        || ' FY' || (1995 + doc_id % 7) || ' under N' || lpad(CAST(doc_id % 99991 AS VARCHAR), 5, '0') || '-23-'
+        || ['C','D','F'][doc_id // 5 % 3 + 1] || '-' || lpad(CAST(doc_id % 9973 AS VARCHAR), 4, '0') || ' RDT&E amount $' || (1 + doc_id % 900) || '.5 '
         || ['K','M','B','in thousands'][doc_id % 4 + 1] ELSE text END, chr(10)),
       lambda line, i: CASE WHEN (i - 1) % 10 = 0 THEN '# ' WHEN (i - 1) % 10 = 5 THEN '## ' ELSE '' END || line
         || CASE WHEN doc_id % 7 = 2 AND (i - 1) % 4 = 3 THEN chr(12) ELSE '' END), chr(10)) AS text

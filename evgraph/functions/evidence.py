@@ -32,10 +32,9 @@ def to_confidence(col: Column) -> Column:
     return F.coalesce(number(col), F.lit(0.0))
 
 
-def is_gap(field: str, col: Column) -> Column:
-    """Whether an evidence field counts as missing. A confidence that is no number
-    scores nothing, so it is reported like an absent one."""
-    return is_missing(col) | number(col).isNull() if field == "confidence" else is_missing(col)
+def is_unparsable(col: Column) -> Column:
+    """Whether a confidence is there and no number. It scores nothing, but it is no missing field."""
+    return ~is_missing(col) & number(col).isNull()
 
 
 def has_valid_type(col: Column) -> Column:
@@ -66,6 +65,10 @@ def with_round3(df: DataFrame, value: str, name: str) -> DataFrame:
     return steps.withColumn(name, rounded).drop("_x", "_wide", "_high", "_m", "_past", "_rounded")
 
 
+def unparsable_message(src: Column, dst: Column) -> Column:
+    return F.concat(F.lit("edge confidence is no number: "), shown(src), F.lit(" -> "), shown(dst))
+
+
 def shown(col: Column) -> Column:
     """How an absent value prints inside a message."""
     return F.coalesce(col, F.lit("None"))

@@ -10,7 +10,13 @@ from pyspark.sql import Column, functions as F
 IDENTIFIER_PATTERNS = {
     "office_code": r"\b(?:PMW|PMA|PMS|PEO)[ -]?[0-9]{3}\b",
     "program_element": r"\b[0-9]{7}[A-Z]\b",
-    "notice": r"\b[A-Z][0-9]{5}-[0-9]{2}-[A-Z]-[0-9]{4}\b",
+    # instrument numbers: activity code, year, a letter for the kind of instrument, serial
+    "notice": r"\b[A-Z][0-9]{5}-[0-9]{2}-[BQR]-[0-9]{4}\b",
+    "contract": r"\b[A-Z][0-9]{5}-[0-9]{2}-[CLP]-[0-9]{4}\b",
+    "vehicle": r"\b[A-Z][0-9]{5}-[0-9]{2}-[ADG]-[0-9]{4}\b",
+    "award": r"\b[A-Z][0-9]{5}-[0-9]{2}-F-[0-9]{4}\b",
+    "activity_code": r"\b[A-Z][0-9]{5}\b",
+    "appropriation": r"\b(?:RDT&E|O&M|MILCON|OPN|APN|SCN|WPN)\b",
     "fiscal_year": r"\bFY ?[0-9]{4}\b",
 }
 # Public contact channel patterns by kind.

@@ -6,7 +6,7 @@ row and exploded, with no shuffle and no window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from evgraph.functions import text as tx
 from evgraph.operators.identity import local_id
@@ -57,28 +57,55 @@ def access_report(retrievals: DataFrame) -> DataFrame:
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path without ``.`` and ``..`` segments; ``..`` at the root stays there."""
+    steps = F.slice(F.split(path, "/", -1), F.lit(2), F.greatest(F.size(F.split(path, "/", -1)) - 1, F.lit(0)))
+
+    def walk(done: Column, step: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(step == ".", done).when(step == "..", up).otherwise(F.array_append(done, step))
+
+    kept = F.aggregate(steps, F.array().cast("array<string>"), walk)
+    kept = F.when(path.rlike(r"(^|/)\.\.?$"), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def enumerate_links(pages: DataFrame) -> DataFrame:
     """Links on fetched pages, resolved against the page and deduplicated, first inside
-    each page, then over all of them."""
+    each page, then over all of them.
+
+    A link may be quoted or bare, in either case of ``href``. Fragments go; a link that is a fragment alone is the page
+    itself and no link. Dot segments are resolved in relative links; a query alone keeps the page's path. Pages without
+    a URL give their absolute links."""
     bare = F.regexp_replace("url", "[?#].*$", "")
     root = F.regexp_extract("url", "^([A-Za-z]+://[^/?#]+)", 1)
-    path = F.substr(bare, F.length(root) + 1)
-    folder = F.coalesce(F.nullif(F.regexp_replace(path, "[^/]*$", ""), F.lit("")), F.lit("/"))
-    hrefs = F.array_distinct(F.regexp_extract_all("html", F.lit(r"""href\s*=\s*["']([^"'#]+)"""), F.lit(1)))
-    hrefs = F.filter(hrefs, lambda href: ~href.rlike("^(mailto|javascript|tel|data):"))
+    path = F.coalesce(F.nullif(F.substr(bare, F.length(root) + 1), F.lit("")), F.lit("/"))
+    space = r"[ \t\n\r\f]"
+    pattern = rf"""(?i)[ \t\n\r\f"'/]href{space}*={space}*("[^"]*"|'[^']*'|[^ \t\n\r\f"'>]+)"""
+
+    def cleaned(raw: Column) -> Column:
+        href = F.replace(F.btrim(raw, F.lit("\"' ")), F.lit("&amp;"), F.lit("&"))
+        return F.regexp_replace(href, "(?s)#.*$", "")
+
+    hrefs = F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(pattern), F.lit(1)), cleaned))
+    hrefs = F.filter(hrefs, lambda href: (href != "") & ~href.rlike("(?i)^(mailto|javascript|tel|data):"))
 
     def resolved(href):
-        link = (
+        target = F.regexp_extract(href, "^[^?]*", 0)
+        query = F.substr(href, F.length(target) + 1)
+        folder = F.regexp_replace("_path", "[^/]*$", "")
+        way = F.when(href.startswith("/"), target).otherwise(F.concat(folder, target))
+        return (
             F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
             .when(href.startswith("//"), F.concat(F.regexp_extract("url", "^([A-Za-z]+:)", 1), href))
-            .when(href.startswith("/"), F.concat("_root", href))
-            .otherwise(F.concat("_root", "_folder", F.regexp_replace(href, r"^(\./)+", "")))
+            .when(href.startswith("?"), F.concat("_root", "_path", href))
+            .otherwise(F.concat("_root", _without_dots(way), query))
         )
-        return F.replace(link, F.lit("&amp;"), F.lit("&"))
 
-    based = pages.select("page_id", "url", root.alias("_root"), folder.alias("_folder"), hrefs.alias("_hrefs"))
+    based = pages.select("page_id", "url", root.alias("_root"), path.alias("_path"), hrefs.alias("_hrefs"))
     return (
         based.select("page_id", F.explode(F.array_distinct(F.transform("_hrefs", resolved))).alias("link"))
+        .where(F.col("link").isNotNull())
         .groupBy("link")
         .agg(F.min("page_id").alias("discovered_on"), F.count(F.lit(1)).alias("n_pages"))
         .withColumn("is_document", F.col("link").rlike(r"(?i)\.(pdf|xlsx?|docx?|csv|zip)([?#]|$)"))

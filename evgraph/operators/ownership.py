@@ -50,6 +50,22 @@ def resolve(opps: DataFrame, evidence: DataFrame, versions: DataFrame, as_of) ->
     )
 
 
+def resolved_owners(evidence: DataFrame, versions: DataFrame, as_of) -> DataFrame:
+    """Every owner of every resolved opportunity as a row: opp, office, whether it has an open version, its decisive,
+    unrefuted claims, the best confidence among them, and the opportunity's resolution. Opportunities that abstain
+    have no row. ``resolve`` gives the one row per opportunity."""
+    live = current_offices(versions, as_of).select("office", F.lit(True).alias("_live"))
+    held = decisive(evidence).where(~F.col("refutes")).groupBy("opp", "office").agg(
+        F.count(F.lit(1)).alias("n_claims"), F.max("confidence").alias("best_confidence")
+    )
+    held = held.join(live, "office", "left").withColumn("is_current", F.coalesce("_live", F.lit(False))).drop("_live")
+    counts = held.groupBy("opp").agg(F.count(F.lit(1)).alias("n_offices"), F.count_if("is_current").alias("_current"))
+    return held.join(counts, "opp").select(
+        "opp", "office", "is_current", "n_claims", "best_confidence", "n_offices",
+        resolution(F.col("n_offices"), F.col("_current")).alias("resolution"),
+    )
+
+
 def resolve_views(opps: DataFrame, evidence: DataFrame, versions: DataFrame, as_of, views: dict[str, Column]) -> DataFrame:
     """``resolve`` for several views of the same evidence in one pass: one row per opportunity, with ``accused``
     (it has decisive evidence, refuted or not) and, per view, a struct of resolution, n_offices, n_current and office.
@@ -156,6 +172,16 @@ def roles(assertions: DataFrame) -> DataFrame:
     )
 
 
+def role_holders(assertions: DataFrame) -> DataFrame:
+    """Every office in every role it holds for an opportunity, with its claims to the role and how many offices hold it.
+    ``roles`` gives one row per opportunity; a role of several holders has no name there, here it has them all."""
+    held = assertions.where(F.col("role").isin(*OPPORTUNITY_ROLES)).groupBy("opp", "role", "office").agg(
+        F.count(F.lit(1)).alias("n_claims")
+    )
+    counts = held.groupBy("opp", "role").agg(F.count(F.lit(1)).alias("n_holders"))
+    return held.join(counts, ["opp", "role"])
+
+
 def rollup_assertions(assertions: DataFrame) -> DataFrame:
     """Per claim: evidence count, best and mean confidence, first and last date, review status."""
     best, n = F.max("confidence"), F.count(F.lit(1))

@@ -389,10 +389,11 @@ def marked_documents(t: Tables, *also: str) -> DataFrame:
         return F.lpad(col.cast("string"), width, "0")
 
     unit = F.element_at(F.array(*[F.lit(u) for u in ("K", "M", "B", "in thousands")]), (d % 4 + 1).cast("int"))
+    instrument = F.element_at(F.array(*[F.lit(x) for x in "CDF"]), (F.floor(d / 5) % 3 + 1).cast("int"))
     marker = F.concat(
         F.lit("\nOffice PMW-"), (100 + d % 90).cast("string"),
         F.lit(" element 0"), pad(d % 1000000, 6), F.lit("N notice N"), pad(d % 100000, 5), F.lit("-24-R-"),
-        pad(d % 10000, 4), F.when(d % 7 == 2, F.lit("\f")).otherwise(F.lit("")), F.lit(" FY"), (1995 + d % 7).cast("string"), F.lit(" amount $"),
+        pad(d % 10000, 4), F.when(d % 7 == 2, F.lit("\f")).otherwise(F.lit("")), F.lit(" FY"), (1995 + d % 7).cast("string"), F.lit(" under N"), pad(d % 99991, 5), F.lit("-23-"), instrument, F.lit("-"), pad(d % 9973, 4), F.lit(" RDT&E amount $"),
         (1 + d % 900).cast("string"), F.lit(".5 "), unit,
     )
     text = F.when(d % 5 == 0, F.concat("text", marker)).otherwise(F.col("text"))
@@ -402,6 +403,17 @@ def marked_documents(t: Tables, *also: str) -> DataFrame:
     return t.documents.select("doc_id", *also, F.array_join(headed, "\n").alias("text"))
 
 
+def link_pages(t: Tables) -> DataFrame:
+    """Pages with three more links in every third: unquoted with dot segments, a query alone with a fragment, and one
+    that climbs past the root and holds dots in its query."""
+    p = F.col("page_id")
+    more = F.concat(
+        F.lit("<a href=../d/./f"), (p % 9).cast("string"), F.lit(".pdf>u</a><A HREF = '?p="), (p % 5).cast("string"),
+        F.lit("#x'>q</A><a href=\"../../../g/../h?d=../e\">h</a>"),
+    )
+    return t.pages.select("page_id", "url", F.concat("html", F.when(p % 3 == 0, more).otherwise(F.lit(""))).alias("html"))
+
+
 def registry_raw(t: Tables) -> DataFrame:
     """A registry entry per source that has documents; no source covers the
     congressional stage."""

@@ -543,6 +543,69 @@ def test_links_resolve(spark):
     ])
 
 
+def test_links_resolve_like_the_standard_library(spark):
+    """Every way to write a link against every kind of page, compared with urllib."""
+    from urllib.parse import urldefrag, urljoin
+
+    bases = ["https://h.example", "https://h.example/", "https://h.example/a/b/c?q=/x/../y#f", "http://h.example:8080/a/b/", "https://h.example/a"]
+    refs = [
+        "g", "./g", "g/", "/g", "//o.example/g/./h", "?y", "g?y", "g?y/./x", "g?y/../x", "g#s", "..", "../", "../g", "../..", "../../g",
+        "../../../g", "../../../../g", "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", ".", "./",
+        "http://o.example/a/../b", "mailto:a@b.example", "JavaScript:void(0)", "#top", "", "a&amp;b=1", "d/./r.PDF?x=1&amp;y=2#z",
+    ]
+    wraps = ['<a href="{}">', "<a HREF = '{}'>", "<a class=x\thref={}>", "<a href={} id=y>", '<a data-href="never" href=" {} ">']
+    rows_in, want = [], {}
+    for base in bases:
+        for ref in refs:
+            for wrap in wraps:
+                if not ref and "{}>" in wrap or not ref and "{} " in wrap:
+                    continue  # a bare value cannot be empty
+                page = len(rows_in)
+                rows_in.append((page, base, wrap.format(ref)))
+                plain = urldefrag(ref.replace("&amp;", "&")).url
+                if plain and not plain.lower().startswith(("mailto:", "javascript:")):
+                    root = base + "/" if base.count("/") == 2 else base
+                    link = urljoin(root, plain)
+                    want.setdefault(link, set()).add(page)
+    rows_in += [(10_000, None, '<a href="/lost"><a href="http://o.example/kept">'), (10_001, "https://h.example/", None)]
+    want["http://o.example/kept"] = {10_000}
+    got = docs.enumerate_links(spark.createDataFrame(rows_in, "page_id long, url string, html string")).collect()
+    assert {r.link: (r.discovered_on, r.n_pages) for r in got} == {k: (min(v), len(v)) for k, v in want.items()}
+    assert {r.link for r in got if r.is_document} == {k for k in want if ".PDF" in k}
+
+
+def test_instrument_numbers_by_their_letter(spark):
+    text = "N00039-20-C-0012 N00039-21-D-0001 W15678-22-F-0003 N00024-23-R-0104 N00024-23-Z-0104 X00039 RDT&E, MILCON xOPN"
+    found = docs.extract_ids(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id")
+    assert rows(found, "kind", "value") == [
+        ("activity_code", "N00024"), ("activity_code", "N00024"), ("activity_code", "N00039"), ("activity_code", "N00039"),
+        ("activity_code", "W15678"), ("activity_code", "X00039"), ("appropriation", "MILCON"), ("appropriation", "RDT&E"),
+        ("award", "W15678-22-F-0003"), ("contract", "N00039-20-C-0012"), ("notice", "N00024-23-R-0104"),
+        ("vehicle", "N00039-21-D-0001"),
+    ]
+
+
+def test_all_owners_and_all_holders_of_a_role_are_rows(spark):
+    evidence = spark.createDataFrame([
+        (1, 10, "explicit_owner", 0.9, False), (1, 10, "office_code", 0.95, False), (1, 11, "poc_context", 0.7, False),
+        (1, 12, "semantic", 0.99, False), (2, 10, "explicit_owner", 0.8, True), (3, 13, "explicit_owner", 0.6, False),
+    ], "opp long, office long, kind string, confidence double, refutes boolean")
+    day = dt.date(1995, 1, 1)
+    versions = spark.createDataFrame(
+        [(10, 1, "a", day, None), (11, 1, "b", day, None), (13, 1, "c", day, dt.date(1998, 1, 1))],
+        "office long, version int, name string, valid_from date, valid_to date",
+    )
+    got = rows(ownership.resolved_owners(evidence, versions, AS_OF), "opp", "office", "is_current", "n_claims", "best_confidence", "n_offices", "resolution")
+    assert got == [
+        (1, 10, True, 2, 0.95, 2, "multi_program"), (1, 11, True, 1, 0.7, 2, "multi_program"), (3, 13, False, 1, 0.6, 1, "legacy_review"),
+    ]
+    roles = spark.createDataFrame(
+        [(1, "owner", 5), (1, "owner", 6), (1, "owner", 5), (1, "funding", 5), (1, "unheard", 9), (2, "owner", 7)], "opp long, role string, office long"
+    )
+    held = rows(ownership.role_holders(roles), "opp", "role", "office", "n_claims", "n_holders")
+    assert held == [(1, "funding", 5, 1, 1), (1, "owner", 5, 2, 2), (1, "owner", 6, 1, 2), (2, "owner", 7, 1, 1)]
+
+
 def test_revisions_grow_only_on_change(spark):
     at = dt.datetime(2024, 1, 1)
     texts = ["a", "a", "b", "a", "a"]
