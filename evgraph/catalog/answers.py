@@ -60,6 +60,53 @@ def opportunity_answer(t: Tables) -> DataFrame:
     return answered(t)
 
 
+@query(
+    "answer_evidence", "dated_evidence", "fact", "chunk_span", "page", "lines", "retrieval",
+    sql=""", mark AS (SELECT doc_id, min(start_char) AS start_char, arg_min(line_no, start_char) AS line_no FROM fact
+        WHERE kind = 'office_code' GROUP BY doc_id),
+      place AS (SELECT m.doc_id, p.page_no, c.chunk_no, m.line_no, l.line AS passage FROM mark m
+        JOIN lines l ON l.doc_id = m.doc_id AND l.line_no = m.line_no
+        JOIN chunk_span c ON c.doc_id = m.doc_id AND m.start_char >= c.start_char AND m.start_char < c.end_char
+        JOIN page p ON p.doc_id = m.doc_id AND m.start_char >= p.start_char AND m.start_char < p.end_char)
+      SELECT opp, office, kind, e.doc_id, CASE WHEN refutes THEN 'refutes' ELSE 'supports' END AS stance,
+        CAST(max(confidence) AS DOUBLE) AS confidence, any_value(page_no) AS page_no, any_value(chunk_no) AS chunk_no,
+        any_value(line_no) AS line_no, any_value(passage) AS passage
+      FROM dated_evidence e LEFT JOIN place USING (doc_id)
+      WHERE (refutes OR kind IN ('explicit_owner','office_code','poc_context'))
+        AND e.doc_id IN (SELECT doc_id FROM retrieval WHERE status = 'retrieved')
+      GROUP BY opp, office, kind, e.doc_id, refutes""",
+)
+def answer_evidence(t: Tables) -> DataFrame:
+    marked = derived.marked_documents(t)
+    marks = docs.facts(marked, with_line=True).where("kind = 'office_code'")
+    return answers.answer_evidence(
+        derived.evidence(t), derived.retrievals(t), marks, docs.chunk(marked), docs.pages(marked), AS_OF
+    )
+
+
+@query(
+    "office_details", "predicted", "champion", "budget_long", "budget_year", "need", "contact_rank",
+    sql="""SELECT office, 'prediction' AS part, CAST(program AS VARCHAR) AS item, method AS detail,
+        strftime(window_start, '%Y-%m-%d') AS starts, strftime(window_end, '%Y-%m-%d') AS ends FROM predicted
+      UNION ALL SELECT office, 'champion', CAST(person AS VARCHAR), supporting, last_signal, NULL FROM champion
+      UNION ALL SELECT n.office, 'action', CAST(program AS VARCHAR), CASE WHEN need_class IN ('funded','forecast')
+          THEN 'discuss ' ELSE 'explore ' END || program || ' with ' || raw_title, last_seen, NULL
+        FROM need n JOIN contact_rank c ON c.office = n.office AND c.rank = 1 WHERE n.rank <= 5
+      UNION ALL SELECT office, 'budget', item, CASE WHEN pr = 0 THEN 'new_start' WHEN cu = 0 THEN 'termination'
+          WHEN cu > pr THEN 'growth' ELSE 'cut' END, y || '-01-01', NULL
+        FROM (SELECT office, concat_ws('/', appropriation, element, project) AS item, y,
+            coalesce(sum(amount) FILTER (fiscal_year = y - 1), 0) AS pr, coalesce(sum(amount) FILTER (fiscal_year = y), 0) AS cu
+          FROM budget_long, budget_year WHERE y <= 1999 GROUP BY ALL)
+        WHERE (pr = 0 AND cu > 0) OR (pr > 0 AND (cu * 10 > pr * 11 OR cu * 10 < pr * 9))""",
+)
+def office_details(t: Tables) -> DataFrame:
+    years = derived.fiscal_years(t)
+    return answers.office_details(
+        derived.procurements(t), forecast.budget_long(derived.budget_wide(t, years), years), derived.contact_observations(t),
+        CUTOFF, SEEN_AS_OF, years,
+    )
+
+
 @query(
     "office_answer", "known_procurement", "budget_long", "budget_year", "need", "predicted", "champion", "contact_rank",
     sql=f"""SELECT s_suppkey AS office, coalesce(h.n_events, 0) AS n_events, CAST(h.total_value AS DOUBLE) AS total_value,

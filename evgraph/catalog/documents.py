@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from evgraph.catalog.base import query
 from evgraph.catalog.sql import fragment
-from evgraph.operators import documents as docs, lineage
+from evgraph.operators import documents as docs, lineage, temporal
 from evgraph.operators.identity import local_id
 from evgraph.schema import SOURCE_STAGES
 from evgraph.session import scratch_path, written
@@ -15,6 +15,7 @@ from evgraph.sources.graph_json import export_jsonl
 from evgraph.sources.tables import Tables
 
 FAMILIES = ["budget", "forecasts", "notices", "awards", "directory", "doctrine"]
+CHECKED_ON = "2024-03-20"
 SEARCH_TERMS = ["notice", "office", "amount", "the", "worthless"]
 
 
@@ -26,6 +27,21 @@ def source_registry(t: Tables) -> DataFrame:
     return docs.source_registry(derived.registry_raw(t))
 
 
+@query(
+    "source_staleness", "retrieval",
+    sql=f"""SELECT source, cadence_days, strftime(last_at, '%Y-%m-%d') AS last_retrieved_on, n_documents, n_retrieved,
+      DATE '{CHECKED_ON}' - last_at AS age_days,
+      CASE WHEN last_at IS NULL THEN 'undated' WHEN DATE '{CHECKED_ON}' - last_at <= cadence_days THEN 'fresh' ELSE 'stale' END AS freshness
+      FROM (SELECT d.source, 30 * (1 + any_value(CAST(substr(d.source, 4) AS INTEGER)) % 4) AS cadence_days,
+          max(CAST(r.retrieved_at AS DATE)) FILTER (r.status = 'retrieved') AS last_at, count(*) AS n_documents,
+          count(*) FILTER (r.status = 'retrieved') AS n_retrieved
+        FROM documents d JOIN retrieval r ON r.doc_id = d.doc_id GROUP BY d.source)""",
+)
+def source_staleness(t: Tables) -> DataFrame:
+    retrievals = derived.retrievals(t, "source")
+    return temporal.source_staleness(derived.registry_raw(t), retrievals, CHECKED_ON)
+
+
 FAMILY_SQL = ", ".join(f"count(DISTINCT source_id) FILTER (family = '{f}') AS {f}" for f in FAMILIES)
 
 
@@ -43,7 +59,7 @@ def source_stage_coverage(t: Tables) -> DataFrame:
 
 @query(
     "document_manifest", "retrieval",
-    sql="""SELECT url, doc_id, discovered_on, display_name, mime, size_bytes, sha256, status,
+    sql="""SELECT url, final_url, doc_id, discovered_on, strftime(published_on, '%Y-%m-%d') AS published_on, display_name, mime, size_bytes, sha256, status,
       strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_retrieved_at,
       strftime(retrieved_at, '%Y-%m-%d %H:%M:%S') AS retrieved_at, n_retrievals
       FROM (SELECT *, regexp_extract(url, '([^/]+)/?$', 1) AS display_name, strlen(text) AS size_bytes,

@@ -179,7 +179,9 @@ fragment("budget_year", """
 
 fragment("retrieval", """
   SELECT doc_id, 'https://' || source || '.example.invalid/' || (doc_id % 7) AS url,
+    'https://' || source || '.example.invalid/' || CASE WHEN doc_id % 13 = 4 THEN 'archive/' ELSE '' END || (doc_id % 7) AS final_url,
     'https://' || source || '.example.invalid/' AS discovered_on,
+    CASE WHEN doc_id % 9 <> 4 THEN DATE '2023-01-01' + CAST(doc_id % 300 AS INTEGER) END AS published_on,
     TIMESTAMP '2024-01-01' + to_hours(doc_id) AS retrieved_at,
     CASE WHEN doc_id % 11 <= 5 THEN 'retrieved' WHEN doc_id % 11 = 6 THEN 'authenticated'
       WHEN doc_id % 11 = 7 THEN 'expired' WHEN doc_id % 11 = 8 THEN 'missing' WHEN doc_id % 11 = 9 THEN 'blocked'

@@ -17,15 +17,17 @@ EXTRACTION_VERSION = "v1"
 
 
 def build_manifest(retrievals: DataFrame) -> DataFrame:
-    """The latest retrieval per URL. Size and hash are taken before the shuffle, so the
-    text itself never moves."""
+    """The latest retrieval per URL, with the address it ended at and its publication date (null where unknown). Size
+    and hash are taken before the shuffle, so the text itself never moves."""
     light = retrievals.select(
-        "url", "doc_id", "discovered_on", "retrieved_at", "status", "mime",
+        "url", "final_url", "doc_id", "discovered_on", "published_on", "retrieved_at", "status", "mime",
         F.regexp_extract("url", "([^/]+)/?$", 1).alias("display_name"),
         F.octet_length("text").alias("size_bytes"), F.sha2("text", 256).alias("sha256"),
     )
     newest = F.struct("retrieved_at", "doc_id")
-    kept = F.struct("doc_id", "discovered_on", "display_name", "mime", "size_bytes", "sha256", "status")
+    kept = F.struct(
+        "final_url", "doc_id", "discovered_on", "published_on", "display_name", "mime", "size_bytes", "sha256", "status"
+    )
     return light.groupBy("url").agg(
         F.max_by(kept, newest).alias("_latest"),
         F.min("retrieved_at").alias("first_retrieved_at"),
@@ -266,19 +268,20 @@ def money(texts: DataFrame, *place: str) -> DataFrame:
     )
 
 
-def facts(documents: DataFrame) -> DataFrame:
-    """Identifiers found in each line, each once, with a deterministic fact id and the characters it spans."""
+def facts(documents: DataFrame, with_line: bool = False) -> DataFrame:
+    """Identifiers found in each line, each once, with a deterministic fact id and the characters it spans;
+    ``with_line`` adds the line itself."""
     def started(all_lines):
         return tx.let(F.transform(all_lines, lambda line: F.length(line) + 1), lambda sizes: tx.with_prefix_sums(
             sizes, lambda before: F.transform(all_lines, lambda line, i: F.struct(i.alias("line_no"), before(i).alias("start"), line.alias("text")))
         ))
 
     by_line = documents.select("doc_id", F.inline(tx.let(tx.lines(F.col("text")), started)))
-    hits = by_line.select("doc_id", "line_no", "start", F.inline(tx.found_at(F.col("text"), tx.IDENTIFIER_PATTERNS)))
+    hits = by_line.select("doc_id", "line_no", "start", F.col("text").alias("line"), F.inline(tx.found_at(F.col("text"), tx.IDENTIFIER_PATTERNS)))
     start = F.col("start") + F.col("at")
     return hits.select(
         local_id("fact", "doc_id", "line_no", "kind", "value").alias("fact_id"), "doc_id", "line_no", "kind", "value",
-        start.alias("start_char"), (start + F.length("value")).alias("end_char"),
+        start.alias("start_char"), (start + F.length("value")).alias("end_char"), *(["line"] if with_line else []),
     )
 
 

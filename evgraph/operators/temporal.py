@@ -88,3 +88,17 @@ def staleness(df: DataFrame, observed: Column, as_of, sla_days: Column | int = 1
     age = F.date_diff(F.lit(as_of).cast("date"), seen)
     status = F.when(age.isNull(), "undated").when(age <= limit, "fresh").otherwise("stale")
     return df.withColumn("age_days", age).withColumn("freshness", status)
+
+
+def source_staleness(registry: DataFrame, retrievals: DataFrame, as_of) -> DataFrame:
+    """Each source against its own cadence: days since its last successful retrieval, fresh while no more than
+    ``cadence_days`` have passed, undated where nothing was ever retrieved. ``registry``: source_id, cadence_days;
+    ``retrievals``: source, status, retrieved_at. Retrievals of a source combine in each task before the shuffle."""
+    got = F.col("status") == "retrieved"
+    seen = retrievals.groupBy("source").agg(
+        F.max(F.when(got, F.to_date("retrieved_at"))).alias("last_retrieved_on"),
+        F.count(F.lit(1)).alias("n_documents"), F.count_if(got).alias("n_retrieved"),
+    )
+    cadence = registry.select(F.col("source_id").alias("source"), "cadence_days").distinct()
+    rated = cadence.join(seen, "source", "left").fillna(0, ["n_documents", "n_retrieved"])
+    return staleness(rated, F.col("last_retrieved_on"), as_of, F.col("cadence_days"))

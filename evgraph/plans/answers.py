@@ -78,6 +78,55 @@ def answer_opportunity(
     )
 
 
+def answer_evidence(evidence: DataFrame, manifest: DataFrame, marks: DataFrame, chunks: DataFrame, pages: DataFrame, as_of) -> DataFrame:
+    """What an answer rests on, a row per opportunity, office, kind, document and stance: decisive claims that support an
+    office, and every claim that refutes one, with the page, chunk and line of the document that names an office.
+
+    Only evidence available at ``as_of`` counts and only retrieved documents are cited. ``marks`` (``documents.facts``
+    with lines, of the kind looked for) give each document's first one; documents without one keep null places."""
+    known = asof(evidence, "available_at", as_of)
+    held = known.where(F.col("refutes") | F.col("kind").isin(*ownership.DECISIVE_KINDS))
+    stance = F.when(F.col("refutes"), "refutes").otherwise("supports").alias("stance")
+    claims = held.groupBy("opp", "office", "kind", "doc_id", stance).agg(F.max("confidence").alias("confidence"))
+    first = F.min_by(F.struct("fact_id", "line_no", "start_char", "line"), "start_char").alias("_first")
+    firsts = written(marks.groupBy("doc_id").agg(first).select("doc_id", "_first.*"), "marks")
+    traced = lineage.trace(firsts.select(F.col("fact_id").alias("assertion_id"), "fact_id"), firsts, chunks, pages)
+    places = firsts.join(traced.select("fact_id", "page_no", "chunk_no"), "fact_id").select(
+        "doc_id", "page_no", "chunk_no", "line_no", F.col("line").alias("passage")
+    )
+    return lineage.guard(claims, manifest).join(places, "doc_id", "left")
+
+
+def office_details(
+    events: DataFrame, budget: DataFrame, observations: DataFrame, cutoff, as_of, years, n_needs: int = 5
+) -> DataFrame:
+    """What ``answer_office`` counts, as rows: office, part, item, detail, starts, ends. Parts: every prediction with its
+    window and pathway, every budget line that grew, began, shrank or ended, every champion with the signals that speak
+    for the person, and every action of the engagement plan."""
+    events = written(events, "procurements")
+    none = F.lit(None).cast("date")
+
+    def rows(df: DataFrame, part: str, item, detail, starts, ends=none) -> DataFrame:
+        return df.select(
+            "office", F.lit(part).alias("part"), item.cast("string").alias("item"), detail.alias("detail"),
+            starts.cast("date").alias("starts"), ends.cast("date").alias("ends"),
+        )
+
+    predicted = forecast.predicted_notices(events, cutoff)
+    last_year = F.year(F.lit(cutoff).cast("date")) - 1
+    change = forecast.budget_change(budget, years[0], years[-1]).where(F.col("fiscal_year") <= last_year)
+    change = change.where(~F.col("change").isin("none", "steady"))
+    backers = people.champions(observations, as_of)
+    ranked = forecast.rank_needs(forecast.need_signals(events, cutoff), n_needs)
+    plan = forecast.engagement_plan(ranked, people.rank_contacts(people.categorise(observations), 1))
+    return (
+        rows(predicted, "prediction", F.col("program"), F.col("method"), F.col("window_start"), F.col("window_end"))
+        .unionByName(rows(change, "budget", F.concat_ws("/", "appropriation", "element", "project"), F.col("change"), F.make_date("fiscal_year", F.lit(1), F.lit(1))))
+        .unionByName(rows(backers, "champion", F.col("person"), F.array_join("supporting", ","), F.col("last_signal")))
+        .unionByName(rows(plan, "action", F.col("program"), F.col("action"), F.col("last_seen")))
+    )
+
+
 def answer_office(
     offices: DataFrame, events: DataFrame, budget: DataFrame, observations: DataFrame, cutoff, as_of, years,
     n_needs: int = 5, n_champions: int = 3,

@@ -341,7 +341,7 @@ def budget_wide(t: Tables, years: Sequence[int]) -> DataFrame:
     )
 
 
-def retrievals(t: Tables) -> DataFrame:
+def retrievals(t: Tables, *also: str) -> DataFrame:
     d = F.col("doc_id")
     host = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.invalid/"))
     status = (
@@ -351,7 +351,10 @@ def retrievals(t: Tables) -> DataFrame:
     return t.documents.select(
         d.alias("doc_id"),
         F.concat(host, (d % 7).cast("string")).alias("url"),
+        F.when(d % 13 == 4, F.concat(host, F.lit("archive/"), (d % 7).cast("string")))
+        .otherwise(F.concat(host, (d % 7).cast("string"))).alias("final_url"),
         host.alias("discovered_on"),
+        F.when(d % 9 != 4, F.date_add(F.lit("2023-01-01").cast("date"), (d % 300).cast("int"))).alias("published_on"),
         F.expr(
             "timestamp_ntz'2024-01-01 00:00:00'"
             " + make_dt_interval(cast(doc_id div 24 as int), cast(doc_id % 24 as int), 0, 0)"
@@ -359,6 +362,7 @@ def retrievals(t: Tables) -> DataFrame:
         status.alias("status"),
         F.lit("text/plain").alias("mime"),
         "text",
+        *also,
     )
 
 

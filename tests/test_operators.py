@@ -606,6 +606,45 @@ def test_all_owners_and_all_holders_of_a_role_are_rows(spark):
     assert held == [(1, "funding", 5, 1, 1), (1, "owner", 5, 2, 2), (1, "owner", 6, 1, 2), (2, "owner", 7, 1, 1)]
 
 
+def test_answer_evidence_cites_pages_and_keeps_what_refutes(spark):
+    from evgraph.plans import answers
+
+    day = dt.date(2000, 1, 1)
+    evidence = spark.createDataFrame([
+        (1, 10, "explicit_owner", 0.9, day, False, 100), (1, 10, "explicit_owner", 0.7, day, False, 100),
+        (1, 11, "office_code", 0.8, day, False, 101), (1, 12, "semantic", 0.8, day, False, 100),  # weak kinds support nothing
+        (1, 12, "semantic", 0.6, day, True, 100),  # but they may refute
+        (1, 10, "poc_context", 0.9, dt.date(2009, 1, 1), False, 100),  # not known yet
+        (2, 10, "poc_context", 0.9, day, False, 102),  # document never retrieved
+        (3, 10, "poc_context", 0.5, day, False, 103),
+    ], "opp long, office long, kind string, confidence double, available_at date, refutes boolean, doc_id long")
+    manifest = spark.createDataFrame([(100, "retrieved"), (101, "retrieved"), (102, "blocked"), (103, "retrieved")], "doc_id long, status string")
+    texts = spark.createDataFrame([
+        (100, "front\fNeeds of\nPMW 150 and PMW 160\nend"), (101, "nothing"), (102, "PMW 101"), (103, "a b c\nOffice PEO 222"),
+    ], "doc_id long, text string")
+    marks = docs.facts(texts, with_line=True).where("kind = 'office_code'")
+    got = answers.answer_evidence(evidence, manifest, marks, docs.chunk(texts, 3), docs.pages(texts), AS_OF)
+    keys = ("opp", "office", "kind", "doc_id", "stance", "confidence", "page_no", "chunk_no", "line_no", "passage")
+    assert sorted((tuple(r[c] for c in keys) for r in got.collect()), key=str) == [
+        (1, 10, "explicit_owner", 100, "supports", 0.9, 2, 1, 1, "PMW 150 and PMW 160"),
+        (1, 11, "office_code", 101, "supports", 0.8, None, None, None, None),
+        (1, 12, "semantic", 100, "refutes", 0.6, 2, 1, 1, "PMW 150 and PMW 160"),
+        (3, 10, "poc_context", 103, "supports", 0.5, 1, 1, 1, "Office PEO 222"),
+    ]
+
+
+def test_each_source_is_held_to_its_own_cadence(spark):
+    at = dt.datetime(2024, 3, 1, 12)
+    seen = spark.createDataFrame([
+        ("a", "retrieved", at), ("a", "blocked", at + dt.timedelta(days=9)), ("b", "retrieved", at), ("c", "missing", at), (None, "retrieved", at),
+    ], "source string, status string, retrieved_at timestamp_ntz")
+    registry = spark.createDataFrame([("a", 30, "x"), ("a", 30, "y"), ("b", 10, "x"), ("c", 30, "x"), ("d", 30, "x")], "source_id string, cadence_days int, stage string")
+    got = temporal.source_staleness(registry, seen, "2024-03-15").fillna(-1, "age_days")
+    assert rows(got, "source", "n_documents", "n_retrieved", "age_days", "freshness") == [
+        ("a", 2, 1, 14, "fresh"), ("b", 1, 1, 14, "stale"), ("c", 1, 0, -1, "undated"), ("d", 0, 0, -1, "undated"),
+    ]
+
+
 def test_revisions_grow_only_on_change(spark):
     at = dt.datetime(2024, 1, 1)
     texts = ["a", "a", "b", "a", "a"]
