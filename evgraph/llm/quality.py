@@ -1,6 +1,8 @@
 """Quality rules: counts of a text, and the perplexity of an n-gram model of its language.
 
-The model reads UTF-16 code units, A-Z lower-cased, four at a time: four units are one exact 64-bit
+The model reads UTF-16 code units, A-Z lower-cased, four at a time, without white space and with runs of one unit read
+once: a run of symbols is likely after its first, and a symbol between spaces is likely where others are, so that both
+would pull the mean of a text back to that of prose. Four units are one exact 64-bit
 number, and the set of n-grams grows with the corpus. Languages share 16 models by a hash of their
 name. Spark counts the n-grams of all texts and applies modified Kneser-Ney smoothing by
 aggregates and joins; the entries are kept in arrays sorted by hash. Up to ``MOST_ENTRIES`` of
@@ -9,10 +11,8 @@ n-grams of each text, with equal results. ``perplexity`` counts every row's n-gr
 reads a second value, of a model that counts each distinct text once. Both models share all orders but
 the longest, whose counts alone depend on copies. A language's band lies around the quartiles of the
 second value over its distinct texts, and documents outside it are rejected, copies with the rest.
-So are documents whose share of symbols in the characters of their words lies above such a band: symbols between
-words leave the n-grams of a text as likely as prose.
 
-Edge cases: a null or empty text has no words, so it fails the base rules, and its
+Edge cases: a null or empty text, or one of white space, has no words, so it fails the base rules, and its
 perplexity is null; null languages are one language; repeated rows count as often as they occur in
 ``perplexity`` and once in the verdict; a language with one document keeps it; the empty table gives the empty table; further
 columns are left out.
@@ -31,15 +31,22 @@ from evgraph.session import written
 UNIT_BITS, ORDER, SLOTS = 16, 4, 16
 MOST_ENTRIES = 4_000_000  # of 12 bytes each
 SYMBOLS = "#*$%&|<>"
+SPACES = np.array([9, 10, 11, 12, 13, 32], np.uint16)
 UNIFORM = -float(np.log(1 << UNIT_BITS))
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each code unit, and the rows' offsets in units; 0 stands before a text."""
+    """The n-gram that ends at each code unit that is read, and the rows' offsets in these units; 0 stands before a text.
+    White space is not read, nor a unit equal to the one just before it."""
     units = np.frombuffer(lowered(data).tobytes().decode("utf-8", "replace").encode("utf-16-le"), np.uint16)
     begins = np.concatenate([[0], np.cumsum(((data & 0xC0) != 0x80).astype(np.int64) + (data >= 0xF0))])
     bounds = begins[offsets]
-    unit = units.astype(np.uint64)
+    read = ~np.isin(units, SPACES)
+    same = np.concatenate([np.zeros(min(1, len(units)), bool), units[1:] == units[:-1]])
+    same[bounds[:-1][bounds[:-1] < len(units)]] = False  # the first of a row
+    read &= ~same
+    bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum(read)])[bounds]
+    unit = units[read].astype(np.uint64)
     place = np.arange(len(unit)) - np.repeat(bounds[:-1], np.diff(bounds))
     gram = unit.copy()
     for back in range(1, ORDER):
@@ -358,32 +365,23 @@ def scores(docs: DataFrame, keep: tuple[str, ...], most_entries: int = MOST_ENTR
     return rows.join(joined_perplexities(docs, entries), list(names), "left")
 
 
-def symbol_share() -> Column:
-    return F.when(F.col("word_chars") > 0, F.col("n_symbols") / F.col("word_chars"))
-
-
 def bands(scored: DataFrame, width: float, least: float) -> DataFrame:
-    """(_lang, low, high, most_symbols): ``width`` quartile distances, ``least`` at least, around the quartiles of the
-    log perplexities, and above those of the symbol shares, of a language's distinct texts that pass the base rules."""
+    """(_lang, low, high): ``width`` quartile distances, ``least`` at least, around the quartiles of the log perplexities
+    of a language's distinct texts that pass the base rules."""
     texts = scored.where("not base_failed").groupBy("lang", "_key0", "_key1")
-    texts = texts.agg(F.max("log_once").alias("log_once"), F.max(symbol_share()).alias("symbols"))
-    quartiles = [F.percentile_approx(c, [0.25, 0.75], 10_000).alias(q) for c, q in (("log_once", "q"), ("symbols", "s"))]
-    found = texts.groupBy(F.col("lang").alias("_lang")).agg(*quartiles)
-
-    def slack(q: str) -> Column:
-        return F.greatest((F.col(q)[1] - F.col(q)[0]) * width, F.lit(least))
-
-    ends = {"low": F.col("q")[0] - slack("q"), "high": F.col("q")[1] + slack("q"), "most_symbols": F.col("s")[1] + slack("s")}
-    return written(found.select("_lang", *[end.alias(name) for name, end in ends.items()]), "bands")
+    texts = texts.agg(F.max("log_once").alias("log_once"))
+    found = texts.groupBy(F.col("lang").alias("_lang")).agg(F.percentile_approx("log_once", [0.25, 0.75], 10_000).alias("q"))
+    slack = F.greatest((F.col("q")[1] - F.col("q")[0]) * width, F.lit(least))
+    return written(found.select("_lang", (F.col("q")[0] - slack).alias("low"), (F.col("q")[1] + slack).alias("high")), "bands")
 
 
-def judge(docs: DataFrame, width: float = 3.0, least: float = 0.05, most_entries: int = MOST_ENTRIES) -> DataFrame:
+def judge(docs: DataFrame, width: float = 2.0, least: float = 0.05, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     scored = scores(docs, ("doc_id", "lang"), most_entries).withColumn("base_failed", failed)
     scored = written(scored, "scored")
     lines = bands(scored, width, least)
-    inside = F.col("log_once").between(F.col("low"), F.col("high")) & (symbol_share() <= F.col("most_symbols"))
+    inside = F.col("log_once").between(F.col("low"), F.col("high"))
     return scored.join(lines, F.col("lang").eqNullSafe(F.col("_lang")), "left").select(
         "doc_id", *COUNTS, "base_failed", F.coalesce(~F.col("base_failed") & inside, F.lit(False)).alias("kept"),
         F.exp("log_perplexity").alias("perplexity"),

@@ -30,7 +30,9 @@ def base(text):
 
 def units(text):
     raw = text.translate(LOWER).encode("utf-16-le")
-    return [0] * (quality.ORDER - 1) + [raw[i] + 256 * raw[i + 1] for i in range(0, len(raw), 2)]
+    every = [raw[i] + 256 * raw[i + 1] for i in range(0, len(raw), 2)]
+    read = [u for i, u in enumerate(every) if u not in (9, 10, 11, 12, 13, 32) and (i == 0 or u != every[i - 1])]
+    return [0] * (quality.ORDER - 1) + read
 
 
 def kneser_ney(texts):
@@ -72,11 +74,13 @@ def log_perplexity(p, text):
     return -sum(logs) / len(logs)
 
 
-def test_labelled_bad_documents_are_rejected(spark, folder):
+def test_labelled_bad_documents_are_rejected(spark):
+    """By perplexity alone, on a table with enough documents a language for quartiles."""
+    folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = quality.judge(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id").where("not base_failed").collect()
     good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
-    assert bad and sum(bad) <= 0.1 * len(bad)
+    assert len(bad) > 200 and sum(bad) <= 0.1 * len(bad)
     assert sum(good) >= 0.95 * len(good)
 
 
@@ -96,9 +100,9 @@ def test_counts_and_perplexity(given, texts, most_entries):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == counts, i
         assert r.base_failed == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
         assert not (r.base_failed and r.kept)
-        if text and len(text) < 3000:
+        if text.strip() and len(text) < 3000:
             assert math.log(r.perplexity) == pytest.approx(log_perplexity(p, text), rel=1e-5), i
-        elif not text:
+        elif not text.strip():
             assert r.perplexity is None
 
 
@@ -107,6 +111,7 @@ def test_unseen_grams_back_off_alike(spark, given, texts):
     p = kneser_ney([t or "" for t in texts])
     some = ["qzqz never seen", "a\U0001F600b", "abc", "日本x"]
     seen = {tuple(units(s)[i : i + 4]) for s in some for i in range(len(units(s)) - 3)}
+    assert len(seen) > 10
     signed = {g: sum(u << (16 * (3 - j)) for j, u in enumerate(g)) for g in seen}
     signed = {g: n - (1 << 64) if n >> 63 else n for g, n in signed.items()}
     slot = given.select(quality.slot_of(F.col("lang"))).first()[0]
