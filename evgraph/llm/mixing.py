@@ -9,7 +9,7 @@ the result depends on nothing but the rows, so reruns agree.
 Edge cases: null texts have size 0; the null source is a source, last in order; rows that share
 id and text share a hash and are taken or left together; sources without a word have target 0;
 the empty table gives the empty table; further columns are left out of ``mix`` and kept by
-``resample``, in which a row's number of repeats is ``taken`` over ``size``.
+``resample``, whatever their names, in which a row's number of repeats is ``taken`` over ``size``.
 """
 
 from __future__ import annotations
@@ -112,11 +112,13 @@ def mix(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def resample(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of the mix with their own columns: each as often as it is taken. Rows
     without a word carry no weight and stay once."""
-    lines = plan(measured(docs, key)).select("_source", F.col("whole").alias("_whole"), F.col("threshold").alias("_threshold"))
-    times = F.col("_whole") + F.when(hashed(key) < F.col("_threshold"), 1).otherwise(0)
+    name = "_" * (1 + max(map(len, docs.columns))) + "mix"  # longer than any given
+    lines = plan(measured(docs, key)).select(F.struct("_source", "whole", "threshold").alias(name))
+    times = F.col(f"{name}.whole") + F.when(hashed(key) < F.col(f"{name}.threshold"), 1).otherwise(0)
     times = F.when(words(F.col("text")) == 0, 1).otherwise(times).cast("int")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     return (
-        docs.join(lines, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        docs.join(lines, F.col("source").eqNullSafe(F.col(f"{name}._source")))
+        .select(*columns, F.explode(F.array_repeat(F.lit(0), times)).alias(name))
+        .select(*columns)
     )
