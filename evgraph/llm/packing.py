@@ -27,25 +27,44 @@ from evgraph.llm.token_counts import tokenizer
 from evgraph.session import written
 
 CLOSING = 1
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
+MARK, JOINED = b"\x01", 256
 _ids: dict[str, dict[bytes, bytes]] = {}
 
 
 class WordIds:
-    """Ids of texts by a vocabulary that drops white space: every word is encoded once. At
-    most ``WORDS_KEPT`` words are remembered."""
+    """Ids of texts by a byte-level vocabulary that drops white space: every word is encoded once, ``JOINED`` new words
+    as one text with a mark between them. The mark is a control character, whose id is that of its byte and so occurs
+    in no other word; words that hold it are encoded by themselves. At most ``WORDS_KEPT`` words are remembered."""
 
     def __init__(self, path: str):
         self.path, self.known = path, _ids.setdefault(path, {})
 
+    def learn(self, new: list[bytes]) -> None:
+        encode = tokenizer(self.path).encode_batch_fast
+        plain = [w for w in new if MARK not in w]
+        lines = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        mark, *alone = encode([MARK.decode(), *(w.decode() for w in new if MARK in w)], add_special_tokens=False)
+        if len(mark.ids) != 1:
+            raise ValueError("the vocabulary has no id for a single byte")
+        self.known.update(zip((w for w in new if MARK in w), (np.array(e.ids, "<u4").tobytes() for e in alone)))
+        between = b" " + MARK + b" "
+        for line, found in zip(lines, encode([between.join(line).decode() for line in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(ids == mark.ids[0])
+            starts = np.concatenate([[0], ends + 1]) * 4
+            raw = ids.tobytes()
+            ends = [*(ends * 4).tolist(), len(raw)]
+            self.known.update(zip(line, (raw[a:b] for a, b in zip(starts.tolist(), ends))))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [t.encode().split() if t else [] for t in texts]
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-        new = list({w for line in words for w in line}.difference(self.known))
-        found = tokenizer(self.path).encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        new = list(set().union(*words).difference(self.known))
+        if new:
+            self.learn(new)
         return [b"".join(map(self.known.__getitem__, line)) for line in words]
 
 
