@@ -2,10 +2,12 @@
 
 import collections
 import hashlib
+import random
 import re
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +94,24 @@ def best_fit_decreasing(lengths, size):
     return len(gaps)
 
 
+def test_words_by_themselves_are_the_whole_text():
+    """Ids of words encoded many at a time, with a mark between them, against those of each whole text."""
+    rng = random.Random(3)
+    parts = [
+        "a", "B", "'s", "'", "\x01", "\u0301", " ", "\u00a0", "\u00e9", "\u1112\u1161", "\u11ab", "1", "\u00b2", "*", "<|endoftext|>", "</s>",
+        "\n", "\t", "\x0b", "\x1c", "\x85", "\u65e5", "\U0001f642", "\x00", "\u200d", "\u3000", "[UNK]", "\u03a3", "\u0130",
+    ]
+    path = token_counts.vocabulary("word_bpe_49k.json")
+    whole, words = token_counts.tokenizer(path), packing.WordIds(path)
+    for _ in range(150):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(5)]
+        words.known.clear()
+        for text, ids in zip(texts, words.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert words.encode([None, ""]) == [b"", b""]
+
+
+
 def test_packing_round_trip(odd, empty):
     path, size = token_counts.vocabulary("word_bpe_49k.json"), 256
     encode = token_counts.tokenizer(path).encode
