@@ -78,7 +78,7 @@ def opportunity_answer(t: Tables) -> DataFrame:
 )
 def answer_evidence(t: Tables) -> DataFrame:
     marked = derived.marked_documents(t)
-    marks = docs.facts(marked, with_line=True).where("kind = 'office_code'")
+    marks = docs.facts(marked, with_line=True, kinds=["office_code"])
     return answers.answer_evidence(
         derived.evidence(t), derived.retrievals(t), marks, docs.chunk(marked), docs.pages(marked), AS_OF
     )

@@ -6,6 +6,8 @@ row and exploded, with no shuffle and no window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evgraph.functions import text as tx
@@ -268,16 +270,18 @@ def money(texts: DataFrame, *place: str) -> DataFrame:
     )
 
 
-def facts(documents: DataFrame, with_line: bool = False) -> DataFrame:
+def facts(documents: DataFrame, with_line: bool = False, kinds: Sequence[str] | None = None) -> DataFrame:
     """Identifiers found in each line, each once, with a deterministic fact id and the characters it spans;
-    ``with_line`` adds the line itself."""
+    ``with_line`` adds the line itself, ``kinds`` looks for some kinds only."""
+    patterns = {kind: tx.IDENTIFIER_PATTERNS[kind] for kind in kinds or tx.IDENTIFIER_PATTERNS}
+
     def started(all_lines):
         return tx.let(F.transform(all_lines, lambda line: F.length(line) + 1), lambda sizes: tx.with_prefix_sums(
             sizes, lambda before: F.transform(all_lines, lambda line, i: F.struct(i.alias("line_no"), before(i).alias("start"), line.alias("text")))
         ))
 
     by_line = documents.select("doc_id", F.inline(tx.let(tx.lines(F.col("text")), started)))
-    hits = by_line.select("doc_id", "line_no", "start", F.col("text").alias("line"), F.inline(tx.found_at(F.col("text"), tx.IDENTIFIER_PATTERNS)))
+    hits = by_line.select("doc_id", "line_no", "start", F.col("text").alias("line"), F.inline(tx.found_at(F.col("text"), patterns)))
     start = F.col("start") + F.col("at")
     return hits.select(
         local_id("fact", "doc_id", "line_no", "kind", "value").alias("fact_id"), "doc_id", "line_no", "kind", "value",
