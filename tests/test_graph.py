@@ -291,3 +291,36 @@ def test_documents_that_are_no_json_fail(spark, tmp_path, text):
     (tmp_path / "bad.json").write_text(text)
     with pytest.raises(Exception):
         split_json.read_split(spark, str(tmp_path))[0].collect()
+
+
+def test_packed_lines_lie_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph_json, "LINES_PER_FILE", 10)
+    lines = spark.range(25).coalesce(1).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("value"))
+    graph_json.write_lines(lines, str(tmp_path / "out"), "gzip")
+    files = sorted(f.name for f in (tmp_path / "out").iterdir() if f.name.startswith("part-"))
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == sorted(f"line {i}" for i in range(25))
+
+
+def test_queries_read_packed_documents_and_a_report_packs_its_lines(spark, tables, tmp_path):
+    from evgraph.catalog.graph import write_documents
+
+    source = write_documents(tables)
+    assert all(r.doc.endswith(".gz") for r in graph_json.read_graph(spark, source).select("doc").distinct().collect())
+    report.run(spark, source, str(tmp_path / "packed"), compression="gzip")
+    report.run(spark, source, str(tmp_path / "plain"))
+    for part in ("graph/nodes", "graph/edges", "ranked"):
+        packed, plain = (spark.read.text(str(tmp_path / kind / part)) for kind in ("packed", "plain"))
+        assert packed.count() == plain.count() and packed.exceptAll(plain).isEmpty()
+
+
+def test_ranking_moves_a_record_and_its_place_alone(spark, tmp_path, monkeypatch):
+    sorted_columns = []
+    monkeypatch.setattr(graph_json, "ranking_order", lambda columns: sorted_columns.append(set(columns)) or ranking.ranking_order(columns))
+    (tmp_path / "graph.json").write_text(json.dumps({"edges": [edge(src=str(i), source_url="u", confidence=i % 3 / 2) for i in range(30)]}))
+    edges = graph_json.edges(graph_json.read_graph(spark, str(tmp_path / "graph.json")))
+    graph_json.write_ranked(ranking.score_edges(edges), str(tmp_path / "ranked"))
+    assert sorted_columns == [{"score", "doc", "line", "pos", "raw"}]
+    files = sorted(f for f in (tmp_path / "ranked").iterdir() if f.name.startswith("part-"))
+    got = [json.loads(line) for f in files for line in f.read_text().splitlines()]
+    assert [int(r["from"]) for r in got] == sorted(range(30), key=lambda i: (-(i % 3), i))
