@@ -905,3 +905,10 @@ def test_long_texts_keep_lines_and_sections(spark):
         assert (c.start_line, c.end_line) == (line, line + c.text.rstrip().count("\n"))
         assert c.section_path == paths[line]
         position += len(c.text)
+
+
+def test_tasks_are_sized_by_data_not_by_the_sessions_partitions(spark):
+    """A session with eight shuffle partitions still cuts groupings finer, so a task's share does not grow with its input."""
+    grouped = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert "hashpartitioning(k" in grouped._jdf.queryExecution().toString().replace("_groupingexpression", "k")
+    assert ", 512)" in grouped._jdf.queryExecution().toString()
