@@ -912,3 +912,19 @@ def test_tasks_are_sized_by_data_not_by_the_sessions_partitions(spark):
     grouped = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
     assert "hashpartitioning(k" in grouped._jdf.queryExecution().toString().replace("_groupingexpression", "k")
     assert ", 512)" in grouped._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("few", [1, 2, 64])
+def test_pairs_named_by_platform_equal_the_grouped_ones_and_are_not_shuffled(spark, few):
+    rng = random.Random(few)
+    kinds = ["contracting_office", "industry_code", "semantic"]
+    lines = [(rng.randrange(12), rng.choice([*range(9), None]), rng.choice(kinds), rng.randrange(4)) for _ in range(40)]
+    evidence = spark.createDataFrame(lines, "opp long, office long, kind string, c int").select("opp", "office", "kind", F.col("c").cast("decimal(4,2)").alias("confidence"))
+    none = evidence.where("false")
+    cited = spark.createDataFrame(list({(rng.randrange(15), f"p{rng.randrange(7)}") for _ in range(40)}), "opp long, gram string")
+    holders = spark.createDataFrame(list({(f"p{rng.randrange(1, 8)}", rng.randrange(9)) for _ in range(25)}), "gram string, office long")
+    named = cited.join(holders, "gram").select("opp", "office").distinct()
+    want = ownership.generate_candidates(evidence, none, none, named)
+    got = ownership.with_named(ownership.generate_candidates(evidence, none, none), cited, holders, few)
+    key = str
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
