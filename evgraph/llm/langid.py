@@ -133,40 +133,43 @@ def predict(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample's size
     columns = list(keep) or [key]
+    own = "text" in columns and docs.schema["text"].dataType.typeName() == "string"  # a kept text is sent once
+    at = columns.index("text") if own else len(columns)
 
     def run(batches):
         model = shared.value
         known: dict[str, int] = {}
-        rows: list[np.ndarray] = []
+        rows = np.zeros((1024, len(model.languages)), np.float32)
         for batch in batches:
             languages, scores = [], []
             if len(known) > 300_000:
                 known.clear()
-                rows.clear()
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for value in batch.column(at):
+                text = value.as_py()
                 words = words_of(text.lower()) if text and model.languages else []
                 if not words:
                     languages.append(UND)
                     scores.append(0.0)
                     continue
                 for word in set(words).difference(known):
-                    known[word] = len(rows)
-                    rows.append(model.word(word))
+                    if len(known) == len(rows):
+                        rows = np.concatenate([rows, np.zeros_like(rows)])
+                    rows[len(known)] = model.word(word)
+                    known[word] = len(known)
                 seen, times = np.unique(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), return_counts=True)
-                total = np.zeros(len(model.languages))
-                for i, n in zip(seen.tolist(), times.tolist()):
-                    total += n * rows[i]
+                total = np.add.reduce(rows[seen] * times.astype(np.float32)[:, None], axis=0, dtype=np.float64)
                 best = int(np.argmax(total))
                 share = np.exp((total - total[best]) / np.sqrt(len(words)))
                 languages.append(model.languages[best])
                 scores.append(float(1.0 / share.sum()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.columns[: len(columns)], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 names=[*columns, *names],
             )
 
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-    return docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias("_text")).mapInArrow(
+    sent = [] if own else [F.col("text").cast("string").alias("_text")]
+    return docs.select(*[F.col(f"`{c}`") for c in columns], *sent).mapInArrow(
         run, ", ".join([*kinds, f"`{names[0]}` string", f"`{names[1]}` double"])
     )
 
