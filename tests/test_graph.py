@@ -293,6 +293,30 @@ def test_documents_that_are_no_json_fail(spark, tmp_path, text):
         split_json.read_split(spark, str(tmp_path))[0].collect()
 
 
+def test_lines_are_packed_before_they_move(spark, tmp_path, monkeypatch):
+    from evgraph.sources import split_json
+
+    long = 'x\\"' * 20_000  # long strings full of escapes are read, too
+    document = {"nodes": [{"id": "a", "name": long}, {"id": "b"}], **tricky(500)}
+    document["nodes"] = [{"id": "a", "name": long}, {"id": "b"}]
+    (tmp_path / "big.json").write_text(json.dumps(document, indent=2))
+    monkeypatch.setattr(split_json, "RUN_BITS", 9)
+    lines, runs = spark.read.text(str(tmp_path)).count(), split_json.marked_runs(spark, str(tmp_path)).count()
+    assert runs <= lines / 512 + 2
+    nodes, edges = split_json.read_split(spark, str(tmp_path))
+    assert [r.name for r in nodes.orderBy("pos").collect()] == [long, None] and edges.count() == 1500
+
+
+def test_a_list_named_twice_fails_as_in_whole_documents(spark, tmp_path):
+    from evgraph.sources import split_json
+
+    (tmp_path / "twice.json").write_text('{"nodes": [{"id": "a"}],\n"nodes": [{"id": "b"}]}')
+    with pytest.raises(Exception):
+        graph_json.nodes(graph_json.read_graph(spark, str(tmp_path), multi_line=True)).collect()
+    with pytest.raises(ValueError):
+        split_json.read_split(spark, str(tmp_path))
+
+
 def test_packed_lines_lie_in_bounded_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(graph_json, "LINES_PER_FILE", 10)
     lines = spark.range(25).coalesce(1).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("value"))
