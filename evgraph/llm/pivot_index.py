@@ -10,7 +10,9 @@ cosine in double precision.
 * A list longer than ``CROWD`` is a crowd. Its members' mean is taken as a centre: those within half the angle of the
   threshold are within the whole angle of each other, so they are linked without looking at pairs, and one of them
   stands for all. The rest of a crowd meets in blocks of ``BLOCK`` rows by matrix products, in each vector's longest
-  list, and the first vector of each other long list.
+  list, and the first vector of each other long list. What this leaves open is closed afterwards: in every long list
+  all vectors outside its largest component so far meet all its vectors, in blocks again, and so do vectors that another
+  stood for in short lists. Only pairs already in one component are spared, so the components are those of all pairs.
 * Links are counted at the end inside each component: by matrix products in blocks, where components above
   ``BLOCK`` count what lies around their centre by the same bound and multiply only the rest. No pair of a group is
   ever a row.
@@ -207,13 +209,30 @@ def group_sizes(members: DataFrame, group: str) -> DataFrame:
     return members.groupBy(group).agg(F.count(F.lit(1)).alias("n_members"), asks).where("n_askers > 0")
 
 
-def links_of_lists(index: DataFrame, dim: int, cosine: float) -> DataFrame:
-    """(a, b): links that join every component the lists can see."""
+def verified(pairs: DataFrame, index: DataFrame, dim: int, cosine: float) -> DataFrame:
+    """The pairs (a, b) whose cosine is at least ``cosine``."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (_matrix(batch.column(i), dim) for i in (2, 3))
+            near = pa.array(np.einsum("ij,ij->i", x, y) >= cosine)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in (0, 1)], names=["a", "b"])
+
+    left, right = (index.select(F.col("uid").alias(i), F.col("vec").alias(f"v{i}")) for i in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+
+
+def members_of_lists(index: DataFrame) -> DataFrame:
+    """(list, uid, c): every list of two vectors or more with its length."""
     listed = on_lists(index)
     lengths = listed.groupBy("list").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    members = written(listed.join(lengths, "list"), "members")
+    return written(listed.join(lengths, "list"), "members")
+
+
+def links_of_lists(members: DataFrame, index: DataFrame, dim: int, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that join nearly all components the lists can see, and the uids that another stood for in them."""
     vectors = index.select("uid", "vec", "copies")
-    stars = []
+    stars, spared = [], index.select("uid").limit(0)
 
     def homes(rows: DataFrame) -> DataFrame:
         """Each vector of a crowd in its longest list, with its vector."""
@@ -227,6 +246,7 @@ def links_of_lists(index: DataFrame, dim: int, cosine: float) -> DataFrame:
         first = core.groupBy("list").agg(F.min("uid").alias("a"))
         star = written(core.join(first, "list").select("a", F.col("uid").alias("b")).where("a != b"), "stars")
         stars.append(star)
+        spared = star.select(F.col("b").alias("uid")).distinct()
         rest = members.drop("c").join(star.select(F.col("b").alias("uid")), "uid", "left_anti")
         rest = written(rest, "members")
         lengths = rest.groupBy("list").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -241,18 +261,25 @@ def links_of_lists(index: DataFrame, dim: int, cosine: float) -> DataFrame:
     long = members.where(F.col("c") > CROWD)
     first = long.groupBy("list").agg(F.min("uid").alias("a"))
     pairs = pairs.unionByName(long.join(first, "list").where("a != uid").select("a", F.col("uid").alias("b"))).distinct()
-
-    def verify(batches):
-        for batch in batches:
-            x, y = (_matrix(batch.column(i), dim) for i in (2, 3))
-            near = pa.array(np.einsum("ij,ij->i", x, y) >= cosine)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(near) for i in (0, 1)], names=["a", "b"])
-
-    left, right = (index.select(F.col("uid").alias(i), F.col("vec").alias(f"v{i}")) for i in "ab")
-    found = pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(verify, "a long, b long")
+    found = verified(pairs, index, dim, cosine)
     for star in stars:
         found = found.unionByName(star)
-    return found
+    return found, spared
+
+
+def links_across(members: DataFrame, index: DataFrame, labels: DataFrame, spared: DataFrame, dim: int, cosine: float) -> DataFrame:
+    """(a, b): the links between components ``labels`` (id, label) that ``links_of_lists`` left open in the lists."""
+    named = members.join(labels.withColumnRenamed("id", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    named = named.join(spared.withColumn("spared", F.lit(True)), "uid", "left").withColumn("spared", F.coalesce("spared", F.lit(False)))
+    parts = named.groupBy("list", "label").agg(F.count(F.lit(1)).alias("m"), F.max("spared").alias("some"))
+    mixed = parts.groupBy("list").agg(F.max(F.struct("m", "label"))["label"].alias("top"), F.count(F.lit(1)).alias("k"), F.max("some").alias("some"))
+    rows = written(named.join(mixed.where("k > 1"), "list").where((F.col("c") > CROWD) | F.col("some")), "mixed")
+    long = rows.where(F.col("c") > CROWD).select("list", "uid", (F.col("label") != F.col("top")).alias("ask"))
+    met = met_in_blocks(blocks(long.join(index.select("uid", "vec", "copies"), "uid"), "list", group_sizes(long, "list")), dim, cosine)
+    short = rows.where(F.col("c") <= CROWD)
+    a, b = (short.select("list", F.col("uid").alias(n), F.col("label").alias(f"l{n}"), F.col("spared").alias(f"s{n}")) for n in "ab")
+    pairs = a.join(b, "list").where("a < b and la != lb and (sa or sb)").select("a", "b").distinct()
+    return verified(pairs, index, dim, cosine).unionByName(met.where("uid != root").select(F.col("root").alias("a"), F.col("uid").alias("b")))
 
 
 def counted(labelled: DataFrame, dim: int, cosine: float) -> DataFrame:
@@ -281,7 +308,13 @@ def near_classes(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id",
     same = usable.groupBy("h1", "h2").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), least)
     same = written(same.withColumn("uid", F.monotonically_increasing_id()), "distinct")
     index = described(same, dim)
-    labels = written(components(written(links_of_lists(index, dim, cosine), "links")), "labels")
+    members = members_of_lists(index)
+    links, spared = links_of_lists(members, index, dim, cosine)
+    links = written(links, "links")
+    labels = written(components(links), "labels")
+    more = written(links_across(members, index, labels, spared, dim, cosine), "links")
+    if not more.isEmpty():
+        labels = written(components(links.unionByName(more)), "labels")
     labelled = labels.withColumnRenamed("id", "uid").join(index.select("uid", "copies", "vec"), "uid")
     n = counted(labelled, dim, cosine)
     ends = same.select("uid", "h1", "h2", "copies", "least").join(labels.withColumnRenamed("id", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))

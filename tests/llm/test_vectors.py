@@ -158,6 +158,19 @@ def test_recall_at_the_threshold_and_no_false_link(spark):
     assert all(a[1] <= b[1] for a, b in zip(mine, want))
 
 
+def test_crowds_lose_no_pair_of_any_list(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = []
+    for _ in range(60):  # pairs and chains around common directions, so that vectors lie in several long lists
+        base = spun(rng, np.eye(24)[rng.integers(3)], 0.8)
+        vectors += [base, spun(rng, base, 0.955), spun(rng, base, 0.97)]
+    monkeypatch.setattr(pivot_index, "CROWD", 10**9)
+    every, _ = compared(spark, vectors)
+    for crowd in (2, 12):
+        monkeypatch.setattr(pivot_index, "CROWD", crowd)
+        assert compared(spark, vectors)[0] == every
+
+
 def test_small_tables_null_and_repeated_keys(spark):
     assert pivot_index.near_classes(frame(spark, [])).count() == 0
     for vectors, ids in (
