@@ -317,6 +317,21 @@ def test_a_list_named_twice_fails_as_in_whole_documents(spark, tmp_path):
         split_json.read_split(spark, str(tmp_path))
 
 
+def test_an_export_computes_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(500, numPartitions=4).mapInArrow(count, "id long")
+    graph_json.export_jsonl(rows, str(tmp_path / "out"), ["id"])
+    files = sorted(f for f in (tmp_path / "out").iterdir() if f.name.startswith("part-"))
+    assert [json.loads(line)["id"] for f in files for line in f.read_text().splitlines()] == list(range(500))
+    assert seen.value == 500
+
+
 def test_packed_lines_lie_in_bounded_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(graph_json, "LINES_PER_FILE", 10)
     lines = spark.range(25).coalesce(1).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("value"))
