@@ -281,6 +281,8 @@ def facts(documents: DataFrame, with_line: bool = False, kinds: Sequence[str] |
         ))
 
     by_line = documents.select("doc_id", F.inline(tx.let(tx.lines(F.col("text")), started)))
+    # one look tells whether a line holds any identifier; only such lines are searched kind by kind
+    by_line = by_line.where(F.col("text").rlike("|".join(f"(?:{p})" for p in patterns.values())))
     hits = by_line.select("doc_id", "line_no", "start", F.col("text").alias("line"), F.inline(tx.found_at(F.col("text"), patterns)))
     start = F.col("start") + F.col("at")
     return hits.select(
