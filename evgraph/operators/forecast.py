@@ -236,18 +236,16 @@ def predicted_notices(events: DataFrame, cutoff, n_terms: int = 3, version: str
 HORIZON = 365
 
 
-def _mode_so_far(events: DataFrame, column: str) -> DataFrame:
-    """office, program, event_at and the most frequent value of the key up to that day, ties to the smaller one.
+def _counts_so_far(events: DataFrame, column: str) -> DataFrame:
+    """office, program, event_at and, as ``_<column>``, each value met that day with its count up to that day.
 
-    A value's count is highest when it last occurs, so the best of the counts reached so far is the mode. Both
-    windows run over rows reduced to one per calendar day."""
+    A value's count is highest when it last occurs, so the best of the counts reached so far, ties to the smaller value,
+    is the mode so far. The window runs over rows reduced to one per value and calendar day."""
     key = ["office", "program"]
     daily = events.groupBy(*key, "event_at", column).agg(F.count(F.lit(1)).alias("_n"))
     by_value = Window.partitionBy(*key, column).orderBy("event_at").rowsBetween(Window.unboundedPreceding, 0)
-    counted = daily.withColumn("_best", F.struct((-F.sum("_n").over(by_value)).alias("neg"), F.col(column).alias("v")))
-    per_day = counted.groupBy(*key, "event_at").agg(F.min("_best").alias("_best"))
-    by_day = Window.partitionBy(*key).orderBy("event_at").rowsBetween(Window.unboundedPreceding, 0)
-    return per_day.select(*key, "event_at", F.min("_best").over(by_day)["v"].alias(f"likely_{column}"))
+    best = F.struct((-F.sum("_n").over(by_value)).alias("neg"), F.col(column).alias("v"))
+    return daily.select(*key, "event_at", best.alias(f"_{column}"))
 
 
 def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int = MIN_GAPS) -> DataFrame:
@@ -256,9 +254,14 @@ def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int
     that followed within it.
 
     Windows, pathway and statistics are running states of the days up to the cutoff; later days are
-    labels alone. Purchases collapse to days, which bounds every window by the calendar."""
+    labels alone. Purchases and counts collapse to days in one grouping, which bounds every window by the calendar and
+    lets all of them run on one shuffle. Purchases without an office, program or day are left out."""
     key = ["office", "program"]
-    days = events.groupBy(*key, "event_at").agg(F.min(F.struct("contracting", "method")).alias("_first"))
+    events = events.dropna(subset=[*key, "event_at"])
+    bought = events.select(*key, "event_at", F.struct("contracting", "method").alias("_first"))
+    for column in ("method", "contracting"):
+        bought = bought.unionByName(_counts_so_far(events, column), allowMissingColumns=True)
+    days = bought.groupBy(*key, "event_at").agg(*[F.min(c).alias(c) for c in ("_first", "_method", "_contracting")])
     in_order = Window.partitionBy(*key).orderBy("event_at")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     number = F.unix_date("event_at")
@@ -268,6 +271,7 @@ def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int
     rows = rows.withColumns({
         "n_gaps": F.count("_gap").over(so_far), "_sum": F.sum("_gap").over(so_far), "_sq": F.sum(F.col("_gap") * F.col("_gap")).over(so_far),
         "actual": F.collect_list(F.struct(F.col("event_at").alias("at"), "_first.contracting", "_first.method")).over(later),
+        **{f"likely_{c}": F.min(f"_{c}").over(so_far)["v"] for c in ("method", "contracting")},
     }).where(F.col("n_gaps") >= min_gaps)
     mean = F.col("_sum") / F.col("n_gaps")
     spread = F.sqrt((F.col("_sq") - F.col("_sum") * F.col("_sum") / F.col("n_gaps")) / (F.col("n_gaps") - 1))
@@ -282,8 +286,6 @@ def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int
     ))
     none = F.array().cast("array<struct<start:date,end:date>>")
     rows = rows.withColumn("expected", F.when(expected >= 1, windows).otherwise(none))
-    for column in ("method", "contracting"):
-        rows = rows.join(_mode_so_far(events, column), [*key, "event_at"])
     return rows.select(
         *key, F.col("event_at").alias("cutoff"), "n_gaps", "likely_method", "likely_contracting", "expected", "actual"
     )

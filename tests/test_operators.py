@@ -433,6 +433,17 @@ def test_backtest_equals_a_walk_through_the_days_and_leaks_nothing(spark):
     assert forecast.backtest(df.limit(0), 120).count() == 0
 
 
+def test_rolling_predictions_move_days_once(spark):
+    schema = "office long, program string, event_at date, contracting long, method string"
+    days = [dt.date(2020, 1, 1) + dt.timedelta(20 * i) for i in range(9)]
+    known = [(1, "p", d, 1, "x") for d in days]
+    df = spark.createDataFrame(known + [(None, "p", days[0], 1, "x"), (1, None, days[0], 1, "x"), (1, "p", None, 1, "x")], schema)
+    found = forecast.rolling_predictions(df, 120)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.office, r.program) for r in found.collect()} == {(1, "p")}
+    assert found.count() == forecast.rolling_predictions(spark.createDataFrame(known, schema), 120).count() > 0
+
+
 def test_names_in_texts_longest_first(spark):
     from evgraph.operators import mentions
 
