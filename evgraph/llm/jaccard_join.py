@@ -8,10 +8,15 @@ border window, and no further.
 
 Regions of up to ``SMALL`` sets are joined at once. A larger region picks a few documents as pivots, those
 that meet most others, and measures the distance of all its sets to them. A region whose sets have all come into
-one component is done. In the others twice ``GROWTH`` as many pivots follow in the next level, against sets
+one component is done. In the others ``GROWTH`` times as many pivots follow in the next level, against sets
 that the triangle inequality allows (their distances to the region's first pivot differ by the radius at most) and that
-are in another component, until every set has been a pivot. So no link is lost between components, and groups of
-copies never form all their pairs.
+are in another component, until every open set has been a pivot: one that could be linked with a set of its own size although
+the shingles before the region's are not shared. Of two linked sets the smaller is open in the region of the first
+pivot they share. So no link is lost between components, and groups of copies never form all their pairs.
+
+Most sets that share a pivot are far apart, so pairs meet by sketches first: how many shingles a set has in each of
+``SKETCH`` hash buckets, up to 255. Two sketches lie no further apart, bucket by bucket, than their sets differ in shingles;
+this gap is the distance used with the triangle inequality, and only pairs whose gap allows a link are compared whole.
 
 Rarity is read from a histogram of ``1 << BUCKET_BITS`` hash buckets, which only orders the pivots; equal sets are
 collapsed first.
@@ -24,16 +29,19 @@ by ``one_of_each`` and left out of ``classes``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.llm.components import components
-from evgraph.llm.textnum import Words, mix, signed, slices
+from evgraph.llm.textnum import Words, flat, mix, signed, slices
 from evgraph.session import written
 
-BUCKET_BITS = 18
+BUCKET_BITS, PART_BITS = 20, 10
 SMALL, GROWTH = 12, 8
+SKETCH = 256
 
 
 def _buckets(value: np.ndarray) -> np.ndarray:
@@ -41,25 +49,46 @@ def _buckets(value: np.ndarray) -> np.ndarray:
 
 
 def rarity(texts: DataFrame, width: int) -> np.ndarray:
-    """Shingles in each hash bucket, of all texts: a fixed number of counts."""
+    """Shingles in each hash bucket, of all texts, as eighths of a binary order: a byte for each of a fixed number."""
+    part = 1 << BUCKET_BITS - PART_BITS
 
     def run(batches):
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 _, value = Words(data, offsets, lower=True).shingles(width)
-                total += np.bincount(_buckets(value), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["bucket", "n"])
+                np.add.at(total, _buckets(value), 1)
+        if total.any():
+            parts = [total[i : i + part].tobytes() for i in range(0, len(total), part)]
+            for i in range(0, len(parts), 128):  # small batches: the other side holds them outside the heap
+                some = pa.array(parts[i : i + 128])
+                yield pa.RecordBatch.from_arrays([pa.array(range(i, i + len(some)), pa.int32()), some], names=["part", "counts"])
+
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(part, np.int64)
+        for batch in batches:
+            for counts in batch.column("counts"):
+                total += np.frombuffer(counts.as_buffer(), np.uint32)
+        orders = np.minimum(np.round(8 * np.log2(total + 1.0)), 255).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([orders.tobytes()])], names=["part", "orders"])
+
+    found = texts.mapInArrow(run, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, orders binary")
+    orders = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for row in found.collect():  # a byte a bucket
+        orders[row.part * part : (row.part + 1) * part] = np.frombuffer(row.orders, np.uint8)
+    return orders
 
-    rows = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << BUCKET_BITS, np.int64)
-    total[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return total
+
+def sketches(row: np.ndarray, value: np.ndarray, rows: int) -> pa.Array:
+    """For each row the number of its hashes in every bucket, a byte each."""
+    bucket = row * SKETCH + (value % np.uint64(SKETCH)).astype(np.int64)
+    counts = np.minimum(np.bincount(bucket, minlength=rows * SKETCH), 255).astype(np.uint8)
+    offsets = np.arange(rows + 1, dtype=np.int32) * SKETCH
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(counts)])
 
 
 def shingle_sets(docs: DataFrame, key: str, width: int) -> DataFrame:
-    """key, n, h1, h2 (of the set) and its distinct shingles, rarest first, as a written table with ``uid``."""
+    """key, n, h1, h2 (of the set), sketch and the distinct shingles, rarest first, as a written table with ``uid``."""
     text = F.col("text").cast("string").alias("_text")
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs.select(text), width))
 
@@ -83,13 +112,14 @@ def shingle_sets(docs: DataFrame, key: str, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a), pa.array(np.diff(bounds).astype(np.int64)), pa.array(signed(sums[0])),
-                        pa.array(signed(sums[1])), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(value))),
+                        pa.array(signed(sums[1])), sketches(row, value, b - a),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(value))),
                     ],
-                    names=["key", "n", "h1", "h2", "shingles"],
+                    names=["key", "n", "h1", "h2", "sketch", "shingles"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    found = docs.select(F.col(f"`{key}`"), text).mapInArrow(run, f"key {kind}, n long, h1 long, h2 long, shingles array<long>")
+    found = docs.select(F.col(f"`{key}`"), text).mapInArrow(run, f"key {kind}, n long, h1 long, h2 long, sketch binary, shingles array<long>")
     return written(found.withColumn("uid", F.monotonically_increasing_id()), "sets")
 
 
@@ -98,58 +128,87 @@ def window_size(n: Column, percent: int) -> Column:
     return (n - F.ceil(n * percent / F.lit(100)) + 1).cast("int")
 
 
-def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, d, near) of pairs (a, b)."""
-    left = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("_x"))
-    right = sets.select(F.col("uid").alias("b"), F.col("shingles").alias("_y"))
+def gaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, total, gap) of pairs (a, b): both sizes together, and by how many shingles the sets differ at least."""
+    left = sets.select(F.col("uid").alias("a"), F.col("n").alias("_n"), F.col("sketch").alias("_x"))
+    right = sets.select(F.col("uid").alias("b"), F.col("n").alias("_m"), F.col("sketch").alias("_y"))
+
+    def run(batches):
+        for batch in batches:
+            x, y = (flat(batch.column(i))[0].reshape(-1, SKETCH).astype(np.int16) for i in (3, 4))
+            gap = np.abs(x - y).sum(axis=1, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(gap)], names=["a", "b", "total", "gap"])
+
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", (F.col("_n") + F.col("_m")).alias("total"), "_x", "_y")
+    return joined.mapInArrow(run, "a long, b long, total long, gap long")
+
+
+def within_radius(gap: Column, total: Column, percent: int) -> Column:
+    """Whether sets of ``total`` shingles that differ in ``gap`` can be linked: gap / union <= 1 - t."""
+    return (100 + percent) * gap <= (100 - percent) * total
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of those pairs (a, b, total, gap) that are linked. Only sets of pairs whose gap allows it move."""
+    open_ = written(pairs.where(within_radius(F.col("gap"), F.col("total"), percent)).select("a", "b"), "open")
+    ids = written(open_.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "open-sets")
+    whole = written(sets.select("uid", "shingles").join(ids, "uid", "left_semi"), "whole")
+    left = whole.select(F.col("uid").alias("a"), F.col("shingles").alias("_x"))
+    right = whole.select(F.col("uid").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y")).cast("long")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("_i"), (F.size("_x") + F.size("_y")).cast("long").alias("_s"))
-    union = F.col("_s") - F.col("_i")
-    return joined.select("a", "b", (1 - F.col("_i") / union).alias("d"), (100 * F.col("_i") >= percent * union).alias("near"))
+    joined = open_.join(left, "a").join(right, "b").select("a", "b", both.alias("_i"), (F.size("_x") + F.size("_y")).cast("long").alias("_s"))
+    return joined.where(100 * F.col("_i") >= percent * (F.col("_s") - F.col("_i"))).select("a", "b")
 
 
-def of_fitting_size(n: str, m: str, percent: int) -> Column:
-    return (100 * F.least(n, m)) >= percent * F.greatest(n, m)
+def can_meet(n: str, reach: str, m: str, reach_m: str) -> Column:
+    """Whether the shared pivot can be the first of two linked sets of n and m shingles."""
+    return (F.col(m) <= F.col(reach)) & (F.col(n) <= F.col(reach_m))
 
 
 def regions(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(pivot, uid, n, c) of every region with two of ``reps`` (uid) or more; c is the region's size."""
+    """(pivot, uid, n, reach, c, k) of every region with two of ``reps`` (uid) or more, one of them open.
+
+    ``reach`` is the size up to which a set can be linked with this one if the pivot is the first they share: the
+    shingles before it are not shared. Of two linked sets the smaller reaches the larger, and so itself; it is open.
+    c is the region's size, k the number of its open sets."""
     window = F.slice("shingles", F.lit(1), window_size(F.col("n"), percent))
-    rows = sets.select(F.explode(window).alias("pivot"), "uid", "n").join(reps, "uid")  # a semi join would move the arrays
-    counts = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    return written(rows.join(counts, "pivot"), "regions")
+    rows = sets.select(F.posexplode(window).alias("_at", "pivot"), "uid", "n").join(reps, "uid")  # a semi join would move the arrays
+    reach = F.floor((F.col("n") - F.col("_at")) * (100 + percent) / F.lit(percent)) - F.col("n")
+    rows = rows.select("pivot", "uid", "n", reach.alias("reach"))
+    counts = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("n") <= F.col("reach")).alias("k"))
+    return written(rows.join(counts.where("c > 1 AND k > 0"), "pivot"), "regions")
 
 
 def links(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(id, label) of the components of ``reps`` under links of similarity ``percent`` / 100 or more."""
-    radius = 1 - percent / 100
     cells = regions(sets, reps, percent)
     few = cells.where(F.col("c") <= SMALL)
-    a = few.select("pivot", F.col("uid").alias("a"), F.col("n").alias("_n"))
-    b = few.select("pivot", F.col("uid").alias("b"), F.col("n").alias("_m"))
-    pairs = a.join(b, "pivot").where((F.col("a") < F.col("b")) & of_fitting_size("_n", "_m", percent)).select("a", "b").distinct()
-    found = written(distances(pairs, sets, percent).where("near").select("a", "b"), "links")
+    a = few.select("pivot", F.col("uid").alias("a"), F.col("n").alias("_n"), F.col("reach").alias("_u"))
+    b = few.select("pivot", F.col("uid").alias("b"), F.col("n").alias("_m"), F.col("reach").alias("_v"))
+    pairs = a.join(b, "pivot").where((F.col("a") < F.col("b")) & can_meet("_n", "_u", "_m", "_v")).select("a", "b").distinct()
+    found = written(near_pairs(gaps(pairs, sets), sets, percent), "links")
 
     central = cells.groupBy("uid").agg(F.sum("c").alias("_met"))
     many = cells.where(F.col("c") > SMALL).join(central, "uid")
-    # members of a region are taken as pivots in this order: those that meet most others first
-    rank = F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("_met"), "uid"))
-    crowd = written(many.select("pivot", "uid", "n", "c", rank.alias("place")), "crowd")
+    # the open members of a region are taken as pivots in this order: those that meet most others first
+    closed = F.col("n") > F.col("reach")
+    rank = F.row_number().over(Window.partitionBy("pivot").orderBy(closed, F.desc("_met"), "uid"))
+    crowd = written(many.select("pivot", "uid", "n", "reach", "k", rank.alias("place")), "crowd")
     done, wanted, first = 0, 1, None
     while not crowd.isEmpty():
-        own = crowd.where((F.col("place") > done) & (F.col("place") <= done + wanted))
-        own = own.select("pivot", F.col("uid").alias("_p"), F.col("n").alias("_m"), F.col("place").alias("_place"), *([F.col("label").alias("_l"), F.col("d").alias("_d")] if first else []))
+        own = crowd.where((F.col("place") > done) & (F.col("place") <= F.least(F.lit(done + wanted), "k")))
+        own = own.select("pivot", F.col("uid").alias("_p"), F.col("n").alias("_m"), F.col("reach").alias("_v"), F.col("place").alias("_place"), *([F.col("label").alias("_l"), F.col("d").alias("_d")] if first else []))
         fits = (F.col("place") > F.col("_place")) | (F.col("place") <= done)
         fits = fits & (F.col("uid") != F.col("_p"))
         if first:
-            fits = fits & (F.col("label") != F.col("_l")) & (F.abs(F.col("d") - F.col("_d")) <= radius + 1e-9)
-            fits = fits & of_fitting_size("n", "_m", percent)
+            fits = fits & (F.col("label") != F.col("_l")) & within_radius(F.abs(F.col("d") - F.col("_d")), F.col("n") + F.col("_m"), percent)
+            fits = fits & can_meet("n", "reach", "_m", "_v")
         met = crowd.join(own, "pivot").where(fits)
-        measured = written(distances(met.select(F.col("uid").alias("a"), F.col("_p").alias("b")).distinct(), sets, percent), "measured")
-        found = written(found.unionByName(measured.where("near").select("a", "b")), "links")
+        measured = written(gaps(met.select(F.col("uid").alias("a"), F.col("_p").alias("b")).distinct(), sets), "measured")
+        found = written(found.unionByName(near_pairs(measured, sets, percent)), "links")
         if not first:  # distances to the first pivot of each region
-            to_pivot = own.select("pivot", F.col("_p").alias("b")).join(crowd.select("pivot", F.col("uid").alias("a")), "pivot").join(measured.select("a", "b", "d"), ["a", "b"], "left")
-            to_pivot = to_pivot.select("pivot", F.col("a").alias("uid"), F.coalesce("d", F.lit(0.0)).alias("d"))
+            to_pivot = own.select("pivot", F.col("_p").alias("b")).join(crowd.select("pivot", F.col("uid").alias("a")), "pivot").join(measured.select("a", "b", "gap"), ["a", "b"], "left")
+            to_pivot = to_pivot.select("pivot", F.col("a").alias("uid"), F.coalesce("gap", F.lit(0)).alias("d"))
             crowd = crowd.join(to_pivot, ["pivot", "uid"])
             first = True
         else:
@@ -158,7 +217,7 @@ def links(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         crowd = crowd.join(labels.withColumnRenamed("id", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
         done, wanted = done + wanted, wanted * GROWTH
         open_ = crowd.groupBy("pivot").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a != _b").select("pivot")
-        crowd = written(crowd.where(F.col("c") > done).join(open_, "pivot"), "crowd")
+        crowd = written(crowd.where(F.col("k") > done).join(open_, "pivot"), "crowd")
     return components(found)
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # texts are worked on in slices of about this size, so memory stays bounded
+SLICE_BYTES = 1 << 20  # texts are worked on in slices of about this size; a task holds some hundred bytes for each
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -70,6 +70,25 @@ def test_crowded_regions_without_a_centre_stay_exact(spark):
     assert len(set(least)) > 1
 
 
+def test_far_sets_of_one_region_are_not_compared_whole(spark):
+    """Texts that share their rarest word alone meet, but their sketches differ too much for a link."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(3000)]
+    texts = ["rare " + " ".join(rng.choice(words, 200, replace=False)) for _ in range(10)]
+    texts += [texts[0] + " more", "rare " * 300, texts[1].replace("rare", "rare2")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = jaccard_join.shingle_sets(docs, "doc_id", 1)
+    sets = {r.uid: set(r.shingles) for r in found.collect()}
+    pairs = found.select(F.col("uid").alias("a")).crossJoin(found.select(F.col("uid").alias("b"))).where("a < b")
+    gaps = jaccard_join.gaps(pairs, found).collect()
+    assert len(gaps) == len(texts) * (len(texts) - 1) // 2
+    assert all(r.gap <= len(sets[r.a] ^ sets[r.b]) and r.total == len(sets[r.a]) + len(sets[r.b]) for r in gaps)
+    open_ = jaccard_join.gaps(pairs, found).where(jaccard_join.within_radius(F.col("gap"), F.col("total"), 90))
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])}
+    assert {(r.a, r.b) for r in open_.collect()} == near and len(near) == 2
+    assert {(r.a, r.b) for r in jaccard_join.near_pairs(jaccard_join.gaps(pairs, found), found, 90).collect()} == near
+
+
 def test_one_of_each_keeps_columns_and_unlinked_rows(docs, texts):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
