@@ -27,7 +27,7 @@ from evgraph.llm.token_counts import tokenizer
 from evgraph.session import written
 
 CLOSING = 1
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 200_000
 MARK, JOINED = b"\x01", 256
 _ids: dict[str, dict[bytes, bytes]] = {}
 
@@ -77,10 +77,10 @@ def pieces(docs: DataFrame, path: str, size: int, key: str) -> DataFrame:
         words, part = WordIds(path), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             row, piece, length, crc, nth = [], [], [], [], []
             for at in range(0, len(texts), 128):
-                for i, ids in enumerate(words.encode(texts[at : at + 128]), at):
+                for i, ids in enumerate(words.encode(texts.slice(at, 128).to_pylist()), at):
                     ids += closing
                     for j, start in enumerate(range(0, len(ids), 4 * size)):
                         part_ids = ids[start : start + 4 * size]

@@ -180,3 +180,17 @@ def test_every_stage_equals_plain_python(spark, tmp_path):
 def test_tables_without_text(spark, tmp_path, rows):
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_python_gets_whole_texts_in_small_batches(spark):
+    """Both sides of a step hold a batch of texts outside the heap."""
+    import pyarrow as pa
+
+    from evgraph.llm.steps import prepared
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    found = [r.n for r in prepared(spark).range(5000, numPartitions=1).mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 5000 and max(found) <= 1000
