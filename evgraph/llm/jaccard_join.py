@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.llm.components import components
 from evgraph.llm.textnum import Words, flat, mix, signed, slices
-from evgraph.session import written
+from evgraph.session import passing, written
 
 BUCKET_BITS, PART_BITS = 20, 10
 SMALL, GROWTH = 12, 8
@@ -248,8 +248,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "
     have the smallest hash. Rows equal in key and text are one document, also those without a word."""
     hashes = row_hash(key)
     row = F.struct(F.col(f"`{key}`").isNull().alias("null"), F.col(f"`{key}`").alias("key"), *hashes)
-    found = classes(docs.select(row.alias("_row"), "text"), width, percent, "_row")
-    first = found.where(F.col("_row") == F.col("component_id")).select("_row._h0", "_row._h1").distinct()
+    with passing(docs.sparkSession) as paths:
+        found = classes(docs.select(row.alias("_row"), "text"), width, percent, "_row")
+        first = written(found.where(F.col("_row") == F.col("component_id")).select("_row._h0", "_row._h1").distinct(), "first")
+        paths.pop()
     # equal rows meet in each task before the shuffle; the join then reads the same partitions
     columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rest = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])

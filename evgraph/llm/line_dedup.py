@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evgraph.functions.text import let
-from evgraph.session import written
+from evgraph.session import passing, written
 
 MOST, LEAST, NEAR = 2, 1, 20
 CROWD, LEVELS = 32, 4  # lines that share a segment are paired up to this number, else look again
@@ -165,17 +165,20 @@ def later_lines(lines: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> DataFrame:
     """(doc_id, _doc, gone): sorted places of the lines that go, one row per document that loses some."""
-    found = occurrences(docs, least)
-    lines = distinct_lines(found)
-    long = lines.where(F.length("line") >= near)
-    late = later_lines(long, candidates(long, most), most)
-    # a line without an earlier one like it, found once, removes nothing
-    firsts = lines.select("line_id", "h1", "h2", "first", "n").join(late.withColumn("late", F.lit(True)), "line_id", "left")
-    firsts = written(firsts.where("late OR n > 1").select("h1", "h2", "first", "late"), "late")
-    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_doc") == F.col("first._doc")) & (F.col("pos") == F.col("first.pos"))
-    places = found.select("doc_id", "_doc", "pos", *line_key())
-    gone = places.join(firsts, ["h1", "h2"]).where(~own | F.col("late"))
-    return written(gone.groupBy("doc_id", "_doc").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "removed")
+    with passing(docs.sparkSession) as paths:
+        found = occurrences(docs, least)
+        lines = distinct_lines(found)
+        long = lines.where(F.length("line") >= near)
+        late = later_lines(long, candidates(long, most), most)
+        # a line without an earlier one like it, found once, removes nothing
+        firsts = lines.select("line_id", "h1", "h2", "first", "n").join(late.withColumn("late", F.lit(True)), "line_id", "left")
+        firsts = written(firsts.where("late OR n > 1").select("h1", "h2", "first", "late"), "late")
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_doc") == F.col("first._doc")) & (F.col("pos") == F.col("first.pos"))
+        places = found.select("doc_id", "_doc", "pos", *line_key())
+        gone = places.join(firsts, ["h1", "h2"]).where(~own | F.col("late"))
+        removed = written(gone.groupBy("doc_id", "_doc").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "removed")
+        paths.pop()
+    return removed
 
 
 def with_kept(docs: DataFrame, most: int = MOST, least: int = LEAST, near: int = NEAR) -> tuple[DataFrame, str]:

@@ -248,3 +248,17 @@ def test_clashing_column_names_and_many_removed_lines(spark):
 @pytest.mark.parametrize("operator", [jaccard_join.classes, line_dedup.report, repeat_index.report, line_dedup.dedup, jaccard_join.one_of_each])
 def test_empty_table(empty, operator):
     assert operator(empty).collect() == []
+
+
+def test_line_dedup_leaves_only_its_result_in_the_shared_folder(spark, docs, monkeypatch):
+    """What it writes on the way is as large as the input, and would stay until the application ends."""
+    from pathlib import Path
+
+    from evgraph import session
+
+    made, path = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda *a: made.append(path(*a)) or made[-1])
+    rows = line_dedup.report(docs)
+    left = [p for p in made if Path(p.removeprefix("file:")).exists()]
+    assert len(made) > 1 and left == made[-1:]
+    assert rows.count() == docs.count()
