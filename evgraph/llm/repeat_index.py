@@ -3,7 +3,9 @@
 Equal texts are collapsed first. In the others every window of ``LONG`` bytes is named by its smallest
 hashed ``GRAM``-byte string (the anchor), and windows that follow each other with one anchor form a segment. Equal
 windows lie in segments of one anchor, so anchors of a single document leave at once, equal segments collapse to the
-smallest document that holds them, and the rest is dealt out by anchor.
+smallest document that holds them, and the rest is dealt out by anchor. Segments move as places and hashes; the bytes
+of one segment of a kind are fetched from its text, and only where its anchor has segments of other kinds. Segments are
+found anew for every one of ``ROUNDS`` shares of the anchors, so that only a share of them is on disk at a time.
 
 Every share of segments becomes a run-length index: its suffix array, the runs of its Burrows-Wheeler transform
 with their starts, and, sampled at the ends of the ranges that share ``LONG`` bytes, the smallest document of
@@ -20,44 +22,53 @@ empty table gives the empty table; further columns are left out.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from evgraph.llm.textnum import mix, powers, signed, slices
-from evgraph.session import written
+from evgraph.session import passing, written
 
 LONG, GRAM = 50, 20
-CROWD, SHARE = 256, 16_000
+CROWD, SHARE = 2048, 16_000
+ROUNDS = 2
 _LAST = (1 << 63) - 1
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, long: int = LONG, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(row, anchor, start in the row, bytes) of every segment."""
+    """(row, anchor, hash, start in the row, bytes) of every segment."""
     n, none = len(data), np.zeros(0, np.int64)
+    empty = none, none.astype(np.uint64), none.astype(np.uint64), none, none
     if n < long:
-        return none, none.astype(np.uint64), none, none
+        return empty
     up, down = powers(n)
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)])
     value = mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1])
-    span, at, have = long - gram + 1, np.arange(len(value)), 1
-    while have < span:  # place of the leftmost smallest hash among the next ``have``
+    span, have = long - gram + 1, 1
+    while have < span:  # the smallest hash among the next ``have``
         more = min(have, span - have)
-        left, right = at[: len(at) - more], at[more:]
-        at = np.where(value[left] <= value[right], left, right)
+        value = np.minimum(value[: len(value) - more], value[more:])
         have += more
     room = np.repeat(offsets[1:], np.diff(offsets))[: n - long + 1]
     starts = np.flatnonzero(np.arange(n - long + 1) + long <= room)
     if not len(starts):
-        return none, none.astype(np.uint64), none, none
-    place = at[starts]
+        return empty
+    anchor = value[starts]
     fresh = np.ones(len(starts), bool)
-    fresh[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
+    fresh[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(fresh)
-    size = np.diff(np.append(first, len(starts))) - 1 + long
-    row = np.searchsorted(offsets, starts[first], side="right") - 1
-    return row, value[place[first]], starts[first] - offsets[row], size
+    length = np.diff(np.append(first, len(starts)))
+    if length.max() > span:  # one string again and again keeps its hash: cut such runs
+        at = np.arange(len(starts)) - np.repeat(first, length)
+        first = np.flatnonzero(at % span == 0)
+        length = np.diff(np.append(first, len(starts)))
+    size = length - 1 + long
+    begin = starts[first]
+    code = mix((prefix[begin + size] - prefix[begin]) * down[begin] + size.astype(np.uint64))
+    row = np.searchsorted(offsets, begin, side="right") - 1
+    return row, anchor[first], code, begin - offsets[row], size
 
 
 class RunIndex:
@@ -71,15 +82,18 @@ class RunIndex:
         body[ends] = np.arange(many)  # every string ends in a mark of its own
         n = len(body)
         owner = np.repeat(np.arange(many), self.size + 1)
-        _, rank = np.unique(body, return_inverse=True)
-        have, half = 1, None
+        key, below, have, half = body, many + 256, 1, None
+        while 2 * have <= min(4, long // 2) and below**2 < 1 << 62:  # the first ranks are by a few bytes at once
+            key = key * below + np.roll(key, -have)
+            below, have = below * below, 2 * have
+        _, rank = np.unique(key, return_inverse=True)
         while True:
             if 2 * have > long and half is None:
                 half, shift = rank, long - have  # ranks by ``have`` bytes; two of them cover ``long``
             if rank.max() + 1 == n:
                 break
             key = rank * np.int64(n + 1) + np.roll(rank, -have)
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)  # equal keys get one rank in any order
             step = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
             rank = np.empty(n, np.int64)
             rank[order] = step
@@ -138,45 +152,73 @@ def with_text_key(docs: DataFrame, key: str) -> DataFrame:
     return rows.select("key", order, "text", F.xxhash64("text").alias("t1"), F.hash("text", F.length("text")).alias("t2"))
 
 
-def found_segments(texts: DataFrame) -> DataFrame:
-    """(t1, t2, doc, anchor, start, size) of every text."""
+def found_segments(texts: DataFrame, turn: int, turns: int) -> DataFrame:
+    """(id, doc, anchor, code, start, size) of every segment of one share of the anchors."""
 
     def run(batches):
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column(3)):
-                row, anchor, start, size = segments(data, offsets)
+            for a, b, data, offsets in slices(batch.column(2)):
+                row, anchor, code, start, size = segments(data, offsets)
+                if turns > 1:
+                    own = np.flatnonzero(anchor % np.uint64(turns) == turn)
+                    row, anchor, code, start, size = (x[own] for x in (row, anchor, code, start, size))
                 at = pa.array(row + a)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).take(at) for i in range(3)), pa.array(signed(anchor)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
-                    names=["t1", "t2", "doc", "anchor", "start", "size"],
+                    [
+                        *(batch.column(i).take(at) for i in range(2)), pa.array(signed(anchor)), pa.array(signed(code)),
+                        pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)),
+                    ],
+                    names=["id", "doc", "anchor", "code", "start", "size"],
                 )
 
-    return texts.select("t1", "t2", "doc", "text").mapInArrow(run, "t1 long, t2 int, doc long, anchor long, start int, size int")
+    return texts.select("id", "doc", "text").mapInArrow(run, "id long, doc long, anchor long, code long, start int, size int")
+
+
+def shared_anchors(texts: DataFrame) -> DataFrame:
+    """anchor of every anchor that several documents hold."""
+
+    def run(batches):
+        for batch in batches:
+            doc = batch.column(0).to_numpy()
+            for a, _, data, offsets in slices(batch.column(1)):
+                row, anchor, *_ = segments(data, offsets)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(anchor)), pa.array(doc[row + a])], names=["anchor", "doc"])
+
+    found = texts.select("doc", "text").mapInArrow(run, "anchor long, doc long")
+    return found.groupBy("anchor").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b").select("anchor")
 
 
 def early_matches(texts: DataFrame) -> DataFrame:
-    """(t1, t2, ranges) of distinct texts: struct(a, b), bytes of matches in smaller documents."""
-    spark = texts.sparkSession
-    found = written(found_segments(texts), "segments")
-    shared = found.groupBy("anchor").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b").select("anchor")
-    cuts = found.join(shared, "anchor").groupBy("t1", "t2").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("cuts"))
-    body = F.col("text").cast("binary")
-    held = texts.select("t1", "t2", "doc", body.alias("body")).join(cuts, ["t1", "t2"])
-    held = held.select("t1", "t2", "doc", "body", F.explode("cuts").alias("c"))
-    part = F.substring("body", F.col("c.start") + 1, F.col("c.size"))
-    held = held.select("t1", "t2", "doc", F.col("c.anchor").alias("anchor"), F.col("c.start").alias("start"), part.alias("bytes"))
+    """(t1, t2, ranges) of distinct texts (id, t1, t2, doc, text): struct(a, b), bytes of matches in smaller documents."""
+    shared, found = written(shared_anchors(texts), "shared"), []
+    for turn in range(ROUNDS):
+        with passing(texts.sparkSession, keep=1):
+            found.append(written(matches_of_share(texts, shared, turn, ROUNDS), "found"))
+    ranges = reduce(DataFrame.unionByName, found).groupBy("id").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return texts.select("id", "t1", "t2").join(ranges, "id").drop("id")
+
+
+def matches_of_share(texts: DataFrame, shared: DataFrame, turn: int, turns: int) -> DataFrame:
+    """(id, ranges) by the anchors of one share."""
+    # merged whatever the size: which side of a join moves should not change with the table
+    held = found_segments(texts, turn, turns).join(shared.hint("merge"), "anchor")
     # a segment's code; segments that differ under one anchor and one code would have to agree in both hashes
-    held = written(held.withColumn("code", F.xxhash64("bytes")), "held")
-    distinct = held.groupBy("anchor", "code").agg(F.min("doc").alias("first"), F.min("bytes").alias("bytes"))
-    distinct = written(distinct, "distinct")
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    crowded = written(sizes.where(F.col("n") > CROWD).select("anchor"), "crowded")
-    alone = sizes.where(F.col("n") == 1).select("anchor")
-    shares = max(1, distinct.count() // SHARE)
-    calm = distinct.join(crowded.unionByName(alone), "anchor", "left_anti")
+    held = written(held, "held")
+    one = F.min(F.struct("id", "start", "size")).alias("one")
+    distinct = written(held.groupBy("anchor", "code").agg(F.min("doc").alias("first"), one), "distinct")
+    sizes = written(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    crowded = sizes.where(F.col("n") > CROWD).select("anchor")
+    # bytes of the segments of anchors that have several
+    wanted = distinct.join(sizes.select("anchor"), "anchor", "left_semi")
+    cuts = wanted.groupBy("one.id").agg(F.collect_list(F.struct("anchor", "code", "first", "one.start", "one.size")).alias("cuts"))
+    bodies = texts.select("id", F.col("text").cast("binary").alias("body")).join(cuts, "id").select("body", F.explode("cuts").alias("c"))
+    part = F.substring("body", F.col("c.start") + 1, F.col("c.size")).alias("bytes")
+    bodies = written(bodies.select("c.anchor", "c.code", "c.first", part), "bodies")
+    shares = max(1, bodies.count() // SHARE)
+    calm = bodies.join(crowded, "anchor", "left_anti")
     calm = calm.withColumn("share", F.pmod(F.xxhash64("anchor"), F.lit(shares)))
     marks = calm.groupBy("share").applyInArrow(lambda t: _marks(t), "anchor long, code long, starts array<int>")
-    windows = distinct.join(crowded, "anchor", "left_semi")
+    windows = bodies.join(crowded, "anchor", "left_semi")
     places = F.explode(F.sequence(F.lit(0), F.length("bytes") - LONG)).alias("at")
     windows = windows.select("anchor", "code", "first", "bytes", places)
     windows = windows.select("anchor", "code", "first", "at", F.substring("bytes", F.col("at") + 1, F.lit(LONG)).alias("window"))
@@ -185,11 +227,11 @@ def early_matches(texts: DataFrame) -> DataFrame:
     late = late.groupBy("anchor", "code").agg(F.sort_array(F.collect_list("at")).alias("starts"))
     marks = written(marks.unionByName(late), "marks")
     ends = distinct.select("anchor", "code", "first").join(marks, ["anchor", "code"], "left")
-    rows = held.select("t1", "t2", "doc", "anchor", "code", "start", F.length("bytes").alias("size")).join(ends, ["anchor", "code"])
+    rows = held.join(ends, ["anchor", "code"])
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b")))
     some = F.transform("starts", lambda i: F.struct((F.col("start") + i).alias("a"), (F.col("start") + i + LONG).alias("b")))
-    rows = rows.select("t1", "t2", F.when(F.col("doc") > F.col("first"), whole).otherwise(some).alias("r")).where("r is not null")
-    return rows.groupBy("t1", "t2").agg(F.flatten(F.collect_list("r")).alias("ranges"))
+    rows = rows.select("id", F.when(F.col("doc") > F.col("first"), whole).otherwise(some).alias("r")).where("r is not null")
+    return rows.groupBy("id").agg(F.flatten(F.collect_list("r")).alias("ranges"))
 
 
 def cut(body: bytes, ranges: list[tuple[int, int]]) -> tuple[int, int, str]:
@@ -208,11 +250,13 @@ def cut(body: bytes, ranges: list[tuple[int, int]]) -> tuple[int, int, str]:
 def report(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     rows = with_text_key(docs, key)
-    firsts = written(rows.groupBy("t1", "t2").agg(F.min("doc").alias("doc")), "firsts")
-    one = rows.join(firsts, ["t1", "t2", "doc"], "left_semi").where(F.octet_length("text") >= LONG)
-    texts = written(one.select("t1", "t2", "doc", "text").dropDuplicates(["t1", "t2"]), "texts")
-    ranges = written(early_matches(texts), "ranges")
-    plan = written(firsts.withColumnRenamed("doc", "first").join(ranges, ["t1", "t2"], "left"), "plan")
+    with passing(docs.sparkSession, keep=1):
+        firsts = written(rows.groupBy("t1", "t2").agg(F.min("doc").alias("first")), "firsts")
+        one = rows.where(F.octet_length("text") >= LONG).join(firsts, ["t1", "t2"]).where("doc = first")
+        one = one.select("t1", "t2", "doc", "text").dropDuplicates(["t1", "t2"])
+        texts = written(one.select(F.monotonically_increasing_id().alias("id"), "*"), "texts")
+        ranges = written(early_matches(texts), "ranges")
+        plan = written(firsts.join(ranges, ["t1", "t2"], "left"), "plan")
     size = F.octet_length("text")
     all_of_it = F.array(F.struct(F.lit(0).alias("a"), size.alias("b")))
     joined = rows.join(plan, ["t1", "t2"]).select(

@@ -148,6 +148,36 @@ def test_repeats_equal_brute_force(docs, texts, crowd, monkeypatch):
     assert sorted(map(tuple, repeat_index.report(docs).collect())) == brute_removed(texts)
 
 
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_repeats_by_any_number_of_rounds(docs, texts, rounds, monkeypatch):
+    monkeypatch.setattr(repeat_index, "ROUNDS", rounds)
+    assert sorted(map(tuple, repeat_index.report(docs).collect())) == brute_removed(texts)
+
+
+def test_repeats_leave_only_their_plan_and_move_no_bytes_of_lone_segments(spark, docs, monkeypatch):
+    """Segments overlap, so their bytes are several times the input's: only those are fetched whose anchor has others."""
+    from pathlib import Path
+
+    from evgraph import session
+
+    made, kinds, path, write = [], {}, session.scratch_path, repeat_index.written
+    monkeypatch.setattr(session, "scratch_path", lambda *a: made.append(path(*a)) or made[-1])
+    monkeypatch.setattr(repeat_index, "written", lambda df, name: kinds.setdefault(name, df.dtypes) and write(df, name))
+    assert repeat_index.report(docs).count() == docs.count()
+    left = [p for p in made if Path(p.removeprefix("file:")).exists()]
+    assert len(made) > 1 and left == made[-1:]
+    wide = {name for name, columns in kinds.items() if {"string", "binary"} & {kind for _, kind in columns}}
+    assert wide == {"texts", "bodies"}
+
+
+def test_segments_of_a_string_that_repeats_itself_stay_short():
+    data = np.frombuffer(b"a" * 400 + b"the end of it, after which comes no other a" * 3, np.uint8)
+    row, anchor, code, start, size = repeat_index.segments(data, np.array([0, len(data)]))
+    assert size.max() <= 2 * repeat_index.LONG - repeat_index.GRAM
+    windows = [i for a, n in zip(start.tolist(), size.tolist()) for i in range(a, a + n - repeat_index.LONG + 1)]
+    assert windows == list(range(len(data) - repeat_index.LONG + 1))
+
+
 def test_repeats_of_null_and_equal_ids(spark):
     text = "x" + "".join(chr(97 + i * 7 % 26) for i in range(80))
     docs = spark.createDataFrame([(None, text), (3, text), (3, text), (2, "short")], "doc_id long, text string")
