@@ -27,18 +27,23 @@ from evgraph.llm.token_counts import tokenizer
 from evgraph.session import written
 
 CLOSING = 1
-WORDS_KEPT = 200_000
+WORDS_KEPT = 1_000_000
 MARK, JOINED = b"\x01", 256
-_ids: dict[str, dict[bytes, bytes]] = {}
+_ids: dict[str, list[dict[bytes, bytes]]] = {}
 
 
 class WordIds:
     """Ids of texts by a byte-level vocabulary that drops white space: every word is encoded once, ``JOINED`` new words
     as one text with a mark between them. The mark is a control character, whose id is that of its byte and so occurs
-    in no other word; words that hold it are encoded by themselves. At most ``WORDS_KEPT`` words are remembered."""
+    in no other word; words that hold it are encoded by themselves. About ``WORDS_KEPT`` words are remembered: those met
+    since the last turn, at half that number, and those met in the turn before, so that frequent words stay."""
 
     def __init__(self, path: str):
-        self.path, self.known = path, _ids.setdefault(path, {})
+        self.path, self.turns = path, _ids.setdefault(path, [{}, {}])
+
+    @property
+    def known(self) -> dict[bytes, bytes]:
+        return self.turns[0]
 
     def learn(self, new: list[bytes]) -> None:
         encode = tokenizer(self.path).encode_batch_fast
@@ -60,12 +65,16 @@ class WordIds:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [t.encode().split() if t else [] for t in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list(set().union(*words).difference(self.known))
+        if len(self.known) > WORDS_KEPT // 2:
+            self.turns[:] = {}, self.known
+        known, older = self.turns
+        new = set().union(*words).difference(known)
+        again = new.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        new = list(new.difference(again))
         if new:
             self.learn(new)
-        return [b"".join(map(self.known.__getitem__, line)) for line in words]
+        return [b"".join(map(known.__getitem__, line)) for line in words]
 
 
 def pieces(docs: DataFrame, path: str, size: int, key: str) -> DataFrame:

@@ -112,6 +112,20 @@ def test_words_by_themselves_are_the_whole_text():
 
 
 
+def test_frequent_words_are_encoded_once_while_others_are_forgotten(monkeypatch):
+    path = token_counts.vocabulary("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "WORDS_KEPT", 20)
+    monkeypatch.setattr(packing, "_ids", {})
+    whole, words, learned = token_counts.tokenizer(path), packing.WordIds(path), []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda new: learned.extend(new) or learn(new))
+    for i in range(60):
+        text = f"often seen x{i} y{i}"
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, words.turns)) <= 20 + 2 * 4
+    assert learned.count(b"often") == 1 and learned.count(b"seen") == 1
+
+
 def test_packing_round_trip(odd, empty):
     path, size = token_counts.vocabulary("word_bpe_49k.json"), 256
     encode = token_counts.tokenizer(path).encode
