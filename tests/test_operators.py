@@ -617,6 +617,16 @@ def test_all_owners_and_all_holders_of_a_role_are_rows(spark):
     assert held == [(1, "funding", 5, 1, 1), (1, "owner", 5, 2, 2), (1, "owner", 6, 1, 2), (2, "owner", 7, 1, 1)]
 
 
+def test_role_separation_names_every_holder_of_a_role(spark):
+    roles = spark.createDataFrame(
+        [(1, "owner", 7), (1, "owner", 6), (1, "owner", 7), (1, "funding", 5), (1, "award", None), (2, "technical", 7)],
+        "opp long, role string, office long",
+    )
+    wide = ownership.roles(roles)
+    assert rows(wide, "opp", "owner_n", "owner_office", "owner_offices") == [(1, 2, None, [6, 7]), (2, 0, None, [])]
+    assert rows(wide, "opp", "funding_office", "funding_offices", "award_offices", "technical_offices") == [(1, 5, [5], [], []), (2, None, [], [], [7])]
+
+
 def test_answer_evidence_cites_pages_and_keeps_what_refutes(spark):
     from evgraph.plans import answers
 
