@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evgraph.operators.temporal import asof
 from evgraph.schema import NEED_CLASSES
@@ -236,16 +236,11 @@ def predicted_notices(events: DataFrame, cutoff, n_terms: int = 3, version: str
 HORIZON = 365
 
 
-def _counts_so_far(events: DataFrame, column: str) -> DataFrame:
-    """office, program, event_at and, as ``_<column>``, each value met that day with its count up to that day.
-
-    A value's count is highest when it last occurs, so the best of the counts reached so far, ties to the smaller value,
-    is the mode so far. The window runs over rows reduced to one per value and calendar day."""
-    key = ["office", "program"]
-    daily = events.groupBy(*key, "event_at", column).agg(F.count(F.lit(1)).alias("_n"))
-    by_value = Window.partitionBy(*key, column).orderBy("event_at").rowsBetween(Window.unboundedPreceding, 0)
-    best = F.struct((-F.sum("_n").over(by_value)).alias("neg"), F.col(column).alias("v"))
-    return daily.select(*key, "event_at", best.alias(f"_{column}"))
+def _count_so_far(column: str) -> Column:
+    """A value met on a day with its count up to that day. A value's count is highest when it last occurs, so the best of
+    the counts reached so far, ties to the smaller value, is the mode so far."""
+    up_to_day = Window.partitionBy("office", "program", column).orderBy("event_at").rangeBetween(Window.unboundedPreceding, 0)
+    return F.struct((-F.sum("_n").over(up_to_day)).alias("neg"), F.col(column).alias("v"))
 
 
 def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int = MIN_GAPS) -> DataFrame:
@@ -254,13 +249,15 @@ def rolling_predictions(events: DataFrame, horizon: int = HORIZON, min_gaps: int
     that followed within it.
 
     Windows, pathway and statistics are running states of the days up to the cutoff; later days are
-    labels alone. Purchases and counts collapse to days in one grouping, which bounds every window by the calendar and
-    lets all of them run on one shuffle. Purchases without an office, program or day are left out."""
+    labels alone. Purchases of a day by one path are counted first, then move once more to their office and program,
+    where counts, days and windows all stay. Purchases without an office, program or day are left out."""
     key = ["office", "program"]
     events = events.dropna(subset=[*key, "event_at"])
-    bought = events.select(*key, "event_at", F.struct("contracting", "method").alias("_first"))
-    for column in ("method", "contracting"):
-        bought = bought.unionByName(_counts_so_far(events, column), allowMissingColumns=True)
+    bought = events.groupBy(*key, "event_at", "contracting", "method").agg(F.count(F.lit(1)).alias("_n")).repartition(*key)
+    bought = bought.select(
+        *key, "event_at", F.struct("contracting", "method").alias("_first"),
+        *[_count_so_far(column).alias(f"_{column}") for column in ("method", "contracting")],
+    )
     days = bought.groupBy(*key, "event_at").agg(*[F.min(c).alias(c) for c in ("_first", "_method", "_contracting")])
     in_order = Window.partitionBy(*key).orderBy("event_at")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)

@@ -444,6 +444,21 @@ def test_rolling_predictions_move_days_once(spark):
     assert found.count() == forecast.rolling_predictions(spark.createDataFrame(known, schema), 120).count() > 0
 
 
+def test_rolling_predictions_shuffle_purchases_twice(spark):
+    events = spark.createDataFrame([(1, "p", dt.date(2020, 1, 1), 1, "x")], "office long, program string, event_at date, contracting long, method string")
+    plan = forecast.rolling_predictions(events, 120)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Union" not in plan
+
+
+def test_rolling_predictions_prefer_the_smaller_of_equal_values_and_count_absent_ones(spark):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(20 * i) for i in range(6)]
+    values = [(None, "x"), (2, None), (2, None), (None, "a"), (None, "a"), (None, "a")]
+    schema = "office long, program string, event_at date, contracting long, method string"
+    df = spark.createDataFrame([(1, "p", d, c, m) for d, (c, m) in zip(days, values)] + [(1, "p", days[5], 2, "a")], schema)
+    found = forecast.rolling_predictions(df, 120)
+    assert rows(found, "cutoff", "likely_contracting", "likely_method") == [(days[3], None, None), (days[4], None, None), (days[5], None, "a")]
+
+
 def test_names_in_texts_longest_first(spark):
     from evgraph.operators import mentions
 
