@@ -13,6 +13,7 @@ LEVELS = 2  # lists per halving of a posting's impact
 MOST_LEVEL = 62
 GIVEN = 0.6  # of a threshold: what closed lists may hold of a passage's score
 SLACK = 2 * 10.0**-TERM_SCALE  # scores are compared rounded
+FREQUENT = 200_000  # terms whose weights come to the passages; the postings of all others go to their weights
 
 
 def inverse_frequency(terms: DataFrame, total: int) -> DataFrame:
@@ -29,12 +30,20 @@ def asked_terms(needs: DataFrame, idf: DataFrame) -> DataFrame:
     return asked.join(length, "need").select("need", "term", (F.col("qw") / F.col("_qlen")).alias("qw"))
 
 
-def forward_index(counted: DataFrame, idf: DataFrame, asked: DataFrame) -> DataFrame:
-    """passage_id, office, plen and the weighted terms some need asks for, one row per passage that has any."""
+def forward_index(counted: DataFrame, idf: DataFrame, asked: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """passage_id, office, plen and the weighted terms some need asks for, one row per passage that has any.
+
+    Most postings are of a few terms. The weights of the most frequent ones are a table of bounded size, which the
+    passages' tasks hold, so their postings are summed up before they move; only rare terms move as postings."""
     key = ["office", "passage_id"]
     wanted = asked.select("term").distinct().withColumn("_asked", F.lit(True))
+    idf = written(idf.join(wanted, "term", "left"), "weighted-terms")
+    n = idf.count()
+    cut = idf.agg(F.percentile_approx("idf", frequent / n, 10_000)).first()[0] if n > frequent else float("inf")
+    held = written(idf.where(F.col("idf") < cut), "frequent-terms")
     terms = counted.select(*key, F.inline("_terms"))
-    weighted = terms.join(idf, "term").join(wanted, "term", "left").withColumn("w", F.col("tf") * F.col("idf"))
+    moved = terms.join(held.select("term"), "term", "left_anti").join(idf.where(F.col("idf") >= cut), "term")
+    weighted = terms.join(held, "term").unionByName(moved).withColumn("w", F.col("tf") * F.col("idf"))
     return weighted.groupBy(*key).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("plen"),
         F.collect_list(F.when(F.col("_asked"), F.struct("term", "w"))).alias("met"),
@@ -104,8 +113,8 @@ def candidate_pairs(asked: DataFrame, postings: DataFrame, forward: DataFrame, w
     found = best_passages(scored_pairs(first, forward, weights)).withColumn("_r", rank).where(F.col("_r") <= k)
     kth = found.groupBy("need").agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - SLACK).otherwise(0.0).alias("t"))
     thresholds = asked.select("need").distinct().join(kth, "need", "left").select("need", F.coalesce("t", F.lit(0.0)).alias("t"))
-    opened = open_lists(lists.drop("_first"), thresholds)
-    met = opened.join(postings, ["term", "level"])
+    opened = written(open_lists(lists.drop("_first"), thresholds), "opened")  # of known size, so that the postings don't move
+    met = opened.join(posting_lists(forward.repartition("passage_id")), ["term", "level"])  # gains then meet where their passage is
     gains = met.groupBy("need", "passage_id").agg(
         F.sum(F.col("qw") * F.col("impact") - F.col("cut")).alias("_over"), F.first("cuts").alias("cuts"), F.first("t").alias("t")
     )
@@ -120,14 +129,13 @@ def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
     a passage only through a list it opened; see ``candidate_pairs``. The best passage of an office is an aggregate and
     the rank limit runs before the last shuffle.
     """
-    counted = written(passages.select("office", "passage_id", "text", term_counts(F.col("text")).alias("_terms")), "passages")
+    counted = written(passages.select("office", "passage_id", "text", term_counts(F.col("text")).alias("_terms")), "passages", "zstd")
     idf = written(inverse_frequency(counted.select(F.inline("_terms")), counted.count()), "term-weights")
     asked = written(asked_terms(needs, idf), "asked-terms")
-    forward = written(forward_index(counted, idf, asked), "forward")
-    postings = written(posting_lists(forward), "postings")
+    forward = written(forward_index(counted, idf, asked), "forward", "zstd")
     weights = asked.groupBy("need").agg(F.map_from_entries(F.collect_list(F.struct("term", "qw"))).alias("_weights"))
     weights = written(weights, "weights")
-    scored = scored_pairs(candidate_pairs(asked, postings, forward, weights, k), forward, weights)
+    scored = scored_pairs(candidate_pairs(asked, posting_lists(forward), forward, weights, k), forward, weights)
     order = Window.partitionBy("need").orderBy(F.desc("score"), "office")
     top = best_passages(scored).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     texts = counted.select("passage_id", F.col("text").alias("passage"))

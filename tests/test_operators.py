@@ -804,6 +804,26 @@ def test_text_match_opens_few_pairs_and_loses_none(spark):
     assert pairs.count() < 0.2 * len(texts) * len(wanted)
 
 
+@pytest.mark.parametrize("frequent", [1, 4, 100])
+def test_frequent_and_rare_terms_weigh_alike(spark, frequent):
+    """Whichever terms are held by the passages' tasks, the weights are those of one join over all."""
+    rng = random.Random(frequent)
+    texts = [" ".join(rng.choices("abcdefghij", weights=range(10, 0, -1), k=6)) for _ in range(40)]
+    passages = spark.createDataFrame([(f"o{i % 3}", i, x) for i, x in enumerate(texts)], "office string, passage_id long, text string")
+    counted = passages.select("office", "passage_id", matching.term_counts(F.col("text")).alias("_terms"))
+    idf = matching.inverse_frequency(counted.select(F.inline("_terms")), len(texts))
+    asked = matching.asked_terms(spark.createDataFrame([(1, "a b j"), (2, "h")], "need long, text string"), idf)
+    weight = {r.term: r.idf for r in idf.collect()}
+    want = {}
+    for i, x in enumerate(texts):
+        w = {t: x.split().count(t) * weight[t] for t in set(x.split()) if t in weight}
+        met = {t: round(v, 9) for t, v in w.items() if t in "abjh"}
+        if met:
+            want[i] = (round(sum(v * v for v in w.values()) ** 0.5, 9), met)
+    forward = matching.forward_index(counted, idf, asked, frequent)
+    assert {r.passage_id: (round(r.plen, 9), {m.term: round(m.w, 9) for m in r.met}) for r in forward.collect()} == want
+
+
 def test_text_match_equals_brute_force(spark):
     import math
     import re
