@@ -268,6 +268,37 @@ def test_split_documents_equal_whole_ones(spark, tmp_path, monkeypatch, run_bits
     assert got[1].count() == 3 * 40 + 3 * 7 + 4 + 9
 
 
+def test_a_compressed_document_is_cut_by_many_tasks_and_moves_once(spark, tmp_path):
+    import bz2
+
+    from evgraph.sources import split_json
+
+    text = json.dumps(tricky(5000), indent=2)
+    (tmp_path / "big.json.bz2").write_bytes(bz2.compress(text.encode(), 1))
+    before = spark.conf.get(split_json.CUT)
+    runs = split_json.packed_runs(spark, str(tmp_path), "8k")
+    assert spark.conf.get(split_json.CUT) == before and runs.select("run.block").distinct().count() > 3
+    assert runs.select(F.sum(F.size("lines"))).first()[0] == len(text.splitlines())
+    nodes, edges = split_json.read_split(spark, str(tmp_path), "8k")
+    whole = graph_json.read_graph(spark, str(tmp_path), multi_line=True)
+    for mine, want in ((nodes, graph_json.nodes(whole)), (edges, graph_json.edges(whole))):
+        columns = ["pos", F.to_json("raw").alias("raw")]
+        assert sorted(map(str, mine.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    marked = split_json.marked_runs(spark, str(tmp_path), "8k")
+    numbers = marked.select("doc", "run", "commas")
+    plan = split_json._joined(marked.drop("commas"), numbers)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_pretty_documents_are_packed_so_that_readers_can_cut_them(tables):
+    from pathlib import Path
+
+    from evgraph.catalog import graph as catalog
+
+    files = [f for f in Path(catalog.write_pretty_documents(tables).removeprefix("file:")).rglob("part-*")]
+    assert files and all(f.name.endswith(".bz2") for f in files)
+
+
 def test_one_document_is_cut_by_many_tasks(spark, tmp_path):
     from evgraph.sources import split_json
 
