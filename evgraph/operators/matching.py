@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from evgraph.functions.text import term_counts
 from evgraph.operators import vector_index
-from evgraph.session import written
+from evgraph.session import held, written
 
 TERM_SCALE = 6
 LEVELS = 2  # lists per halving of a posting's impact
 MOST_LEVEL = 62
 GIVEN = 0.6  # of a threshold: what closed lists may hold of a passage's score
 SLACK = 2 * 10.0**-TERM_SCALE  # scores are compared rounded
+MOST_NEEDS = 20_000  # whose weights each task may hold
 FREQUENT = 200_000  # terms whose weights come to the passages; the postings of all others go to their weights
 
 
@@ -40,10 +41,10 @@ def forward_index(counted: DataFrame, idf: DataFrame, asked: DataFrame, frequent
     idf = written(idf.join(wanted, "term", "left"), "weighted-terms")
     n = idf.count()
     cut = idf.agg(F.percentile_approx("idf", frequent / n, 10_000)).first()[0] if n > frequent else float("inf")
-    held = written(idf.where(F.col("idf") < cut), "frequent-terms")
+    known = held(written(idf.where(F.col("idf") < cut), "frequent-terms"))
     terms = counted.select(*key, F.inline("_terms"))
-    moved = terms.join(held.select("term"), "term", "left_anti").join(idf.where(F.col("idf") >= cut), "term")
-    weighted = terms.join(held, "term").unionByName(moved).withColumn("w", F.col("tf") * F.col("idf"))
+    moved = terms.join(known.select("term"), "term", "left_anti").join(idf.where(F.col("idf") >= cut), "term")
+    weighted = terms.join(known, "term").unionByName(moved).withColumn("w", F.col("tf") * F.col("idf"))
     return weighted.groupBy(*key).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("plen"),
         F.collect_list(F.when(F.col("_asked"), F.struct("term", "w"))).alias("met"),
@@ -107,13 +108,14 @@ def candidate_pairs(asked: DataFrame, postings: DataFrame, forward: DataFrame, w
     order = Window.partitionBy("need").orderBy(F.desc("gain"), "term", "level")
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     lists = written(lists.withColumn("_first", before < 4 * k), "lists")
-    first = lists.where("_first").select("need", "term", "level").join(postings, ["term", "level"]).select("need", "passage_id").distinct()
-    first = written(first, "pairs")  # of known size, so that a few pairs don't make the passages move
+    first = held(written(lists.where("_first").select("need", "term", "level"), "first"))
+    first = first.join(postings, ["term", "level"]).select("need", "passage_id").distinct()
+    first = held(written(first, "pairs"))  # so that a few pairs don't make the passages move
     rank = F.row_number().over(Window.partitionBy("need").orderBy(F.desc("score"), "office"))
     found = best_passages(scored_pairs(first, forward, weights)).withColumn("_r", rank).where(F.col("_r") <= k)
     kth = found.groupBy("need").agg(F.when(F.count(F.lit(1)) >= k, F.min("score") - SLACK).otherwise(0.0).alias("t"))
     thresholds = asked.select("need").distinct().join(kth, "need", "left").select("need", F.coalesce("t", F.lit(0.0)).alias("t"))
-    opened = written(open_lists(lists.drop("_first"), thresholds), "opened")  # of known size, so that the postings don't move
+    opened = held(written(open_lists(lists.drop("_first"), thresholds), "opened"))  # so that the postings don't move
     met = opened.join(posting_lists(forward.repartition("passage_id")), ["term", "level"])  # gains then meet where their passage is
     gains = met.groupBy("need", "passage_id").agg(
         F.sum(F.col("qw") * F.col("impact") - F.col("cut")).alias("_over"), F.first("cuts").alias("cuts"), F.first("t").alias("t")
@@ -134,7 +136,7 @@ def match_need(needs: DataFrame, passages: DataFrame, k: int = 3) -> DataFrame:
     asked = written(asked_terms(needs, idf), "asked-terms")
     forward = written(forward_index(counted, idf, asked), "forward", "zstd")
     weights = asked.groupBy("need").agg(F.map_from_entries(F.collect_list(F.struct("term", "qw"))).alias("_weights"))
-    weights = written(weights, "weights")
+    weights = held(written(weights, "weights"), MOST_NEEDS)
     scored = scored_pairs(candidate_pairs(asked, posting_lists(forward), forward, weights, k), forward, weights)
     order = Window.partitionBy("need").orderBy(F.desc("score"), "office")
     top = best_passages(scored).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -824,6 +824,27 @@ def test_frequent_and_rare_terms_weigh_alike(spark, frequent):
     assert {r.passage_id: (round(r.plen, 9), {m.term: round(m.w, 9) for m in r.met}) for r in forward.collect()} == want
 
 
+def test_short_tables_come_to_joins_whatever_the_session_broadcasts(spark):
+    from evgraph.session import held, written
+
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before, rows_ = spark.conf.get(setting), spark.range(50).withColumn("k", F.col("id") % 3)
+    table = written(spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "short")
+    spark.conf.set(setting, "-1")
+    try:
+        plans = [rows_.join(side, "k")._jdf.queryExecution().executedPlan().toString() for side in (held(table), held(table, 2))]
+        assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+        passages = spark.createDataFrame([("o", i, "a b" if i % 2 else "a c") for i in range(9)] + [("o", 9, "d")], "office string, passage_id long, text string")
+        counted = passages.select("office", "passage_id", matching.term_counts(F.col("text")).alias("_terms"))
+        idf = matching.inverse_frequency(counted.select(F.inline("_terms")), 10)
+        asked = matching.asked_terms(spark.createDataFrame([(1, "b")], "need long, text string"), idf)
+        forward = matching.forward_index(counted, idf, asked)
+        assert forward._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
+        assert rows(forward, "passage_id") == [(1,), (3,), (5,), (7,)]
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_text_match_equals_brute_force(spark):
     import math
     import re
